@@ -96,9 +96,11 @@ def segment_table(df: DataFrame, lookback: int, layout: Layout = DEFAULT_LAYOUT)
     last = F.floor((F.col("_seg_off") + F.col("_seg_n") - 1 + F.lit(int(lookback))) / F.lit(chunk))
     c2 = c1.select(k, TB, "_seg_off", own.alias("_seg_own"),
                    F.explode(F.sequence(own, F.greatest(own, last))).alias(CHUNK))
-    base = c2.groupBy(k, CHUNK).agg(F.min("_seg_off").alias(BASE))
-    return (_null_safe_join(c2, base, [k, CHUNK])
-            .select(k, TB, CHUNK, BASE, (F.col(CHUNK) != F.col("_seg_own")).alias(HALO)))
+    # base = offset of the first bucket that reaches a chunk (a window over the
+    # small table, not a self-join, so the counts are computed once)
+    first = F.min("_seg_off").over(Window.partitionBy(k, CHUNK))
+    return c2.select(k, TB, CHUNK, first.alias(BASE),
+                     (F.col(CHUNK) != F.col("_seg_own")).alias(HALO))
 
 
 def segment(df: DataFrame, lookback: int, layout: Layout = DEFAULT_LAYOUT,

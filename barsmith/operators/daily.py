@@ -27,7 +27,8 @@ def daily_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT) -> DataFram
     """bars -> bars + D1-D7, per symbol in date order."""
     s = segment(bars, LOOKBACK, layout, with_rn=False)
     w = layout.window()
-    prev = F.lag("close", 1).over(w)
+    s = s.select("*", F.lag("close", 1).over(w).alias("_seg_prev"))
+    prev = F.col("_seg_prev")
     out = s.select(
         "*",
         partial(F.avg, "close", 5, w).alias("sma_5"),

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import advanced as adv
 from ..operators import daily
+from ..operators import local
 from . import oracle as O
 from .fixtures import bars_events, bars_orders
 from .report import rounded
@@ -32,11 +35,82 @@ def q_daily_features_events(spark, sf_dir):
     return rounded(daily.daily_features(bars_events(spark, sf_dir)), DAILY_DIGITS)
 
 
+# Rounding of advanced-set outputs: price-scale values that come out of
+# differently ordered floating sums (EMA, MACD, bands, VWAP) to 2 places;
+# means of two-decimal prices to 6 (they sit on a grid, so no ties); ratios
+# and dispersion of returns to 6. Exact operations are not rounded.
+ADV_DIGITS: dict[str, int] = {}
+for _n in adv.SMA_PERIODS:
+    ADV_DIGITS[f"SMA_{_n}"] = 6
+    ADV_DIGITS[f"EMA_{_n}"] = 2
+for _n in adv.RSI_PERIODS:
+    ADV_DIGITS[f"RSI_{_n}"] = 6
+for _c in adv.FAMILIES["macd"]:
+    ADV_DIGITS[_c] = 2
+for _n, _k in adv.BB_SETS:
+    ADV_DIGITS[adv.bb("Upper", _n, _k)] = 2
+    ADV_DIGITS[adv.bb("Lower", _n, _k)] = 2
+    ADV_DIGITS[adv.bb("Width", _n, _k)] = 6
+    ADV_DIGITS[adv.bb("Position", _n, _k)] = 6
+for _n in adv.VOLATILITY_PERIODS:
+    ADV_DIGITS[f"Volatility_{_n}"] = 6
+    ADV_DIGITS[f"ATR_{_n}"] = 6
+for _n in adv.VOLUME_PERIODS:
+    ADV_DIGITS[f"Volume_SMA_{_n}"] = 6
+    ADV_DIGITS[f"Volume_Ratio_{_n}"] = 6
+    ADV_DIGITS[f"VWAP_{_n}"] = 2
+for _n in adv.TREND_PERIODS:
+    ADV_DIGITS[f"Trend_{_n}"] = 6
+
+
+def _family(name: str, events: bool = False):
+    def run(spark, sf_dir):
+        bars = bars_events(spark, sf_dir) if events else bars_orders(spark, sf_dir)
+        return rounded(adv.select_family(adv.advanced_features(bars), name), ADV_DIGITS)
+    run.__name__ = f"q_adv_{name}"
+    return run
+
+
+def q_adv_complete(spark, sf_dir):
+    """Rows kept by the complete-row filter (all 82 features present)."""
+    feats = adv.advanced_features(bars_orders(spark, sf_dir))
+    return adv.complete_rows(feats).select("symbol", "date", "close")
+
+
+def q_adv_metadata(spark, sf_dir):
+    """K7 metadata counters per symbol (feature list as its length)."""
+    meta = adv.advanced_metadata(adv.advanced_features(bars_orders(spark, sf_dir)))
+    return meta.select(F.col("Symbol").alias("symbol"), "Records_Count", "Original_Records",
+                       "Features_Count", F.size("Features_Created").alias("features_created"))
+
+
+def q_local_features(spark, sf_dir):
+    return local.local_features(bars_orders(spark, sf_dir))
+
+
+def q_local_features_events(spark, sf_dir):
+    return local.local_features(bars_events(spark, sf_dir))
+
+
+def q_local_metadata(spark, sf_dir):
+    return local.local_metadata(bars_orders(spark, sf_dir)).select(
+        "symbol", "total_features", "original_records", "processed_records", "features_added", "method")
+
+
 QUERIES: dict[str, Query] = {
     "bars_orders": q_bars_orders,
     "bars_events": q_bars_events,
     "daily_features": q_daily_features,
     "daily_features_events": q_daily_features_events,
+    "local_features": q_local_features,
+    "local_features_events": q_local_features_events,
+    "local_metadata": q_local_metadata,
+    **{f"adv_{f}": _family(f) for f in adv.FAMILIES},
+    "adv_ema_events": _family("ema", events=True),
+    "adv_macd_events": _family("macd", events=True),
+    "adv_rsi_events": _family("rsi", events=True),
+    "adv_complete": q_adv_complete,
+    "adv_metadata": q_adv_metadata,
 }
 
 ORACLE: dict[str, str] = {
@@ -44,4 +118,13 @@ ORACLE: dict[str, str] = {
     "bars_events": O.BARS_EVENTS,
     "daily_features": O.with_bars(O.DAILY),
     "daily_features_events": O.with_bars(O.DAILY, O.BARS_EVENTS),
+    "local_features": O.with_bars(O.LOCAL),
+    "local_features_events": O.with_bars(O.LOCAL, O.BARS_EVENTS),
+    "local_metadata": O.with_bars(O.LOCAL_META),
+    **{f"adv_{f}": O.advanced_sql(cols, ADV_DIGITS) for f, cols in adv.FAMILIES.items()},
+    "adv_ema_events": O.advanced_sql(adv.FAMILIES["ema"], ADV_DIGITS, bars=O.BARS_EVENTS),
+    "adv_macd_events": O.advanced_sql(adv.FAMILIES["macd"], ADV_DIGITS, bars=O.BARS_EVENTS),
+    "adv_rsi_events": O.advanced_sql(adv.FAMILIES["rsi"], ADV_DIGITS, bars=O.BARS_EVENTS),
+    "adv_complete": O.advanced_sql(["close"], {}, where=O.complete_where()),
+    "adv_metadata": O.ADV_META,
 }

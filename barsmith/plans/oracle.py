@@ -24,6 +24,11 @@ FROM events GROUP BY 1, 2
 """
 
 
+def rnd(expr: str, digits: int) -> str:
+    """round() as Spark does it: Spark never returns -0.0 from round, DuckDB can."""
+    return f"(round({expr}, {digits}) + 0.0)"
+
+
 def with_bars(body: str, bars: str = BARS_ORDERS) -> str:
     return f"WITH bars AS ({bars})\n{body}"
 
@@ -47,16 +52,191 @@ def full(agg: str, expr: str, n: int) -> str:
 
 DAILY = """
 SELECT date, symbol, open, high, low, close, volume,
-       round(avg(close) OVER w5, 6) AS sma_5,
-       round(avg(close) OVER w20, 6) AS sma_20,
+       {r_sma5} AS sma_5,
+       {r_sma20} AS sma_20,
        close - lag(close) OVER w AS price_change,
        {pct} AS price_change_pct,
-       round(stddev_samp(close) OVER w5, 4) AS volatility_5d,
-       round(avg(volume) OVER w5, 6) AS volume_sma_5,
+       {r_vol5} AS volatility_5d,
+       {r_vsma5} AS volume_sma_5,
        {hl} AS high_low_ratio
 FROM bars
 WINDOW w AS (PARTITION BY symbol ORDER BY date),
        w5 AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
        w20 AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
 """.format(pct=div("close - lag(close) OVER w", "lag(close) OVER w") + " * 100",
-           hl=div("high", "low"))
+           hl=div("high", "low"), r_sma5=rnd("avg(close) OVER w5", 6),
+           r_sma20=rnd("avg(close) OVER w20", 6), r_vol5=rnd("stddev_samp(close) OVER w5", 4),
+           r_vsma5=rnd("avg(volume) OVER w5", 6))
+
+
+# ---------------------------------------------------------------------------
+# Advanced set. One generated query: EMAs by a recursive CTE (the plain
+# recurrence num_t = x_t + q num_{t-1}, den_t = 1 + q den_{t-1}), everything
+# else by window functions over PARTITION BY symbol ORDER BY date.
+
+SMA_P = [5, 10, 20, 50, 100, 200]
+RSI_P = [7, 14, 21, 30]
+MACD_S = [(12, 26, 9), (8, 21, 5), (5, 13, 8)]
+BB_S = [(20, 2), (20, 2.5), (10, 1.5)]
+VOLA_P = [5, 10, 20, 30]
+VOLU_P = [5, 10, 20]
+MOM_P = [5, 10, 20]
+SR_P = [20, 50]
+TREND_P = [10, 20, 50]
+
+
+def _q(span: int) -> str:
+    return repr(1.0 - 2.0 / (span + 1.0))
+
+
+def _bbn(kind, n, k):
+    return f"BB_{kind}_{n}_{str(k).replace('.', '_')}"
+
+
+def _ema_cte() -> str:
+    spans = sorted(set(SMA_P) | {x for f, s, _ in MACD_S for x in (f, s)})
+    sig = [(f, s, g) for f, s, g in MACD_S]
+    cols = ["symbol", "rn"] + [f"n{s}" for s in spans] + [f"d{s}" for s in spans] \
+        + [f"sn{f}_{s}" for f, s, _ in sig] + [f"sd{f}_{s}" for f, s, _ in sig]
+
+    def ema_new(s):  # EMA at the new row, from the previous state
+        return f"((b.close + {_q(s)} * e.n{s}) / (1.0 + {_q(s)} * e.d{s}))"
+
+    seed = (["symbol", "rn"] + ["CAST(close AS DOUBLE)" for _ in spans]
+            + ["CAST(1.0 AS DOUBLE)" for _ in spans]
+            + ["CAST(0.0 AS DOUBLE)" for _ in sig]  # MACD is 0 on the first row
+            + ["CAST(1.0 AS DOUBLE)" for _ in sig])
+    step = (["b.symbol", "b.rn"] + [f"b.close + {_q(s)} * e.n{s}" for s in spans]
+            + [f"1.0 + {_q(s)} * e.d{s}" for s in spans]
+            + [f"({ema_new(f)} - {ema_new(s)}) + {_q(g)} * e.sn{f}_{s}" for f, s, g in sig]
+            + [f"1.0 + {_q(g)} * e.sd{f}_{s}" for f, s, g in sig])
+    return (f"e({', '.join(cols)}) AS (\n  SELECT {', '.join(seed)} FROM b WHERE rn = 0\n"
+            f"  UNION ALL\n  SELECT {', '.join(step)}\n"
+            f"  FROM e JOIN b ON b.symbol = e.symbol AND b.rn = e.rn + 1)")
+
+
+def advanced_sql(columns: list[str], digits: dict[str, int], bars: str = BARS_ORDERS,
+                 where: str | None = None) -> str:
+    """SELECT symbol, date, <columns> with the given rounding."""
+    w = "OVER (PARTITION BY symbol ORDER BY date)"
+    f1 = ["symbol", "date", "rn", "open", "high", "low", "close", "volume",
+          f"lag(close) {w} AS prev"]
+    f1 += [f"lag(close, {n}) {w} AS lag{n}" for n in MOM_P]
+    f1 += [f"{full('avg', 'close', n)} AS SMA_{n}" for n in SMA_P]
+    f1 += [f"{full('stddev_samp', 'close', n)} AS sd{n}" for n in sorted({n for n, _ in BB_S})]
+    f1 += [f"{full('avg', 'high - low', n)} AS ATR_{n}" for n in VOLA_P]
+    f1 += [f"{full('avg', 'volume', n)} AS Volume_SMA_{n}" for n in VOLU_P]
+    f1 += [f"{full('sum', 'close * volume', n)} AS pv{n}" for n in VOLU_P]
+    f1 += [f"{full('sum', 'volume', n)} AS v{n}" for n in VOLU_P]
+    f1 += [f"{full('max', 'high', n)} AS Resistance_{n}" for n in SR_P]
+    f1 += [f"{full('min', 'low', n)} AS Support_{n}" for n in SR_P]
+    f2 = ["*", "CASE WHEN close - prev > 0 THEN close - prev ELSE 0 END AS gain",
+          "CASE WHEN prev - close > 0 THEN prev - close ELSE 0 END AS loss",
+          f"{div('close', 'prev')} - 1.0 AS ret"]
+    f3 = ["*"] + [f"{full('avg', 'gain', n)} AS g{n}" for n in RSI_P] \
+        + [f"{full('avg', 'loss', n)} AS l{n}" for n in RSI_P] \
+        + [f"{full('stddev_samp', 'ret', n)} AS Volatility_{n}" for n in VOLA_P]
+
+    def ema(s):
+        return f"(e.n{s} / e.d{s})"
+
+    d: dict[str, str] = {}
+    for n in SMA_P:
+        d[f"SMA_{n}"] = f"SMA_{n}"
+        d[f"EMA_{n}"] = ema(n)
+    for n in RSI_P:
+        d[f"RSI_{n}"] = (f"(CASE WHEN g{n} IS NULL OR l{n} IS NULL THEN NULL "
+                         f"WHEN l{n} = 0 THEN (CASE WHEN g{n} > 0 THEN 100.0 END) "
+                         f"ELSE 100.0 - 100.0 / (1.0 + g{n} / l{n}) END)")
+    for f, s, g in MACD_S:
+        d[f"MACD_{f}_{s}"] = f"({ema(f)} - {ema(s)})"
+        d[f"MACD_Signal_{f}_{s}_{g}"] = f"(e.sn{f}_{s} / e.sd{f}_{s})"
+        d[f"MACD_Hist_{f}_{s}_{g}"] = f"(({ema(f)} - {ema(s)}) - (e.sn{f}_{s} / e.sd{f}_{s}))"
+    for n, k in BB_S:
+        up, lo = f"(SMA_{n} + sd{n} * {float(k)!r})", f"(SMA_{n} - sd{n} * {float(k)!r})"
+        d[_bbn("Upper", n, k)] = up
+        d[_bbn("Lower", n, k)] = lo
+        d[_bbn("Width", n, k)] = div(f"{up} - {lo}", f"SMA_{n}")
+        d[_bbn("Position", n, k)] = div(f"close - {lo}", f"{up} - {lo}")
+    d["Price_Range"] = "(high - low)"
+    d["Price_Position"] = div("close - low", "high - low")
+    d["Gap"] = "(open - prev)"
+    d["Gap_Percent"] = div("open - prev", "prev")
+    for n in VOLA_P:
+        d[f"Volatility_{n}"] = f"Volatility_{n}"
+        d[f"ATR_{n}"] = f"ATR_{n}"
+    for n in VOLU_P:
+        d[f"Volume_SMA_{n}"] = f"Volume_SMA_{n}"
+        d[f"Volume_Ratio_{n}"] = div("volume", f"Volume_SMA_{n}")
+        d[f"Price_Volume_{n}"] = "(close * volume)"
+        d[f"VWAP_{n}"] = div(f"pv{n}", f"v{n}")
+    for n in MOM_P:
+        d[f"Momentum_{n}"] = div("close", f"lag{n}")
+        d[f"ROC_{n}"] = div(f"close - lag{n}", f"lag{n}") + " * 100.0"
+    for n in SR_P:
+        d[f"Support_Resistance_Ratio_{n}"] = div(f"close - Support_{n}", f"Resistance_{n} - Support_{n}")
+        d[f"Resistance_{n}"] = f"Resistance_{n}"
+        d[f"Support_{n}"] = f"Support_{n}"
+    for n in TREND_P:
+        d[f"Trend_{n}"] = div("close", f"SMA_{n}")
+        d[f"Upper_Shadow_{n}"] = div("high - greatest(open, close)", "close")
+        d[f"Lower_Shadow_{n}"] = div("least(open, close) - low", "close")
+
+    all_cols = ",\n       ".join(f"{d[c]} AS {c}" for c in d)
+    return (f"WITH RECURSIVE bars AS ({bars}),\n"
+            f"b AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS rn FROM bars),\n"
+            f"{_ema_cte()},\n"
+            f"f1 AS (SELECT {', '.join(f1)} FROM b),\n"
+            f"f2 AS (SELECT {', '.join(f2)} FROM f1),\n"
+            f"f3 AS (SELECT {', '.join(f3)} FROM f2),\n"
+            f"adv AS (SELECT f3.symbol, f3.date, f3.open, f3.high, f3.low, f3.close, f3.volume,\n"
+            f"       {all_cols}\n"
+            f"  FROM f3 JOIN e ON e.symbol = f3.symbol AND e.rn = f3.rn)\n"
+            f"SELECT {', '.join(['symbol', 'date'] + [(f'{rnd(c, digits[c])} AS {c}' if c in digits else c) for c in columns])}\n"
+            f"FROM adv" + (f"\nWHERE {where}" if where else ""))
+
+
+ADVANCED_NAMES = (
+    [c for n in SMA_P for c in (f"SMA_{n}", f"EMA_{n}")]
+    + [f"RSI_{n}" for n in RSI_P]
+    + [c for f, s, g in MACD_S for c in (f"MACD_{f}_{s}", f"MACD_Signal_{f}_{s}_{g}", f"MACD_Hist_{f}_{s}_{g}")]
+    + [_bbn(kind, n, k) for n, k in BB_S for kind in ("Upper", "Lower", "Width", "Position")]
+    + ["Price_Range", "Price_Position", "Gap", "Gap_Percent"]
+    + [c for n in VOLA_P for c in (f"Volatility_{n}", f"ATR_{n}")]
+    + [c for n in VOLU_P for c in (f"Volume_SMA_{n}", f"Volume_Ratio_{n}", f"Price_Volume_{n}", f"VWAP_{n}")]
+    + [c for n in MOM_P for c in (f"Momentum_{n}", f"ROC_{n}")]
+    + [c for n in SR_P for c in (f"Resistance_{n}", f"Support_{n}", f"Support_Resistance_Ratio_{n}")]
+    + [c for n in TREND_P for c in (f"Trend_{n}", f"Upper_Shadow_{n}", f"Lower_Shadow_{n}")])
+
+
+def complete_where() -> str:
+    return " AND ".join(f"({c} IS NOT NULL AND NOT isnan({c}))" for c in ADVANCED_NAMES)
+
+
+LOCAL = """
+SELECT date, symbol, open, high, low, close, volume,
+       CASE WHEN rn >= 5 THEN {r_sma} END AS sma_5,
+       CASE WHEN rn >= 5 THEN {r_ret} END AS return_1d,
+       CASE WHEN rn >= 5 THEN {r_vol} END AS volatility_5d,
+       volume / 1000000.0 AS volume_normalized
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS rn,
+             {ret} AS ret
+      FROM bars)
+WINDOW w5 AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+""".format(ret=div("close - lag(close) OVER (PARTITION BY symbol ORDER BY date)",
+                   "lag(close) OVER (PARTITION BY symbol ORDER BY date)"),
+           r_sma=rnd("avg(close) OVER w5", 2), r_ret=rnd("ret", 4), r_vol=rnd("stddev_pop(ret) OVER w5", 4))
+
+LOCAL_META = """
+SELECT symbol, 4 AS total_features, count(*) AS original_records, count(*) AS processed_records,
+       4 AS features_added, 'local_processing' AS method
+FROM bars GROUP BY symbol
+"""
+
+ADV_META = """
+WITH a AS ({adv})
+SELECT symbol, CAST(count_if({complete}) AS BIGINT) AS Records_Count, count(*) AS Original_Records,
+       87 AS Features_Count, 87 AS features_created
+FROM a GROUP BY symbol
+""".format(adv=advanced_sql(ADVANCED_NAMES, {}).replace("WITH RECURSIVE", "WITH RECURSIVE", 1),
+           complete=complete_where())

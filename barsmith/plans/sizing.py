@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     The inputs passed here are derived lookup tables (one row per symbol, or
     per symbol and time bucket); their size depends on the data, so it is
     measured, not assumed. Above the bound the table is returned unchanged
-    and Spark plans a shuffle join.
+    and Spark plans a shuffle join. The table is persisted before counting so
+    the join reuses it instead of recomputing it (lost blocks are recomputed
+    from lineage).
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small
