@@ -90,8 +90,13 @@ def _rsi(g: Column, l: Column) -> Column:
              .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / l)))
 
 
-def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """bars -> bars + the 82 advanced columns (rows with gaps kept; see :func:`complete_rows`)."""
+def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
+                      with_prev_close: bool = False) -> DataFrame:
+    """bars -> bars + the 82 advanced columns (rows with gaps kept; see :func:`complete_rows`).
+
+    ``with_prev_close`` also returns the previous bar's close (``prev_close``)
+    for callers that derive more per-bar values without another window pass.
+    """
     s = segment(bars, lookback_rows(), layout, with_rn=True)
     plan = EmaPlan.for_spans(layout.key, EMA_SPANS + SIGNAL_SPANS)
     s = plan.add_blocks(s)
@@ -165,6 +170,8 @@ def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT) -> DataF
         derived[f"Lower_Shadow_{n}"] = safe_div(F.least(opn, close) - low, close)
 
     keep = [c for c in bars.columns] + ["_seg_halo"]
+    if with_prev_close:
+        keep.append(F.col("_a_prev").alias("prev_close"))
     out = s.select(*keep, *[derived[c].alias(c) if c in derived else F.col(c) for c in ADVANCED_FEATURES])
     return finish(out)
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators import advanced as adv
 from ..operators import daily
-from ..operators import local
+from ..operators import clean, local, quality, runlog
+from ..operators.bars import price_volume_range
+from .fixtures import table
 from . import oracle as O
 from .fixtures import bars_events, bars_orders
 from .report import rounded
@@ -97,6 +99,94 @@ def q_local_metadata(spark, sf_dir):
         "symbol", "total_features", "original_records", "processed_records", "features_added", "method")
 
 
+def expected_symbols(spark, sf_dir):
+    """Requested symbol list: order priorities and event types (bars exist only for the former)."""
+    return (table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("symbol"))
+            .union(table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol")))
+            .distinct())
+
+
+def _report(spark, sf_dir):
+    return quality.quality_report(bars_orders(spark, sf_dir), expected_symbols(spark, sf_dir))
+
+
+def q_quality_report(spark, sf_dir):
+    rep = _report(spark, sf_dir)
+    return rep.withColumn("issues", F.concat_ws(";", "issues"))
+
+
+def q_ingestion_gate(spark, sf_dir):
+    return quality.ingestion_gate(bars_orders(spark, sf_dir), _report(spark, sf_dir))
+
+
+def q_ingestion_stats(spark, sf_dir):
+    return quality.ingestion_stats(_report(spark, sf_dir))
+
+
+def q_price_volume_range(spark, sf_dir):
+    return price_volume_range(bars_orders(spark, sf_dir))
+
+
+def q_row_counts(spark, sf_dir):
+    return quality.row_counts(bars_orders(spark, sf_dir))
+
+
+PREP_DIGITS = {"sma_20": 6, "rsi_14": 6, "macd": 2, "volatility": 6, "volume_sma": 6, "volume_ratio": 6}
+
+
+def q_prep_features(spark, sf_dir):
+    return rounded(clean.prep_features(bars_orders(spark, sf_dir)), PREP_DIGITS)
+
+
+def q_prep_completeness(spark, sf_dir):
+    c = quality.completeness(clean.prep_features(bars_orders(spark, sf_dir)), clean.PREP_FEATURES)
+    return rounded(c, {"completeness": 6})
+
+
+def q_training_gate(spark, sf_dir):
+    feats = clean.prep_features(bars_orders(spark, sf_dir))
+    return quality.training_gate(feats, clean.PREP_FEATURES, clean.COMPLETENESS_THRESHOLD).select("symbol", "date")
+
+
+def q_zscore(spark, sf_dir):
+    z = clean.zscore(bars_orders(spark, sf_dir), "close", clean.WINDOW_SIZE, "close_z")
+    return rounded(z.select("symbol", "date", "close", "close_z"), {"close_z": 6})
+
+
+def q_remove_outliers(spark, sf_dir):
+    return clean.remove_outliers(bars_orders(spark, sf_dir), "close").select("symbol", "date", "close")
+
+
+def q_forward_fill(spark, sf_dir):
+    from ..functions.numeric import safe_div
+    bars = bars_orders(spark, sf_dir)
+    pp = bars.select("symbol", "date",
+                     safe_div(F.col("close") - F.col("low"), F.col("high") - F.col("low")).alias("price_position"))
+    return clean.forward_fill(pp, ["price_position"])
+
+
+def _run_log(spark, sf_dir):
+    bars = bars_orders(spark, sf_dir)
+    rep = quality.quality_report(bars, expected_symbols(spark, sf_dir))
+    comp = quality.completeness(daily.daily_features(bars), daily.DAILY_FEATURES)
+    spans = bars.groupBy("symbol").agg(F.min("date").cast("timestamp").alias("first_ts"),
+                                       F.max("date").cast("timestamp").alias("last_ts"))
+    return runlog.run_log_from_quality(rep, comp, spans, clean.COMPLETENESS_THRESHOLD)
+
+
+def q_run_status(spark, sf_dir):
+    return runlog.workflow_status(_run_log(spark, sf_dir))
+
+
+def q_run_progress(spark, sf_dir):
+    return runlog.workflow_progress(_run_log(spark, sf_dir))
+
+
+def q_error_log(spark, sf_dir):
+    e = runlog.error_log(_run_log(spark, sf_dir))
+    return e.withColumn("error_types", F.concat_ws(";", "error_types"))
+
+
 QUERIES: dict[str, Query] = {
     "bars_orders": q_bars_orders,
     "bars_events": q_bars_events,
@@ -111,6 +201,20 @@ QUERIES: dict[str, Query] = {
     "adv_rsi_events": _family("rsi", events=True),
     "adv_complete": q_adv_complete,
     "adv_metadata": q_adv_metadata,
+    "quality_report": q_quality_report,
+    "ingestion_gate": q_ingestion_gate,
+    "ingestion_stats": q_ingestion_stats,
+    "price_volume_range": q_price_volume_range,
+    "row_counts": q_row_counts,
+    "prep_features": q_prep_features,
+    "prep_completeness": q_prep_completeness,
+    "training_gate": q_training_gate,
+    "zscore": q_zscore,
+    "remove_outliers": q_remove_outliers,
+    "forward_fill": q_forward_fill,
+    "run_status": q_run_status,
+    "run_progress": q_run_progress,
+    "error_log": q_error_log,
 }
 
 ORACLE: dict[str, str] = {
@@ -127,4 +231,18 @@ ORACLE: dict[str, str] = {
     "adv_rsi_events": O.advanced_sql(adv.FAMILIES["rsi"], ADV_DIGITS, bars=O.BARS_EVENTS),
     "adv_complete": O.advanced_sql(["close"], {}, where=O.complete_where()),
     "adv_metadata": O.ADV_META,
+    "quality_report": O.QUALITY_REPORT,
+    "ingestion_gate": O.INGESTION_GATE,
+    "ingestion_stats": O.INGESTION_STATS,
+    "price_volume_range": O.PRICE_VOLUME_RANGE,
+    "row_counts": O.ROW_COUNTS,
+    "prep_features": O.prep_sql(),
+    "prep_completeness": O.prep_completeness_sql(),
+    "training_gate": O.training_gate_sql(),
+    "zscore": O.ZSCORE,
+    "remove_outliers": O.OUTLIERS,
+    "forward_fill": O.FFILL,
+    "run_status": O.RUN_STATUS,
+    "run_progress": O.RUN_PROGRESS,
+    "error_log": O.ERROR_LOG,
 }

@@ -116,8 +116,10 @@ def _ema_cte() -> str:
 
 
 def advanced_sql(columns: list[str], digits: dict[str, int], bars: str = BARS_ORDERS,
-                 where: str | None = None) -> str:
-    """SELECT symbol, date, <columns> with the given rounding."""
+                 where: str | None = None, aliases: dict[str, str] | None = None,
+                 keys: tuple[str, ...] = ("symbol", "date")) -> str:
+    """SELECT symbol, date, <columns> with the given rounding (``aliases``: out -> source)."""
+    aliases = aliases or {}
     w = "OVER (PARTITION BY symbol ORDER BY date)"
     f1 = ["symbol", "date", "rn", "open", "high", "low", "close", "volume",
           f"lag(close) {w} AS prev"]
@@ -158,6 +160,7 @@ def advanced_sql(columns: list[str], digits: dict[str, int], bars: str = BARS_OR
         d[_bbn("Lower", n, k)] = lo
         d[_bbn("Width", n, k)] = div(f"{up} - {lo}", f"SMA_{n}")
         d[_bbn("Position", n, k)] = div(f"close - {lo}", f"{up} - {lo}")
+    d["returns"] = div("close - prev", "prev")
     d["Price_Range"] = "(high - low)"
     d["Price_Position"] = div("close - low", "high - low")
     d["Gap"] = "(open - prev)"
@@ -189,10 +192,10 @@ def advanced_sql(columns: list[str], digits: dict[str, int], bars: str = BARS_OR
             f"f1 AS (SELECT {', '.join(f1)} FROM b),\n"
             f"f2 AS (SELECT {', '.join(f2)} FROM f1),\n"
             f"f3 AS (SELECT {', '.join(f3)} FROM f2),\n"
-            f"adv AS (SELECT f3.symbol, f3.date, f3.open, f3.high, f3.low, f3.close, f3.volume,\n"
+            f"adv AS (SELECT f3.symbol, f3.date, f3.rn, f3.open, f3.high, f3.low, f3.close, f3.volume,\n"
             f"       {all_cols}\n"
             f"  FROM f3 JOIN e ON e.symbol = f3.symbol AND e.rn = f3.rn)\n"
-            f"SELECT {', '.join(['symbol', 'date'] + [(f'{rnd(c, digits[c])} AS {c}' if c in digits else c) for c in columns])}\n"
+            f"SELECT {', '.join(list(keys) + [(f'{rnd(aliases.get(c, c), digits[c])} AS {c}' if c in digits else f'{aliases.get(c, c)} AS {c}') for c in columns])}\n"
             f"FROM adv" + (f"\nWHERE {where}" if where else ""))
 
 
@@ -240,3 +243,160 @@ SELECT symbol, CAST(count_if({complete}) AS BIGINT) AS Records_Count, count(*) A
 FROM a GROUP BY symbol
 """.format(adv=advanced_sql(ADVANCED_NAMES, {}).replace("WITH RECURSIVE", "WITH RECURSIVE", 1),
            complete=complete_where())
+
+
+EXPECTED_SYMBOLS = "SELECT o_orderpriority AS symbol FROM orders UNION SELECT event_type FROM events"
+
+GRADE = ("CASE WHEN passed_checks = total_checks THEN 'EXCELLENT' "
+         "WHEN passed_checks >= total_checks * 0.75 THEN 'GOOD' "
+         "WHEN passed_checks >= total_checks * 0.5 THEN 'FAIR' ELSE 'POOR' END")
+
+QUALITY_CTE = f"""
+c AS (SELECT symbol, count(*) AS record_count, count(DISTINCT date) AS nd,
+             bool_and(open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL
+                      AND close IS NOT NULL AND volume IS NOT NULL) AS required_fields
+      FROM bars GROUP BY symbol),
+g AS (SELECT *, record_count >= 10 AS sufficient_records, record_count > 0 AS data_structure,
+             nd = record_count AS unique_dates,
+             CAST(record_count >= 10 AS INTEGER) + CAST(record_count > 0 AS INTEGER)
+               + CAST(required_fields AS INTEGER) AS passed_checks,
+             3 AS total_checks
+      FROM c),
+exp AS ({EXPECTED_SYMBOLS}),
+report AS (
+  SELECT exp.symbol, coalesce(record_count, 0) AS record_count, record_count IS NOT NULL AS data_exists,
+         sufficient_records, data_structure, required_fields, unique_dates,
+         coalesce(passed_checks, 0) AS passed_checks, coalesce(total_checks, 1) AS total_checks,
+         CASE WHEN record_count IS NULL THEN 'POOR' ELSE {GRADE} END AS overall_quality,
+         CASE WHEN record_count IS NULL THEN NULL ELSE {GRADE} IN ('EXCELLENT', 'GOOD') END AS validation_passed,
+         CASE WHEN record_count IS NULL THEN 'No valid data found' ELSE '' END AS issues
+  FROM exp LEFT JOIN g ON exp.symbol = g.symbol)"""
+
+QUALITY_REPORT = with_bars(f", {QUALITY_CTE}\nSELECT * FROM report").replace(")\n, ", "),\n", 1)
+
+INGESTION_GATE = with_bars(f", {QUALITY_CTE}\nSELECT * FROM bars WHERE symbol IN "
+                           "(SELECT symbol FROM report WHERE validation_passed AND data_exists)"
+                           ).replace(")\n, ", "),\n", 1)
+
+INGESTION_STATS = with_bars(f", {QUALITY_CTE}\nSELECT count(DISTINCT symbol) AS symbols_processed, "
+                            "avg(CAST(coalesce(validation_passed, false) AS DOUBLE)) AS success_rate FROM report"
+                            ).replace(")\n, ", "),\n", 1)
+
+PRICE_VOLUME_RANGE = with_bars("""
+SELECT symbol, count(*) AS bar_count, min(low) AS min_low, max(high) AS max_high,
+       min(volume) AS min_volume, max(volume) AS max_volume, min(date) AS first_date, max(date) AS last_date
+FROM bars GROUP BY symbol""")
+
+ROW_COUNTS = with_bars("SELECT symbol, count(*) AS record_count FROM bars GROUP BY symbol")
+
+DAILY_NAMES = ["sma_5", "sma_20", "price_change", "price_change_pct", "volatility_5d",
+               "volume_sma_5", "high_low_ratio"]
+
+
+def completeness_sql(source: str, names: list[str]) -> str:
+    filled = " + ".join(f"CASE WHEN {c} IS NOT NULL AND NOT isnan({c}) THEN 1 ELSE 0 END" for c in names)
+    return (f"SELECT symbol, count(*) AS record_count, "
+            f"sum({filled}) / (count(*) * {len(names)}) AS completeness FROM ({source}) GROUP BY symbol")
+
+
+DAILY_RAW = DAILY.replace("{", "{{").replace("}", "}}")  # placeholder (not used)
+
+PREP_ALIASES = {"sma_20": "SMA_20", "rsi_14": "RSI_14", "macd": "MACD_12_26",
+                "volatility": "Volatility_20", "volume_sma": "Volume_SMA_20",
+                "volume_ratio": "Volume_Ratio_20"}
+PREP_NAMES = ["sma_20", "rsi_14", "macd", "returns", "volatility", "volume_sma", "volume_ratio"]
+PREP_DIGITS = {"sma_20": 6, "rsi_14": 6, "macd": 2, "volatility": 6, "volume_sma": 6, "volume_ratio": 6}
+
+
+def prep_sql(bars: str = BARS_ORDERS) -> str:
+    return advanced_sql(["close"] + PREP_NAMES, PREP_DIGITS, bars=bars, aliases=PREP_ALIASES)
+
+
+def prep_completeness_sql(bars: str = BARS_ORDERS) -> str:
+    src = advanced_sql(PREP_NAMES, {}, bars=bars, aliases=PREP_ALIASES)
+    inner = completeness_sql("SELECT * FROM adv_sel", PREP_NAMES)
+    # wrap: the advanced query becomes a CTE named adv_sel
+    head, _, tail = src.rpartition("\nSELECT ")
+    return f"{head},\nadv_sel AS (SELECT {tail})\nSELECT symbol, record_count, {rnd('completeness', 6)} AS completeness FROM ({inner})"
+
+
+def training_gate_sql(bars: str = BARS_ORDERS) -> str:
+    src = advanced_sql(PREP_NAMES, {}, bars=bars, aliases=PREP_ALIASES)
+    head, _, tail = src.rpartition("\nSELECT ")
+    comp = completeness_sql("SELECT * FROM adv_sel", PREP_NAMES)
+    return (f"{head},\nadv_sel AS (SELECT {tail}),\ncomp AS ({comp})\n"
+            f"SELECT symbol, date FROM adv_sel WHERE symbol IN (SELECT symbol FROM comp WHERE completeness >= 0.8)")
+
+
+ZSCORE = with_bars("""
+SELECT symbol, date, close,
+       {z} AS close_z
+FROM bars""".format(z=rnd(div("close - " + full("avg", "close", 20), full("stddev_samp", "close", 20)), 6)))
+
+OUTLIERS = with_bars("""
+SELECT symbol, date, close FROM (
+  SELECT symbol, date, close, {z} AS z FROM bars)
+WHERE z IS NULL OR abs(z) <= 3.0""".format(
+    z=div("close - " + full("avg", "close", 20), full("stddev_samp", "close", 20))))
+
+FFILL = with_bars("""
+SELECT symbol, date,
+       last_value(pp IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price_position
+FROM (SELECT symbol, date, {pp} AS pp FROM bars)""".format(pp=div("close - low", "high - low")))
+
+
+def _run_log_cte() -> str:
+    daily_src = DAILY.strip()
+    return f"""
+{QUALITY_CTE},
+daily AS ({daily_src}),
+comp AS ({completeness_sql("SELECT * FROM daily", DAILY_NAMES)}),
+spans AS (SELECT symbol, CAST(min(date) AS TIMESTAMP) AS first_ts, CAST(max(date) AS TIMESTAMP) AS last_ts
+          FROM bars GROUP BY symbol),
+r AS (SELECT report.symbol, coalesce(validation_passed, false) AS ing_ok,
+             coalesce(comp.completeness >= 0.8, false) AS prep_ok, overall_quality, completeness,
+             coalesce(first_ts, last_ts) AS created_at, coalesce(last_ts, first_ts) AS updated_at
+      FROM report LEFT JOIN comp ON report.symbol = comp.symbol LEFT JOIN spans ON report.symbol = spans.symbol),
+log AS (
+  SELECT symbol AS workflow_id, 'ingestion' AS stage,
+         CASE WHEN ing_ok THEN 'completed' ELSE 'failed' END AS status, created_at, updated_at,
+         CASE WHEN ing_ok THEN 0 ELSE 1 END AS n_err,
+         CASE WHEN ing_ok THEN NULL ELSE 'validation_error' END AS err_type,
+         CASE WHEN ing_ok THEN NULL ELSE 'ingestion' END AS err_node
+  FROM r
+  UNION ALL
+  SELECT symbol, 'preprocessing',
+         CASE WHEN NOT ing_ok THEN 'pending' WHEN prep_ok THEN 'completed' ELSE 'failed' END,
+         created_at, updated_at,
+         CASE WHEN ing_ok AND NOT prep_ok THEN 1 ELSE 0 END,
+         CASE WHEN ing_ok AND NOT prep_ok THEN 'completeness_error' END,
+         CASE WHEN ing_ok AND NOT prep_ok THEN 'preprocessing' END
+  FROM r
+  UNION ALL
+  SELECT symbol, 'training', CASE WHEN ing_ok AND prep_ok THEN 'running' ELSE 'pending' END,
+         created_at, updated_at, 0, NULL, NULL
+  FROM r)"""
+
+
+def _run_log_query(body: str) -> str:
+    return with_bars(f", {_run_log_cte()}\n{body}").replace(")\n, ", "),\n", 1)
+
+
+RUN_STATUS = _run_log_query("""
+SELECT workflow_id,
+       CASE WHEN bool_or(stage = 'training' AND status = 'completed') THEN 'completed'
+            WHEN bool_or(status = 'failed') THEN 'failed'
+            WHEN bool_or(status = 'running') THEN 'running' ELSE 'pending' END AS status
+FROM log GROUP BY workflow_id""")
+
+RUN_PROGRESS = _run_log_query("""
+SELECT workflow_id, CAST(count_if(status = 'completed') AS BIGINT) AS completed_stages,
+       count(*) AS total_stages,
+       CAST(epoch(max(updated_at)) - epoch(min(created_at)) AS DOUBLE) AS elapsed_seconds
+FROM log GROUP BY workflow_id""")
+
+ERROR_LOG = _run_log_query("""
+SELECT coalesce(err_node, 'global') AS node, count(*) AS error_count,
+       count(DISTINCT workflow_id) AS workflows, string_agg(DISTINCT err_type, ';' ORDER BY err_type) AS error_types
+FROM log WHERE n_err > 0 GROUP BY 1""")
