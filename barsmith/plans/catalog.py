@@ -12,6 +12,10 @@ from ..operators import daily
 from ..operators import clean, local, quality, runlog
 from ..operators.bars import price_volume_range
 from .fixtures import table
+from . import jobs
+from ..sources import readers, sinks
+from ..session import scratch_path
+import uuid
 from . import oracle as O
 from .fixtures import bars_events, bars_orders
 from .report import rounded
@@ -187,6 +191,97 @@ def q_error_log(spark, sf_dir):
     return e.withColumn("error_types", F.concat_ws(";", "error_types"))
 
 
+def _scratch(spark, name):
+    return scratch_path(spark, f"queries/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_roundtrip_ndjson(spark, sf_dir):
+    """K1 -> S1."""
+    path = sinks.write_ndjson(bars_orders(spark, sf_dir), _scratch(spark, "ndjson"))
+    return readers.read_bars_ndjson(spark, path)
+
+
+def q_roundtrip_parquet(spark, sf_dir):
+    """K4 -> S4 via the format switch."""
+    path = sinks.write_table(bars_orders(spark, sf_dir), _scratch(spark, "parquet"), "Parquet")
+    return readers.read_table(spark, path, "PARQUET")
+
+
+def q_roundtrip_csv(spark, sf_dir):
+    """K4 -> S5 via the format switch."""
+    path = sinks.write_table(bars_orders(spark, sf_dir), _scratch(spark, "csv"), "csv")
+    return readers.read_table(spark, path, "CSV")
+
+
+def q_roundtrip_envelope(spark, sf_dir):
+    """Envelopes per (symbol, month) -> S3."""
+    path = sinks.write_envelopes(bars_orders(spark, sf_dir), _scratch(spark, "envelope"))
+    return readers.read_envelopes(spark, path)
+
+
+def q_roundtrip_vendor(spark, sf_dir):
+    """Vendor documents per (symbol, month) -> S2."""
+    path = sinks.write_vendor_documents(bars_orders(spark, sf_dir), _scratch(spark, "vendor"))
+    return readers.read_vendor_series(spark, path)
+
+
+def q_snapshot_latest(spark, sf_dir):
+    """K2: two snapshots; the second covers the two highest priorities only.
+
+    latest keeps every symbol (dynamic partition overwrite), history holds
+    both snapshots of the re-written symbols.
+    """
+    base = _scratch(spark, "zones")
+    bars = bars_orders(spark, sf_dir)
+    sinks.write_snapshot(bars, base, "s1")
+    paths = sinks.write_snapshot(bars.filter(F.col("symbol").isin("1-URGENT", "2-HIGH")), base, "s2")
+    latest = spark.read.json(paths["latest"]).groupBy("symbol").agg(F.count(F.lit(1)).alias("latest_rows"))
+    hist = (spark.read.json(paths["history"]).groupBy("symbol")
+            .agg(F.count_distinct("snapshot").alias("snapshots")))
+    return latest.join(hist, "symbol")
+
+
+def q_daily_job(spark, sf_dir):
+    """Daily job end to end: bars as NDJSON -> job -> NDJSON output read back."""
+    src = sinks.write_ndjson(bars_orders(spark, sf_dir), _scratch(spark, "daily-in"))
+    out = jobs.daily_job(spark, src, _scratch(spark, "daily-out"))
+    res = spark.read.json(out)
+    cols = ["symbol", "open", "high", "low", "close", "volume"] + daily.DAILY_FEATURES
+    return rounded(res.select(F.to_date("date").alias("date"), *cols), DAILY_DIGITS)
+
+
+def q_advanced_job(spark, sf_dir):
+    """Advanced job end to end: vendor documents -> job -> metadata read back."""
+    src = sinks.write_vendor_documents(bars_orders(spark, sf_dir), _scratch(spark, "adv-in"))
+    out = jobs.advanced_job(spark, src, _scratch(spark, "adv-out"))
+    meta = spark.read.json(out["metadata"])
+    return meta.select(F.col("Symbol").alias("symbol"), "Records_Count", "Original_Records",
+                       F.col("Features_Count").cast("int").alias("Features_Count"),
+                       F.size("Features_Created").alias("features_created"))
+
+
+def q_ingestion_job(spark, sf_dir):
+    """Ingestion job end to end: envelopes -> gate -> local features (processed zone)."""
+    src = sinks.write_envelopes(bars_orders(spark, sf_dir), _scratch(spark, "ing-in"))
+    out = jobs.ingestion_job(spark, src, expected_symbols(spark, sf_dir), _scratch(spark, "ing-zones"), "s1")
+    res = spark.read.json(out["processed_latest"])
+    return res.select(F.to_date("date").alias("date"), "symbol", "open", "high", "low", "close", "volume",
+                      *local.LOCAL_FEATURES)
+
+
+def q_output_manifest(spark, sf_dir):
+    """Q7 over the written daily output (file layout depends on parallelism: no oracle)."""
+    out = sinks.write_ndjson(daily.daily_features(bars_orders(spark, sf_dir)), _scratch(spark, "manifest"))
+    return sinks.output_manifest(spark, out)
+
+
+def q_output_analysis(spark, sf_dir):
+    """Q6 on the daily feature table."""
+    res = sinks.output_analysis(daily.daily_features(bars_orders(spark, sf_dir)),
+                                ["date", "symbol", "open", "high", "low", "close", "volume"])
+    return res.select("records", F.concat_ws(";", "feature_columns").alias("feature_columns"), "feature_count")
+
+
 QUERIES: dict[str, Query] = {
     "bars_orders": q_bars_orders,
     "bars_events": q_bars_events,
@@ -215,6 +310,17 @@ QUERIES: dict[str, Query] = {
     "run_status": q_run_status,
     "run_progress": q_run_progress,
     "error_log": q_error_log,
+    "roundtrip_ndjson": q_roundtrip_ndjson,
+    "roundtrip_parquet": q_roundtrip_parquet,
+    "roundtrip_csv": q_roundtrip_csv,
+    "roundtrip_envelope": q_roundtrip_envelope,
+    "roundtrip_vendor": q_roundtrip_vendor,
+    "snapshot_latest": q_snapshot_latest,
+    "daily_job": q_daily_job,
+    "advanced_job": q_advanced_job,
+    "ingestion_job": q_ingestion_job,
+    "output_manifest": q_output_manifest,
+    "output_analysis": q_output_analysis,
 }
 
 ORACLE: dict[str, str] = {
@@ -245,4 +351,18 @@ ORACLE: dict[str, str] = {
     "run_status": O.RUN_STATUS,
     "run_progress": O.RUN_PROGRESS,
     "error_log": O.ERROR_LOG,
+    "roundtrip_ndjson": O.BARS_ORDERS,
+    "roundtrip_parquet": O.BARS_ORDERS,
+    "roundtrip_csv": O.BARS_ORDERS,
+    "roundtrip_envelope": O.BARS_ORDERS,
+    "roundtrip_vendor": O.BARS_ORDERS,
+    "snapshot_latest": O.with_bars("SELECT symbol, count(*) AS latest_rows, "
+                                   "CASE WHEN symbol IN ('1-URGENT', '2-HIGH') THEN 2 ELSE 1 END AS snapshots "
+                                   "FROM bars GROUP BY symbol"),
+    "daily_job": O.with_bars(O.DAILY),
+    "advanced_job": O.ADV_META.replace("87 AS Features_Count", "CAST(87 AS INTEGER) AS Features_Count"),
+    "ingestion_job": O.with_bars(O.LOCAL),
+    "output_analysis": O.with_bars("SELECT count(*) AS records, 'sma_5;sma_20;price_change;price_change_pct;"
+                                   "volatility_5d;volume_sma_5;high_low_ratio' AS feature_columns, "
+                                   "7 AS feature_count FROM bars"),
 }
