@@ -27,6 +27,12 @@ from .numeric import safe_div
 from .windows import CHUNK, RN
 
 NEGLIGIBLE = 1e-18
+# Largest exponent the rebasing may reach: q^-(B-1) <= e^460 ~ 1e200.
+MAX_LOG_GROWTH = 460.0
+# Block sizes come from a short menu (2^k, k = 1 mod 3): every span has a
+# feasible size in it, and spans share sizes, so a feature set needs few
+# distinct block windows (each is one Window operator per pass).
+EXPONENT_MENU = (1, 4, 7, 10, 13, 16, 19, 22)
 
 
 def decay(span: int) -> float:
@@ -34,10 +40,13 @@ def decay(span: int) -> float:
 
 
 def block_exponent(span: int) -> int:
-    """Smallest k with q^(2^k) <= 1e-18."""
-    q = decay(span)
-    need = math.ceil(math.log(NEGLIGIBLE) / math.log(q))
-    return max(1, math.ceil(math.log2(need)))
+    """Largest menu exponent k with q^(2^k) <= 1e-18 and no overflow of q^-(2^k)."""
+    rate = -math.log(decay(span))
+    need = math.log(1.0 / NEGLIGIBLE) / rate
+    ok = [k for k in EXPONENT_MENU if (1 << k) >= need and (1 << k) * rate <= MAX_LOG_GROWTH]
+    if not ok:
+        raise ValueError(f"no block size for span {span}")
+    return max(ok)
 
 
 def halo_rows(spans: list[int]) -> int:
@@ -55,8 +64,9 @@ class EmaPlan:
     exponents: tuple[int, ...]  # descending
 
     @classmethod
-    def for_spans(cls, key: str, spans: list[int]) -> "EmaPlan":
-        return cls(key, tuple(sorted({block_exponent(s) for s in spans}, reverse=True)))
+    def for_spans(cls, key: str, spans: list[int], extra_exponents=()) -> "EmaPlan":
+        exps = {block_exponent(s) for s in spans} | set(extra_exponents)
+        return cls(key, tuple(sorted(exps, reverse=True)))
 
     def add_blocks(self, df: DataFrame) -> DataFrame:
         return df.select("*", *[F.shiftright(F.col(RN), k).alias(block_col(k)) for k in self.exponents])
@@ -74,14 +84,10 @@ class EmaPlan:
         return Window.partitionBy(*part).orderBy(*order)
 
 
-def add_emas(df: DataFrame, specs: list[tuple[str, int, str]], plan: EmaPlan) -> DataFrame:
-    """Add ``out = EMA(src, span)`` for every ``(src, span, out)`` in ``specs``.
-
-    ``df`` must carry the segment columns, ``_seg_rn`` and the plan's block
-    columns (:meth:`EmaPlan.add_blocks`).
-    """
+def ema_locals(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[Column]:
+    """Pass 1: block-local weighted sums (numerator and weight) per spec."""
     unb = Window.unboundedPreceding
-    local = []
+    cols = []
     for src, span, out in specs:
         q = decay(span)
         k = block_exponent(span)
@@ -90,13 +96,17 @@ def add_emas(df: DataFrame, specs: list[tuple[str, int, str]], plan: EmaPlan) ->
         down = F.pow(F.lit(q), o)
         x = F.col(src)
         w = plan.block_window(k).rowsBetween(unb, 0)
-        local += [
+        cols += [
             (F.sum(F.coalesce(x, F.lit(0.0)) * up).over(w) * down).alias(f"_ema_{out}_n"),
             (F.sum(F.when(x.isNull(), F.lit(0.0)).otherwise(F.lit(1.0)) * up).over(w) * down).alias(f"_ema_{out}_d"),
         ]
-    df = df.select("*", *local)
-    done = []
-    prev = plan.window().rowsBetween(unb, -1)
+    return cols
+
+
+def ema_finish(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[Column]:
+    """Pass 2: add the decayed carry of the previous block; EMA = num / weight."""
+    prev = plan.window().rowsBetween(Window.unboundedPreceding, -1)
+    cols = []
     for src, span, out in specs:
         q = decay(span)
         k = block_exponent(span)
@@ -107,11 +117,25 @@ def add_emas(df: DataFrame, specs: list[tuple[str, int, str]], plan: EmaPlan) ->
         fade = F.pow(F.lit(q), o + 1)
         num = F.col(f"_ema_{out}_n") + carry_n * fade
         den = F.col(f"_ema_{out}_d") + carry_d * fade
-        done.append(safe_div(num, den).alias(out))
-    df = df.select("*", *done)
+        cols.append(safe_div(num, den).alias(out))
+    return cols
+
+
+def drop_ema_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_ema_")])
 
 
+def add_emas(df: DataFrame, specs: list[tuple[str, int, str]], plan: EmaPlan) -> DataFrame:
+    """Add ``out = EMA(src, span)`` for every ``(src, span, out)`` in ``specs``.
+
+    ``df`` must carry the segment columns, ``_seg_rn`` and the plan's block
+    columns (:meth:`EmaPlan.add_blocks`).
+    """
+    df = df.select("*", *ema_locals(specs, plan))
+    df = df.select("*", *ema_finish(specs, plan))
+    return drop_ema_helpers(df)
+
+
 def ema_column(values: list[float | None], span: int) -> list[float | None]:
     """Plain-Python reference recurrence (tests and docs only)."""
     q = decay(span)

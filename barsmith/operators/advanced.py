@@ -16,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ema import EmaPlan, add_emas, block_exponent
+from ..functions.ema import EmaPlan, block_exponent, drop_ema_helpers, ema_finish, ema_locals
 from ..functions.numeric import clamp_positive, safe_div
-from ..functions.windows import DEFAULT_LAYOUT, Layout, finish, full, segment
+from ..functions.rolling import (Roll, drop_rolling_helpers, rolling_final, rolling_pass1,
+                                 rolling_pass2)
+from ..functions.windows import DEFAULT_LAYOUT, Layout, finish, segment
 
 # Indicator parameters of the advanced set.
 SMA_PERIODS = [5, 10, 20, 50, 100, 200]
@@ -83,6 +85,22 @@ def lookback_rows() -> int:
     return max(ema, macd_chain, rolling)
 
 
+def rolling_specs() -> list[Roll]:
+    """Every trailing-window aggregate of the set (pandas rolling semantics)."""
+    r = [Roll(f"SMA_{n}", "avg", "close", n) for n in SMA_PERIODS]
+    r += [Roll(f"_a_sd{n}", "stddev", "close", n) for n in sorted({n for n, _ in BB_SETS})]
+    r += [Roll(f"ATR_{n}", "avg", "_a_hl", n) for n in VOLATILITY_PERIODS]
+    r += [Roll(f"Volume_SMA_{n}", "avg", "volume", n) for n in VOLUME_PERIODS]
+    r += [Roll(f"_a_pv{n}", "sum", "_a_pv", n) for n in VOLUME_PERIODS]
+    r += [Roll(f"_a_v{n}", "sum", "volume", n) for n in VOLUME_PERIODS]
+    r += [Roll(f"Resistance_{n}", "max", "high", n) for n in SR_PERIODS]
+    r += [Roll(f"Support_{n}", "min", "low", n) for n in SR_PERIODS]
+    r += [Roll(f"_a_g{n}", "avg", "_a_gain", n) for n in RSI_PERIODS]
+    r += [Roll(f"_a_l{n}", "avg", "_a_loss", n) for n in RSI_PERIODS]
+    r += [Roll(f"Volatility_{n}", "stddev", "_a_ret", n) for n in VOLATILITY_PERIODS]
+    return r
+
+
 def _rsi(g: Column, l: Column) -> Column:
     """100 - 100/(1 + g/l); l = 0 gives 100 when g > 0 and NULL when g = 0."""
     return (F.when(g.isNull() | l.isNull(), F.lit(None).cast("double"))
@@ -98,42 +116,32 @@ def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
     for callers that derive more per-bar values without another window pass.
     """
     s = segment(bars, lookback_rows(), layout, with_rn=True)
+    rolls = rolling_specs()
     plan = EmaPlan.for_spans(layout.key, EMA_SPANS + SIGNAL_SPANS)
     s = plan.add_blocks(s)
-    w = plan.window()
     close, high, low, opn, vol = (F.col(c) for c in ("close", "high", "low", "open", "volume"))
-
-    # pass 1: windows over the raw columns
-    bb_periods = sorted({n for n, _ in BB_SETS})
-    s = s.select(
-        "*",
-        F.lag("close", 1).over(w).alias("_a_prev"),
-        *[F.lag("close", n).over(w).alias(f"_a_lag{n}") for n in MOMENTUM_PERIODS],
-        *[full(F.avg, close, n, w).alias(f"SMA_{n}") for n in SMA_PERIODS],
-        *[full(F.stddev_samp, close, n, w).alias(f"_a_sd{n}") for n in bb_periods],
-        *[full(F.avg, high - low, n, w).alias(f"ATR_{n}") for n in VOLATILITY_PERIODS],
-        *[full(F.avg, vol, n, w).alias(f"Volume_SMA_{n}") for n in VOLUME_PERIODS],
-        *[full(F.sum, close * vol, n, w).alias(f"_a_pv{n}") for n in VOLUME_PERIODS],
-        *[full(F.sum, vol, n, w).alias(f"_a_v{n}") for n in VOLUME_PERIODS],
-        *[full(F.max, high, n, w).alias(f"Resistance_{n}") for n in SR_PERIODS],
-        *[full(F.min, low, n, w).alias(f"Support_{n}") for n in SR_PERIODS],
-    )
+    # Seven window passes in all (each Window operator copies the row, so the
+    # passes are few): lags share the row-number window (date order); then
+    # block-local sums, then carries / lags / sliding frames, then the signals.
+    wd = layout.window()
+    s = s.select("*",
+                 F.lag("close", 1).over(wd).alias("_a_prev"),
+                 *[F.lag("close", n).over(wd).alias(f"_a_lag{n}") for n in MOMENTUM_PERIODS],
+                 (high - low).alias("_a_hl"), (close * vol).alias("_a_pv"))
     prev = F.col("_a_prev")
     delta = close - prev
     s = s.select("*", clamp_positive(delta).alias("_a_gain"), clamp_positive(-delta).alias("_a_loss"),
                  (safe_div(close, prev) - F.lit(1.0)).alias("_a_ret"))
-    # pass 2: windows over derived columns
-    s = s.select(
-        "*",
-        *[full(F.avg, "_a_gain", n, w).alias(f"_a_g{n}") for n in RSI_PERIODS],
-        *[full(F.avg, "_a_loss", n, w).alias(f"_a_l{n}") for n in RSI_PERIODS],
-        *[full(F.stddev_samp, "_a_ret", n, w).alias(f"Volatility_{n}") for n in VOLATILITY_PERIODS],
-    )
-    # EMAs of close, then MACD lines, then their signal EMAs
-    s = add_emas(s, [("close", n, f"_a_ema{n}") for n in EMA_SPANS], plan)
-    s = s.select("*", *[(F.col(f"_a_ema{f}") - F.col(f"_a_ema{sl}")).alias(f"MACD_{f}_{sl}")
-                        for f, sl, _ in MACD_SETS])
-    s = add_emas(s, [(f"MACD_{f}_{sl}", g, f"MACD_Signal_{f}_{sl}_{g}") for f, sl, g in MACD_SETS], plan)
+    close_emas = [("close", n, f"_a_ema{n}") for n in EMA_SPANS]
+    s = s.select("*", *rolling_pass1(rolls, plan), *ema_locals(close_emas, plan))
+    s = s.select("*", *rolling_pass2(rolls, plan), *ema_finish(close_emas, plan))
+    s = s.select("*", *rolling_final(rolls, plan),
+                 *[(F.col(f"_a_ema{f}") - F.col(f"_a_ema{sl}")).alias(f"MACD_{f}_{sl}")
+                   for f, sl, _ in MACD_SETS])
+    s = drop_rolling_helpers(drop_ema_helpers(s))
+    signals = [(f"MACD_{f}_{sl}", g, f"MACD_Signal_{f}_{sl}_{g}") for f, sl, g in MACD_SETS]
+    s = s.select("*", *ema_locals(signals, plan))
+    s = drop_ema_helpers(s.select("*", *ema_finish(signals, plan)))
 
     derived: dict[str, Column] = {}
     for n in SMA_PERIODS:

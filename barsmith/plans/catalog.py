@@ -77,6 +77,11 @@ def _family(name: str, events: bool = False):
     return run
 
 
+def q_adv_all(spark, sf_dir):
+    """The full advanced table (all 82 columns), rounded like the family queries."""
+    return rounded(adv.advanced_features(bars_orders(spark, sf_dir)), ADV_DIGITS)
+
+
 def q_adv_complete(spark, sf_dir):
     """Rows kept by the complete-row filter (all 82 features present)."""
     feats = adv.advanced_features(bars_orders(spark, sf_dir))
@@ -294,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "adv_ema_events": _family("ema", events=True),
     "adv_macd_events": _family("macd", events=True),
     "adv_rsi_events": _family("rsi", events=True),
+    "adv_all": q_adv_all,
     "adv_complete": q_adv_complete,
     "adv_metadata": q_adv_metadata,
     "quality_report": q_quality_report,
@@ -335,6 +341,7 @@ ORACLE: dict[str, str] = {
     "adv_ema_events": O.advanced_sql(adv.FAMILIES["ema"], ADV_DIGITS, bars=O.BARS_EVENTS),
     "adv_macd_events": O.advanced_sql(adv.FAMILIES["macd"], ADV_DIGITS, bars=O.BARS_EVENTS),
     "adv_rsi_events": O.advanced_sql(adv.FAMILIES["rsi"], ADV_DIGITS, bars=O.BARS_EVENTS),
+    "adv_all": O.advanced_sql(["open", "high", "low", "close", "volume"] + O.ADVANCED_NAMES, ADV_DIGITS),
     "adv_complete": O.advanced_sql(["close"], {}, where=O.complete_where()),
     "adv_metadata": O.ADV_META,
     "quality_report": O.QUALITY_REPORT,
