@@ -56,14 +56,13 @@ def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False) ->
     _require_files(spark, path, "*.json")
     docs = (spark.read.schema(VENDOR_DOC).option("multiLine", True)
             .option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").json(path))
-    cast = F.try_cast if lenient else (lambda c, t: c.cast(t))
     points = docs.select(
         F.coalesce(F.col(f"`{VENDOR_META}`")[VENDOR_SYMBOL], F.lit(UNKNOWN_SYMBOL)).alias("symbol"),
         F.explode(F.col(f"`{VENDOR_SERIES}`")).alias("day", "v"))
 
     def field(name: str, t: str) -> Column:
         c = F.col("v").getField(name)
-        return cast(c, t) if lenient else c.cast(t)
+        return c.try_cast(t) if lenient else c.cast(t)
 
     return points.select(
         F.to_date("day").alias("date"), "symbol",
