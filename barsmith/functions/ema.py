@@ -83,41 +83,54 @@ class EmaPlan:
         order = [block_col(e) for e in self.exponents[i + 1:]] + [RN]
         return Window.partitionBy(*part).orderBy(*order)
 
+    def over(self, frame: str = "", k: int | None = None) -> str:
+        """SQL ``OVER (...)`` of the series window, or of block ``k``'s window."""
+        i = -1 if k is None else self.exponents.index(k)
+        part = [f"`{self.key}`", CHUNK] + [block_col(e) for e in self.exponents[: i + 1]]
+        order = [block_col(e) for e in self.exponents[i + 1:]] + [RN]
+        return f"OVER (PARTITION BY {', '.join(part)} ORDER BY {', '.join(order)} {frame})"
+
+
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def dbl(x: float) -> str:
+    """A double literal that parses back to exactly ``x``."""
+    return f"{float(x)!r}D"
+
+
+def offset(k: int) -> str:
+    """Position of the row within its block of 2^k rows."""
+    return f"({RN} & {(1 << k) - 1})"
+
 
-def ema_locals(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[Column]:
-    """Pass 1: block-local weighted sums (numerator and weight) per spec."""
-    unb = Window.unboundedPreceding
+def ema_locals(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[str]:
+    """Pass 1 (SQL expressions): block-local weighted sums (numerator, weight)."""
     cols = []
     for src, span, out in specs:
-        q = decay(span)
-        k = block_exponent(span)
-        o = F.col(RN).bitwiseAND(F.lit((1 << k) - 1))
-        up = F.pow(F.lit(q), -o)
-        down = F.pow(F.lit(q), o)
-        x = F.col(src)
-        w = plan.block_window(k).rowsBetween(unb, 0)
+        q, k = dbl(decay(span)), block_exponent(span)
+        o = offset(k)
+        up, down = f"pow({q}, -{o})", f"pow({q}, {o})"
+        over = plan.over(RUNNING, k)
         cols += [
-            (F.sum(F.coalesce(x, F.lit(0.0)) * up).over(w) * down).alias(f"_ema_{out}_n"),
-            (F.sum(F.when(x.isNull(), F.lit(0.0)).otherwise(F.lit(1.0)) * up).over(w) * down).alias(f"_ema_{out}_d"),
+            f"sum(coalesce(`{src}`, 0D) * {up}) {over} * {down} AS `_ema_{out}_n`",
+            f"sum(CASE WHEN `{src}` IS NULL THEN 0D ELSE 1D END * {up}) {over} * {down} AS `_ema_{out}_d`",
         ]
     return cols
 
 
-def ema_finish(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[Column]:
-    """Pass 2: add the decayed carry of the previous block; EMA = num / weight."""
-    prev = plan.window().rowsBetween(Window.unboundedPreceding, -1)
+def ema_finish(specs: list[tuple[str, int, str]], plan: EmaPlan) -> list[str]:
+    """Pass 2 (SQL expressions): add the decayed carry of the previous block."""
     cols = []
     for src, span, out in specs:
-        q = decay(span)
-        k = block_exponent(span)
-        o = F.col(RN).bitwiseAND(F.lit((1 << k) - 1))
-        at_end = o == F.lit((1 << k) - 1)
-        carry_n = F.coalesce(F.last(F.when(at_end, F.col(f"_ema_{out}_n")), ignorenulls=True).over(prev), F.lit(0.0))
-        carry_d = F.coalesce(F.last(F.when(at_end, F.col(f"_ema_{out}_d")), ignorenulls=True).over(prev), F.lit(0.0))
-        fade = F.pow(F.lit(q), o + 1)
-        num = F.col(f"_ema_{out}_n") + carry_n * fade
-        den = F.col(f"_ema_{out}_d") + carry_d * fade
-        cols.append(safe_div(num, den).alias(out))
+        q, k = dbl(decay(span)), block_exponent(span)
+        o, end = offset(k), (1 << k) - 1
+        fade = f"pow({q}, {o} + 1)"
+        carry = {part: f"coalesce(last(CASE WHEN {o} = {end} THEN `_ema_{out}_{part}` END, true) "
+                       f"{plan.over(BEFORE)}, 0D)" for part in ("n", "d")}
+        cols.append(f"try_divide(`_ema_{out}_n` + {carry['n']} * {fade}, "
+                    f"`_ema_{out}_d` + {carry['d']} * {fade}) AS `{out}`")
     return cols
 
 
@@ -131,8 +144,8 @@ def add_emas(df: DataFrame, specs: list[tuple[str, int, str]], plan: EmaPlan) ->
     ``df`` must carry the segment columns, ``_seg_rn`` and the plan's block
     columns (:meth:`EmaPlan.add_blocks`).
     """
-    df = df.select("*", *ema_locals(specs, plan))
-    df = df.select("*", *ema_finish(specs, plan))
+    df = df.selectExpr("*", *ema_locals(specs, plan))
+    df = df.selectExpr("*", *ema_finish(specs, plan))
     return drop_ema_helpers(df)
 
 

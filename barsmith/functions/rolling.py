@@ -26,15 +26,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from .ema import EmaPlan
+from .ema import BEFORE, RUNNING, EmaPlan, offset
 from .windows import RN
 
 SUM_MIN_N = 16
 
-_AGG = {"sum": F.sum, "avg": F.avg, "stddev": F.stddev_samp, "max": F.max, "min": F.min}
+_AGG = {"sum": "sum", "avg": "avg", "stddev": "stddev_samp", "max": "max", "min": "min"}
 
 
 @dataclass(frozen=True)
@@ -57,55 +56,45 @@ def _k(plan: EmaPlan, n: int) -> int:
     return min(ks)
 
 
-def rolling_pass1(rolls: list[Roll], plan: EmaPlan) -> list[Column]:
-    """Running valid counts per input and block-local prefix sums."""
-    unb = Window.unboundedPreceding
-    w = plan.window()
+def rolling_pass1(rolls: list[Roll], plan: EmaPlan) -> list[str]:
+    """Running valid counts per input and block-local prefix sums (SQL expressions)."""
     srcs = sorted({r.src for r in rolls})
     prefixes = sorted({(r.src, _k(plan, r.n)) for r in rolls if r.fast})
-    cols = [F.sum(F.when(F.col(s).isNull(), F.lit(0)).otherwise(F.lit(1))).over(w.rowsBetween(unb, 0))
-            .alias(f"_rc_{s}") for s in srcs]
-    cols += [F.sum(F.coalesce(F.col(s), F.lit(0))).over(plan.block_window(k).rowsBetween(unb, 0))
-             .alias(f"_rp_{s}_{k}") for s, k in prefixes]
+    cols = [f"sum(CASE WHEN `{s}` IS NULL THEN 0 ELSE 1 END) {plan.over(RUNNING)} AS `_rc_{s}`"
+            for s in srcs]
+    cols += [f"sum(coalesce(`{s}`, 0)) {plan.over(RUNNING, k)} AS `_rp_{s}_{k}`" for s, k in prefixes]
     return cols
 
 
-def rolling_pass2(rolls: list[Roll], plan: EmaPlan) -> list[Column]:
-    """Lagged counts and prefixes, previous block ends, sliding aggregates."""
-    unb = Window.unboundedPreceding
-    w = plan.window()
-    cols = [F.lag(f"_rc_{s}", n).over(w).alias(f"_rl_{s}_{n}")
+def rolling_pass2(rolls: list[Roll], plan: EmaPlan) -> list[str]:
+    """Lagged counts and prefixes, previous block ends, sliding aggregates (SQL expressions)."""
+    cols = [f"lag(`_rc_{s}`, {n}) {plan.over()} AS `_rl_{s}_{n}`"
             for s, n in sorted({(r.src, r.n) for r in rolls})]
     for s, k in sorted({(r.src, _k(plan, r.n)) for r in rolls if r.fast}):
-        end = F.col(RN).bitwiseAND(F.lit((1 << k) - 1)) == F.lit((1 << k) - 1)
-        cols.append(F.last(F.when(end, F.col(f"_rp_{s}_{k}")), ignorenulls=True)
-                    .over(w.rowsBetween(unb, -1)).alias(f"_re_{s}_{k}"))
-    cols += [F.lag(f"_rp_{s}_{_k(plan, n)}", n).over(w).alias(f"_rq_{s}_{n}")
+        end = (1 << k) - 1
+        cols.append(f"last(CASE WHEN {offset(k)} = {end} THEN `_rp_{s}_{k}` END, true) "
+                    f"{plan.over(BEFORE)} AS `_re_{s}_{k}`")
+    cols += [f"lag(`_rp_{s}_{_k(plan, n)}`, {n}) {plan.over()} AS `_rq_{s}_{n}`"
              for s, n in sorted({(r.src, r.n) for r in rolls if r.fast})]
-    cols += [_AGG[r.kind](F.col(r.src)).over(w.rowsBetween(-(r.n - 1), 0)).alias(f"_rs_{r.out}")
-             for r in rolls if not r.fast]
+    cols += [f"{_AGG[r.kind]}(`{r.src}`) {plan.over(f'ROWS BETWEEN {r.n - 1} PRECEDING AND CURRENT ROW')} "
+             f"AS `_rs_{r.out}`" for r in rolls if not r.fast]
     return cols
 
 
-def rolling_final(rolls: list[Roll], plan: EmaPlan) -> list[Column]:
-    """The rolled values, NULL until ``n`` non-null inputs are in the frame."""
+def rolling_final(rolls: list[Roll], plan: EmaPlan) -> list[str]:
+    """The rolled values, NULL until ``n`` non-null inputs are in the frame (SQL expressions)."""
     outs = []
-    rn = F.col(RN)
     for r in rolls:
-        count = F.col(f"_rc_{r.src}") - F.coalesce(F.col(f"_rl_{r.src}_{r.n}"), F.lit(0))
-        ok = (rn >= F.lit(r.n - 1)) & (count == F.lit(r.n))
+        ok = f"{RN} >= {r.n - 1} AND `_rc_{r.src}` - coalesce(`_rl_{r.src}_{r.n}`, 0) = {r.n}"
         if r.fast:
             k = _k(plan, r.n)
-            o = rn.bitwiseAND(F.lit((1 << k) - 1))
-            p = F.col(f"_rp_{r.src}_{k}")
-            lagged = F.col(f"_rq_{r.src}_{r.n}")
-            total = (F.when(rn < F.lit(r.n), p)
-                      .when(o >= F.lit(r.n), p - lagged)
-                      .otherwise(p + (F.col(f"_re_{r.src}_{k}") - lagged)))
-            value = total if r.kind == "sum" else total / F.lit(float(r.n))
+            p, lagged, end = f"`_rp_{r.src}_{k}`", f"`_rq_{r.src}_{r.n}`", f"`_re_{r.src}_{k}`"
+            total = (f"(CASE WHEN {RN} < {r.n} THEN {p} WHEN {offset(k)} >= {r.n} THEN {p} - {lagged} "
+                     f"ELSE {p} + ({end} - {lagged}) END)")
+            value = total if r.kind == "sum" else f"{total} / {r.n}D"
         else:
-            value = F.col(f"_rs_{r.out}")
-        outs.append(F.when(ok, value).alias(r.out))
+            value = f"`_rs_{r.out}`"
+        outs.append(f"CASE WHEN {ok} THEN {value} END AS `{r.out}`")
     return outs
 
 
@@ -115,7 +104,7 @@ def drop_rolling_helpers(df: DataFrame) -> DataFrame:
 
 def add_rolling(df: DataFrame, rolls: list[Roll], plan: EmaPlan) -> DataFrame:
     """Add one column per :class:`Roll` (three projections, two window passes)."""
-    df = df.select("*", *rolling_pass1(rolls, plan))
-    df = df.select("*", *rolling_pass2(rolls, plan))
-    df = df.select("*", *rolling_final(rolls, plan))
+    df = df.selectExpr("*", *rolling_pass1(rolls, plan))
+    df = df.selectExpr("*", *rolling_pass2(rolls, plan))
+    df = df.selectExpr("*", *rolling_final(rolls, plan))
     return drop_rolling_helpers(df)

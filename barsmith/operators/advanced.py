@@ -17,10 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ema import EmaPlan, block_exponent, drop_ema_helpers, ema_finish, ema_locals
-from ..functions.numeric import clamp_positive, safe_div
 from ..functions.rolling import (Roll, drop_rolling_helpers, rolling_final, rolling_pass1,
                                  rolling_pass2)
-from ..functions.windows import DEFAULT_LAYOUT, Layout, finish, segment
+from ..functions.windows import CHUNK, DEFAULT_LAYOUT, HALO, Layout, finish, segment
 
 # Indicator parameters of the advanced set.
 SMA_PERIODS = [5, 10, 20, 50, 100, 200]
@@ -101,11 +100,60 @@ def rolling_specs() -> list[Roll]:
     return r
 
 
-def _rsi(g: Column, l: Column) -> Column:
+def _rsi(g: str, l: str) -> str:
     """100 - 100/(1 + g/l); l = 0 gives 100 when g > 0 and NULL when g = 0."""
-    return (F.when(g.isNull() | l.isNull(), F.lit(None).cast("double"))
-             .when(l == 0, F.when(g > 0, F.lit(100.0)))
-             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / l)))
+    return (f"CASE WHEN {g} IS NULL OR {l} IS NULL THEN NULL "
+            f"WHEN {l} = 0 THEN (CASE WHEN {g} > 0 THEN 100D END) "
+            f"ELSE 100D - 100D / (1D + {g} / {l}) END")
+
+
+def _div(a: str, b: str) -> str:
+    return f"try_divide({a}, {b})"
+
+
+def derived_columns() -> dict[str, str]:
+    """The 82 outputs as SQL over the window results (no window of their own)."""
+    d: dict[str, str] = {}
+    for n in SMA_PERIODS:
+        d[f"SMA_{n}"] = f"SMA_{n}"
+        d[f"EMA_{n}"] = f"_a_ema{n}"
+    for n in RSI_PERIODS:
+        d[f"RSI_{n}"] = _rsi(f"_a_g{n}", f"_a_l{n}")
+    for f, sl, g in MACD_SETS:
+        d[f"MACD_{f}_{sl}"] = f"MACD_{f}_{sl}"
+        d[f"MACD_Signal_{f}_{sl}_{g}"] = f"MACD_Signal_{f}_{sl}_{g}"
+        d[f"MACD_Hist_{f}_{sl}_{g}"] = f"MACD_{f}_{sl} - MACD_Signal_{f}_{sl}_{g}"
+    for n, k in BB_SETS:
+        upper = f"(SMA_{n} + _a_sd{n} * {float(k)!r}D)"
+        lower = f"(SMA_{n} - _a_sd{n} * {float(k)!r}D)"
+        d[bb("Upper", n, k)] = upper
+        d[bb("Lower", n, k)] = lower
+        d[bb("Width", n, k)] = _div(f"{upper} - {lower}", f"SMA_{n}")
+        d[bb("Position", n, k)] = _div(f"close - {lower}", f"{upper} - {lower}")
+    d["Price_Range"] = "high - low"
+    d["Price_Position"] = _div("close - low", "high - low")
+    d["Gap"] = "open - _a_prev"
+    d["Gap_Percent"] = _div("open - _a_prev", "_a_prev")
+    for n in VOLATILITY_PERIODS:
+        d[f"Volatility_{n}"] = f"Volatility_{n}"
+        d[f"ATR_{n}"] = f"ATR_{n}"
+    for n in VOLUME_PERIODS:
+        d[f"Volume_SMA_{n}"] = f"Volume_SMA_{n}"
+        d[f"Volume_Ratio_{n}"] = _div("volume", f"Volume_SMA_{n}")
+        d[f"Price_Volume_{n}"] = "close * volume"
+        d[f"VWAP_{n}"] = _div(f"_a_pv{n}", f"_a_v{n}")
+    for n in MOMENTUM_PERIODS:
+        d[f"Momentum_{n}"] = _div("close", f"_a_lag{n}")
+        d[f"ROC_{n}"] = _div(f"close - _a_lag{n}", f"_a_lag{n}") + " * 100D"
+    for n in SR_PERIODS:
+        d[f"Resistance_{n}"] = f"Resistance_{n}"
+        d[f"Support_{n}"] = f"Support_{n}"
+        d[f"Support_Resistance_Ratio_{n}"] = _div(f"close - Support_{n}", f"Resistance_{n} - Support_{n}")
+    for n in TREND_PERIODS:
+        d[f"Trend_{n}"] = _div("close", f"SMA_{n}")
+        d[f"Upper_Shadow_{n}"] = _div("high - greatest(open, close)", "close")
+        d[f"Lower_Shadow_{n}"] = _div("least(open, close) - low", "close")
+    return d
 
 
 def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
@@ -114,73 +162,38 @@ def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
 
     ``with_prev_close`` also returns the previous bar's close (``prev_close``)
     for callers that derive more per-bar values without another window pass.
+    Expressions are generated as SQL text (one ``selectExpr`` per pass), which
+    keeps the driver-side plan construction cheap for ~300 expressions.
     """
     s = segment(bars, lookback_rows(), layout, with_rn=True)
     rolls = rolling_specs()
     plan = EmaPlan.for_spans(layout.key, EMA_SPANS + SIGNAL_SPANS)
     s = plan.add_blocks(s)
-    close, high, low, opn, vol = (F.col(c) for c in ("close", "high", "low", "open", "volume"))
-    # Seven window passes in all (each Window operator copies the row, so the
-    # passes are few): lags share the row-number window (date order); then
-    # block-local sums, then carries / lags / sliding frames, then the signals.
-    wd = layout.window()
-    s = s.select("*",
-                 F.lag("close", 1).over(wd).alias("_a_prev"),
-                 *[F.lag("close", n).over(wd).alias(f"_a_lag{n}") for n in MOMENTUM_PERIODS],
-                 (high - low).alias("_a_hl"), (close * vol).alias("_a_pv"))
-    prev = F.col("_a_prev")
-    delta = close - prev
-    s = s.select("*", clamp_positive(delta).alias("_a_gain"), clamp_positive(-delta).alias("_a_loss"),
-                 (safe_div(close, prev) - F.lit(1.0)).alias("_a_ret"))
+    # Seven Window operators in all (each copies the row, so passes are few):
+    # lags share the row-number window (date order); then block-local sums,
+    # then carries / lags / sliding frames, then the MACD signals.
+    wd = f"OVER (PARTITION BY `{layout.key}`, {CHUNK} ORDER BY `{layout.order}`)"
+    s = s.selectExpr("*", f"lag(close, 1) {wd} AS _a_prev",
+                     *[f"lag(close, {n}) {wd} AS _a_lag{n}" for n in MOMENTUM_PERIODS],
+                     "high - low AS _a_hl", "close * volume AS _a_pv")
+    s = s.selectExpr("*", "CASE WHEN close - _a_prev > 0 THEN close - _a_prev ELSE 0D END AS _a_gain",
+                     "CASE WHEN -(close - _a_prev) > 0 THEN -(close - _a_prev) ELSE 0D END AS _a_loss",
+                     "try_divide(close, _a_prev) - 1D AS _a_ret")
     close_emas = [("close", n, f"_a_ema{n}") for n in EMA_SPANS]
-    s = s.select("*", *rolling_pass1(rolls, plan), *ema_locals(close_emas, plan))
-    s = s.select("*", *rolling_pass2(rolls, plan), *ema_finish(close_emas, plan))
-    s = s.select("*", *rolling_final(rolls, plan),
-                 *[(F.col(f"_a_ema{f}") - F.col(f"_a_ema{sl}")).alias(f"MACD_{f}_{sl}")
-                   for f, sl, _ in MACD_SETS])
+    s = s.selectExpr("*", *rolling_pass1(rolls, plan), *ema_locals(close_emas, plan))
+    s = s.selectExpr("*", *rolling_pass2(rolls, plan), *ema_finish(close_emas, plan))
+    s = s.selectExpr("*", *rolling_final(rolls, plan),
+                     *[f"_a_ema{f} - _a_ema{sl} AS MACD_{f}_{sl}" for f, sl, _ in MACD_SETS])
     s = drop_rolling_helpers(drop_ema_helpers(s))
     signals = [(f"MACD_{f}_{sl}", g, f"MACD_Signal_{f}_{sl}_{g}") for f, sl, g in MACD_SETS]
-    s = s.select("*", *ema_locals(signals, plan))
-    s = drop_ema_helpers(s.select("*", *ema_finish(signals, plan)))
-
-    derived: dict[str, Column] = {}
-    for n in SMA_PERIODS:
-        derived[f"EMA_{n}"] = F.col(f"_a_ema{n}")
-    for n in RSI_PERIODS:
-        derived[f"RSI_{n}"] = _rsi(F.col(f"_a_g{n}"), F.col(f"_a_l{n}"))
-    for f, sl, g in MACD_SETS:
-        derived[f"MACD_Hist_{f}_{sl}_{g}"] = F.col(f"MACD_{f}_{sl}") - F.col(f"MACD_Signal_{f}_{sl}_{g}")
-    for n, k in BB_SETS:
-        mid, sd = F.col(f"SMA_{n}"), F.col(f"_a_sd{n}")
-        upper, lower = mid + sd * F.lit(float(k)), mid - sd * F.lit(float(k))
-        derived[bb("Upper", n, k)] = upper
-        derived[bb("Lower", n, k)] = lower
-        derived[bb("Width", n, k)] = safe_div(upper - lower, mid)
-        derived[bb("Position", n, k)] = safe_div(close - lower, upper - lower)
-    derived["Price_Range"] = high - low
-    derived["Price_Position"] = safe_div(close - low, high - low)
-    derived["Gap"] = opn - prev
-    derived["Gap_Percent"] = safe_div(opn - prev, prev)
-    for n in VOLUME_PERIODS:
-        derived[f"Volume_Ratio_{n}"] = safe_div(vol, F.col(f"Volume_SMA_{n}"))
-        derived[f"Price_Volume_{n}"] = close * vol
-        derived[f"VWAP_{n}"] = safe_div(F.col(f"_a_pv{n}"), F.col(f"_a_v{n}"))
-    for n in MOMENTUM_PERIODS:
-        lag_n = F.col(f"_a_lag{n}")
-        derived[f"Momentum_{n}"] = safe_div(close, lag_n)
-        derived[f"ROC_{n}"] = safe_div(close - lag_n, lag_n) * F.lit(100.0)
-    for n in SR_PERIODS:
-        sup, res = F.col(f"Support_{n}"), F.col(f"Resistance_{n}")
-        derived[f"Support_Resistance_Ratio_{n}"] = safe_div(close - sup, res - sup)
-    for n in TREND_PERIODS:
-        derived[f"Trend_{n}"] = safe_div(close, F.col(f"SMA_{n}"))
-        derived[f"Upper_Shadow_{n}"] = safe_div(high - F.greatest(opn, close), close)
-        derived[f"Lower_Shadow_{n}"] = safe_div(F.least(opn, close) - low, close)
+    s = s.selectExpr("*", *ema_locals(signals, plan))
+    s = drop_ema_helpers(s.selectExpr("*", *ema_finish(signals, plan)))
 
-    keep = [c for c in bars.columns] + ["_seg_halo"]
+    derived = derived_columns()
+    keep = [f"`{c}`" for c in bars.columns] + [HALO]
     if with_prev_close:
-        keep.append(F.col("_a_prev").alias("prev_close"))
-    out = s.select(*keep, *[derived[c].alias(c) if c in derived else F.col(c) for c in ADVANCED_FEATURES])
+        keep.append("_a_prev AS prev_close")
+    out = s.selectExpr(*keep, *[f"{derived[c]} AS `{c}`" for c in ADVANCED_FEATURES])
     return finish(out)
 
 
