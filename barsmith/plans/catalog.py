@@ -37,6 +37,11 @@ def q_daily_features(spark, sf_dir):
     return rounded(daily.daily_features(bars_orders(spark, sf_dir)), DAILY_DIGITS)
 
 
+def q_daily_preview(spark, sf_dir):
+    """P5: the preview projection, first five rows in (symbol, date) order."""
+    return rounded(daily.preview(daily.daily_features(bars_orders(spark, sf_dir))), DAILY_DIGITS)
+
+
 def q_daily_features_events(spark, sf_dir):
     return rounded(daily.daily_features(bars_events(spark, sf_dir)), DAILY_DIGITS)
 
@@ -292,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "bars_events": q_bars_events,
     "daily_features": q_daily_features,
     "daily_features_events": q_daily_features_events,
+    "daily_preview": q_daily_preview,
     "local_features": q_local_features,
     "local_features_events": q_local_features_events,
     "local_metadata": q_local_metadata,
@@ -334,6 +340,8 @@ ORACLE: dict[str, str] = {
     "bars_events": O.BARS_EVENTS,
     "daily_features": O.with_bars(O.DAILY),
     "daily_features_events": O.with_bars(O.DAILY, O.BARS_EVENTS),
+    "daily_preview": O.with_bars(f"SELECT date, symbol, close, sma_5, sma_20, price_change, volatility_5d "
+                                 f"FROM ({O.DAILY}) ORDER BY symbol, date LIMIT 5"),
     "local_features": O.with_bars(O.LOCAL),
     "local_features_events": O.with_bars(O.LOCAL, O.BARS_EVENTS),
     "local_metadata": O.with_bars(O.LOCAL_META),
