@@ -54,7 +54,7 @@ class Layout:
 
     key: str = "symbol"
     order: str = "date"
-    chunk_rows: int = 1 << 20
+    chunk_rows: int = 1 << 18
     bucket_seconds: int = 7 * 86400
     broadcast_rows: int = 1 << 21
 
