@@ -13,6 +13,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The feature sets' window stages are CPU-bound (hundreds of expressions
+    # per row) while their shuffles are narrow bar rows. With the 1 MB default
+    # AQE merges a small shuffle into one task and runs every symbol's windows
+    # serially; 64 KB keeps small shuffles spread over the cores. Large
+    # shuffles are still cut at the advisory partition size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
