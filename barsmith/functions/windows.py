@@ -109,7 +109,7 @@ def segment(df: DataFrame, lookback: int, layout: Layout = DEFAULT_LAYOUT,
 
     ``lookback`` is the number of preceding rows any output row may read.
     """
-    seg = bounded_broadcast(segment_table(df, lookback, layout), layout.broadcast_rows)
+    seg = bounded_broadcast(segment_table(df, lookback, layout), layout.broadcast_rows, "segments")
     out = _null_safe_join(df.withColumn(TB, layout.bucket()), seg, [layout.key, TB])
     if with_rn:
         out = out.withColumn(RN, F.col(BASE) + F.row_number().over(layout.window()) - 1)

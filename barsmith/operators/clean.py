@@ -85,7 +85,7 @@ def forward_fill(df: DataFrame, columns: list[str], layout: Layout = DEFAULT_LAY
     wc = Window.partitionBy(layout.key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = tail.select(layout.key, CHUNK,
                         *[F.last(f"_tl_{c}", ignorenulls=True).over(wc).alias(f"_cy_{c}") for c in columns])
-    carry = bounded_broadcast(carry, layout.broadcast_rows)
+    carry = bounded_broadcast(carry, layout.broadcast_rows, "ffill-carry")
     joined = inner.join(carry, [layout.key, CHUNK], "left")
     out = joined.select(*[c for c in inner.columns if not c.startswith("_ff_") and c not in columns],
                         *[F.coalesce(F.col(f"_ff_{c}"), F.col(f"_cy_{c}")).alias(c) for c in columns])

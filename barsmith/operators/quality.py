@@ -124,7 +124,7 @@ def ingestion_gate(bars: DataFrame, report: DataFrame, key: str = "symbol") -> D
     row-count check, otherwise Spark shuffles both sides.
     """
     passing = report.filter(F.col("validation_passed") & F.col("data_exists")).select(key)
-    return bars.join(bounded_broadcast(passing, SYMBOL_TABLE_ROWS), key, "left_semi")
+    return bars.join(bounded_broadcast(passing, SYMBOL_TABLE_ROWS, "passing-symbols"), key, "left_semi")
 
 
 def completeness(features: DataFrame, columns: list[str], key: str = "symbol") -> DataFrame:
@@ -142,7 +142,7 @@ def training_gate(features: DataFrame, columns: list[str], threshold: float = 0.
                   key: str = "symbol") -> DataFrame:
     """Q9: feature rows of the symbols whose completeness reaches ``threshold``."""
     ok = completeness(features, columns, key).filter(F.col("completeness") >= threshold).select(key)
-    return features.join(bounded_broadcast(ok, SYMBOL_TABLE_ROWS), key, "left_semi")
+    return features.join(bounded_broadcast(ok, SYMBOL_TABLE_ROWS, "complete-symbols"), key, "left_semi")
 
 
 def ingestion_stats(report: DataFrame, key: str = "symbol") -> DataFrame:

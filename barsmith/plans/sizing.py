@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "lookup") -> DataFrame:
     """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 
     The inputs passed here are derived lookup tables (one row per symbol, or
     per symbol and time bucket); their size depends on the data, so it is
     measured, not assumed. Above the bound the table is returned unchanged
-    and Spark plans a shuffle join. The table is persisted before counting so
-    the join reuses it instead of recomputing it (lost blocks are recomputed
-    from lineage).
+    and Spark plans a shuffle join.
+
+    The table is written once to the shared checkpoint folder and read back:
+    the count comes from the Parquet footers, the join reads the written
+    files instead of re-aggregating the input, and a lost executor costs no
+    recomputation (cached blocks would die with it and be rebuilt from the
+    full input). Nothing stays pinned in executor memory after the query.
     """
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"lookup/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    small = spark.read.parquet(path)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
