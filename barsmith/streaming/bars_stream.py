@@ -13,6 +13,8 @@ concern).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,15 +56,28 @@ def tick_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return reader.load(path)
 
 
+def stream_name(out: str) -> str:
+    """Stable name of the sink writing to ``out`` (same in every process)."""
+    return hashlib.sha256(out.rstrip("/").encode("utf-8")).hexdigest()[:24]
+
+
+def default_checkpoint(spark: SparkSession, out: str) -> str:
+    """Checkpoint folder of the sink writing to ``out``, under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{stream_name(out)}"
+
+
 def start_bar_sink(bars: DataFrame, out: str, checkpoint: str | None = None,
                    available_now: bool = False) -> StreamingQuery:
     """Append finished bars to a Parquet bar table (exactly-once via the checkpoint).
 
     The checkpoint defaults to a folder under the session's shared
-    checkpoint directory, so a restarted or re-scheduled query resumes.
+    checkpoint directory, so a restarted or re-scheduled query resumes. The
+    folder name is a digest of the output path, stable across driver
+    processes (Python's ``hash`` of a string is salted per process and would
+    start a fresh checkpoint, and duplicate output, after every restart).
     """
     spark = bars.sparkSession
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{abs(hash(out))}"
+    ckpt = checkpoint or default_checkpoint(spark, out)
     writer = (bars.writeStream.format("parquet").outputMode("append")
               .option("path", out).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
