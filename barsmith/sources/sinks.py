@@ -71,19 +71,28 @@ def write_snapshot(df: DataFrame, base: str, snapshot: str, timeframe: str = "da
                    zone: str = RAW_ZONE) -> dict[str, str]:
     """K2 / K3: versioned snapshot plus ``latest`` per (timeframe, symbol).
 
-    History: append into ``{base}/{zone}/history/timeframe=/symbol=/snapshot=``.
+    History: ``{base}/{zone}/history/timeframe=/symbol=/snapshot=``, written
+    with dynamic partition overwrite, so a new snapshot id adds partitions and
+    a retried job replaces its own snapshot instead of duplicating it.
     Latest: dynamic partition overwrite of ``{base}/{zone}/latest/timeframe=/symbol=``,
-    so only the symbols in ``df`` are replaced. Both writes must succeed
-    (an exception propagates); the paths are returned.
+    so only the symbols in ``df`` are replaced. It is copied from the snapshot
+    just written (partition-pruned read with the known schema), so ``df`` is
+    computed once. Both writes must succeed (an exception propagates); the
+    paths are returned.
     """
+    spark = df.sparkSession
     root = f"{base.rstrip('/')}/{zone}"
     tagged = df.withColumn("timeframe", F.lit(timeframe)).withColumn("snapshot", F.lit(snapshot))
     hist = f"{root}/{HISTORY}"
     latest = f"{root}/{LATEST}"
-    tagged.write.mode("append").partitionBy("timeframe", "symbol", "snapshot").json(hist)
-    (tagged.drop("snapshot").write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy("timeframe", "symbol").json(latest))
+    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("timeframe", "symbol", "snapshot").json(hist))
+    written = (spark.read.schema(tagged.schema).json(hist)
+               .filter((F.col("timeframe") == timeframe) & (F.col("snapshot") == snapshot))
+               .select(*[c for c in tagged.columns if c != "snapshot"]))
+    (written.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("timeframe", "symbol").json(latest))
     return {"history": hist, "latest": latest}
 
 

@@ -101,6 +101,23 @@ def test_snapshots_latest_and_history(spark, tmp_path):
     assert man["ok"] and man["file_count"] > 0 and man["total_bytes"] > 0
 
 
+def test_snapshot_retry_replaces_its_own_snapshot(spark, tmp_path):
+    a = ohlc(spark, "A", [(1.0, 2.0, 0.5, 1.5, 10)] * 3)
+    b = ohlc(spark, "B", [(1.0, 2.0, 0.5, 1.5, 10)] * 2)
+    base = str(tmp_path / "zones")
+    sinks.write_snapshot(a, base, "s1")
+    sinks.write_snapshot(a.union(b), base, "s2")
+    paths = sinks.write_snapshot(a.union(b), base, "s2")  # the same job run again
+    hist = {(r["symbol"], r["snapshot"]): r["n"] for r in spark.read.json(paths["history"])
+            .groupBy("symbol", "snapshot").agg(F.count("*").alias("n")).collect()}
+    assert hist == {("A", "s1"): 3, ("A", "s2"): 3, ("B", "s2"): 2}
+    latest = spark.read.json(paths["latest"])
+    assert latest.count() == 5 and "snapshot" not in latest.columns
+    got = latest.select("symbol", F.to_date("date").alias("date"), "open", "high", "low", "close", "volume")
+    want = a.union(b).select("symbol", "date", "open", "high", "low", "close", "volume")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_jobs_end_to_end(spark, tmp_path):
     rows = [(1.0 + i % 7, 2.0 + i % 7, 0.5 + i % 5, 1.5 + i % 9, 100 + i) for i in range(220)]
     df = ohlc(spark, "J", rows)
