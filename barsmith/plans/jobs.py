@@ -70,7 +70,9 @@ def ingestion_job(spark: SparkSession, envelope_path: str, expected: DataFrame,
     """Ingestion + local preprocessing for a set of requested symbols.
 
     The quality report (one row per symbol) is written first and read back,
-    so the gate and the run log use one materialised copy.
+    so the gate and the run log use one materialised copy. Later steps read
+    back only this run's snapshot (partition-pruned, known schema), never the
+    whole zone, so the work follows the size of the run, not of the history.
     """
     root = base.rstrip("/")
     bars = readers.read_envelopes(spark, envelope_path)
@@ -79,12 +81,11 @@ def ingestion_job(spark: SparkSession, envelope_path: str, expected: DataFrame,
     report = spark.read.parquet(report_path)
     gated = quality.ingestion_gate(bars, report)
     raw = sinks.write_snapshot(gated, root, snapshot, timeframe, sinks.RAW_ZONE)
-    stored = spark.read.json(raw["latest"]).filter(F.col("timeframe") == timeframe)
-    stored = readers._bars(stored)
+    stored = readers._bars(sinks.read_snapshot(spark, raw["history"], gated.schema, snapshot, timeframe))
     feats = local.local_features(stored, layout)
     processed = sinks.write_snapshot(feats, root, snapshot, timeframe, sinks.PROCESSED_ZONE)
-    comp = quality.completeness(spark.read.json(processed["latest"]), ["sma_5", "return_1d",
-                                                                       "volatility_5d", "volume_normalized"])
+    comp = quality.completeness(sinks.read_snapshot(spark, processed["history"], feats.schema, snapshot, timeframe),
+                                local.LOCAL_FEATURES)
     spans = stored.groupBy("symbol").agg(F.min("date").cast("timestamp").alias("first_ts"),
                                          F.max("date").cast("timestamp").alias("last_ts"))
     log_path = f"{root}/run_log/snapshot={snapshot}"

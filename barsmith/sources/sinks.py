@@ -8,8 +8,9 @@ kept), and per-symbol layouts use ``partitionBy`` directories.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Zone names of the object-store layout.
 RAW_ZONE = "raw_data"
@@ -87,15 +88,29 @@ def write_snapshot(df: DataFrame, base: str, snapshot: str, timeframe: str = "da
     latest = f"{root}/{LATEST}"
     (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("timeframe", "symbol", "snapshot").json(hist))
-    written = (spark.read.schema(tagged.schema).json(hist)
-               .filter((F.col("timeframe") == timeframe) & (F.col("snapshot") == snapshot))
-               .select(*[c for c in tagged.columns if c != "snapshot"]))
+    written = read_snapshot(spark, hist, df.schema, snapshot, timeframe)
     (written.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("timeframe", "symbol").json(latest))
     return {"history": hist, "latest": latest}
 
 
+def read_snapshot(spark: SparkSession, history: str, schema: StructType, snapshot: str,
+                  timeframe: str = "daily") -> DataFrame:
+    """Rows of one snapshot of a history zone, with ``timeframe`` and without ``snapshot``.
+
+    ``schema`` is the schema of the written rows (no inference pass); the
+    filter on the partition columns prunes the read to that snapshot's
+    directories.
+    """
+    fields = [f for f in schema.fields if f.name not in ("timeframe", "snapshot")]
+    full = StructType(fields + [StructField("timeframe", StringType()),
+                                StructField("snapshot", StringType())])
+    return (spark.read.schema(full).json(history)
+            .filter((F.col("timeframe") == timeframe) & (F.col("snapshot") == snapshot))
+            .drop("snapshot"))
+
+
 def write_envelopes(bars: DataFrame, path: str, period: str = "month",
                     fetched_at: str | None = None) -> str:
     """Store bars as tool envelopes, one per (symbol, period).
