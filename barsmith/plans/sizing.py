@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "lookup") -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 
     The inputs passed here are derived lookup tables (one row per symbol, or
@@ -18,15 +16,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "lookup") -> Dat
     measured, not assumed. Above the bound the table is returned unchanged
     and Spark plans a shuffle join.
 
-    The table is written once to the shared checkpoint folder and read back:
-    the count comes from the Parquet footers, the join reads the written
-    files instead of re-aggregating the input, and a lost executor costs no
-    recomputation (cached blocks would die with it and be rebuilt from the
-    full input). Nothing stays pinned in executor memory after the query.
+    The table is checkpointed (one job writes it to the shared checkpoint
+    folder, ``spark.checkpoint.dir``) before it is counted: the count and the
+    join read the written table instead of re-aggregating the input, a lost
+    executor costs no recomputation (cached blocks would die with it and be
+    rebuilt from the full input), and nothing stays pinned in executor memory.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"lookup/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    small = spark.read.parquet(path)
+    ensure_checkpoint_dir(df.sparkSession)
+    small = df.checkpoint(eager=True)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small

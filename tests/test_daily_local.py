@@ -57,6 +57,21 @@ def test_daily_chunked_layout_matches(spark):
             assert (x is None and y is None) or x == pytest.approx(y, rel=1e-12), (k, c)
 
 
+def test_segment_table_above_broadcast_bound_is_shuffle_joined(spark):
+    rows = [(i, s, 1.0, 2.0, 0.5, 1.0 + (i * 5 + k) % 11, i + k) for i in range(90) for k, s in enumerate("XY")]
+    df = bars(spark, rows)
+    a = by_symbol_date(daily.daily_features(df))
+    big = daily.daily_features(df, Layout(chunk_rows=20, bucket_seconds=86400, broadcast_rows=0))
+    plan = big._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan
+    b = by_symbol_date(big)
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in daily.DAILY_FEATURES:
+            x, y = a[k][c], b[k][c]
+            assert (x is None and y is None) or x == pytest.approx(y, rel=1e-12), (k, c)
+
+
 def test_run_columns_and_preview(spark):
     series, _ = _series()
     feats = daily.with_run_columns(daily.daily_features(ohlc(spark, "A", series)), "A")
