@@ -48,8 +48,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only when nothing is configured (tests, a laptop) do we fall
-    back to a fresh temporary folder.
+    always wins. Only a local-mode session with nothing configured (tests, a
+    laptop) falls back to a fresh temporary folder: on a cluster a
+    machine-local folder is not shared by the executors, so an unset value
+    is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by "
+                               "all executors (e.g. on the cluster's distributed file system)")
         configured = tempfile.mkdtemp(prefix="barsmith-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
