@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality
+from . import jaccard_join, line_dedup, quality
 from .common import prepare, table
 
 
@@ -13,6 +13,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_join.query(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -20,6 +25,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 

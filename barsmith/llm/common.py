@@ -18,9 +18,10 @@ SPACE_BYTES = SPACE_CHARS.encode()
 #: The same set as a Java regular expression class body.
 SPACE_CLASS = r"\x20\x09-\x0D"
 
-#: Rows per Arrow batch handed to a Python worker. Texts are a few kB on
-#: average; a small batch keeps a worker's memory flat when some are very long.
-BATCH_ROWS = 512
+#: Rows and bytes per Arrow batch handed to a Python worker: narrow rows come in
+#: large batches, texts in small ones, however long some are.
+BATCH_ROWS = 10_000
+BATCH_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,7 @@ def prepare(spark: SparkSession) -> None:
     """Session settings the operators rely on: a shared folder, small Arrow batches."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
