@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, line_dedup, quality
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality
 from .common import prepare, table
 
 
@@ -13,6 +13,16 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bpe.query(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return jaccard_join.query(table(spark, sf_dir, "documents"))
@@ -25,7 +35,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 

@@ -1,8 +1,11 @@
 """N-gram Jaccard join by groups of equal prefixes.
 
 Documents are sets of distinct 5-word shingles; two link when
-100 * |intersection| >= percent * |union|. A set's *prefix* are its smallest
-shingle hashes, so many that linked sets share at least one.
+100 * |intersection| >= percent * |union|. A set's *prefix* are its first
+shingles in one global order, so many that linked sets share at least one. The
+order is by hash, but shingles of popular passages come last: a heavy-hitter
+count over all documents names at most ``STOP_SHINGLES`` of them. Any order
+gives the same result; this one keeps passages out of the prefixes.
 
 1. *Collapse.* Equal sets become one class (its smallest doc_id); classes of
    equal prefix and size become one group. Both are hash aggregates combined
@@ -51,6 +54,12 @@ from .shingles import (SHINGLE_WORDS, max_difference, parity_bitmap, parity_dist
 PERCENT = 80
 #: Groups of a prefix hash up to which all its pairs are enumerated.
 RUN = 64
+#: Popular shingles (8 bytes each, broadcast) that the order puts last, at most.
+STOP_SHINGLES = 1 << 19
+#: Share of the hash space in which popular shingles are counted: prefixes rarely reach further.
+COUNTED_SHARE = 0.5
+#: Shingles a task gathers before it hands on those it saw repeatedly.
+COUNT_CHUNK = 1 << 22
 #: Ids (8 bytes each) up to which an id table is broadcast.
 BROADCAST_IDS = 1 << 20
 #: The id a null doc_id counts as.
@@ -68,12 +77,58 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def shingle_rows(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS) -> DataFrame:
+def popular_shingles(docs: DataFrame, width: int = SHINGLE_WORDS, run: int = RUN,
+                     limit: int = STOP_SHINGLES) -> np.ndarray:
+    """At most ``limit`` hashes of the shingles held by over ``run`` documents, ascending.
+
+    A lossy count over all documents: a task hands on what it saw at least
+    twice in a chunk, which loses at most one document a chunk and shingle.
+    Only the order of shingles depends on it, never the result.
+    """
+    top = np.uint64(int(COUNTED_SHARE * 2**64))
+
+    def emit(batches):
+        held, size = [], 0
+
+        def flush():
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            again = counts > 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values[again].view(np.int64)), pa.array(counts[again])], names=["h", "n"])
+
+        for batch in batches:
+            for text in texts_as_bytes(batch.column("text")):
+                own = shingle_set(text, width)
+                held.append(own[:np.searchsorted(own, top)])
+                size += len(held[-1])
+            if size > COUNT_CHUNK:
+                yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
+
+    counted = docs.select("text").mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") > run).orderBy(F.desc("n"), "h").limit(limit).select("h").toPandas()
+    return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def in_order(own: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A set's shingles in the global order: by hash, the popular ones last."""
+    if not len(stop) or not len(own):
+        return own
+    late = stop[np.minimum(np.searchsorted(stop, own), len(stop) - 1)] == own
+    return np.concatenate([own[~late], own[late]])
+
+
+def shingle_rows(docs: DataFrame, stop: np.ndarray, percent: int = PERCENT,
+                 width: int = SHINGLE_WORDS) -> DataFrame:
     """(doc, n, s1, s2, p, prefix, bits) per row: size, set hash, prefix hash, prefix, parity bitmap."""
+    shared = docs.sparkSession.sparkContext.broadcast(stop)
+
     def emit(batches):
         for batch in batches:
             sets = [shingle_set(t, width) for t in texts_as_bytes(batch.column("text"))]
-            prefixes = [s[:prefix_length(len(s), percent)] for s in sets]
+            prefixes = [in_order(s, shared.value)[:prefix_length(len(s), percent)] for s in sets]
             digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets),
                                     np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
@@ -295,7 +350,8 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS,
     The links are all there are, but for pairs of a crowded run that other
     links had already put into one component.
     """
-    rows = stored(shingle_rows(docs, percent, width), "shingle-rows")
+    stop = popular_shingles(docs, width, run)
+    rows = stored(shingle_rows(docs, stop, percent, width), "shingle-rows")
     # One row a class and task leaves the map side, whatever the copies.
     classes = stored(rows.where("n > 0").groupBy("n", "s1", "s2", "p").agg(F.min("doc").alias("c")), "classes")
     members = rows.select("doc", "n", "s1", "s2").join(
