@@ -10,7 +10,7 @@ does; every word is one lookup.
    every arc carries the longest token ids that all words through it share. It
    is flat arrays in one file, in the application's shared scratch folder.
 3. Spark hands the file to every executor (``SparkContext.addFile``); the
-   Python workers of an executor map the same pages (``numpy.memmap``).
+   Python workers of an executor map the same pages.
 4. Documents are encoded where they lie. A word is followed through the
    transducer; one it does not accept is merged exactly, lowest rank first.
    A worker remembers recent words in a bounded table.
@@ -28,7 +28,11 @@ columns are passed through; ``ids`` and ``decoded`` of the input are replaced.
 from __future__ import annotations
 
 import json
+import mmap
+import re
+import unicodedata
 import uuid
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -41,12 +45,16 @@ from pyspark.sql import types as T
 from tokenizers import Regex, normalizers
 
 from ..session import scratch_path
-from .common import stored
 
 #: Words the lexicon holds (documented size: some MB mapped per executor).
 LEXICON_WORDS = 50_000
-#: Words a worker remembers before it starts afresh.
+#: Words a worker remembers, or counts, before it starts afresh.
 REMEMBERED = 200_000
+#: Below this code point nothing is changed by NFC, and letters, digits and lower
+#: case are the same in every Unicode version: the fast path of cutting.
+PLAIN = 0x180
+#: Unicode white space.
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 END = "</w>"
 
 
@@ -57,6 +65,11 @@ def byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _plain_class(kind: str) -> str:
+    """The characters below ``PLAIN`` of a general category, as a regular expression class body."""
+    return "".join(re.escape(chr(c)) for c in range(PLAIN) if unicodedata.category(chr(c))[0] == kind)
+
+
 class Vocabulary:
     """Ids, merge ranks and text cutting of a word-level BPE file (JSON)."""
 
@@ -68,8 +81,15 @@ class Vocabulary:
         self.ranks = {tuple(m): i for i, m in enumerate(spec["model"]["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: t for t, i in (self.ids | self.special).items()}
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
         self.cut = regex.compile(split).findall
+        plain = split
+        for kind in "LN":
+            plain = plain.replace(rf"[\p{{{kind}}}]", rf"\p{{{kind}}}").replace(
+                rf"[^{SPACE}\p{{L}}\p{{N}}]", "OTHER").replace(rf"\p{{{kind}}}", f"[{_plain_class(kind)}]")
+        plain = plain.replace("OTHER", f"[^{SPACE}{_plain_class('L')}{_plain_class('N')}]")
+        self.cut_plain = re.compile(plain).findall
+        self.beyond_plain = re.compile(f"[{chr(PLAIN)}-\U0010ffff]").search
         self.around_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
         # The file's own normalizer section, run by the library (Unicode tables differ by version).
         steps = {"NFC": lambda s: normalizers.NFC(), "Lowercase": lambda s: normalizers.Lowercase(),
@@ -78,16 +98,22 @@ class Vocabulary:
             [steps[s["type"]](s) for s in spec["normalizer"]["normalizers"]]).normalize_str
         self.chars = byte_chars()
 
+    def _cut(self, text: str) -> list[str]:
+        if self.beyond_plain(text):
+            return self.cut(self.normal(text))
+        # Turning white space into blanks changes no cut: neither is part of a word.
+        return self.cut_plain(text.lower())
+
     def words(self, text: str) -> list[str]:
         """The words of a text; a special token's string is a word of its own, unchanged."""
         if "<|" not in text:
-            return self.cut(self.normal(text))
+            return self._cut(text)
         out = []
         for part in self.around_special(text):
             if part in self.special:
                 out.append(part)
             elif part:
-                out.extend(self.cut(self.normal(part)))
+                out.extend(self._cut(part))
         return out
 
     def merge(self, word: str) -> list[int]:
@@ -96,20 +122,19 @@ class Vocabulary:
             return [self.special[word]]
         parts = [self.chars[b] for b in word.encode("utf-8")]
         parts[-1] += END
-        while len(parts) > 1:
-            ranks = [self.ranks.get(pair, 1 << 30) for pair in zip(parts, parts[1:])]
+        rank, never = self.ranks.get, 1 << 30
+        ranks = [rank(pair, never) for pair in zip(parts, parts[1:])]
+        while ranks:
             best = min(ranks)
-            if best == 1 << 30:
+            if best == never:
                 break
-            merged, i = [], 0
-            while i < len(parts):
-                if i < len(ranks) and ranks[i] == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
+            i = ranks.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), never)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), never)
         return [self.ids[p] for p in parts if p in self.ids]
 
 
@@ -207,20 +232,6 @@ class Transducer:
                    final=np.array(final, np.uint8), end_at=np.array(end_at, np.int32),
                    out=np.array(out, np.int32))
 
-    def lookup(self, word: bytes) -> list[int] | None:
-        """Token ids of a word of the lexicon, None for any other."""
-        state, ids = 0, []
-        for c in word:
-            lo, hi = self.first[state], self.first[state + 1]
-            at = lo + np.searchsorted(self.label[lo:hi], c)
-            if at == hi or self.label[at] != c:
-                return None
-            ids.extend(self.out[self.out_at[at]:self.out_at[at + 1]].tolist())
-            state = self.target[at]
-        if not self.final[state]:
-            return None
-        return ids + self.out[self.end_at[state]:self.end_at[state + 1]].tolist()
-
     def to_bytes(self) -> bytes:
         """Header of array lengths, then the arrays, each at a multiple of 8 bytes."""
         arrays = [getattr(self, k) for k in self.ARRAYS]
@@ -228,16 +239,39 @@ class Transducer:
         parts += [a.tobytes() + bytes(-a.nbytes % 8) for a in arrays]
         return b"".join(parts)
 
-    @classmethod
-    def map(cls, path: str) -> Transducer:
-        data = np.memmap(path, dtype=np.uint8, mode="r")
-        types = (np.int32, np.uint8, np.int32, np.int32, np.uint8, np.int32, np.int32)
-        lengths, at, arrays = data[:56].view(np.int64), 56, {}
-        for name, kind, n in zip(cls.ARRAYS, types, lengths.tolist()):
-            size = n * np.dtype(kind).itemsize
-            arrays[name] = data[at:at + size].view(kind)
+
+class MappedTransducer:
+    """A transducer file mapped into memory; lookups touch its pages, nothing is loaded."""
+
+    SIZES = {"label": 1, "final": 1}
+
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            self.data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        whole = memoryview(self.data)
+        at = 8 * len(Transducer.ARRAYS)
+        for name, n in zip(Transducer.ARRAYS, whole[:at].cast("q")):
+            size = n * self.SIZES.get(name, 4)
+            setattr(self, name, whole[at:at + size].cast("B" if name in self.SIZES else "i"))
+            if name == "label":
+                self.labels_at = at
             at += size + -size % 8
-        return cls(**arrays)
+
+    def lookup(self, word: bytes) -> list[int] | None:
+        """Token ids of a word of the lexicon, None for any other."""
+        state, ids, base = 0, [], self.labels_at
+        first, find, out_at, out = self.first, self.data.find, self.out_at, self.out
+        for i in range(len(word)):
+            arc = find(word[i:i + 1], base + first[state], base + first[state + 1]) - base
+            if arc < 0:
+                return None
+            lo, hi = out_at[arc], out_at[arc + 1]
+            if hi > lo:
+                ids += out[lo:hi].tolist()
+            state = self.target[arc]
+        if not self.final[state]:
+            return None
+        return ids + out[self.end_at[state]:self.end_at[state + 1]].tolist()
 
 
 @lru_cache(maxsize=4)
@@ -246,22 +280,27 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @lru_cache(maxsize=2)
-def _mapped(path: str) -> Transducer:
-    return Transducer.map(path)
+def _mapped(path: str) -> MappedTransducer:
+    return MappedTransducer(path)
 
 
 def frequent_words(docs: DataFrame, vocab_path: str, limit: int = LEXICON_WORDS) -> DataFrame:
     """(word, n) of the ``limit`` most frequent words over all documents."""
+    def rows(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+            names=["word", "n"])
+
     def emit(batches):
-        vocab = vocabulary(vocab_path)
+        vocab, counts = vocabulary(vocab_path), Counter()
         for batch in batches:
-            counts: dict[str, int] = {}
             for text in batch.column("text").to_pylist():
-                for w in vocab.words(text or ""):
-                    counts[w] = counts.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                names=["word", "n"])
+                counts.update(vocab.words(text or ""))
+                if len(counts) > REMEMBERED:
+                    yield rows(counts)
+                    counts = Counter()
+        yield rows(counts)
+
     return (docs.select("text").mapInArrow(emit, "word string, n long").groupBy("word")
             .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(limit))
 
@@ -289,7 +328,7 @@ def _publish(spark: SparkSession, data: bytes) -> str:
 class Encoder:
     """Encodes and decodes texts of one worker: lexicon first, exact merges for the rest."""
 
-    def __init__(self, vocab: Vocabulary, lexicon: Transducer):
+    def __init__(self, vocab: Vocabulary, lexicon: MappedTransducer):
         self.vocab, self.lexicon = vocab, lexicon
         self.known: dict[str, tuple[list[int], str, str]] = {}
 
@@ -299,13 +338,14 @@ class Encoder:
         ids = None if word in self.vocab.special else self.lexicon.lookup(word.encode())
         if ids is None:
             ids = self.vocab.merge(word)
-        entry = (ids, " ".join(map(str, ids)), " ".join(self.vocab.strings[i] for i in ids))
+        entry = (ids, " ".join(map(str, ids)), " ".join([self.vocab.strings[i] for i in ids]))
         self.known[word] = entry
         return entry
 
     def entries(self, text: str) -> list[tuple[list[int], str, str]]:
-        known, learn = self.known, self._learn
-        return [known.get(w) or learn(w) for w in self.vocab.words(text)]
+        """(ids, their decimals, their strings) of every word that has tokens."""
+        known, learn = self.known.get, self._learn
+        return [e for w in self.vocab.words(text) if (e := known(w) or learn(w))[0]]
 
 
 def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
@@ -328,9 +368,9 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
             for text in batch.column("text").to_pylist():
                 found = encoder.entries(text or "")
                 counts.append(sum(len(e[0]) for e in found))
-                ids.append(" ".join([e[1] for e in found if e[1]]) if as_text
+                ids.append(" ".join([e[1] for e in found]) if as_text
                            else [i for e in found for i in e[0]])
-                decoded.append(" ".join([e[2] for e in found if e[1]]))
+                decoded.append(" ".join([e[2] for e in found]))
             kind = pa.string() if as_text else pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()), pa.array(ids, kind),
@@ -349,6 +389,3 @@ def query(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
     coded = encode(docs.select("doc_id", "text"), vocab_path or default_vocabulary(), as_text=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
-__all__ = ["Encoder", "Transducer", "Vocabulary", "build_lexicon", "encode", "frequent_words", "query", "stored"]

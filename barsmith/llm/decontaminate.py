@@ -7,8 +7,8 @@
    ``ALWAYS_RARE``; so at least half of an item's n-grams seed, however often
    the item was copied into the corpus.
 2. *Join.* Training passages meet items on rare seeds: the word positions of a
-   document where a seed of the item begins. The seed table is broadcast if its
-   counted size allows; a shuffle join beyond.
+   document where a seed of the item begins. A seed table of a checked size
+   travels to the documents; a shuffle join beyond that.
 3. *Align.* Around the hits, stretches of words (hits closer than an item's
    length are one stretch) are aligned with the item's words by Smith-Waterman
    (match 2, mismatch -1, gap -1), so edits, insertions and losses only cost
@@ -87,11 +87,13 @@ def item_ngrams(benchmark: DataFrame, width: int = SEED_WORDS) -> DataFrame:
         emit, "gram long, item_id long, words array<long>, gram_words int")
 
 
-def _doc_grams(docs: DataFrame, grams: DataFrame, widths: list[int], fits: bool, with_words: bool) -> DataFrame:
+def _doc_grams(docs: DataFrame, grams: DataFrame, widths: list[int], fits: bool,
+               once: bool = False) -> DataFrame:
     """(gram, doc, at) of every place in every document that holds one of ``grams``.
 
     A bounded gram set travels to the documents and picks places before
     anything is emitted. Beyond the bound all places are emitted and joined.
+    ``once`` gives a document's first place of a gram only.
     """
     known = (np.sort(np.array([r[0] for r in grams.select("gram").distinct().collect()], np.int64))
              if fits else None)
@@ -100,45 +102,33 @@ def _doc_grams(docs: DataFrame, grams: DataFrame, widths: list[int], fits: bool,
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 codes = word_codes(text)
-                if doc is None or not len(codes):
+                if doc is None or (known is not None and not len(known)):
                     continue
-                found_g, found_at = [], []
                 for width in widths:
                     if len(codes) < width:
                         continue
                     g = windows(codes, width).view(np.int64)
-                    if known is not None:
-                        hit = np.flatnonzero(known[np.minimum(np.searchsorted(known, g), len(known) - 1)] == g) \
-                            if len(known) else np.empty(0, np.int64)
-                    else:
-                        hit = np.arange(len(g))
-                    if not with_words:  # counting: one row a document and n-gram
+                    hit = np.arange(len(g)) if known is None else np.flatnonzero(
+                        known[np.minimum(np.searchsorted(known, g), len(known) - 1)] == g)
+                    if once:
                         hit = hit[np.unique(g[hit], return_index=True)[1]]
-                    found_g.append(g[hit])
-                    found_at.append(hit)
-                g = np.concatenate(found_g) if found_g else np.empty(0, np.int64)
-                if not len(g):
-                    continue
-                columns = [pa.array(g), pa.array(np.full(len(g), doc, np.int64))]
-                names = ["gram", "doc"]
-                if with_words:
-                    at = np.concatenate(found_at)
-                    columns += [pa.array(at.astype(np.int32))]
-                    names += ["at"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    schema = "gram long, doc long" + (", at int" if with_words else "")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(emit, schema)
+                    if len(hit):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(g[hit]), pa.array(np.full(len(hit), doc, np.int64)),
+                             pa.array(hit.astype(np.int32))], names=["gram", "doc", "at"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        emit, "gram long, doc long, at int")
     return rows if fits else rows.join(grams.select("gram").distinct(), "gram", "left_semi")
 
 
 def rare_seeds(docs: DataFrame, benchmark: DataFrame, width: int = SEED_WORDS,
-               always_rare: int = ALWAYS_RARE) -> DataFrame:
+               always_rare: int = ALWAYS_RARE, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """The n-grams of :func:`item_ngrams` that are rare, with ``df``, the documents that hold them."""
     grams = stored(item_ngrams(benchmark, width), "item-ngrams")
-    fits = grams.count() <= BROADCAST_SEEDS
+    fits = grams.count() <= broadcast_seeds
     widths = [r[0] for r in grams.select("gram_words").distinct().collect()]
-    counts = (_doc_grams(docs, grams, widths, fits, with_words=False)
+    counts = (_doc_grams(docs, grams, widths, fits, once=True)
               .groupBy("gram").agg(F.count(F.lit(1)).alias("df")))
     known = stored(grams.join(counts, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0))), "gram-counts")
     middle = known.groupBy("item_id").agg(F.expr("percentile(df, 0.5)").alias("mid"))
@@ -171,20 +161,72 @@ def stretches(at: np.ndarray, margin: int, length: int) -> list[tuple[int, int]]
             for part in np.split(at, cuts)]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = SEED_WORDS,
-               min_score: float = MIN_SCORE, always_rare: int = ALWAYS_RARE) -> DataFrame:
-    """(doc_id, item_id, score, first_word, last_word) of every document that holds an item."""
-    seeds = stored(rare_seeds(docs, benchmark, width, always_rare), "seeds")
-    fits = seeds.count() <= BROADCAST_SEEDS
-    widths = [r[0] for r in seeds.select("gram_words").distinct().collect()]
-    places = _doc_grams(docs, seeds, widths, fits, with_words=True)
-    small = seeds.select("gram", "item_id")
-    hits = places.join(F.broadcast(small) if fits else small, "gram")
+def item_scores(codes: np.ndarray, hits: dict[int, np.ndarray], items: dict[int, np.ndarray],
+                min_score: float) -> list[tuple[int, float, int, int]]:
+    """(item, score, first word, last word) of the items that align well around their hits."""
+    out = []
+    for item_id, at in hits.items():
+        item, best = items[item_id], (0, 0, 0)
+        for lo, hi in stretches(at, 2 * len(item), len(codes)):
+            best = max(best, (align(item, codes[lo:hi]), -lo, hi))
+        share = best[0] / (MATCH * len(item))
+        if share >= min_score:
+            out.append((item_id, share, -best[1], best[2]))
+    return out
+
+
+_LEAKS = "doc_id long, item_id long, score double, first_word int, last_word int"
+
+
+def _leak_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                      names=["doc_id", "item_id", "score", "first_word", "last_word"])
+
+
+def _leaks_in_place(docs: DataFrame, seeds: DataFrame, widths: list[int], min_score: float) -> DataFrame:
+    """Leaks found where the documents lie: the bounded seed table travels to them."""
+    rows = seeds.select("gram", "item_id").collect()
+    items = {r["item_id"]: np.array(r["words"], np.int64).view(np.uint64)
+             for r in seeds.groupBy("item_id").agg(F.first("words").alias("words")).collect()}
+    rows.sort()
+    grams = np.array([r["gram"] for r in rows], np.int64)
+    owners = np.array([r["item_id"] for r in rows], np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast((grams, owners, items))
+
+    def emit(batches):
+        grams, owners, items = sent.value
+        for batch in batches:
+            rows = []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                codes = word_codes(text)
+                if doc is None or not len(codes) or not len(grams):
+                    continue
+                found: dict[int, list[int]] = {}
+                for width in widths:
+                    if len(codes) < width:
+                        continue
+                    g = windows(codes, width).view(np.int64)
+                    lo = np.searchsorted(grams, g)
+                    for at in np.flatnonzero(grams[np.minimum(lo, len(grams) - 1)] == g).tolist():
+                        for i in range(lo[at], np.searchsorted(grams, g[at], side="right")):
+                            found.setdefault(int(owners[i]), []).append(at)
+                hits = {k: np.unique(v) for k, v in found.items()}
+                rows += [(doc, *x) for x in item_scores(codes, hits, items, min_score)]
+            if rows:
+                yield _leak_batch(rows)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(emit, _LEAKS)
+
+
+def _leaks_by_join(docs: DataFrame, seeds: DataFrame, widths: list[int], min_score: float) -> DataFrame:
+    """Leaks through shuffle joins only, for a seed table of any size."""
+    places = _doc_grams(docs, seeds, widths, fits=False)
+    hits = places.join(seeds.select("gram", "item_id"), "gram")
     # One row per document and item; a document's hits are bounded by its words.
     pairs = hits.groupBy("doc", "item_id").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    pairs = stored(pairs.select(F.col("doc").alias("doc_id"), "item_id", "at"), "seeded-pairs")
     items = seeds.groupBy("item_id").agg(F.first("words").alias("words"))
-    by_doc = (pairs.join(F.broadcast(items) if fits else items, "item_id")
+    by_doc = (pairs.select(F.col("doc").alias("doc_id"), "item_id", "at").join(items, "item_id")
               .groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "words", "at")).alias("items")))
     seeded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(by_doc, "doc_id")
 
@@ -192,25 +234,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = SEED_WORDS,
         for batch in batches:
             rows = []
             for doc, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
-                                        batch.column("items")):
-                codes = word_codes(text)
-                for entry in found.as_py():
-                    item = np.array(entry["words"], np.int64).view(np.uint64)
-                    best = (0, 0, 0)
-                    for lo, hi in stretches(np.array(entry["at"]), 2 * len(item), len(codes)):
-                        score = align(item, codes[lo:hi])
-                        best = max(best, (score, -lo, hi))
-                    share = best[0] / (MATCH * len(item))
-                    if share >= min_score:
-                        rows.append((doc, entry["item_id"], share, -best[1], best[2]))
+                                        batch.column("items").to_pylist()):
+                hits = {e["item_id"]: np.array(e["at"]) for e in found}
+                items = {e["item_id"]: np.array(e["words"], np.int64).view(np.uint64) for e in found}
+                rows += [(doc, *x) for x in item_scores(word_codes(text), hits, items, min_score)]
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.float64(),
-                                                                  pa.int32(), pa.int32()))],
-                    names=["doc_id", "item_id", "score", "first_word", "last_word"])
+                yield _leak_batch(rows)
+
+    return seeded.mapInArrow(emit, _LEAKS)
 
-    found = seeded.mapInArrow(
-        emit, "doc_id long, item_id long, score double, first_word int, last_word int")
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = SEED_WORDS,
+               min_score: float = MIN_SCORE, always_rare: int = ALWAYS_RARE,
+               broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+    """(doc_id, item_id, score, first_word, last_word) of every document that holds an item."""
+    seeds = stored(rare_seeds(docs, benchmark, width, always_rare, broadcast_seeds), "seeds")
+    widths = [r[0] for r in seeds.select("gram_words").distinct().collect()]
+    by = _leaks_in_place if seeds.count() <= broadcast_seeds else _leaks_by_join
+    found = by(docs, seeds, widths, min_score)
     best = F.max_by(F.struct("score", "first_word", "last_word"),
                     F.struct(F.col("score"), -F.col("first_word"))).alias("b")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.*")
