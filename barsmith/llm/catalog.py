@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, quality
+from . import (bpe, chat, decontaminate, html_main, jaccard_join, language, line_dedup, lm_score,
+               quality, warc)
 from .common import prepare, table
 
 
@@ -13,6 +14,31 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lm_score.query(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return chat.query(table(spark, sf_dir, "conversations"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_main.query(table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return warc.query(table(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return language.query(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -34,11 +60,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
+    "op3_chat_formatting": op3_chat_formatting,
+    "op4_html_extraction": op4_html_extraction,
     "op5_decontamination": op5_decontamination,
+    "op6_warc": op6_warc,
+    "op7_language_id": op7_language_id,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE = {"op2_line_dedup": line_dedup.QUERY_SQL}
+ORACLE = {
+    "op2_line_dedup": line_dedup.QUERY_SQL,
+    "op3_chat_formatting": chat.QUERY_SQL,
+}

@@ -42,7 +42,7 @@ class Template:
 
     open: dict[str, str] = field(default_factory=lambda: {
         "system": "### System: ", "user": "### User: ", "assistant": "### Assistant: "})
-    #: Opens a turn of a role not named above; the role follows, escaped, up to ``role_end``.
+    #: Opens a turn of a role not named above; the role follows as hexadecimal, up to ``role_end``.
     other: str = "### Role "
     role_end: str = ": "
     close: str = " </turn>\n"
@@ -53,19 +53,17 @@ class Template:
         "start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)})
     accept: tuple[str, ...] = ("assistant",)
 
-    #: Every marker starts with one of these; a text never contains them unescaped.
-    #: The close marker's own start is matched without its leading blank.
-    def controls(self) -> tuple[str, ...]:
-        return ("###", "</turn>")
+    #: Every marker holds one of these; an escaped text holds them broken up only.
+    controls: tuple[str, ...] = ("#", "</turn>")
 
 
 DEFAULT = Template()
 
 
 def escape(text: Column, t: Template) -> Column:
-    """Double the escape character, then put one into every control string: ``##`` + escape + ``#``."""
+    """Double the escape character, then put one before the end of every control string."""
     out = F.replace(text, F.lit(t.escape), F.lit(t.escape + t.escape))
-    for c in t.controls():
+    for c in t.controls:
         out = F.replace(out, F.lit(c), F.lit(c[:-1] + t.escape + c[-1]))
     return out
 
@@ -95,14 +93,13 @@ def final_state(roles: Column, t: Template) -> Column:
 
 
 def _opening(role: Column, t: Template) -> Column:
-    out = F.concat(F.lit(t.other), escape(F.replace(role, F.lit(t.role_end[:1]), F.lit(t.escape + t.role_end[:1])), t)
-                   if False else _role_text(role, t), F.lit(t.role_end))
+    out = F.concat(F.lit(t.other), _role_text(role), F.lit(t.role_end))
     for name, marker in t.open.items():
         out = F.when(role == name, F.lit(marker)).otherwise(out)
     return out
 
 
-def _role_text(role: Column, t: Template) -> Column:
+def _role_text(role: Column) -> Column:
     """An unknown role as hexadecimal: it can hold no control string."""
     return F.lower(F.hex(F.encode(role, "UTF-8")))
 
@@ -114,8 +111,6 @@ def format_chats(conversations: DataFrame, t: Template = DEFAULT) -> DataFrame:
     text of a trained turn and nothing else.
     """
     turns = _turns(conversations)
-    # The control string in a text could also arise across the seam of text and
-    # marker; a text's last characters are followed by the close marker's blank.
     pieces = F.flatten(F.transform("turns", lambda x: F.array(
         F.struct(_opening(x["role"], t).alias("text"), F.lit(False).alias("loss")),
         F.struct(escape(x["text"], t).alias("text"), x["role"].isin(*t.loss).alias("loss")),
@@ -188,7 +183,7 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 marked AS (
-  SELECT *, replace(replace(replace(text, '\', '\\'), '###', '##\#'), '</turn>', '</turn\>') AS escaped,
+  SELECT *, replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '</turn\>') AS escaped,
          lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before
   FROM rows),
 stepped AS (

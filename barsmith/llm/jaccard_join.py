@@ -18,9 +18,10 @@ gives the same result; this one keeps passages out of the prefixes.
      to finer keys: the set is cut into parts by shingle hash, so many that
      linked sets cannot differ in all of them (see :func:`finer_keys`).
      Unrelated documents that share a passage share no part; clusters do.
-   - A run of a finer key gives a star from its smallest group. When the star's
-     links are known, every pair of the run that is still in two components is
-     given as well: a pair inside one component can't change the result.
+   - A run of a finer key gives a star from one of its groups, then, links
+     known, another from another group to what is not yet in its component.
+     After ``STAR_TURNS`` of them every pair of the run that is still in two
+     components is given: a pair inside one component can't change the result.
    Pairs survive if the parity bitmaps of their sets (a lower bound of the
    symmetric difference, a few bits a shingle) allow a link.
 3. *Expand and verify.* Surviving group pairs are expanded to their member
@@ -54,6 +55,8 @@ from .shingles import (SHINGLE_WORDS, max_difference, parity_bitmap, parity_dist
 PERCENT = 80
 #: Groups of a prefix hash up to which all its pairs are enumerated.
 RUN = 64
+#: Stars a run gives before its open pairs are enumerated.
+STAR_TURNS = 3
 #: Popular shingles (8 bytes each, broadcast) that the order puts last, at most.
 STOP_SHINGLES = 1 << 19
 #: Share of the hash space in which popular shingles are counted: prefixes rarely reach further.
@@ -79,7 +82,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def popular_shingles(docs: DataFrame, width: int = SHINGLE_WORDS, run: int = RUN,
                      limit: int = STOP_SHINGLES) -> np.ndarray:
-    """At most ``limit`` hashes of the shingles held by over ``run`` documents, ascending.
+    """At most ``limit`` hashes of the shingles held by over ``run // 4`` documents, ascending.
 
     A lossy count over all documents: a task hands on what it saw at least
     twice in a chunk, which loses at most one document a chunk and shingle.
@@ -108,7 +111,7 @@ def popular_shingles(docs: DataFrame, width: int = SHINGLE_WORDS, run: int = RUN
             yield flush()
 
     counted = docs.select("text").mapInArrow(emit, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") > run).orderBy(F.desc("n"), "h").limit(limit).select("h").toPandas()
+    rows = counted.where(F.col("n") > run // 4).orderBy(F.desc("n"), "h").limit(limit).select("h").toPandas()
     return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
@@ -214,34 +217,54 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
-def _star_pairs(run, percent: int):
-    """From every run, its smallest group with each other of a compatible size."""
+def _star_pairs(run, percent: int, turn: int):
+    """From every run, one group with each other of a compatible size and another component.
+
+    Every turn picks its own centres.
+    """
     first, length = _spans(run["key"])
+    rank = mix(run["g"].view(np.uint64), 100 + turn)
     out_a, out_b = [], []
     for lo, size in zip(first, length):
-        g, n = run["g"][lo:lo + size], run["n"][lo:lo + size].astype(np.int64)
-        c = int(np.argmin(g))
-        ok = (100 * np.minimum(n, n[c]) >= percent * np.maximum(n, n[c])) & (g != g[c])
-        out_a.append(np.full(int(ok.sum()), g[c]))
+        g, n, c = run["g"][lo:lo + size], run["n"][lo:lo + size], run["c"][lo:lo + size]
+        at = int(np.argmin(rank[lo:lo + size]))
+        ok = (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])) & (c != c[at])
+        out_a.append(np.full(int(ok.sum()), g[at]))
         out_b.append(g[ok])
     if out_a and sum(map(len, out_a)):
         yield _pair_batch(np.concatenate(out_a), np.concatenate(out_b))
 
 
+def _folded(bitmaps: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of a run as rows of equal length: the longer ones folded."""
+    words = min(map(len, bitmaps)) // 8
+    rows = []
+    for b in bitmaps:
+        x = np.frombuffer(b, np.uint64).reshape(-1, words)
+        rows.append(np.bitwise_xor.reduce(x, axis=0))
+    return np.stack(rows)
+
+
 def _cross_pairs(run, percent: int):
-    """Pairs of a run that lie in different components, of compatible size."""
+    """Pairs of a run in different components whose sizes and parity bitmaps allow a link."""
     first, length = _spans(run["key"])
     for lo, size in zip(first, length):
         c = run["c"][lo:lo + size]
         if (c == c[0]).all():
             continue
         g, n = run["g"][lo:lo + size], run["n"][lo:lo + size].astype(np.int64)
+        bits = _folded(run["bits"][lo:lo + size])
+        out_a, out_b = [], []
         for i in range(size - 1):  # sizes ascend: the partners of i end where they grow too large
             hi = np.searchsorted(n, 100 * n[i] // percent, side="right")
             j = np.arange(i + 1, hi)
             j = j[c[j] != c[i]]
-            if len(j):
-                yield _pair_batch(np.full(len(j), g[i]), g[j])
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            j = j[apart <= max_difference(n[i], n[j], percent)]
+            out_a.append(np.full(len(j), g[i]))
+            out_b.append(g[j])
+        if out_a and sum(map(len, out_a)):
+            yield _pair_batch(np.concatenate(out_a), np.concatenate(out_b))
 
 
 def size_level(n: int, percent: int) -> int:
@@ -390,25 +413,38 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS,
                                            F.col("c").alias("g"))
     dense = finer.unionByName(inner)
 
-    def star(batch):
-        yield from _star_pairs(batch, percent)
+    def check(pairs: DataFrame) -> DataFrame:
+        return verify(stored(_bitmap_filter(pairs, sizes, percent), "near"), docs, percent, width)
 
-    first = short_pairs.unionByName(_runs(dense, star, "a long, b long")).distinct()
-    links = stored(verify(stored(_bitmap_filter(first, sizes, percent), "near"), docs, percent, width), "links")
+    def open_runs(links: DataFrame) -> DataFrame:
+        """Runs labelled with components ``c``, without those that lie in one component."""
+        comp = connected_components(links).select(F.col("node").alias("g"), F.col("component").alias("c"))
+        labelled = dense.join(comp, "g", "left").select("key", "n", "g", F.coalesce("c", "g").alias("c"))
+        # A map-side combined aggregate finds the keys that are still open.
+        split = (labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                 .where("lo != hi").select("key"))
+        return labelled.join(split, "key", "left_semi")
 
-    # What the stars leave open: pairs of one run in two components. A key whose
-    # rows are all in one component is found by a map-side combined aggregate.
-    comp = connected_components(links).select(F.col("node").alias("g"), F.col("component").alias("c"))
-    labelled = dense.join(comp, "g", "left").select("key", "n", "g", F.coalesce("c", "g").alias("c"))
-    split = (labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo != hi").select("key"))
+    def star_of(turn: int):
+        def star(batch):
+            yield from _star_pairs(batch, percent, turn)
+        return star
 
     def cross(batch):
         yield from _cross_pairs(batch, percent)
 
-    rest = _runs(labelled.join(split, "key", "left_semi"), cross, "a long, b long").distinct()
-    more = verify(stored(_bitmap_filter(rest, sizes, percent), "near"), docs, percent, width)
-    return members, stored(links.unionByName(more).distinct(), "links")
+    alone = dense.select("key", "n", "g", F.col("g").alias("c"))
+    first = short_pairs.unionByName(_runs(alone, star_of(0), "a long, b long")).distinct()
+    links = stored(check(first), "links")
+    for turn in range(1, STAR_TURNS):
+        more = check(_runs(open_runs(links), star_of(turn), "a long, b long").distinct())
+        links = stored(links.unionByName(more).distinct(), "links")
+    # What the stars leave open: all pairs of one run in two components that the
+    # bitmaps allow, settled inside the run.
+    still = open_runs(links).join(sizes.select(F.col("c").alias("g"), "bits"), "g").select(
+        "key", "n", "g", "c", "bits")
+    rest = check(_runs(still, cross, "a long, b long").distinct())
+    return members, stored(links.unionByName(rest).distinct(), "links")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS,

@@ -38,16 +38,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import stored
 
 FEATURES = 1 << 16
 #: Labelled documents the chain is fitted on, at most, and words of each.
-MAX_DOCS = 3_000
+MAX_DOCS = 1_200
 MAX_WORDS = 120
 #: Words of the lexicon, per language.
 LEXICON_WORDS = 5_000
-EPOCHS = 3
+EPOCHS = 2
 RATE = 0.3
 #: Words of one training stretch; a training sequence holds ``STRETCHES`` of them.
 STRETCH = 12
@@ -275,7 +276,8 @@ def predict(docs: DataFrame, chain: Chain | None) -> DataFrame:
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=names)
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
