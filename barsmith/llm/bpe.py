@@ -5,7 +5,7 @@ does; every word is one lookup.
 
 1. Spark counts the words of the whole corpus (map-side combined) and keeps
    the ``lexicon_words`` most frequent ones, the documented size of the lexicon.
-2. Their encodings become a *minimal acyclic transducer*: a deterministic
+2. In one task, their encodings become a *minimal acyclic transducer*: a deterministic
    automaton over the words' bytes in which equal suffixes are one state and
    every arc carries the longest token ids that all words through it share. It
    is flat arrays in one file, in the application's shared scratch folder.
@@ -306,11 +306,19 @@ def frequent_words(docs: DataFrame, vocab_path: str, limit: int = LEXICON_WORDS)
 
 
 def build_lexicon(docs: DataFrame, vocab_path: str, limit: int = LEXICON_WORDS) -> str:
-    """Compile the lexicon of a corpus, add it to the application's files, return its name."""
-    vocab = vocabulary(vocab_path)
-    words = [r["word"] for r in frequent_words(docs, vocab_path, limit).collect()]
-    entries = {w.encode(): tuple(vocab.merge(w)) for w in words if w not in vocab.special}
-    return _publish(docs.sparkSession, Transducer.build(entries).to_bytes())
+    """Compile the lexicon of a corpus, add it to the application's files, return its name.
+
+    One task compiles the ``limit`` words; the driver only sees the file's bytes.
+    """
+    def compile_words(batches):
+        vocab = vocabulary(vocab_path)
+        words = [w for batch in batches for w in batch.column("word").to_pylist() if w not in vocab.special]
+        data = Transducer.build({w.encode(): tuple(vocab.merge(w)) for w in words}).to_bytes()
+        yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], names=["lexicon"])
+
+    words = frequent_words(docs, vocab_path, limit).select("word").coalesce(1)
+    built = words.mapInArrow(compile_words, "lexicon binary").first()
+    return _publish(docs.sparkSession, bytes(built["lexicon"]) if built else Transducer.build({}).to_bytes())
 
 
 def _publish(spark: SparkSession, data: bytes) -> str:
