@@ -120,6 +120,10 @@ class Vocabulary:
         """Token ids of one word by exact merging, lowest rank first, leftmost first."""
         if word in self.special:
             return [self.special[word]]
+        return [self.ids[p] for p in self.merged(word) if p in self.ids]
+
+    def merged(self, word: str) -> list[str]:
+        """The strings a word is merged into."""
         parts = [self.chars[b] for b in word.encode("utf-8")]
         parts[-1] += END
         rank, never = self.ranks.get, 1 << 30
@@ -135,7 +139,7 @@ class Vocabulary:
                 ranks[i - 1] = rank((parts[i - 1], parts[i]), never)
             if i < len(ranks):
                 ranks[i] = rank((parts[i], parts[i + 1]), never)
-        return [self.ids[p] for p in parts if p in self.ids]
+        return parts
 
 
 def _common(a: tuple, b: tuple) -> int:
@@ -333,6 +337,12 @@ def _publish(spark: SparkSession, data: bytes) -> str:
     return name
 
 
+@lru_cache(maxsize=2)
+def _encoder(vocab_path: str, lexicon_path: str) -> Encoder:
+    """A worker process keeps its encoder, and the words it remembers, from task to task."""
+    return Encoder(vocabulary(vocab_path), _mapped(lexicon_path))
+
+
 class Encoder:
     """Encodes and decodes texts of one worker: lexicon first, exact merges for the rest."""
 
@@ -370,7 +380,7 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
     names = out.names
 
     def run(batches):
-        encoder = Encoder(vocabulary(vocab_path), _mapped(SparkFiles.get(lexicon)))
+        encoder = _encoder(vocab_path, SparkFiles.get(lexicon))
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column("text").to_pylist():

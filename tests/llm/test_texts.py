@@ -56,7 +56,7 @@ def test_quality_counts_and_verdicts(judged):
 def test_quality_score_is_the_mean_log_ratio(judged, spark):
     _, docs, labels = judged
     ids = quality.trusted_ids(labels)
-    weights = quality.fit_weights(docs, ids, buckets=64).first()["weights"]
+    weights = [r["weight"] for r in quality.fit_weights(docs, ids, buckets=64).orderBy("bucket").collect()]
     half = {r["doc_id"] for r in ids.where("half = 0").collect()}
     grams = quality._ngrams(docs, [F.col("doc_id")], 64).collect()
     raw, target = np.zeros(64), np.zeros(64)
