@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ema import EmaPlan, block_exponent, drop_ema_helpers, ema_finish, ema_locals
+from ..functions.numeric import nan_to_null
 from ..functions.rolling import (Roll, drop_rolling_helpers, rolling_final, rolling_pass1,
                                  rolling_pass2)
 from ..functions.windows import CHUNK, DEFAULT_LAYOUT, HALO, Layout, finish, segment
+from ..schema import PRICE_FIELDS
 
 # Indicator parameters of the advanced set.
 SMA_PERIODS = [5, 10, 20, 50, 100, 200]
@@ -165,6 +167,8 @@ def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
     Expressions are generated as SQL text (one ``selectExpr`` per pass), which
     keeps the driver-side plan construction cheap for ~300 expressions.
     """
+    # A NaN would stay in the block-local running sums; it is a missing value.
+    bars = bars.withColumns({c: nan_to_null(c) for c, t in bars.dtypes if t == "double" and c in PRICE_FIELDS})
     s = segment(bars, lookback_rows(), layout, with_rn=True)
     rolls = rolling_specs()
     plan = EmaPlan.for_spans(layout.key, EMA_SPANS + SIGNAL_SPANS)

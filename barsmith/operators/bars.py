@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import nan_to_null
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,7 +29,9 @@ def bars_from_ticks(ticks: DataFrame, symbol: str | Column, ts: str | Column,
     Spark pre-aggregates map-side: a hot (symbol, period) key is reduced in
     each input partition before the shuffle and never lands in one task.
     """
-    price_c, id_c = _c(price), _c(tick_id)
+    # A NaN price is a missing price: it is neither the high nor an open or close.
+    price_c = nan_to_null(_c(price).cast("double"))
+    id_c = F.when(price_c.isNotNull(), _c(tick_id))
     return (ticks
             .groupBy(period_start(ts, period).alias("date"), _c(symbol).alias("symbol"))
             .agg(F.min_by(price_c, id_c).alias("open"),

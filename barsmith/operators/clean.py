@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_div
-from ..functions.windows import CHUNK, DEFAULT_LAYOUT, RN, Layout, finish, full, segment
+from ..functions.windows import CHUNK, DEFAULT_LAYOUT, RN, Layout, _null_safe_join, finish, full, segment
 from ..plans.sizing import bounded_broadcast
 from . import advanced as adv
 
@@ -73,7 +73,7 @@ def forward_fill(df: DataFrame, columns: list[str], layout: Layout = DEFAULT_LAY
     """
     s = segment(df, 0, layout, with_rn=True)
     w = layout.window().rowsBetween(Window.unboundedPreceding, 0)
-    clean = {c: F.nanvl(F.col(c), F.lit(None).cast("double"))
+    clean = {c: F.when(~F.isnan(c), F.col(c))
              if dict(df.dtypes)[c] in ("double", "float") else F.col(c) for c in columns}
     s = s.select(*[c for c in s.columns if c not in columns],
                  *[clean[c].alias(c) for c in columns])
@@ -86,7 +86,8 @@ def forward_fill(df: DataFrame, columns: list[str], layout: Layout = DEFAULT_LAY
     carry = tail.select(layout.key, CHUNK,
                         *[F.last(f"_tl_{c}", ignorenulls=True).over(wc).alias(f"_cy_{c}") for c in columns])
     carry = bounded_broadcast(carry, layout.broadcast_rows)
-    joined = inner.join(carry, [layout.key, CHUNK], "left")
+    # NULL keys are a series of their own, as in ``segment``.
+    joined = _null_safe_join(inner, carry, [layout.key, CHUNK])
     out = joined.select(*[c for c in inner.columns if not c.startswith("_ff_") and c not in columns],
                         *[F.coalesce(F.col(f"_ff_{c}"), F.col(f"_cy_{c}")).alias(c) for c in columns])
     return finish(out).select(*df.columns)

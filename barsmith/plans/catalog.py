@@ -14,6 +14,7 @@ from ..operators.bars import price_volume_range
 from .fixtures import table
 from . import jobs
 from ..sources import readers, sinks
+from ..schema import BAR
 from ..session import scratch_path
 import uuid
 from . import oracle as O
@@ -214,13 +215,13 @@ def q_roundtrip_ndjson(spark, sf_dir):
 def q_roundtrip_parquet(spark, sf_dir):
     """K4 -> S4 via the format switch."""
     path = sinks.write_table(bars_orders(spark, sf_dir), _scratch(spark, "parquet"), "Parquet")
-    return readers.read_table(spark, path, "PARQUET")
+    return readers.as_bars(readers.read_table(spark, path, "PARQUET"))
 
 
 def q_roundtrip_csv(spark, sf_dir):
     """K4 -> S5 via the format switch."""
     path = sinks.write_table(bars_orders(spark, sf_dir), _scratch(spark, "csv"), "csv")
-    return readers.read_table(spark, path, "CSV")
+    return readers.as_bars(readers.read_table(spark, path, "CSV", BAR))
 
 
 def q_roundtrip_envelope(spark, sf_dir):

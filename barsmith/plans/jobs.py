@@ -21,6 +21,10 @@ from ..operators.bars import bars_from_ticks
 from ..sources import readers, sinks
 
 
+#: Names the job in its metadata records.
+PROCESSOR = "advanced_job"
+
+
 def bars_job(ticks: DataFrame, out: str, period: str = "day", **cols) -> str:
     """B1 as a job: aggregate ticks and write the bar table as Parquet."""
     return sinks.write_parquet(bars_from_ticks(ticks, period=period, **cols), out)
@@ -45,7 +49,8 @@ def advanced_job(spark: SparkSession, input_dir: str, output_dir: str,
     feats = adv.advanced_features(bars, layout)
     rows = f"{output_dir.rstrip('/')}/rows"
     adv.complete_rows(feats).write.mode("overwrite").partitionBy("symbol").parquet(rows)
-    kept = spark.read.parquet(rows).groupBy("symbol").agg(F.count(F.lit(1)).alias("Records_Count"))
+    # The known schema: symbols such as 0700 stay text, and no complete row at all is an empty table.
+    kept = spark.read.schema(feats.schema).parquet(rows).groupBy("symbol").agg(F.count(F.lit(1)).alias("Records_Count"))
     original = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("Original_Records"))
     names = [adv.REFERENCE_NAMES.get(c, c) for c in adv.BASE_COLUMNS + adv.ADVANCED_FEATURES]
     meta = (original.join(kept, "symbol", "left")
@@ -54,10 +59,12 @@ def advanced_job(spark: SparkSession, input_dir: str, output_dir: str,
                     F.array(*[F.lit(n) for n in names]).alias("Features_Created"),
                     F.coalesce("Records_Count", F.lit(0).cast("bigint")).alias("Records_Count"),
                     "Original_Records",
-                    F.lit(adv.FEATURES_COUNT).alias("Features_Count")))
+                    F.lit(adv.FEATURES_COUNT).alias("Features_Count"),
+                    F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("Processing_Date"),
+                    F.lit(PROCESSOR).alias("processor")))
     meta_path = f"{output_dir.rstrip('/')}/metadata"
     meta.write.mode("overwrite").json(meta_path)
-    summary, outputs = sinks.processing_summary(spark.read.json(meta_path), output_dir)
+    summary, outputs = sinks.processing_summary(spark.read.schema(meta.schema).json(meta_path), output_dir)
     summary.write.mode("overwrite").json(f"{output_dir.rstrip('/')}/summary")
     outputs.write.mode("overwrite").json(f"{output_dir.rstrip('/')}/outputs")
     return {"rows": rows, "metadata": meta_path,
@@ -81,7 +88,7 @@ def ingestion_job(spark: SparkSession, envelope_path: str, expected: DataFrame,
     report = spark.read.parquet(report_path)
     gated = quality.ingestion_gate(bars, report)
     raw = sinks.write_snapshot(gated, root, snapshot, timeframe, sinks.RAW_ZONE)
-    stored = readers._bars(sinks.read_snapshot(spark, raw["history"], gated.schema, snapshot, timeframe))
+    stored = readers.as_bars(sinks.read_snapshot(spark, raw["history"], gated.schema, snapshot, timeframe))
     feats = local.local_features(stored, layout)
     processed = sinks.write_snapshot(feats, root, snapshot, timeframe, sinks.PROCESSED_ZONE)
     comp = quality.completeness(sinks.read_snapshot(spark, processed["history"], feats.schema, snapshot, timeframe),

@@ -44,6 +44,16 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names, as configured: the same for every driver.
+
+    In a local session that names none, the session's own temporary folder.
+    """
+    named = (spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+             or spark.conf.get("spark.checkpoint.dir", None))
+    return named or ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 

@@ -1,37 +1,91 @@
 """Sources (S1-S8): bar tables from NDJSON, vendor documents, envelopes,
 Parquet and CSV, plus whole-text and whole-JSON reads.
 
-Every reader passes an explicit schema (no inference pass over the input)
-and returns the bar schema ``date, symbol, open, high, low, close, volume``
-where it reads bars. NaN prices become NULL at the scan.
+Bar readers return ``date, symbol, open, high, low, close, volume``; ``date`` is
+a DATE for daily bars and a TIMESTAMP where the source holds a time of day, so
+intraday bars keep it. NaN prices become NULL at the scan. Table readers (S4-S6)
+return all columns of the table; :func:`as_bars` projects one to bars.
+
+JSON numbers are read as text and cast, so ``1000.0`` and ``"1000"`` are
+volumes. Lines that are no JSON object are never rows: ``strict`` raises, else
+they are left out and :func:`malformed_lines` returns them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import nan_to_null
-from ..schema import (BAR, BAR_JSON, DOWNLOAD_ENVELOPE, ENVELOPE, PRICE_FIELDS, UNKNOWN_SYMBOL,
+from ..schema import (BAR_JSON, DOWNLOAD_ENVELOPE, ENVELOPE, PRICE_FIELDS, UNKNOWN_SYMBOL,
                       VENDOR_CLOSE, VENDOR_DOC, VENDOR_HIGH, VENDOR_LOW, VENDOR_META, VENDOR_OPEN,
                       VENDOR_SERIES, VENDOR_SYMBOL, VENDOR_VOLUME)
 
 FORMATS = ("parquet", "csv")
 
 
-def _bars(df: DataFrame, date: Column | None = None) -> DataFrame:
-    """Project to the bar schema: DATE, NaN-free prices, BIGINT volume."""
-    date = date if date is not None else F.col("date")
+#: A time of day after the date, as ISO text has it.
+_TIMED = r"^\d{4}-\d{2}-\d{2}[T ]\d"
+_CORRUPT = "_corrupt_record"
+
+
+def as_bars(df: DataFrame) -> DataFrame:
+    """Project a table to the bar schema: DATE or TIMESTAMP, NaN-free prices, BIGINT volume.
+
+    Text that is no number becomes NULL.
+    """
     return df.select(
-        F.to_date(date).alias("date"),
-        F.col("symbol").cast("string").alias("symbol"),
-        *[nan_to_null(F.col(c).cast("double")).alias(c) for c in PRICE_FIELDS],
-        F.col("volume").cast("bigint").alias("volume"))
+        "date", F.col("symbol").cast("string").alias("symbol"),
+        *[nan_to_null(F.col(c).try_cast("double")).alias(c) for c in PRICE_FIELDS],
+        F.col("volume").try_cast("decimal(38,6)").try_cast("bigint").alias("volume"))
+
+
+def _timed(df: DataFrame, column: str = "date") -> bool:
+    """Whether an ISO text column holds times of day: decided by its first value, one row read."""
+    first = df.where(F.col(column).isNotNull()).select(F.col(column).rlike(_TIMED).alias("t")).first()
+    return bool(first and first["t"])
+
+
+def _typed_date(df: DataFrame, timed: bool | None) -> DataFrame:
+    """ISO text dates as TIMESTAMP if they hold a time of day, else as DATE."""
+    timed = _timed(df) if timed is None else timed
+    return df.withColumn("date", F.to_timestamp("date") if timed else F.to_date("date"))
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    """A JSON schema with every leaf as text and room for malformed lines."""
+    fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    return T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
 
 
-def read_bars_ndjson(spark: SparkSession, path: str) -> DataFrame:
-    """One bar object per line (a missing key reads as NULL)."""
-    return _bars(spark.read.schema(BAR_JSON).json(path))
+def _json_lines(spark: SparkSession, path: str, schema: T.StructType, strict: bool) -> DataFrame:
+    reader = spark.read.schema(schema)
+    if strict:
+        return reader.option("mode", "FAILFAST").json(path)
+    return reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+
+
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of an NDJSON bar file that are no JSON object, with their file: the quarantine."""
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.input_file_name().alias("path"), "value")
+    parsed = F.from_json("value", _as_text(BAR_JSON), {"columnNameOfCorruptRecord": _CORRUPT})
+    return lines.where(parsed[_CORRUPT].isNotNull())
+
+
+def read_bars_ndjson(spark: SparkSession, path: str, strict: bool = False, timed: bool | None = None) -> DataFrame:
+    """One bar object per line (a missing key reads as NULL).
+
+    ``timed`` says whether dates hold a time of day; unset, the first one decides.
+    """
+    schema = _as_text(BAR_JSON)
+    if strict:
+        schema = T.StructType([f for f in schema.fields if f.name != _CORRUPT])
+    rows = _json_lines(spark, path, schema, strict)
+    if not strict:
+        rows = rows.where(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+    return as_bars(_typed_date(rows, timed))
 
 
 def _require_files(spark: SparkSession, path: str, glob: str) -> None:
@@ -45,7 +99,8 @@ def _require_files(spark: SparkSession, path: str, glob: str) -> None:
         raise ValueError(f"No {glob} files found in {path}")
 
 
-def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False,
+                       timed: bool | None = False) -> DataFrame:
     """Nested vendor documents (one JSON document per file) -> bars.
 
     The series is a map keyed by date string; each value holds the five
@@ -64,50 +119,65 @@ def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False) ->
         c = F.col("v").getField(name)
         return c.try_cast(t) if lenient else c.cast(t)
 
-    return points.select(
-        F.to_date("day").alias("date"), "symbol",
+    days = points.withColumnRenamed("day", "date")
+    return _typed_date(days, timed).select(
+        "date", "symbol",
         nan_to_null(field(VENDOR_OPEN, "double")).alias("open"),
         nan_to_null(field(VENDOR_HIGH, "double")).alias("high"),
         nan_to_null(field(VENDOR_LOW, "double")).alias("low"),
         nan_to_null(field(VENDOR_CLOSE, "double")).alias("close"),
-        field(VENDOR_VOLUME, "bigint").alias("volume"))
+        field(VENDOR_VOLUME, "decimal(38,6)").cast("bigint").alias("volume"))
 
 
-def read_envelopes(spark: SparkSession, path: str, download: bool = False) -> DataFrame:
+def read_envelopes(spark: SparkSession, path: str, download: bool = False, document: bool = False,
+                   timed: bool | None = None) -> DataFrame:
     """S3: stored tool envelopes -> bars of the successful ones.
 
-    ``download=True`` reads the download envelope, one level deeper. A bar
-    without its own symbol takes the envelope's.
+    ``document=True`` reads one envelope per file, indented or not (the stored
+    form); otherwise every line is one. ``download=True`` reads the download
+    envelope, one level deeper. A bar without its own symbol takes the
+    envelope's.
     """
+    reader = spark.read.option("multiLine", document)
     if download:
-        raw = spark.read.schema(DOWNLOAD_ENVELOPE).json(path)
+        raw = reader.schema(_TEXT_DOWNLOAD).json(path)
         env = raw.filter(F.col("success")).select("data.*")
     else:
-        env = spark.read.schema(ENVELOPE).json(path)
+        env = reader.schema(_TEXT_ENVELOPE).json(path)
     rows = (env.filter(F.coalesce(F.col("success"), F.lit(False)))
                .select(F.col("symbol").alias("_env_symbol"), F.explode("data").alias("bar"))
                .select("_env_symbol", "bar.*"))
-    rows = rows.withColumn("symbol", F.coalesce(F.col("symbol"), F.col("_env_symbol")))
-    return _bars(rows)
+    rows = rows.withColumn("symbol", F.coalesce(F.col("symbol"), F.col("_env_symbol"))).drop("_env_symbol")
+    return as_bars(_typed_date(rows, timed))
+
+
+_TEXT_BARS = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in BAR_JSON.fields]))
+_TEXT_ENVELOPE = T.StructType([T.StructField("data", _TEXT_BARS) if f.name == "data" else f for f in ENVELOPE.fields])
+_TEXT_DOWNLOAD = T.StructType([T.StructField("data", _TEXT_ENVELOPE) if f.name == "data" else f
+                               for f in DOWNLOAD_ENVELOPE.fields])
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Bars stored as Parquet."""
-    return _bars(spark.read.parquet(path))
+    """A Parquet table, all its columns."""
+    return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Bars stored as CSV with a header line."""
-    return _bars(spark.read.option("header", True).schema(BAR).csv(path))
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A CSV table with a header line, all its columns.
+
+    With a schema there is no inference pass over the input.
+    """
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Format switch with an allow-list (case-insensitive)."""
     f = fmt.lower()
     if f == "parquet":
         return read_parquet(spark, path)
     if f == "csv":
-        return read_csv(spark, path)
+        return read_csv(spark, path, schema)
     raise ValueError(f"Unsupported file format: {fmt!r}; expected one of {FORMATS}")
 
 

@@ -111,6 +111,12 @@ def read_snapshot(spark: SparkSession, history: str, schema: StructType, snapsho
             .drop("snapshot"))
 
 
+def _iso(bars: DataFrame):
+    """The bars' date as ISO text; a TIMESTAMP keeps its time of day."""
+    timed = dict(bars.dtypes)["date"] != "date"
+    return F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss" if timed else "yyyy-MM-dd")
+
+
 def write_envelopes(bars: DataFrame, path: str, period: str = "month",
                     fetched_at: str | None = None) -> str:
     """Store bars as tool envelopes, one per (symbol, period).
@@ -119,7 +125,7 @@ def write_envelopes(bars: DataFrame, path: str, period: str = "month",
     the length of the history.
     """
     ts = F.lit(fetched_at) if fetched_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-    bar = F.struct(F.date_format("date", "yyyy-MM-dd").alias("date"), "symbol",
+    bar = F.struct(_iso(bars).alias("date"), "symbol",
                    "open", "high", "low", "close", "volume")
     env = (bars.groupBy("symbol", F.date_trunc(period, F.col("date").cast("timestamp")).alias("_p"))
                .agg(F.sort_array(F.collect_list(bar)).alias("data"))
@@ -145,7 +151,7 @@ def write_vendor_documents(bars: DataFrame, path: str, period: str = "month") ->
                         ("close", VENDOR_CLOSE), ("volume", VENDOR_VOLUME))])
     docs = (bars.groupBy("symbol", F.date_format("date", "yyyy-MM").alias("period"))
                 .agg(F.map_from_entries(F.collect_list(
-                    F.struct(F.date_format("date", "yyyy-MM-dd"), point))).alias(VENDOR_SERIES))
+                    F.struct(_iso(bars), point))).alias(VENDOR_SERIES))
                 .select("symbol", "period",
                         F.create_map(F.lit(VENDOR_SYMBOL), F.col("symbol")).alias(VENDOR_META),
                         VENDOR_SERIES))
@@ -153,15 +159,6 @@ def write_vendor_documents(bars: DataFrame, path: str, period: str = "month") ->
     return path
 
 
-def write_feature_output(features: DataFrame, metadata: DataFrame, path: str) -> dict[str, str]:
-    """K7: feature rows partitioned by symbol plus the per-symbol metadata table."""
-    rows = f"{path.rstrip('/')}/rows"
-    meta = f"{path.rstrip('/')}/metadata"
-    features.write.mode("overwrite").partitionBy("symbol").json(rows)
-    metadata.write.mode("overwrite").json(meta)
-    return {"rows": rows, "metadata": meta}
-
-
 def processing_summary(metadata: DataFrame, output_root: str) -> tuple[DataFrame, DataFrame]:
     """K8: (one-row summary, one row per output) from the metadata table.
 
@@ -176,7 +173,11 @@ def processing_summary(metadata: DataFrame, output_root: str) -> tuple[DataFrame
 
 
 def output_manifest(spark, path: str) -> DataFrame:
-    """Q7: file count and total bytes under ``path`` (content is not read)."""
+    """Q7: file count and total bytes under ``path`` (content is not read); ``ok`` is false if nothing is there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return spark.range(1).select(F.lit(0).cast("bigint").alias("file_count"),
+                                     F.lit(0).cast("bigint").alias("total_bytes"), F.lit(False).alias("ok"))
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .load(path).select("path", "length"))
     return files.agg(F.count(F.lit(1)).alias("file_count"),

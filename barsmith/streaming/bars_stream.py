@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..session import ensure_checkpoint_dir
+from ..functions.numeric import nan_to_null
+from ..session import shared_root
 
 # Spark interval strings per supported bar period.
 PERIODS = {"minute": "1 minute", "hour": "1 hour", "day": "1 day"}
@@ -32,15 +33,24 @@ def stream_bars(ticks: DataFrame, symbol: str, ts: str, price: str, volume: str,
 
     ``lateness`` is the watermark delay: ticks later than that behind the
     newest event time are dropped by Spark, and bars are final (append mode).
+    A NaN price counts as missing, as in the batch form.
+
+    Event-time windows are aligned to UTC, calendar days to the session zone,
+    so daily bars are refused in any other session zone rather than dated
+    differently from the batch form.
     """
     if period not in PERIODS:
         raise ValueError(f"unsupported period {period!r}; use one of {sorted(PERIODS)}")
-    p, t = F.col(price), F.col(tick_id)
+    zone = ticks.sparkSession.conf.get("spark.sql.session.timeZone")
+    if period == "day" and zone.upper() not in ("UTC", "ETC/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"daily bars need spark.sql.session.timeZone=UTC, not {zone}")
+    p, t = nan_to_null(F.col(price).cast("double")), F.col(tick_id)
+    known = F.when(p.isNotNull(), t)
     ticks = ticks.withColumn("_ts", F.col(ts).cast("timestamp"))
     bars = (ticks.withWatermark("_ts", lateness)
                  .groupBy(F.window("_ts", PERIODS[period]).alias("w"), F.col(symbol).alias("symbol"))
-                 .agg(F.min_by(p, t).alias("open"), F.max(p).alias("high"), F.min(p).alias("low"),
-                      F.max_by(p, t).alias("close"), F.sum(F.col(volume)).cast("bigint").alias("volume")))
+                 .agg(F.min_by(p, known).alias("open"), F.max(p).alias("high"), F.min(p).alias("low"),
+                      F.max_by(p, known).alias("close"), F.sum(F.col(volume)).cast("bigint").alias("volume")))
     date = F.to_date(F.col("w.start")) if period == "day" else F.col("w.start")
     return bars.select(date.alias("date"), "symbol", "open", "high", "low", "close", "volume")
 
@@ -62,22 +72,36 @@ def stream_name(out: str) -> str:
 
 
 def default_checkpoint(spark: SparkSession, out: str) -> str:
-    """Checkpoint folder of the sink writing to ``out``, under the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{stream_name(out)}"
+    """Checkpoint folder of the sink writing to ``out``.
+
+    Below the folder *named* by ``spark.checkpoint.dir``, which is the same for
+    every driver. (``SparkContext.getCheckpointDir`` adds an id per context: a
+    restarted driver would not find the checkpoint.)
+    """
+    return f"{shared_root(spark).rstrip('/')}/streams/{stream_name(out)}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def start_bar_sink(bars: DataFrame, out: str, checkpoint: str | None = None,
                    available_now: bool = False) -> StreamingQuery:
     """Append finished bars to a Parquet bar table (exactly-once via the checkpoint).
 
-    The checkpoint defaults to a folder under the session's shared
-    checkpoint directory, so a restarted or re-scheduled query resumes. The
-    folder name is a digest of the output path, stable across driver
-    processes (Python's ``hash`` of a string is salted per process and would
-    start a fresh checkpoint, and duplicate output, after every restart).
+    The checkpoint defaults to a folder below the shared folder the cluster
+    names, so a restarted or re-scheduled query, in whichever driver, resumes.
+
+    The sink's log numbers batches by the checkpoint: an output that already
+    has a log, written under a checkpoint that is not there any more, would
+    skip the first new batches as already done. That is refused.
     """
     spark = bars.sparkSession
     ckpt = checkpoint or default_checkpoint(spark, out)
+    if _exists(spark, f"{out.rstrip('/')}/_spark_metadata") and not _exists(spark, f"{ckpt.rstrip('/')}/offsets"):
+        raise RuntimeError(f"{out} was written under another checkpoint than {ckpt}: name that one, "
+                           "or write to a new folder")
     writer = (bars.writeStream.format("parquet").outputMode("append")
               .option("path", out).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
