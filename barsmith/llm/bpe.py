@@ -13,7 +13,7 @@ does; every word is one lookup.
    Python workers of an executor map the same pages.
 4. Documents are encoded where they lie. A word is followed through the
    transducer; one it does not accept is merged exactly, lowest rank first.
-   A worker remembers recent words in a bounded table.
+   A worker remembers words in a bounded table.
 
 Decoding is the library's without a decoder section: the tokens' strings
 joined by one space.
@@ -34,6 +34,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +50,19 @@ from ..session import scratch_path
 #: Words the lexicon holds (documented size: some MB mapped per executor).
 LEXICON_WORDS = 50_000
 #: Words a worker remembers, or counts, before it starts afresh.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Below this code point nothing is changed by NFC, and letters, digits and lower
 #: case are the same in every Unicode version: the fast path of cutting.
 PLAIN = 0x180
 #: Unicode white space.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 END = "</w>"
+#: Token ids and merge ranks fit these bits.
+ID_BITS = 24
+ID_MASK = (1 << ID_BITS) - 1
+NEVER = 1 << 62
+#: Bytes of a word from which it is merged over a heap.
+LONG_WORD = 100
 
 
 def byte_chars() -> dict[int, str]:
@@ -78,7 +85,9 @@ class Vocabulary:
             spec = json.load(f)
         self.path = path
         self.ids: dict[str, int] = spec["model"]["vocab"]
-        self.ranks = {tuple(m): i for i, m in enumerate(spec["model"]["merges"])}
+        # (left id, right id) in one number -> (rank, merged id) in one number.
+        self.merges = {self.ids[a] << ID_BITS | self.ids[b]: i << ID_BITS | self.ids[a + b]
+                       for i, (a, b) in enumerate(map(_pair, spec["model"]["merges"]))}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: t for t, i in (self.ids | self.special).items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", SPACE)
@@ -96,7 +105,9 @@ class Vocabulary:
                  "Replace": lambda s: normalizers.Replace(Regex(s["pattern"]["Regex"]), s["content"])}
         self.normal = normalizers.Sequence(
             [steps[s["type"]](s) for s in spec["normalizer"]["normalizers"]]).normalize_str
-        self.chars = byte_chars()
+        chars = byte_chars()
+        self.inner = [self.ids[chars[b]] for b in range(256)]
+        self.last = [self.ids[chars[b] + END] for b in range(256)]
 
     def _cut(self, text: str) -> list[str]:
         if self.beyond_plain(text):
@@ -120,26 +131,51 @@ class Vocabulary:
         """Token ids of one word by exact merging, lowest rank first, leftmost first."""
         if word in self.special:
             return [self.special[word]]
-        return [self.ids[p] for p in self.merged(word) if p in self.ids]
-
-    def merged(self, word: str) -> list[str]:
-        """The strings a word is merged into."""
-        parts = [self.chars[b] for b in word.encode("utf-8")]
-        parts[-1] += END
-        rank, never = self.ranks.get, 1 << 30
-        ranks = [rank(pair, never) for pair in zip(parts, parts[1:])]
+        data = word.encode("utf-8")
+        ids = [self.inner[b] for b in data]
+        ids[-1] = self.last[data[-1]]
+        if len(ids) > LONG_WORD:
+            return self._merge_long(ids)
+        get, never = self.merges.get, NEVER
+        ranks = [get(a << ID_BITS | b, never) for a, b in zip(ids, ids[1:])]
         while ranks:
             best = min(ranks)
             if best == never:
                 break
             i = ranks.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            ids[i:i + 2] = [best & ID_MASK]
             del ranks[i]
             if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), never)
+                ranks[i - 1] = get(ids[i - 1] << ID_BITS | ids[i], never)
             if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), never)
-        return parts
+                ranks[i] = get(ids[i] << ID_BITS | ids[i + 1], never)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same merges in n log n: a heap of (rank, position) over a linked list."""
+        n, get = len(ids), self.merges.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(v, i) for i in range(n - 1) if (v := get(ids[i] << ID_BITS | ids[i + 1])) is not None]
+        heapify(heap)
+        while heap:
+            v, i = heappop(heap)
+            j = after[i]
+            if j >= n or ids[i] < 0 or get(ids[i] << ID_BITS | ids[j]) != v:
+                continue  # one side was merged since
+            ids[i], ids[j] = v & ID_MASK, -1
+            after[i] = j = after[j]
+            if j < n:
+                before[j] = i
+            for left, right in ((before[i], i), (i, j)):
+                if left >= 0 and right < n and (v := get(ids[left] << ID_BITS | ids[right])) is not None:
+                    heappush(heap, (v, left))
+        return [x for x in ids if x >= 0]
+
+
+def _pair(merge: str | list[str]) -> tuple[str, str]:
+    """A merge of the file, which is a list of two strings or both with a blank between."""
+    left, right = merge.split(" ") if isinstance(merge, str) else merge
+    return left, right
 
 
 def _common(a: tuple, b: tuple) -> int:
@@ -263,18 +299,20 @@ class MappedTransducer:
 
     def lookup(self, word: bytes) -> list[int] | None:
         """Token ids of a word of the lexicon, None for any other."""
-        state, ids, base = 0, [], self.labels_at
-        first, find, out_at, out = self.first, self.data.find, self.out_at, self.out
+        state, arcs, base = 0, [], self.labels_at
+        first, target, find = self.first, self.target, self.data.find
         for i in range(len(word)):
             arc = find(word[i:i + 1], base + first[state], base + first[state + 1]) - base
             if arc < 0:
                 return None
-            lo, hi = out_at[arc], out_at[arc + 1]
-            if hi > lo:
-                ids += out[lo:hi].tolist()
-            state = self.target[arc]
+            arcs.append(arc)
+            state = target[arc]
         if not self.final[state]:
             return None
+        ids, out_at, out = [], self.out_at, self.out
+        for arc in arcs:
+            if out_at[arc + 1] > out_at[arc]:
+                ids += out[out_at[arc]:out_at[arc + 1]].tolist()
         return ids + out[self.end_at[state]:self.end_at[state + 1]].tolist()
 
 
@@ -343,27 +381,48 @@ def _encoder(vocab_path: str, lexicon_path: str) -> Encoder:
     return Encoder(vocabulary(vocab_path), _mapped(lexicon_path))
 
 
+class _Decimals(dict):
+    """Words to their ids in decimal; a new word is learnt when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: str) -> str:
+        return self.learn(word)
+
+
 class Encoder:
-    """Encodes and decodes texts of one worker: lexicon first, exact merges for the rest."""
+    """Encodes and decodes texts of one worker: lexicon first, exact merges for the rest.
+
+    What a word gives is remembered, its ids as ``decimals`` and as their
+    ``strings``. Words outside the lexicon are forgotten between two texts once
+    there are ``REMEMBERED`` of them.
+    """
 
     def __init__(self, vocab: Vocabulary, lexicon: MappedTransducer):
         self.vocab, self.lexicon = vocab, lexicon
-        self.known: dict[str, tuple[list[int], str, str]] = {}
+        self.decimals, self.strings = _Decimals(self._learn), {}
+        self.rare: list[str] = []
 
-    def _learn(self, word: str) -> tuple[list[int], str, str]:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
+    def _learn(self, word: str) -> str:
         ids = None if word in self.vocab.special else self.lexicon.lookup(word.encode())
         if ids is None:
             ids = self.vocab.merge(word)
-        entry = (ids, " ".join(map(str, ids)), " ".join([self.vocab.strings[i] for i in ids]))
-        self.known[word] = entry
-        return entry
-
-    def entries(self, text: str) -> list[tuple[list[int], str, str]]:
-        """(ids, their decimals, their strings) of every word that has tokens."""
-        known, learn = self.known.get, self._learn
-        return [e for w in self.vocab.words(text) if (e := known(w) or learn(w))[0]]
+            self.rare.append(word)
+        self.strings[word] = " ".join([self.vocab.strings[i] for i in ids])
+        self.decimals[word] = decimals = " ".join(map(str, ids))
+        return decimals
+
+    def encode(self, text: str) -> tuple[str, str]:
+        """The ids of a text in decimal and their strings, both joined by one space."""
+        if len(self.rare) > REMEMBERED:
+            for word in self.rare:
+                del self.decimals[word], self.strings[word]
+            self.rare.clear()
+        words = self.vocab.words(text)
+        decimals = " ".join(map(self.decimals.__getitem__, words))
+        return decimals, " ".join(map(self.strings.__getitem__, words))
 
 
 def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
@@ -382,13 +441,10 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
     def run(batches):
         encoder = _encoder(vocab_path, SparkFiles.get(lexicon))
         for batch in batches:
-            counts, ids, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                found = encoder.entries(text or "")
-                counts.append(sum(len(e[0]) for e in found))
-                ids.append(" ".join([e[1] for e in found]) if as_text
-                           else [i for e in found for i in e[0]])
-                decoded.append(" ".join([e[2] for e in found]))
+            coded = [encoder.encode(text or "") for text in batch.column("text").to_pylist()]
+            counts = [d.count(" ") + 1 if d else 0 for d, _ in coded]
+            ids = [d if as_text else list(map(int, d.split())) for d, _ in coded]
+            decoded = [s for _, s in coded]
             kind = pa.string() if as_text else pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(counts, pa.int64()), pa.array(ids, kind),

@@ -27,6 +27,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from html import unescape
@@ -35,7 +36,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .html_main import blocks, parse, prune
+from .html_main import INLINE, RAW
 
 VERSION = b"WARC/1.1"
 RECORD = "record_id string, type string, target_uri string, date string, headers map<string,string>, block binary"
@@ -45,6 +46,13 @@ _TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(
 PAGE_DATE = "2024-01-01T00:00:00Z"
 _TITLE = regex.compile(r"<title[^>]*>(.*?)</title>", regex.I | regex.S)
 _LINK = regex.compile(r"""<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", regex.I)
+_REST = r"""[^>"']*(?:(?:"[^"]*(?:"|$)|'[^']*(?:'|$))[^>"']*)*(?:>|$)"""
+_SKIPPED = re.compile(rf"<!--.*?(?:-->|$)|<({'|'.join(sorted(RAW))})(?=[\s/>]){_REST}.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)",
+                      re.I | re.S)
+_INLINE_TAG = re.compile(rf"</?(?:{'|'.join(sorted(INLINE))})(?=[\s/>]){_REST}", re.I | re.S)
+_TAG = re.compile(rf"</?[a-zA-Z]{_REST}", re.S)
+#: Level of the gzip members: two thirds of the default level's time, 1 % more bytes.
+GZIP_LEVEL = 4
 #: Headers that every record has by itself; the response's others are carried over.
 OWN = {"warc-type", "warc-record-id", "warc-date", "warc-target-uri", "content-length", "content-type",
        "warc-block-digest", "warc-payload-digest", "warc-refers-to"}
@@ -104,7 +112,7 @@ def warc_files(records: DataFrame) -> DataFrame:
     def emit(batches):
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("record_id", "headers", "block")))
-            yield _batch([(i, gzip.compress(to_bytes(h, b), mtime=0)) for i, h, b in rows],
+            yield _batch([(i, gzip.compress(to_bytes(h, b), GZIP_LEVEL, mtime=0)) for i, h, b in rows],
                          ["record_id", "member"], [pa.string(), pa.binary()])
     return records.mapInArrow(emit, "record_id string, member binary")
 
@@ -169,10 +177,13 @@ def http_parts(block: bytes) -> tuple[list[tuple[str, str]], bytes]:
 
 
 def plain_text(html: str) -> str:
-    """All visible text of a page, one block a line."""
-    root = parse(html)
-    prune(root)
-    return "\n".join(blocks(root))
+    """All text of a page outside comments and raw elements (scripts, styles, ...), one block or line a line.
+
+    Character references are decoded, white space inside a block is one space.
+    """
+    text = _TAG.sub("\n", _INLINE_TAG.sub("", _SKIPPED.sub("", html.replace("\n", " "))))
+    lines = (" ".join(unescape(line).split()) for line in text.split("\n"))
+    return "\n".join(filter(None, lines))
 
 
 def derived_records(record_id: str, uri: str | None, date: str | None, headers: list[tuple[str, str]],
