@@ -33,19 +33,19 @@ import zlib
 from html import unescape
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from .html_main import INLINE, RAW
 
 VERSION = b"WARC/1.1"
 RECORD = "record_id string, type string, target_uri string, date string, headers map<string,string>, block binary"
+MEMBER = "record_id string, member binary"
 _NAMES = ["record_id", "type", "target_uri", "date", "headers", "block"]
 _TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
 #: Date of records made from pages, which carry none.
 PAGE_DATE = "2024-01-01T00:00:00Z"
-_TITLE = regex.compile(r"<title[^>]*>(.*?)</title>", regex.I | regex.S)
-_LINK = regex.compile(r"""<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", regex.I)
+_TITLE = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
+_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _REST = r"""[^>"']*(?:(?:"[^"]*(?:"|$)|'[^']*(?:'|$))[^>"']*)*(?:>|$)"""
 _SKIPPED = re.compile(rf"<!--.*?(?:-->|$)|<({'|'.join(sorted(RAW))})(?=[\s/>]){_REST}.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)",
                       re.I | re.S)
@@ -87,9 +87,10 @@ def response_record(page_id, url: str | None, html: str | None) -> tuple:
     payload = (html or "").encode("utf-8", "replace")
     head = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
             + f"Content-Length: {len(payload)}\r\n\r\n".encode())
-    return _record("response", named_id("response", str(page_id), url or "", digest(payload)), url, PAGE_DATE,
+    sha = digest(payload)
+    return _record("response", named_id("response", str(page_id), url or "", sha), url, PAGE_DATE,
                    "application/http; msgtype=response", head + payload,
-                   {"WARC-Payload-Digest": digest(payload), "WARC-Identified-Payload-Type": "text/html"})
+                   {"WARC-Payload-Digest": sha, "WARC-Identified-Payload-Type": "text/html"})
 
 
 def responses(pages: DataFrame) -> DataFrame:
@@ -107,14 +108,18 @@ def to_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return head + block + b"\r\n\r\n"
 
 
+def _members_of(rows) -> pa.RecordBatch:
+    """(record_id, member) of (record id, headers, block) rows."""
+    return _batch([(i, gzip.compress(to_bytes(h, b), GZIP_LEVEL, mtime=0)) for i, h, b in rows],
+                  ["record_id", "member"], [pa.string(), pa.binary()])
+
+
 def warc_files(records: DataFrame) -> DataFrame:
     """(record_id, member): every record as a gzip member; members one after the other are a WARC file."""
     def emit(batches):
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("record_id", "headers", "block")))
-            yield _batch([(i, gzip.compress(to_bytes(h, b), GZIP_LEVEL, mtime=0)) for i, h, b in rows],
-                         ["record_id", "member"], [pa.string(), pa.binary()])
-    return records.mapInArrow(emit, "record_id string, member binary")
+            yield _members_of(zip(*(batch.column(c).to_pylist() for c in ("record_id", "headers", "block"))))
+    return records.mapInArrow(emit, MEMBER)
 
 
 def _members(data: bytes):
@@ -182,7 +187,7 @@ def plain_text(html: str) -> str:
     Character references are decoded, white space inside a block is one space.
     """
     text = _TAG.sub("\n", _INLINE_TAG.sub("", _SKIPPED.sub("", html.replace("\n", " "))))
-    lines = (" ".join(unescape(line).split()) for line in text.split("\n"))
+    lines = (" ".join(unescape(line).split()) for line in text.split("\n") if line)
     return "\n".join(filter(None, lines))
 
 
@@ -213,21 +218,37 @@ def derived_records(record_id: str, uri: str | None, date: str | None, headers:
             _record("metadata", named_id("metadata", record_id), uri, date, "application/warc-fields", meta, carried)]
 
 
+def _derived_rows(batch: pa.RecordBatch) -> list[tuple]:
+    rows = []
+    for i, uri, date, headers, block in zip(*(batch.column(c).to_pylist() for c in (
+            "record_id", "target_uri", "date", "headers", "block"))):
+        rows += derived_records(i, uri, date, headers or [], block or b"")
+    return rows
+
+
+def _sources(records: DataFrame) -> DataFrame:
+    return records.where("type = 'response' AND record_id IS NOT NULL").select(_NAMES)
+
+
 def derive(records: DataFrame) -> DataFrame:
     """The derived records of all responses among ``records``."""
     def emit(batches):
         for batch in batches:
-            rows = []
-            for i, uri, date, headers, block in zip(*(batch.column(c).to_pylist() for c in (
-                    "record_id", "target_uri", "date", "headers", "block"))):
-                rows += derived_records(i, uri, date, headers or [], block or b"")
-            yield _batch(rows)
-    return records.where("type = 'response' AND record_id IS NOT NULL").select(_NAMES).mapInArrow(emit, RECORD)
+            yield _batch(_derived_rows(batch))
+    return _sources(records).mapInArrow(emit, RECORD)
+
+
+def derivative_files(records: DataFrame) -> DataFrame:
+    """``warc_files(derive(records))`` in one pass: the records go from derivation to their members."""
+    def emit(batches):
+        for batch in batches:
+            yield _members_of((r[0], r[4], r[5]) for r in _derived_rows(batch))
+    return _sources(records).mapInArrow(emit, MEMBER)
 
 
 def query(pages: DataFrame) -> DataFrame:
     """Digests of every derived record, read back from the WARC bytes that are written."""
-    written = warc_files(derive(responses(pages)))
+    written = derivative_files(responses(pages))
     return parse_records(written.selectExpr("member AS content")).selectExpr(
         "record_id", "type", "target_uri", "headers['WARC-Refers-To'] AS refers_to",
         "headers['WARC-Refers-To-Date'] AS refers_to_date",

@@ -251,6 +251,9 @@ def test_warc_records_link_back(spark):
         assert r["headers"]["WARC-Block-Digest"] == warc.digest(bytes(r["block"]))
     meta = next(bytes(r["block"]).decode() for r in derived if r["type"] == "metadata" and r["target_uri"])
     assert "title: T\r\n" in meta and "outlink: /\r\n" in meta and "http-content-type: text/html; charset=utf-8" in meta
+    direct = warc.derivative_files(warc.responses(pages)).collect()
+    assert sorted(bytes(r["member"]) for r in direct) == sorted(members)
+    assert warc.plain_text("<p title='a>b'>x &amp; y</p><script>no</script> z<br>\n w<!-- - ->") == "x & y\nz\nw"
     assert gzip.decompress(members[0]).startswith(b"WARC/1.1\r\nWARC-Type: ")
     assert warc.query(pages.where("false")).count() == 0
 
