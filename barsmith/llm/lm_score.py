@@ -12,10 +12,9 @@ other word is one of ``TAILS`` hashed tail tokens. Tokens are numbered by
 frequency and dealt over ``CLASSES`` classes of equal size.
 
 Training is data-parallel, in numpy inside Spark tasks: in every round each
-partition of the corpus makes one pass of stochastic gradient steps over every
-``1/TRAIN_SHARE``-th of its tokens (the share is fixed, so what is gathered
-grows with the corpus) starting from the round's parameters and hands back its
-parameters; Spark averages them, weighted by tokens, row by row with a
+partition of the corpus makes one pass of stochastic gradient steps over all of
+its tokens, the last, smaller batch included, starting from the round's
+parameters and hands back its parameters; Spark averages them, weighted by tokens, row by row with a
 map-side combined aggregate. Parameters are a fixed 1.4 MB. Rounds are written
 tables; a lost executor repeats its partitions with the same result.
 
@@ -44,8 +43,8 @@ TAILS = 256
 SIDE = 2
 HIDDEN = 24
 ROUNDS = 2
-#: Every so many tokens one is trained on.
-TRAIN_SHARE = 16
+#: Every so many tokens one is trained on: all of them.
+TRAIN_SHARE = 1
 RATE = 0.5
 BATCH = 256
 #: Tokens scored at a time.
@@ -132,15 +131,29 @@ class Network:
         up = -np.exp(_log_softmax(h @ self.classes.T))
         up[np.arange(n), klass] += 1
         back = up @ self.classes
-        member_rows = klass[:, None] + CLASSES * np.arange(CLASSES)
-        weights = self.members[member_rows]
-        down = -np.exp(_log_softmax(np.einsum("nh,nkh->nk", h, weights)))
-        down[np.arange(n), inner] += 1
-        back += np.einsum("nk,nkh->nh", down, weights)
+        # Rows by class, every class padded to the largest; the members of class k are k, k + CLASSES, ...
+        order = np.argsort(klass, kind="stable")
+        new = np.diff(klass[order], prepend=-1) != 0
+        firsts, seg = np.flatnonzero(new), np.cumsum(new) - 1
+        seen, place = klass[order[firsts]], np.arange(n) - firsts[seg]
+        near = np.zeros((len(seen), place.max() + 1, HIDDEN + 1), np.float32)
+        near[seg, place] = h[order]
+        by_class = self.members.reshape(CLASSES, CLASSES, HIDDEN + 1).transpose(1, 0, 2)
+        weights = by_class[seen]
+        down = near @ weights.transpose(0, 2, 1)
+        own = -np.exp(_log_softmax(down[seg, place]))
+        own[np.arange(n), inner[order]] += 1
+        down[:] = 0
+        down[seg, place] = own
+        back[order] += (down @ weights)[seg, place]
+        by_class[seen] += rate / n * (down.transpose(0, 2, 1) @ near)
         self.classes += rate / n * (up.T @ h)
-        np.add.at(self.members, member_rows, (rate / n) * down[:, :, None] * h[:, None, :])
         grad = (back * (1 - h * h))[:, :-1]
-        np.add.at(self.embed, rows, (rate / n) * np.repeat(grad[:, None, :], 2 * SIDE, axis=1))
+        # Row sums of neighbours that occur several times in the batch.
+        flat = rows.ravel()
+        order = np.argsort(flat, kind="stable")
+        firsts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        self.embed[flat[order[firsts]]] += rate / n * np.add.reduceat(grad[order // (2 * SIDE)], firsts, axis=0)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -162,6 +175,12 @@ def train_round(docs: DataFrame, vocab: dict[bytes, int], net: Network, turn: in
         own, seen, used = start.copy(), turn, 0
         around, target, held = [], [], 0
         rate = RATE / (1 + turn)
+
+        def steps(a, t):
+            for lo in range(0, len(t), BATCH):
+                part = t[lo:lo + BATCH]
+                own.step(a[lo:lo + BATCH], part, rate * len(part) / 32)
+
         for batch in batches:
             for text in texts_as_bytes(batch.column("text")):
                 tokens = tokens_of(text, vocab)
@@ -172,11 +191,13 @@ def train_round(docs: DataFrame, vocab: dict[bytes, int], net: Network, turn: in
                 held += len(at)
                 if held >= BATCH:
                     a, t = np.concatenate(around), np.concatenate(target)
-                    for lo in range(0, len(t) - BATCH + 1, BATCH):
-                        own.step(a[lo:lo + BATCH], t[lo:lo + BATCH], rate * BATCH / 32)
                     rest = len(t) - len(t) % BATCH
+                    steps(a[:rest], t[:rest])
                     used += rest
                     around, target, held = [a[rest:]], [t[rest:]], len(t) - rest
+        if held:
+            steps(np.concatenate(around), np.concatenate(target))
+            used += held
         if used:
             names, rows, values = [], [], []
             for i, k in enumerate(Network.SHAPES):

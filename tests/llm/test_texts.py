@@ -231,6 +231,17 @@ def test_lm_scores_match_plain_network_and_prefer_order(docs_of):
     assert lm_score.query(docs_of([])).count() == 0
 
 
+def test_lm_training_takes_every_token_of_small_partitions(docs_of):
+    rows = [(i, w) for i, w in enumerate(["one", "two", "three", "four words in all", "five"])]
+    docs = docs_of(rows).repartition(5)
+    vocab, net = lm_score.train(docs.select("text"))
+    assert all((lm_score._trained_positions(n, at, lm_score.TRAIN_SHARE) == np.arange(n)).all()
+               for n in (0, 1, 300) for at in range(40))
+    before = {r["doc_id"]: r["pll"] for r in lm_score.score(docs, vocab, lm_score.Network.fresh()).collect()}
+    after = {r["doc_id"]: r["pll"] for r in lm_score.score(docs, vocab, net).collect()}
+    assert all(after[i] > before[i] for i, _ in rows)
+
+
 def test_warc_records_link_back(spark):
     pages = spark.createDataFrame([(1, "http://a/", PAGE), (2, None, None), (1, "http://a/", PAGE)],
                                   "page_id long, url string, html string")
