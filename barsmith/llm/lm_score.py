@@ -6,10 +6,14 @@ passed through tanh, and a two-step softmax (class, then token within its
 class) gives the conditional probability. A document's score is the sum of the
 conditional log-probabilities of all its tokens, its pseudo-log-likelihood.
 
-Tokens are words (ASCII white space, A-Z lower-cased). The vocabulary are the
-``VOCABULARY - 1 - TAILS`` most frequent words, counted over all documents; any
-other word is one of ``TAILS`` hashed tail tokens. Tokens are numbered by
-frequency and dealt over ``CLASSES`` classes of equal size.
+Tokens are words (ASCII white space, A-Z lower-cased), all counted over all
+documents in a Spark table that grows with the corpus. The network's tokens are
+the ``VOCABULARY - 1 - TAILS`` most frequent words; any other word is one of
+``TAILS`` hashed tail tokens. Tokens are numbered by frequency and dealt over
+``CLASSES`` classes of equal size. A tail word is scored by its own probability,
+P(tail token | neighbours) * P(word | tail token), the second its share of the
+tail token's occurrences in the corpus, joined by word. Neighbours that are tail
+words act through their tail token only.
 
 Training is data-parallel, in numpy inside Spark tasks: in every round each
 partition of the corpus makes one pass of stochastic gradient steps over all of
@@ -18,15 +22,20 @@ parameters and hands back its parameters; Spark averages them, weighted by token
 map-side combined aggregate. Parameters are a fixed 1.4 MB. Rounds are written
 tables; a lost executor repeats its partitions with the same result.
 
-Scoring covers whole texts where they lie, in slices of ``SLICE`` tokens.
+Scoring covers whole texts where they lie, in slices of ``SLICE`` tokens; the
+network's sums and every row's tail words are written once, under an id of the
+row, and the tail words' shares are joined and added by that id.
 
 Defined results: a null text or one without words has no tokens and score 0;
+a tail word that the counted corpus does not hold scores as one seen once;
 repeated rows score alike; an empty table gives an empty result. Other columns
 are passed through; ``n_tokens`` and ``pll`` of the input are replaced.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -50,6 +59,7 @@ BATCH = 256
 #: Tokens scored at a time.
 SLICE = 1 << 16
 
+_TAIL_WORDS = pa.list_(pa.struct([("word", pa.binary()), ("tail", pa.int32()), ("times", pa.int64())]))
 _TO_SPACE = bytes.maketrans(SPACE_BYTES, b" " * len(SPACE_BYTES))
 
 
@@ -57,8 +67,8 @@ def words_of(text: bytes) -> list[bytes]:
     return [w for w in text.lower().translate(_TO_SPACE).split(b" ") if w]
 
 
-def vocabulary(docs: DataFrame) -> dict[bytes, int]:
-    """word -> token, of the most frequent words over all documents (1 is the most frequent)."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of every word of all documents, a written table."""
     def emit(batches):
         for batch in batches:
             counts: dict[bytes, int] = {}
@@ -69,15 +79,49 @@ def vocabulary(docs: DataFrame) -> dict[bytes, int]:
                 [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
                 names=["word", "n"])
 
+    return stored(docs.select("text").mapInArrow(emit, "word binary, n long").groupBy("word")
+                  .agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(counts: DataFrame) -> dict[bytes, int]:
+    """word -> token, of the most frequent words of :func:`word_counts` (1 is the most frequent)."""
     size = VOCABULARY - 1 - TAILS
-    rows = (docs.select("text").mapInArrow(emit, "word binary, n long").groupBy("word")
-            .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size).select("word").collect())
+    rows = counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()
     return {bytes(r["word"]): i + 1 for i, r in enumerate(rows)}
 
 
-def tokens_of(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
+def tail_of(word: bytes) -> int:
+    """Which tail token a word outside the vocabulary is."""
+    return xxhash.xxh3_64_intdigest(word) % TAILS
+
+
+def tail_totals(counts: DataFrame, vocab: dict[bytes, int]) -> list[int]:
+    """Occurrences of every tail token in the corpus."""
+    sent = counts.sparkSession.sparkContext.broadcast(vocab)
+
+    def emit(batches):
+        sums = [0] * TAILS
+        for batch in batches:
+            for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                if w not in sent.value:
+                    sums[tail_of(w)] += n
+        yield pa.RecordBatch.from_arrays([pa.array(range(TAILS), pa.int32()), pa.array(sums, pa.int64())],
+                                         names=["tail", "n"])
+
+    sums = counts.mapInArrow(emit, "tail int, n long").groupBy("tail").agg(F.sum("n").alias("n")).collect()
+    out = [0] * TAILS
+    for r in sums:
+        out[r["tail"]] = r["n"]
+    return out
+
+
+def tokens_of_words(words: list[bytes], vocab: dict[bytes, int]) -> np.ndarray:
     known, tail = vocab.get, VOCABULARY - TAILS
-    return np.array([known(w) or tail + xxhash.xxh3_64_intdigest(w) % TAILS for w in words_of(text)], np.int32)
+    return np.array([known(w) or tail + tail_of(w) for w in words], np.int32)
+
+
+def tokens_of(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
+    return tokens_of_words(words_of(text), vocab)
 
 
 def contexts(tokens: np.ndarray) -> np.ndarray:
@@ -227,24 +271,31 @@ def train_round(docs: DataFrame, vocab: dict[bytes, int], net: Network, turn: in
     return out
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS, share: int = TRAIN_SHARE) -> tuple[dict[bytes, int], Network]:
-    """Vocabulary and network of a corpus."""
-    vocab, net = vocabulary(docs), Network.fresh()
+def train(docs: DataFrame, rounds: int = ROUNDS, share: int = TRAIN_SHARE,
+          counts: DataFrame | None = None) -> tuple[dict[bytes, int], Network]:
+    """Vocabulary and network of a corpus; ``counts`` is its :func:`word_counts` if there already."""
+    vocab, net = vocabulary(word_counts(docs) if counts is None else counts), Network.fresh()
     for turn in range(rounds):
         net = train_round(docs, vocab, net, turn, share)
     return vocab, net
 
 
-def score(docs: DataFrame, vocab: dict[bytes, int], net: Network) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``pll``, the sum of conditional log-probabilities (nats)."""
+def score(docs: DataFrame, vocab: dict[bytes, int], net: Network, counts: DataFrame | None = None,
+          keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``pll``, the sum of conditional log-probabilities (nats).
+
+    ``counts`` are the :func:`word_counts` of the corpus, by default of ``docs``;
+    ``keep`` names the columns passed through, by default all.
+    """
     docs = docs.drop("n_tokens", "pll")
+    counts = word_counts(docs) if counts is None else counts
+    keep = docs.columns if keep is None else keep
     sent = docs.sparkSession.sparkContext.broadcast((vocab, net))
-    text_at, names = docs.columns.index("text"), [*docs.columns, "n_tokens", "pll"]
 
     def emit(batches):
         vocab, net = sent.value
         for batch in batches:
-            sums, counts = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            sums, n_tokens, tails = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64), []
             held, size = [], 0
 
             def flush():
@@ -252,9 +303,11 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network) -> DataFrame:
                 logs = net.log_probs(np.concatenate([a for _, a, _ in held]), np.concatenate([t for _, _, t in held]))
                 np.add.at(sums, owner, logs)
 
-            for i, text in enumerate(texts_as_bytes(batch.column(text_at))):
-                tokens = tokens_of(text, vocab)
-                counts[i] = len(tokens)
+            for i, text in enumerate(texts_as_bytes(batch.column("text"))):
+                words = words_of(text)
+                tokens = tokens_of_words(words, vocab)
+                n_tokens[i] = len(tokens)
+                tails.append(Counter(w for w in words if w not in vocab))
                 around = contexts(tokens)
                 for lo in range(0, len(tokens), SLICE):
                     held.append((i, around[lo:lo + SLICE], tokens[lo:lo + SLICE]))
@@ -264,16 +317,32 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network) -> DataFrame:
                         held, size = [], 0
             if held:
                 flush()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts), pa.array(sums)], names=names)
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_tokens", T.LongType()),
-                           T.StructField("pll", T.DoubleType())])
-    return docs.mapInArrow(emit, schema)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], pa.array(n_tokens), pa.array(sums),
+                 pa.array([[{"word": w, "tail": tail_of(w), "times": n} for w, n in t.items()] for t in tails], _TAIL_WORDS)],
+                names=names)
+
+    names = [*keep, "n_tokens", "_net", "_tails"]
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()),
+                           T.StructField("_net", T.DoubleType()),
+                           T.StructField("_tails", T.ArrayType(T.StructType([
+                               T.StructField("word", T.BinaryType()), T.StructField("tail", T.IntegerType()),
+                               T.StructField("times", T.LongType())])))])
+    # An id of the row, written once: repeated rows and null ids stay apart.
+    rows = stored(docs.mapInArrow(emit, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
+    totals = F.array(*[F.lit(float(np.log(max(1, n)))) for n in tail_totals(counts, vocab)])
+    # Shares as whole nanonats: their sum does not depend on the order of tasks.
+    share = F.round((F.log(F.coalesce("n", F.lit(1)).cast("double")) - F.get(totals, F.col("tail"))) * 1e9).cast("long")
+    tails = (rows.select("_row", F.inline("_tails")).join(counts.select("word", "n"), "word", "left")
+             .groupBy("_row").agg(F.sum(F.col("times") * share).alias("_shares")))
+    pll = F.col("_net") + F.coalesce("_shares", F.lit(0)) / 1e9
+    return rows.drop("_tails").join(tails, "_row", "left").select(*keep, "n_tokens", pll.alias("pll"))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """Pseudo-log-likelihood of every document, in total and per token."""
-    vocab, net = train(docs.select("text"))
-    return score(docs.select("doc_id", "text"), vocab, net).select(
+    counts = word_counts(docs)
+    vocab, net = train(docs.select("text"), counts=counts)
+    return score(docs.select("doc_id", "text"), vocab, net, counts, ["doc_id"]).select(
         "doc_id", "n_tokens", F.round("pll", 3).alias("pll"),
         F.round(F.when(F.col("n_tokens") > 0, F.col("pll") / F.col("n_tokens")), 5).alias("pll_per_token"))

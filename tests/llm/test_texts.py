@@ -242,6 +242,31 @@ def test_lm_training_takes_every_token_of_small_partitions(docs_of):
     assert all(after[i] > before[i] for i, _ in rows)
 
 
+def test_lm_scores_of_tail_words_are_their_own(docs_of):
+    # A full vocabulary of words seen three times; the tail: one word seen twice, the rest once.
+    size = lm_score.VOCABULARY - 1 - lm_score.TAILS
+    tail = ["tail%d" % i for i in range(2000)]
+    bucket = lm_score.tail_of(tail[0].encode())
+    same = [w for w in tail if lm_score.tail_of(w.encode()) == bucket]
+    frequent = " ".join("word%d" % (i % size) for i in range(3 * size))
+    rows = [(0, frequent), (1, " ".join([*tail, same[0]])), (2, same[0]), (3, same[1]), (3, same[1]), (None, same[1]),
+            (4, same[0] + " " + same[1])]
+    docs = docs_of(rows)
+    counts = lm_score.word_counts(docs_of(rows[:2]))
+    vocab, net = lm_score.vocabulary(counts), lm_score.Network.fresh()
+    got = [(r["doc_id"], r["pll"]) for r in lm_score.score(docs, vocab, net, counts).collect()]
+    assert sorted((d for d, _ in got), key=str) == sorted((d for d, _ in rows), key=str)
+    plls = {d: p for d, p in got}
+    assert [p for d, p in got if d == 3] == [plls[None]] * 2
+    alone = net.log_probs(lm_score.contexts(lm_score.tokens_of(same[0].encode(), vocab)),
+                          lm_score.tokens_of(same[0].encode(), vocab))[0]
+    total = len(same) + 1
+    assert plls[2] == pytest.approx(alone + np.log(2 / total), abs=1e-6)
+    assert plls[3] == pytest.approx(alone + np.log(1 / total), abs=1e-6)
+    both = lm_score.tokens_of(rows[-1][1].encode(), vocab)
+    assert plls[4] == pytest.approx(net.log_probs(lm_score.contexts(both), both).sum() + np.log(2 / total**2), abs=1e-6)
+
+
 def test_warc_records_link_back(spark):
     pages = spark.createDataFrame([(1, "http://a/", PAGE), (2, None, None), (1, "http://a/", PAGE)],
                                   "page_id long, url string, html string")
