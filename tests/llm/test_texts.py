@@ -309,3 +309,19 @@ def test_pipeline_stages_take_effect(spark, docs_of, tmp_path):
     library = Tokenizer.from_file(bpe.default_vocabulary())
     kept = clean[0][1].replace("\nthis very line is repeated here", "")
     assert list(out[0]["ids"]) == library.encode(kept, add_special_tokens=False).ids
+
+
+def test_pipeline_stages_judge_rows_with_null_and_repeated_ids(spark, docs_of, tmp_path):
+    a, b, c, d = (" ".join(base_words(i, 60)) for i in (700, 701, 702, 703))
+    near = a.replace(a.split()[30], "swapped")
+    rows = [(None, a), (None, a), (7, a), (3, near), (3, a), (None, b), (None, b), (5, c), (5, c), (5, d), (8, ""), (9, None)]
+    got = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), str(tmp_path)).collect()
+    groups = {a: "a", near: "a", b: "b", c: "c", d: "d"}
+    kept = [(r["doc_id"], groups.get(r["text"], "")) for r in got]
+    assert sorted(kept, key=str) == sorted([(3, "a"), (None, "b"), (5, "c"), (5, "d"), (8, ""), (9, "")], key=str)
+
+    item = " ".join(base_words(600, 30))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, a + " " + item), (None, b), (5, c), (5, d + " " + item), (6, None)]
+    got = corpus_pipeline.decontamination_stage(spark, docs_of(rows), str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(None, b), (5, c), (6, None)], key=str)
