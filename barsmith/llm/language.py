@@ -8,9 +8,11 @@ Forward-backward gives every word a distribution over languages, in texts that
 switch language too; a document's language is the one with the largest sum of
 word marginals, its score that sum's share.
 
-Fitting (bounded, documented): at most ``MAX_DOCS`` labelled documents, picked
-by hash evenly over the languages, of each the first ``MAX_WORDS`` words; their
-words carry the document's label, and every training sequence is a
+Fitting (bounded, documented): at most ``MAX_DOCS`` distinct labelled texts,
+picked by hash evenly over the languages, of each at most ``MAX_WORDS`` words,
+as stretches of ``STRETCH`` words at hashed places of the whole text (every
+stretch of a text that has no more); their words carry the document's label,
+and every training sequence is a
 concatenation of stretches of different documents, so that transitions are
 learned on switches as well as on runs. The lexicon is counted over the whole
 training corpus. The weights are fitted by averaged stochastic gradient steps
@@ -36,6 +38,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,7 +46,7 @@ from pyspark.sql import types as T
 from .common import stored
 
 FEATURES = 1 << 16
-#: Labelled documents the chain is fitted on, at most, and words of each.
+#: Distinct labelled texts the chain is fitted on, at most, and words of each (in whole stretches).
 MAX_DOCS = 1_200
 MAX_WORDS = 120
 #: Words of the lexicon, per language.
@@ -159,16 +162,35 @@ def lockstep_marginal_sums(scores: np.ndarray, lengths: np.ndarray, move: np.nda
     return sums
 
 
-def training_rows(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> list[tuple[str, str]]:
-    """(lang, text start) of at most ``max_docs`` labelled documents, by hash, evenly over languages."""
+def stretches_of(text: str, max_words: int) -> list[str]:
+    """At most ``max_words`` words in stretches of ``STRETCH``: those with the lowest hashes of text and place."""
+    words = words_of(text)
+    cut = [" ".join(words[i:i + STRETCH]) for i in range(0, len(words), STRETCH)]
+    seed = xxhash.xxh3_64_intdigest(text.encode())
+    order = sorted(range(len(cut)), key=lambda i: (xxhash.xxh3_64_intdigest(str(i), seed), i))
+    return [cut[i] for i in sorted(order[:max(1, max_words // STRETCH)])]
+
+
+def training_rows(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS) -> list[tuple[str, list[str]]]:
+    """(lang, stretches) of at most ``max_docs`` distinct labelled texts, by hash, evenly over languages."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     langs = [r[0] for r in known.select("lang").distinct().orderBy("lang").collect()]
     per = max(1, max_docs // max(1, len(langs)))
+
+    def emit(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array([stretches_of(t, max_words) for t in batch.column("text").to_pylist()],
+                                               pa.list_(pa.string()))], names=["key", "stretches"])
+
     out = []
     for lang in langs:
-        rows = (known.where(F.col("lang") == lang).orderBy(F.xxhash64("text"), "text").limit(per)
-                .select(F.substring("text", 1, 12 * max_words).alias("text")).collect())
-        out += [(lang, r["text"]) for r in rows]
+        own = known.where(F.col("lang") == lang).select(F.sha2("text", 256).alias("key"), "text")
+        # Digests are picked first: copies of a text are one, and only picked texts travel.
+        picked = own.select("key").distinct().orderBy("key").limit(per)
+        rows = (own.join(F.broadcast(picked), "key", "left_semi").mapInArrow(emit, "key string, stretches array<string>")
+                .groupBy("key").agg(F.first("stretches").alias("stretches")).orderBy("key").collect())
+        out += [(lang, r["stretches"]) for r in rows]
     return out
 
 
@@ -205,9 +227,8 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS, e
     labels = sorted({lang for lang, _ in rows})
     chain = Chain(labels, lexicon_of(docs))
     pieces = []
-    for lang, text in rows:
-        slots = [features(w, chain.lexicon) for w in words_of(text)[:max_words]]
-        pieces += [(labels.index(lang), slots[i:i + STRETCH]) for i in range(0, len(slots), STRETCH)]
+    for lang, stretches in rows:
+        pieces += [(labels.index(lang), [features(w, chain.lexicon) for w in s.split(" ")]) for s in stretches]
     rng = np.random.default_rng(seed)
     steps, total_emit, total_move = 0, np.zeros_like(chain.emit), np.zeros_like(chain.move)
     for epoch in range(epochs):

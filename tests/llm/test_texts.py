@@ -189,6 +189,22 @@ def test_language_held_out_accuracy(docs_of):
     assert language.query(docs_of([])).count() == 0
 
 
+def test_language_fitting_samples_distinct_texts_and_whole_texts(docs_of):
+    header = " ".join(["licence"] * 200)
+    texts = [header + " " + " ".join(base_words(i, 600)) for i in range(20)]
+    copied = min(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    rows = [(i, t, "aa") for i, t in enumerate(texts)] + [(100 + i, copied, "aa") for i in range(50)]
+    rows += [(200, "", "aa"), (201, "1 2", "aa"), (202, "just this", "aa")]
+    got = language.training_rows(docs_of(rows), max_docs=23)
+    assert len({tuple(s) for _, s in got if len(s) > 1}) == 20
+    assert ("aa", ["just this"]) in got
+    for _, stretches in got:
+        assert sum(len(s.split()) for s in stretches) <= language.MAX_WORDS
+    words = [w for _, s in got for x in s for w in x.split()]
+    assert 0.15 < words.count("licence") / len(words) < 0.35
+    assert language.training_rows(docs_of(rows), max_docs=23) == got
+
+
 def test_language_lockstep_equals_forward_backward():
     rng = np.random.default_rng(0)
     chain = language.Chain(["a", "b", "c"], {})
