@@ -2,14 +2,18 @@
 
 A page is parsed into a tree (unclosed and stray tags as browsers take them,
 the content of scripts and styles skipped). Elements that never hold the
-article (navigation, headers, footers, asides, forms, ..., and those whose
-class, id or role names boilerplate: adverts, menus, notices, comments) are
-cut. Every paragraph then earns points for its length and its commas, passes
-them to its parent and half of them to its grandparent, and every candidate's
-points are discounted by its link density. The best one is the container; its
-siblings are kept if they score well or are long, link-poor paragraphs. The
-text is the kept nodes' block texts in page order: character references
-decoded, white space inside a block one space, blocks joined by one newline.
+article (navigation, page headers, footers, asides, forms, ...) are cut. Of
+those whose class, id or role names boilerplate (adverts, menus, notices,
+comments), one with a token of such words only is cut unless it holds most of
+the page's text, one with a token of such and other words only if it is
+link-heavy or short; what stays loses points. Every block of text then earns
+points for its length and its commas and passes them to all its ancestors,
+halved at every step, and every candidate's points are discounted by its link
+density. The best one is the container: inside an article or main element all
+of that element's uncut blocks are kept, else the container's siblings that
+score well or are long and link-poor. The text is the kept nodes' block texts in
+page order: character references decoded, white space inside a block one space,
+blocks joined by one newline.
 
 The article element of a page, if there is one, is the natural container and
 wins by a bonus; pages without any paragraph fall back to the body.
@@ -50,16 +54,19 @@ SAME = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td",
         "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"},
          "th": {"tr", "table"}, "option": {"select"}}
-#: Blocks whose text earns points.
-SCORED = frozenset("p pre td blockquote li h2 h3 h4 h5 h6 dd".split())
-
-#: Words in class, id or role that name boilerplate.
+#: Parts of class, id or role tokens that name boilerplate.
 BOILERPLATE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|"
+    r"(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu|breadcrumbs?|"
     r"sidebar|side|aside|footer|foot|header|masthead|cookie\w*|consent|gdpr|notice|alert|popup|modal|overlay|"
     r"comments?|commentlist|disqus|respond|reply|replies|discussion|share|sharing|social|related|recommend\w*|"
     r"newsletter|subscribe|subscription|signup|login|search|widget|pagination|pager|toolbar|tags?|skip|hidden|"
-    r"complementary|contentinfo|legal|copyright|disclaimer|paywall|outbrain|taboola)(?:$|[\s_-])", re.I)
+    r"complementary|contentinfo|legal|copyright|disclaimer|paywall|outbrain|taboola)", re.I)
+#: Points an element named so loses if it stays, and when it is cut.
+NAME_PENALTY = 25.0
+SHORT, SHORT_SHARE, MOST_SHARE, HEAVY_LINKS = 200, 0.2, 0.5, 0.5
+#: Characters of a block's own text from which it may be a container itself.
+LONG_BLOCK = 400
+_PARTS = re.compile(r"[_-]+")
 PROMISING = re.compile(r"article|body|content|entry|main|page|post|story|text|blog", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
@@ -155,10 +162,26 @@ def _is_cut(node: Node) -> bool:
         return True
     if node.tag == "header":  # a page's header goes, an article's own stays
         return not any(a.tag in ("article", "main") for a in _ancestors(node))
+    return False
+
+
+def _named(node: Node) -> int:
+    """2 if a token names only boilerplate ("cookie-notice"), 1 if one also does ("has-sidebar"), else 0."""
     if not node.names or node.tag in ("article", "main"):
-        return False
-    # A wrapper named both ways ("post-header-content") is judged by its content.
-    return BOILERPLATE.search(node.names) is not None
+        return 0
+    most = 0
+    for token in node.names.split():
+        hits = [BOILERPLATE.fullmatch(x) is not None for x in _PARTS.split(token) if x]
+        most = max(most, 2 * (hits != [] and all(hits)), any(hits))
+    return most
+
+
+def _is_cut_by_name(node: Node, size: dict[int, tuple[int, int, int]], page: int) -> bool:
+    named = _named(node)
+    chars = size[id(node)][0]
+    if named == 2:
+        return chars <= MOST_SHARE * page
+    return named == 1 and (density(node, size) > HEAVY_LINKS or (chars < SHORT and chars <= SHORT_SHARE * page))
 
 
 def _ancestors(node: Node):
@@ -167,12 +190,12 @@ def _ancestors(node: Node):
         yield node
 
 
-def prune(root: Node) -> None:
+def prune(root: Node, is_cut=_is_cut) -> None:
     """Remove what can't be article text, and everything below."""
     open_ = [root]
     while open_:
         node = open_.pop()
-        node.parts = [p for p in node.parts if isinstance(p, str) or not _is_cut(p)]
+        node.parts = [p for p in node.parts if isinstance(p, str) or not is_cut(p)]
         open_.extend(p for p in node.parts if not isinstance(p, str))
 
 
@@ -214,24 +237,42 @@ def _start(node: Node) -> float:
               "form": -3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "h1": -5.0, "h2": -5.0, "th": -5.0}.get(node.tag, 0.0)
     if node.names and PROMISING.search(node.names):
         points += 25.0
+    if _named(node):
+        points -= NAME_PENALTY
     return points
 
 
 def best_container(root: Node, size: dict[int, tuple[int, int, int]]) -> Node | None:
     """The node with the most points after the discount, the first one on a tie."""
-    candidates: list[Node] = []
-    for node in walk(root):
-        if node.tag not in SCORED or size[id(node)][0] < MIN_PARAGRAPH:
-            continue
-        chars, _, commas = size[id(node)]
-        points = 1.0 + commas + min(chars // 100, 3)
-        for share, above in zip((1.0, 0.5), _ancestors(node)):
-            if above.points is None:
-                above.points = _start(above)
-                candidates.append(above)
-            above.points += share * points
+    nodes = list(walk(root))
+    own: dict[int, list[int]] = {}  # characters, commas and line breaks of a block's own text
+    passed: dict[int, float] = {}
+    for node in reversed(nodes):  # children first
+        mine = own.setdefault(id(node), [0, 0, 0])
+        for part in node.parts:
+            if isinstance(part, str):
+                mine[0] += len(_SPACE.sub(" ", part).strip())
+                mine[1] += part.count(",") + part.count("، ") + part.count("，")
+            elif part.tag == "br":
+                mine[2] += 1
+            elif part.tag in INLINE:
+                for i, x in enumerate(own[id(part)]):
+                    mine[i] += x
+        points = 0.0
+        if node.tag not in INLINE and mine[0] >= MIN_PARAGRAPH:
+            points = 1.0 + mine[1] + min(mine[0] // 100, 3)
+        got = passed.get(id(node), 0.0)
+        if points and node.tag != "p" and (mine[2] or mine[0] >= LONG_BLOCK):
+            got += points
+        if got:
+            node.points = _start(node) + got
+        up = points + passed.get(id(node), 0.0) / 2
+        if up and node.parent is not None:
+            passed[id(node.parent)] = passed.get(id(node.parent), 0.0) + up
     best, top = None, 0.0
-    for node in candidates:
+    for node in nodes:
+        if node.points is None:
+            continue
         score = node.points * (1 - density(node, size))
         if node.tag in ("article", "main"):
             score += ARTICLE_BONUS
@@ -247,6 +288,10 @@ def density(node: Node, size: dict[int, tuple[int, int, int]]) -> float:
 
 def kept_nodes(best: Node, size: dict[int, tuple[int, int, int]]) -> list[Node]:
     """The container and those of its siblings that read like article text, in page order."""
+    scope = [n for n in (best, *_ancestors(best)) if n.tag in ("article", "main")]
+    if scope:
+        # The innermost one: a main element may hold several articles.
+        return [scope[0]]
     if best.parent is None:
         return [best]
     own = (best.points or 0.0) * (1 - density(best, size))
@@ -257,9 +302,13 @@ def kept_nodes(best: Node, size: dict[int, tuple[int, int, int]]) -> list[Node]:
             continue
         chars, _, _ = size[id(part)]
         link = density(part, size)
+        if part is not best and _named(part):
+            continue
         if part is best or (part.points is not None and part.points * (1 - link) >= least):
             kept.append(part)
-        elif part.tag == "p" and ((chars > 80 and link < 0.25) or (0 < chars <= 80 and link == 0)):
+        elif part.tag not in INLINE and chars > 80 and link < 0.25:
+            kept.append(part)
+        elif part.tag == "p" and 0 < chars <= 80 and link == 0:
             kept.append(part)
     return kept
 
@@ -304,6 +353,9 @@ def main_text(html: str | None) -> str:
     root = parse(html)
     prune(root)
     size = lengths(root)
+    page = size[id(root)][0]
+    prune(root, lambda node: _is_cut_by_name(node, size, page))
+    size = lengths(root)
     best = best_container(root, size)
     if best is None:
         best = next((n for n in walk(root) if n.tag in ("article", "main")), root)

@@ -157,6 +157,19 @@ def test_html_main_text():
     assert "Great article" not in html_main.main_text(no_article) and "Side text" not in html_main.main_text(no_article)
 
 
+@pytest.mark.parametrize("names", ["post hentry tag-news", "main-content has-sidebar", "post-header-content", "x1"])
+@pytest.mark.parametrize("tag", ["p", "div"])
+def test_html_articles_are_judged_by_content(names, tag):
+    parts = ["Part %d, of the story, says a few more words than are needed here." % i for i in range(6)]
+    article = "".join(f"<{tag}>{x}</{tag}>" for x in parts)
+    page = ('<body><div class="top-menu"><a href="/">Home</a> <a href="/a">All the other links</a></div>'
+            f'<div class="{names}">{article}</div><div class="foot"><p>A short line of some thirty letters.</p></div>'
+            '<div class="comments"><p>Great article, thanks, I really, really liked it a lot.</p></div></body>')
+    assert html_main.main_text(page).split("\n") == parts
+    other = page.replace('<div class="foot">', '<div class="x2">')
+    assert html_main.main_text(other).split("\n")[:6] == parts
+
+
 def test_html_awkward(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain words"), (4, "u", "<div>" * 3000 + "deep"), (5, "u", "<p>a<!-- x"),
             (None, "u", PAGE), (6, "u", "<"), (7, "u", "<p>&#x41;&bogus; &amp;amp;</p>")]
