@@ -30,9 +30,22 @@ def bars_job(ticks: DataFrame, out: str, period: str = "day", **cols) -> str:
     return sinks.write_parquet(bars_from_ticks(ticks, period=period, **cols), out)
 
 
+def _quarantine(lines: DataFrame, out: str) -> str:
+    """Write malformed input (``out/lines``) and its count per file (``out/counts``)."""
+    lines.write.mode("overwrite").json(f"{out}/lines")
+    kept = lines.sparkSession.read.schema(lines.schema).json(f"{out}/lines")
+    counts = kept.groupBy("path").agg(F.count(F.lit(1)).alias("malformed"))
+    counts.write.mode("overwrite").json(f"{out}/counts")
+    return out
+
+
 def daily_job(spark: SparkSession, input_path: str, output_path: str,
               symbol: str | None = None, layout: Layout = DEFAULT_LAYOUT) -> str:
-    """The daily feature job: S1 -> D1-D7 -> P1-P4 -> K1 (one write action)."""
+    """The daily feature job: S1 -> D1-D7 -> P1-P4 -> K1 (one write action).
+
+    Malformed input lines go to ``<output_path>_malformed``, with their counts.
+    """
+    _quarantine(readers.malformed_lines(spark, input_path), f"{output_path.rstrip('/')}_malformed")
     bars = readers.read_bars_ndjson(spark, input_path)
     feats = daily.with_run_columns(daily.daily_features(bars, layout), symbol)
     return sinks.write_ndjson(feats, output_path)
@@ -82,7 +95,9 @@ def ingestion_job(spark: SparkSession, envelope_path: str, expected: DataFrame,
     whole zone, so the work follows the size of the run, not of the history.
     """
     root = base.rstrip("/")
-    bars = readers.read_envelopes(spark, envelope_path)
+    bars = readers.read_envelopes(spark, envelope_path, document=None)
+    malformed = _quarantine(readers.malformed_envelopes(spark, envelope_path),
+                            f"{root}/malformed/snapshot={snapshot}")
     report_path = f"{root}/reports/snapshot={snapshot}"
     quality.quality_report(bars, expected).write.mode("overwrite").parquet(report_path)
     report = spark.read.parquet(report_path)
@@ -98,4 +113,4 @@ def ingestion_job(spark: SparkSession, envelope_path: str, expected: DataFrame,
     log_path = f"{root}/run_log/snapshot={snapshot}"
     runlog.run_log_from_quality(report, comp, spans).write.mode("overwrite").parquet(log_path)
     return {"report": report_path, "raw_latest": raw["latest"], "processed_latest": processed["latest"],
-            "run_log": log_path}
+            "run_log": log_path, "malformed": malformed}

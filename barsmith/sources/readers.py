@@ -42,9 +42,8 @@ def as_bars(df: DataFrame) -> DataFrame:
 
 
 def _timed(df: DataFrame, column: str = "date") -> bool:
-    """Whether an ISO text column holds times of day: decided by its first value, one row read."""
-    first = df.where(F.col(column).isNotNull()).select(F.col(column).rlike(_TIMED).alias("t")).first()
-    return bool(first and first["t"])
+    """Whether any value of an ISO text column holds a time of day (an aggregate over the column)."""
+    return bool(df.agg(F.max(F.col(column).rlike(_TIMED))).first()[0])
 
 
 def _typed_date(df: DataFrame, timed: bool | None) -> DataFrame:
@@ -77,7 +76,7 @@ def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
 def read_bars_ndjson(spark: SparkSession, path: str, strict: bool = False, timed: bool | None = None) -> DataFrame:
     """One bar object per line (a missing key reads as NULL).
 
-    ``timed`` says whether dates hold a time of day; unset, the first one decides.
+    ``timed`` says whether dates hold a time of day; unset, they do if any of them does.
     """
     schema = _as_text(BAR_JSON)
     if strict:
@@ -100,7 +99,7 @@ def _require_files(spark: SparkSession, path: str, glob: str) -> None:
 
 
 def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False,
-                       timed: bool | None = False) -> DataFrame:
+                       timed: bool | None = None) -> DataFrame:
     """Nested vendor documents (one JSON document per file) -> bars.
 
     The series is a map keyed by date string; each value holds the five
@@ -129,21 +128,44 @@ def read_vendor_series(spark: SparkSession, path: str, lenient: bool = False,
         field(VENDOR_VOLUME, "decimal(38,6)").cast("bigint").alias("volume"))
 
 
-def read_envelopes(spark: SparkSession, path: str, download: bool = False, document: bool = False,
+def _either_form(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Envelopes that are lines, and the documents of the files that hold no such line (malformed: no ``success``)."""
+    file = F.col("_metadata.file_path").alias("_file")
+    lines = spark.read.schema(schema).json(path).select("*", file).where("success IS NOT NULL")
+    whole = spark.read.option("multiLine", True).schema(schema).json(path).select("*", file)
+    return lines.drop("_file"), whole.join(lines.select("_file").distinct(), "_file", "left_anti").drop("_file")
+
+
+def malformed_envelopes(spark: SparkSession, path: str) -> DataFrame:
+    """(path, value) of what :func:`read_envelopes` takes for no envelope: lines of files of lines, else the whole file."""
+    file = F.col("_metadata.file_path").alias("path")
+    good = F.from_json("value", _TEXT_ENVELOPE)["success"].isNotNull()
+    lines = spark.read.text(path).select(file, "value").where(F.trim("value") != "").withColumn("good", good)
+    of_lines = lines.where("good").select("path").distinct()
+    whole = spark.read.text(path, wholetext=True).select(file, "value").withColumn("good", good)
+    return (lines.where(~F.coalesce("good", F.lit(False))).join(of_lines, "path", "left_semi")
+            .unionByName(whole.where(~F.coalesce("good", F.lit(False))).join(of_lines, "path", "left_anti"))
+            .select("path", "value"))
+
+
+def read_envelopes(spark: SparkSession, path: str, download: bool = False, document: bool | None = False,
                    timed: bool | None = None) -> DataFrame:
     """S3: stored tool envelopes -> bars of the successful ones.
 
     ``document=True`` reads one envelope per file, indented or not (the stored
-    form); otherwise every line is one. ``download=True`` reads the download
+    form); ``False`` reads every line as one; ``None`` takes either form, file by
+    file: a file without a line that is an envelope is one document. ``download=True`` reads the download
     envelope, one level deeper. A bar without its own symbol takes the
     envelope's.
     """
-    reader = spark.read.option("multiLine", document)
-    if download:
-        raw = reader.schema(_TEXT_DOWNLOAD).json(path)
-        env = raw.filter(F.col("success")).select("data.*")
+    schema = _TEXT_DOWNLOAD if download else _TEXT_ENVELOPE
+    if document is None:
+        lines, documents = _either_form(spark, path, schema)
+        env = lines.unionByName(documents)
     else:
-        env = reader.schema(_TEXT_ENVELOPE).json(path)
+        env = spark.read.option("multiLine", document).schema(schema).json(path)
+    if download:
+        env = env.filter(F.col("success")).select("data.*")
     rows = (env.filter(F.coalesce(F.col("success"), F.lit(False)))
                .select(F.col("symbol").alias("_env_symbol"), F.explode("data").alias("bar"))
                .select("_env_symbol", "bar.*"))

@@ -73,6 +73,31 @@ def test_indented_envelope_documents(spark, tmp_path):
     assert len(rows) == 2 and {r["symbol"] for r in rows} == {"E"} and {r["volume"] for r in rows} == {3}
 
 
+def test_jobs_read_either_envelope_form_keep_times_and_count_malformed_input(spark, tmp_path):
+    def envelope(symbol, times):
+        bars = [{"date": t, "open": 1.0, "high": 2.0, "low": 0.5, "close": 1.5, "volume": 3} for t in times]
+        return {"success": True, "symbol": symbol, "record_count": len(bars), "data": bars}
+    hours = ["2024-01-01"] + ["2024-01-01T%02d:00:00" % h for h in range(1, 6)]
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps(envelope("A", hours), indent=2))
+    (src / "b.json").write_text("\n".join(json.dumps(envelope(s, hours)) for s in "BC") + "\n{oops\n")
+    (src / "c.json").write_text('{"success": \n nonsense')
+    bars = readers.read_envelopes(spark, str(src), document=None)
+    assert bars.groupBy("symbol").agg(F.count_distinct("date").alias("n")).where("n = 6").count() == 3
+    expected = spark.createDataFrame([(s,) for s in "ABC"], "symbol string")
+    out = jobs.ingestion_job(spark, str(src), expected, str(tmp_path / "zones"), "s1")
+    assert {r["symbol"]: r["record_count"] for r in spark.read.parquet(out["report"]).collect()} == dict.fromkeys("ABC", 6)
+    counts = spark.read.json(out["malformed"] + "/counts").collect()
+    assert sorted((r["path"][-6:], r["malformed"]) for r in counts) == [("b.json", 1), ("c.json", 1)]
+
+    lines = [json.dumps({"symbol": "A", **b}) for b in envelope("A", hours)["data"]]
+    (tmp_path / "bars.ndjson").write_text("\n".join([*lines, "nonsense"]))
+    daily_out = jobs.daily_job(spark, str(tmp_path / "bars.ndjson"), str(tmp_path / "daily"))
+    assert spark.read.json(daily_out).select("date").distinct().count() == 6
+    assert [r["malformed"] for r in spark.read.json(f"{daily_out}_malformed/counts").collect()] == [1]
+
+
 def test_numbers_as_text_and_malformed_lines(spark, tmp_path):
     p = tmp_path / "bars.ndjson"
     p.write_text('{"date": "2024-01-01", "symbol": "A", "close": "1.5", "volume": 1000.0}\n{"date": \nnonsense\n\n')
