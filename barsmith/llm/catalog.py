@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, chat, decontaminate, html_main, jaccard_join, language, line_dedup, lm_score,
-               quality, warc)
+               merkle, minhash, periodic, quality, warc)
 from .common import prepare, table
 
 
@@ -59,6 +59,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return minhash.query(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return periodic.query(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return merkle.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
@@ -70,9 +85,15 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "op11_minhash": op11_minhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE = {
     "op2_line_dedup": line_dedup.QUERY_SQL,
     "op3_chat_formatting": chat.QUERY_SQL,
+    "op11_minhash": minhash.QUERY_SQL,
+    "op12_periodic_runs": periodic.QUERY_SQL,
+    "op13_merkle_manifest": merkle.QUERY_SQL,
 }
