@@ -10,9 +10,10 @@ link-heavy or short; what stays loses points. Every block of text then earns
 points for its length and its commas and passes them to all its ancestors,
 halved at every step, and every candidate's points are discounted by its link
 density. The best one is the container: inside an article or main element all
-of that element's uncut blocks are kept, else the container's siblings that
-score well or are long and link-poor. The text is the kept nodes' block texts in
-page order: character references decoded, white space inside a block one space,
+of that element's uncut blocks are kept, and those of the articles beside it that
+are no lists of links; else the container and its siblings: those that
+score well or are long and link-poor, paragraphs and headings that are no links, and
+loose text. The text is the kept nodes' block texts in page order: character references decoded, white space inside a block one space,
 blocks joined by one newline.
 
 The article element of a page, if there is one, is the natural container and
@@ -30,7 +31,9 @@ columns are passed through; ``text`` and ``n_chars`` of the input are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +47,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset(["script", "style", "noscript", "template", "iframe", "svg", "math", "object", "textarea",
                  "title", "canvas", "xmp"])
 #: Never part of the article.
-CUT = frozenset("nav aside footer form button select dialog menu head fieldset figure-caption".split()) | RAW
+CUT = frozenset("nav aside footer button select dialog menu head fieldset figure-caption".split()) | RAW
+#: Cut unless they wrap the page: they hold its heading or article, or this share of its text.
+WRAPPERS = frozenset(["form"])
+WRAPPED_SHARE = 0.8
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt
                    ruby s samp small span strike strong sub sup time tt u var wbr img""".split())
 #: Elements a new block start tag closes if they are open.
@@ -71,22 +78,24 @@ PROMISING = re.compile(r"article|body|content|entry|main|page|post|story|text|bl
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute with its value, so that what stands in values is never taken for a name.
+ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*(?:"|$)|'[^']*(?:'|$)|[^\s"'>]+))?""")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "parts", "points", "hidden")
+    __slots__ = ("tag", "names", "parent", "parts", "points", "hidden", "inside")
 
-    def __init__(self, tag: str, parent: Node | None, names: str = "", hidden: bool = False):
+    def __init__(self, tag: str, parent: Node | None, names: str = "", hidden: bool = False, inside: bool = False):
         self.tag, self.parent, self.names, self.hidden = tag, parent, names, hidden
+        self.inside = inside  # of an article or main element
         self.parts: list[Node | str] = []
         self.points: float | None = None
 
 
 def _attributes(text: str) -> tuple[str, bool]:
     names, hidden = [], False
-    for m in _ATTRIBUTE.finditer(text):
+    for m in ATTRIBUTE.finditer(text):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name == "style":
             hidden |= "display:none" in value.replace(" ", "").lower()
@@ -94,7 +103,7 @@ def _attributes(text: str) -> tuple[str, bool]:
             hidden = True
         elif name == "aria-hidden":
             hidden |= value.lower() == "true"
-        else:
+        elif name in ("class", "id", "role"):
             names.append(value)
     return " ".join(names), hidden
 
@@ -103,6 +112,14 @@ def parse(html: str) -> Node:
     """The page as a tree of nodes and texts (character references still encoded)."""
     root = Node("html", None)
     at, node = 0, root
+    opened: Counter[str] = Counter()  # open elements by tag: a stray end tag looks no further
+
+    def leave(node: Node, to: Node) -> Node:
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+        return to
+
     while True:
         m = _TOKEN.search(html, at)
         if m is None:
@@ -116,30 +133,32 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            node = _close(node, tag)
+            if opened[tag]:
+                node = leave(node, _close(node, tag))
             continue
         if tag in ("html", "body"):
             continue
-        node = _open(node, tag)
+        node = leave(node, _open(node, tag, opened))
         names, hidden = _attributes(m[3]) if m[3] else ("", False)
-        child = Node(tag, node, names, hidden)
+        child = Node(tag, node, names, hidden, bool(opened["article"] or opened["main"]))
         node.parts.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif tag not in VOID and not m[3].endswith("/"):
             node = child
+            opened[tag] += 1
 
 
-def _open(node: Node, tag: str) -> Node:
+def _open(node: Node, tag: str, opened: Counter[str]) -> Node:
     """The node a start tag becomes a child of: open elements it implicitly ends are left."""
-    if tag in CLOSES_P:
+    if tag in CLOSES_P and opened["p"]:
         here = node
         while here is not None and here.tag != "p" and here.tag in INLINE:
             here = here.parent
         if here is not None and here.tag == "p":
             node = here.parent
-    if tag in SAME:
+    if tag in SAME and any(opened[t] for t in SAME[tag]):
         here = node
         while here is not None and here.tag not in SCOPE[tag]:
             if here.tag in SAME[tag]:
@@ -149,19 +168,17 @@ def _open(node: Node, tag: str) -> Node:
 
 
 def _close(node: Node, tag: str) -> Node:
-    here = node
-    while here.parent is not None:
-        if here.tag == tag:
-            return here.parent
-        here = here.parent
-    return node  # a stray end tag
+    """The parent of the innermost open ``tag``."""
+    while node.tag != tag:
+        node = node.parent
+    return node.parent
 
 
 def _is_cut(node: Node) -> bool:
     if node.tag in CUT or node.hidden:
         return True
     if node.tag == "header":  # a page's header goes, an article's own stays
-        return not any(a.tag in ("article", "main") for a in _ancestors(node))
+        return not node.inside
     return False
 
 
@@ -179,6 +196,8 @@ def _named(node: Node) -> int:
 def _is_cut_by_name(node: Node, size: dict[int, tuple[int, int, int]], page: int) -> bool:
     named = _named(node)
     chars = size[id(node)][0]
+    if node.tag in WRAPPERS:
+        return chars <= WRAPPED_SHARE * page and not any(n.tag in ("article", "main", "h1") for n in walk(node))
     if named == 2:
         return chars <= MOST_SHARE * page
     return named == 1 and (density(node, size) > HEAVY_LINKS or (chars < SHORT and chars <= SHORT_SHARE * page))
@@ -286,30 +305,46 @@ def density(node: Node, size: dict[int, tuple[int, int, int]]) -> float:
     return links / chars if chars else 0.0
 
 
-def kept_nodes(best: Node, size: dict[int, tuple[int, int, int]]) -> list[Node]:
-    """The container and those of its siblings that read like article text, in page order."""
-    scope = [n for n in (best, *_ancestors(best)) if n.tag in ("article", "main")]
-    if scope:
+def kept_parts(best: Node, size: dict[int, tuple[int, int, int]]) -> list[Node | str]:
+    """The container and what stands beside it that reads like article text, in page order."""
+    scope = next((n for n in (best, *_ancestors(best)) if n.tag in ("article", "main")), None)
+    if scope is not None:
         # The innermost one: a main element may hold several articles.
-        return [scope[0]]
+        if scope.tag != "article" or scope.parent is None:
+            return [scope]
+        return [p for p in scope.parent.parts if p is scope or (
+            not isinstance(p, str) and p.tag == "article" and not _named(p) and density(p, size) <= HEAVY_LINKS)]
     if best.parent is None:
         return [best]
     own = (best.points or 0.0) * (1 - density(best, size))
     least = max(10.0, own * 0.2)
-    kept = []
-    for part in best.parent.parts:
-        if isinstance(part, str):
-            continue
+
+    def reads(part: Node) -> bool:
         chars, _, _ = size[id(part)]
         link = density(part, size)
-        if part is not best and _named(part):
-            continue
-        if part is best or (part.points is not None and part.points * (1 - link) >= least):
-            kept.append(part)
-        elif part.tag not in INLINE and chars > 80 and link < 0.25:
-            kept.append(part)
-        elif part.tag == "p" and 0 < chars <= 80 and link == 0:
-            kept.append(part)
+        if part is best:
+            return True
+        if _named(part) or not chars:
+            return False
+        if part.tag in INLINE or part.tag == "p" or part.tag in HEADINGS:
+            return link <= HEAVY_LINKS
+        return (part.points is not None and part.points * (1 - link) >= least) or (chars > 80 and link < 0.25)
+
+    def loose(part: Node | str) -> bool:
+        return isinstance(part, str) or part.tag in INLINE
+
+    def chars_of(part: Node | str) -> int:
+        return len(clean(part)) if isinstance(part, str) else size[id(part)][0]
+
+    # Loose text counts between blocks that are kept, or if a stretch of it is as long as a paragraph.
+    stretches = [(is_loose, list(run)) for is_loose, run in groupby(best.parent.parts, loose)]
+    whole = [i for i, (is_loose, run) in enumerate(stretches) if not is_loose and any(map(reads, run))]
+    kept: list[Node | str] = []
+    for i, (is_loose, run) in enumerate(stretches):
+        if not is_loose:
+            kept += [p for p in run if reads(p)]
+        elif whole[0] < i < whole[-1] or sum(map(chars_of, run)) >= MIN_PARAGRAPH:
+            kept += [p for p in run if isinstance(p, str) or p.tag == "br" or reads(p)]
     return kept
 
 
@@ -360,7 +395,9 @@ def main_text(html: str | None) -> str:
     if best is None:
         best = next((n for n in walk(root) if n.tag in ("article", "main")), root)
         return "\n".join(blocks(best))
-    return "\n".join(b for node in kept_nodes(best, size) for b in blocks(node))
+    kept = Node("div", None)
+    kept.parts = kept_parts(best, size)
+    return "\n".join(blocks(kept))
 
 
 def extract(pages: DataFrame) -> DataFrame:
