@@ -35,7 +35,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .html_main import INLINE, RAW
+from .html_main import ATTRIBUTE, INLINE, RAW
 
 VERSION = b"WARC/1.1"
 RECORD = "record_id string, type string, target_uri string, date string, headers map<string,string>, block binary"
@@ -44,13 +44,16 @@ _NAMES = ["record_id", "type", "target_uri", "date", "headers", "block"]
 _TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
 #: Date of records made from pages, which carry none.
 PAGE_DATE = "2024-01-01T00:00:00Z"
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
-_LINK = re.compile(r"""<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_TITLE = re.compile(r"<title(?=[\s/>])", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 _REST = r"""[^>"']*(?:(?:"[^"]*(?:"|$)|'[^']*(?:'|$))[^>"']*)*(?:>|$)"""
 _SKIPPED = re.compile(rf"<!--.*?(?:-->|$)|<({'|'.join(sorted(RAW))})(?=[\s/>]){_REST}.*?(?:</\1\s*>|$)|<[!?][^>]*(?:>|$)",
                       re.I | re.S)
 _INLINE_TAG = re.compile(rf"</?(?:{'|'.join(sorted(INLINE))})(?=[\s/>]){_REST}", re.I | re.S)
 _TAG = re.compile(rf"</?[a-zA-Z]{_REST}", re.S)
+#: The usual anchor: its first attribute is the href.
+_FIRST_HREF = re.compile(r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_ANCHOR = re.compile(rf"<a(?=\s)({_REST})", re.I | re.S)
 #: Level of the gzip members: two thirds of the default level's time, 1 % more bytes.
 GZIP_LEVEL = 4
 #: Headers that every record has by itself; the response's others are carried over.
@@ -129,7 +132,10 @@ def _members(data: bytes):
         return
     while data:
         opener = zlib.decompressobj(31)
-        yield opener.decompress(data)
+        part = opener.decompress(data)
+        if not opener.eof:
+            raise ValueError("a gzip member is cut short")
+        yield part
         data = opener.unused_data
 
 
@@ -191,6 +197,26 @@ def plain_text(html: str) -> str:
     return "\n".join(filter(None, lines))
 
 
+def title_of(html: str) -> str:
+    """The text of the first title element; a title that does not end is none."""
+    start = _TITLE.search(html)
+    opened = html.find(">", start.end()) if start else -1
+    end = _TITLE_END.search(html, opened) if opened >= 0 else None
+    return " ".join(unescape(html[opened + 1:end.start()]).split()) if end else ""
+
+
+def outlinks(html: str) -> list[str]:
+    """The href of every anchor, in page order."""
+    found = []
+    for anchor in _ANCHOR.finditer(html):
+        first = _FIRST_HREF.match(anchor[1])
+        href = first[1] if first else next(
+            (m[2] for m in ATTRIBUTE.finditer(anchor[1]) if m[1].lower() == "href"), None)
+        if href:
+            found.append(unescape(href.strip("\"'")))
+    return found
+
+
 def derived_records(record_id: str, uri: str | None, date: str | None, headers: list[tuple[str, str]],
                     block: bytes) -> list[tuple]:
     """The conversion and the metadata record of a response."""
@@ -208,11 +234,10 @@ def derived_records(record_id: str, uri: str | None, date: str | None, headers:
     carried |= {"WARC-Refers-To-Date": date} if date else {}
     carried["WARC-Source-Payload-Digest"] = get("warc-payload-digest") or digest(payload)
     text = plain_text(html).encode("utf-8", "replace")
-    title = _TITLE.search(html)
-    fields = [("title", " ".join(unescape(title[1]).split()) if title else ""),
+    fields = [("title", title_of(html)),
               ("charset", charset), ("payload-length", str(len(payload))), ("text-length", str(len(text))),
               *[(f"http-{k.lower()}", v) for k, v in http],
-              *[("outlink", unescape(m[1].strip("\"'"))) for m in _LINK.finditer(html)]]
+              *[("outlink", link) for link in outlinks(html)]]
     meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields).encode("utf-8", "replace")
     return [_record("conversion", named_id("conversion", record_id), uri, date, "text/plain; charset=utf-8", text, carried),
             _record("metadata", named_id("metadata", record_id), uri, date, "application/warc-fields", meta, carried)]
@@ -246,9 +271,20 @@ def derivative_files(records: DataFrame) -> DataFrame:
     return _sources(records).mapInArrow(emit, MEMBER)
 
 
+def page_derivative_files(pages: DataFrame) -> DataFrame:
+    """``derivative_files(responses(pages))`` in one pass over the pages."""
+    def emit(batches):
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")))
+            made = (response_record(*r) for r in rows)
+            yield _members_of((d[0], d[4], d[5]) for i, _, uri, date, headers, block in made
+                              for d in derived_records(i, uri, date, headers, block))
+    return pages.select("page_id", "url", "html").mapInArrow(emit, MEMBER)
+
+
 def query(pages: DataFrame) -> DataFrame:
     """Digests of every derived record, read back from the WARC bytes that are written."""
-    written = derivative_files(responses(pages))
+    written = page_derivative_files(pages)
     return parse_records(written.selectExpr("member AS content")).selectExpr(
         "record_id", "type", "target_uri", "headers['WARC-Refers-To'] AS refers_to",
         "headers['WARC-Refers-To-Date'] AS refers_to_date",
