@@ -45,7 +45,7 @@ ALWAYS_RARE = 20
 BROADCAST_SEEDS = 1 << 18
 MATCH, MISMATCH, GAP = 2, -1, -1
 
-_EDGES = regex.compile(r"^\P{Alnum}+|\P{Alnum}+$")
+_EDGE = regex.compile(r"\P{Alnum}*")
 
 
 def plain_words(text: str | None) -> list[str]:
@@ -53,7 +53,9 @@ def plain_words(text: str | None) -> list[str]:
     out = []
     for w in (text or "").lower().split():
         if not (w[0].isalnum() and w[-1].isalnum()):
-            w = _EDGES.sub("", w)
+            # From either end, so that a long word of punctuation is read twice at most.
+            w = w[_EDGE.match(w).end():]
+            w = w[:len(w) - _EDGE.match(w[::-1]).end()]
             if not w:
                 continue
         out.append(w)
