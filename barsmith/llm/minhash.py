@@ -19,11 +19,12 @@ A document is its set of distinct 2-word shingles; two link when
    one partner, the centre of smallest rank of all its keys that it was not yet
    compared with. So a turn gives at most one pair a class, however crowded its
    keys. What shares a key but lies in two components after that, and was not
-   compared, is enumerated in blocks: those outside a key's largest component
-   against its others; in blocks of bounded size, of which only pairs leave
-   whose sketches agree in at least ``LEAST_AGREEMENT`` of their coordinates (seven
-   standard deviations below what linked sets show).
-5. *Verification.* Every pair is settled by the intersection of its full sets.
+   compared, is enumerated in blocks of bounded size: those outside a key's
+   largest component against its others, each pair under the first key that it shares (told
+   by 32 bits of a key). Of all these, pairs go on whose parity bitmaps (a
+   lower bound of the symmetric difference, a few bits a shingle) allow a link.
+5. *Verification.* Every pair that goes on is settled by the intersection of its
+   full sets, made again from the texts of the classes that share a key.
 6. Links become components by star contraction.
 
 No pair is given up by a cap: pairs inside one component, which can't change the
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from .common import stored, texts_as_bytes
 from .components import connected_components
 from .mph import mix
-from .shingles import shingle_set
+from .shingles import max_difference, parity_bitmap, parity_distance, shingle_set
 
 PERCENT = 80
 WIDTH = 2
@@ -55,10 +56,10 @@ ROWS = 5
 BANDS = 48
 BINS = ROWS * BANDS
 TURNS = 3
-#: Share of 8-bit coordinates that two sets of ``PERCENT`` fall short of once in 10^12 pairs.
-LEAST_AGREEMENT = 0.62
 #: Expected rows of a side of a block of pairs.
 BLOCK = 1024
+#: Ids (8 bytes each) up to which an id table is broadcast.
+BROADCAST_IDS = 1 << 20
 
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -103,37 +104,54 @@ def band_keys(sketch: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return out
 
 
-def short_sketch(sketch: np.ndarray) -> np.ndarray:
-    """Eight bits of every coordinate."""
-    return (mix(sketch, 3) & np.uint64(0xFF)).astype(np.uint8)
-
-
 def _binary(rows) -> pa.Array:
     return pa.array([r.tobytes() for r in rows], pa.binary())
 
 
+def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
+    """128 bits of every set, as two columns."""
+    out = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
+    return [pa.array(out[:, 0]), pa.array(out[:, 1])]
+
+
 def sketched(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(row, doc, n, s1, s2, keys, short, shingles) of every row: size, set hash, band keys, sketch, set."""
+    """(row, doc, n, s1, s2, keys, bits) of every row: set size, set hash, band keys, parity bitmap."""
     def emit(batches):
         for batch in batches:
             sets = [shingle_set(t, width) for t in texts_as_bytes(batch.column("text"))]
-            sketch = sketches(sets)
-            digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets),
-                                    np.int64).reshape(-1, 2)
-            keys = band_keys(sketch)
+            keys = band_keys(sketches(sets))
             ends = np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
-                pa.array(digests[:, 0]), pa.array(digests[:, 1]),
+                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), *_digests(sets),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64))),
-                _binary(short_sketch(sketch)), _binary(sets)],
-                names=["doc", "n", "s1", "s2", "keys", "short", "shingles"])
+                pa.array([parity_bitmap(s) for s in sets], pa.binary())],
+                names=["doc", "n", "s1", "s2", "keys", "bits"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").mapInArrow(
-        emit, f"doc {id_type}, n int, s1 long, s2 long, keys array<long>, short binary, shingles binary")
+        emit, f"doc {id_type}, n int, s1 long, s2 long, keys array<long>, bits binary")
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "sketched")
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A written id table, broadcast if a count proves it small; a shuffle join beyond that."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def full_sets(docs: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
+    """(g, shingles) of ``classes`` (g, doc, s1, s2): made from texts of their document, told by the set's hash."""
+    wanted = _small(stored(classes.select("doc").distinct(), "wanted"))
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
+
+    def emit(batches):
+        for batch in batches:
+            sets = [shingle_set(t, width) for t in texts_as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*_digests(sets), _binary(sets)], names=["s1", "s2", "shingles"])
+
+    found = (texts.mapInArrow(emit, "s1 long, s2 long, shingles binary")
+             .join(classes.select("g", "s1", "s2"), ["s1", "s2"]))
+    return stored(found.groupBy("g").agg(F.first("shingles").alias("shingles")), "full-sets")
+
+
 def _sizes_fit(a: str, b: str, percent: int) -> str:
     return f"100L * least({a}, {b}) >= {percent}L * greatest({a}, {b})"
 
@@ -162,8 +180,48 @@ def star_pairs(labelled: DataFrame, tested: DataFrame | None, turn: int, percent
     return best.select("best.a", "best.b").distinct()
 
 
-def block_pairs(labelled: DataFrame, shorts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of one key and two components whose sizes and sketches allow a link.
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Parity bitmaps (one a row) folded to ``words`` 64-bit words."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
+
+
+def _near_in_block(run: pa.Table, percent: int):
+    """Pairs of a block's left and right rows in different components that sizes and bitmaps allow.
+
+    Only those of which the block's key is the first that they share.
+    """
+    g, n, c = (run.column(x).to_numpy() for x in ("g", "n", "c"))
+    n = n.astype(np.int64)
+    marks = run.column("marks").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(g), -1)
+    here = run.column("key")[0].as_py() >> 32
+    bits = run.column("bits").to_pylist()
+    words = np.array([len(b) // 8 for b in bits])
+    right = np.flatnonzero(run.column("right").to_numpy(zero_copy_only=False))
+    groups = {int(w): right[words[right] == w] for w in np.unique(words[right])}
+    held = {w: np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(-1, w) for w, at in groups.items()}
+    folded: dict[tuple[int, int], np.ndarray] = {}
+    for x in np.flatnonzero(run.column("left").to_numpy(zero_copy_only=False)):
+        own = np.frombuffer(bits[x], np.uint64).reshape(1, -1)
+        for w, at in groups.items():
+            to = min(w, own.shape[1])
+            ok = (c[at] != c[x]) & (100 * np.minimum(n[at], n[x]) >= percent * np.maximum(n[at], n[x]))
+            if not ok.any():
+                continue
+            if (w, to) not in folded:
+                folded[w, to] = _folded(held[w], to)
+            y = at[ok]
+            apart = np.bitwise_count(folded[w, to][ok] ^ _folded(own, to)).sum(axis=1, dtype=np.int64)
+            y = y[apart <= max_difference(n[x], n[y], percent)]
+            same = marks[y] == marks[x]
+            y = y[marks[x][same.argmax(axis=1)] == here]
+            if len(y):
+                yield np.stack([np.minimum(g[x], g[y]), np.maximum(g[x], g[y])])
+
+
+def block_pairs(labelled: DataFrame, bits: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of one key and two components whose sizes and bitmaps allow a link.
+
+    ``bits`` has (g, bits, marks) of every class: bitmap, and the upper half of all its keys.
 
     A key's classes outside its largest component are cut into blocks by hash, and
     those inside as well; a task gets one block of the former and one of either.
@@ -175,7 +233,7 @@ def block_pairs(labelled: DataFrame, shorts: DataFrame, percent: int, block: int
         .select("key", F.col("top.c").alias("main"),
                 F.ceil(F.col("top.members") / block).cast("int").alias("main_blocks"),
                 F.ceil((F.col("all") - F.col("top.members")) / block).cast("int").alias("blocks")))
-    rows = (labelled.join(cuts, "key").join(shorts, "g")
+    rows = (labelled.join(cuts, "key").join(bits, "g")
             .withColumn("inside", F.expr("c = main"))
             .withColumn("own", F.expr("if(inside, blocks + pmod(xxhash64(g), main_blocks), pmod(xxhash64(g), blocks))"))
             # Blocks (i, j), i of those outside, j from i on: a row stands left, right or both.
@@ -185,21 +243,15 @@ def block_pairs(labelled: DataFrame, shorts: DataFrame, percent: int, block: int
                 " filter(transform(sequence(0, blocks + main_blocks - 1), "
                 "         j -> named_struct('i', cast(own as int), 'j', j)), x -> not inside and x.j > x.i))")))
             .select("key", "cell.i", "cell.j", F.expr("own = cell.i").alias("left"), F.expr("own = cell.j").alias("right"),
-                    "g", "n", "c", "short"))
+                    "g", "n", "c", "bits", "marks"))
     cell = ["key", "i", "j"]
     dealt = rows.repartition(*cell).sortWithinPartitions(*cell)
-    least = int(LEAST_AGREEMENT * BINS)
-
-    def pairs_of(run: pa.Table):
-        g, n, c = (run.column(x).to_numpy() for x in ("g", "n", "c"))
-        n = n.astype(np.int64)
-        sign = np.frombuffer(b"".join(run.column("short").to_pylist()), np.uint8).reshape(len(g), -1)
-        right = np.flatnonzero(run.column("right").to_numpy(zero_copy_only=False))
-        for x in np.flatnonzero(run.column("left").to_numpy(zero_copy_only=False)):
-            y = right[(c[right] != c[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            y = y[(sign[y] == sign[x]).sum(axis=1) >= least]
-            if len(y):
-                yield np.minimum(g[x], g[y]), np.maximum(g[x], g[y])
+
+    def emit(run: pa.Table):
+        found = list(_near_in_block(run, percent))
+        if found:
+            both = np.unique(np.concatenate(found, axis=1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
     def scan(batches):
         held = None
@@ -214,17 +266,28 @@ def block_pairs(labelled: DataFrame, shorts: DataFrame, percent: int, block: int
         if held is not None and held.num_rows:
             yield from emit(held)
 
-    def emit(run):
-        found = list(pairs_of(run))
-        if found:
-            both = np.unique(np.concatenate([np.stack(p) for p in found], axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
-
     return dealt.mapInArrow(scan, "a long, b long").distinct()
 
 
+def near(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parity bitmaps allow a link."""
+    both = (pairs.join(bits.select(F.col("g").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("x")), "a")
+            .join(bits.select(F.col("g").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("y")), "b"))
+
+    def emit(batches):
+        for batch in batches:
+            n1, n2 = (batch.column(c).to_numpy().astype(np.int64) for c in ("n1", "n2"))
+            bitmaps = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            ok = [parity_distance(x, y) <= most for (x, y), most in zip(bitmaps, max_difference(n1, n2, percent))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
+                                             names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return both.select("a", "b", "n1", "n2", "x", "y").mapInArrow(emit, "a long, b long")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by the exact intersection of their sets."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
+    sets = sets.join(_small(stored(ids, "pair-ids")), "g", "left_semi")
     both = (pairs.join(sets.select(F.col("g").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("g").alias("b"), F.col("shingles").alias("y")), "b"))
 
@@ -240,22 +303,26 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(emit, "a long, b long")
 
 
-def link(rows: DataFrame, classes: DataFrame, percent: int = PERCENT, turns: int = TURNS,
-         block: int = BLOCK) -> DataFrame:
+def link(docs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int = PERCENT, width: int = WIDTH,
+         turns: int = TURNS, block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between classes, enough of them for all components."""
     heads = rows.join(classes.select(F.col("g").alias("row")), "row", "left_semi")
     postings = heads.select(F.explode("keys").alias("key"), F.col("row").alias("g"), "n")
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     live = stored(postings.join(shared, "key", "left_semi"), "shared-keys")
-    sets = stored(rows.select(F.col("row").alias("g"), "short", "shingles")
-                  .join(live.select("g").distinct(), "g", "left_semi"), "live-sets")
+    alive = stored(live.select("g").distinct(), "alive")
+    marks = F.transform("keys", lambda k: F.shiftright(k, 32).cast("int"))
+    bits = stored(rows.select(F.col("row").alias("g"), "n", "bits", marks.alias("marks"))
+                  .join(_small(alive), "g", "left_semi"), "live-bits")
+    sets = full_sets(docs, classes.select("g", F.col("least").alias("doc"), "s1", "s2").join(_small(alive), "g", "left_semi"),
+                     width)
     links = tested = None
     for turn in range(turns):
         pairs = stored(star_pairs(_labelled(live, links), tested, turn, percent), "star-pairs")
-        found = verify(pairs, sets, percent)
+        found = verify(stored(near(pairs, bits, percent), "near"), sets, percent)
         links = stored(found if links is None else links.unionByName(found), "links")
         tested = pairs if tested is None else stored(tested.unionByName(pairs), "tested")
-    rest = block_pairs(_labelled(live, links), sets.select("g", "short"), percent, block)
+    rest = block_pairs(_labelled(live, links), bits.select("g", "bits", "marks"), percent, block)
     if tested is not None:
         rest = rest.join(tested, ["a", "b"], "left_anti")
     found = verify(stored(rest, "block-pairs"), sets, percent)
@@ -269,7 +336,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH,
     same_set = ["n", "s1", "s2"]
     classes = stored(rows.where("n > 0").groupBy(*same_set).agg(
         F.min("row").alias("g"), F.min("doc").alias("least")), "classes")
-    comp = connected_components(link(rows, classes, percent, turns, block))
+    comp = connected_components(link(docs, rows, classes, percent, width, turns, block))
     placed = classes.join(comp.withColumnRenamed("node", "g"), "g", "left").withColumn(
         "component", F.coalesce("component", "g"))
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
