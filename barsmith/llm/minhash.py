@@ -14,16 +14,17 @@ A document is its set of distinct 2-word shingles; two link when
 3. *Banding.* ``ROWS`` coordinates each make one of ``BANDS`` keys. A pair at the
    limit misses all keys with a probability of (1 - 0.8^5)^48 = 5e-9. Keys that
    one class holds alone are dropped.
-4. *Candidates.* In each of ``TURNS`` turns, a key names as centre its class of
-   smallest rank (a combinable aggregate); a class not yet linked to it takes
-   one partner, the centre of smallest rank of all its keys that it was not yet
-   compared with. So a turn gives at most one pair a class, however crowded its
-   keys. What shares a key but lies in two components after that, and was not
-   compared, is enumerated in blocks of bounded size: those outside a key's
-   largest component against its others, each pair under the first key that it shares (told
-   by 32 bits of a key). Of all these, pairs go on whose parity bitmaps (a
-   lower bound of the symmetric difference, a few bits a shingle) allow a link.
-5. *Verification.* Every pair that goes on is settled by the intersection of its
+4. *Candidates.* First a star: a key names as centre its class of smallest rank
+   (a combinable aggregate), and a class takes one partner, the centre of smallest rank of
+   all its keys: at most one pair a class, however crowded its keys. What shares
+   a key but lies in two components after that is looked through in blocks of
+   bounded size, those outside a key's largest component against its others, each pair
+   under the first key that it shares (told by 32 bits of a key). Parity bitmaps
+   (a lower bound of the symmetric difference, near exact with ``SHINGLE_BITS`` bits
+   a shingle) and sizes rule out what can't link. In the first such round a class
+   names only its nearest partner in a block, which joins most of what belongs
+   together; in the last one all pairs left in two components are named.
+5. *Verification.* Every pair is settled by the intersection of its
    full sets, made again from the texts of the classes that share a key.
 6. Links become components by star contraction.
 
@@ -48,14 +49,15 @@ from pyspark.sql import functions as F
 from .common import stored, texts_as_bytes
 from .components import connected_components
 from .mph import mix
-from .shingles import max_difference, parity_bitmap, parity_distance, shingle_set
+from .shingles import max_difference, shingle_set
 
 PERCENT = 80
 WIDTH = 2
 ROWS = 5
 BANDS = 48
 BINS = ROWS * BANDS
-TURNS = 3
+#: Bits of a parity bitmap for a shingle, at least; up to twice as many.
+SHINGLE_BITS = 8
 #: Expected rows of a side of a block of pairs.
 BLOCK = 1024
 #: Ids (8 bytes each) up to which an id table is broadcast.
@@ -114,8 +116,18 @@ def _digests(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array(out[:, 0]), pa.array(out[:, 1])]
 
 
+def bitmap(hashes: np.ndarray) -> bytes:
+    """Bit i is the parity of the shingles whose hash is i modulo the length, a power of two.
+
+    Sets that differ in d shingles differ in at most d bits.
+    """
+    m = max(64, 1 << int(SHINGLE_BITS * len(hashes) - 1).bit_length())
+    at = (mix(hashes, 7) & np.uint64(m - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
 def sketched(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(row, doc, n, s1, s2, keys, bits) of every row: set size, set hash, band keys, parity bitmap."""
+    """(row, doc, n, s1, s2, keys) of every row: set size, set hash, band keys."""
     def emit(batches):
         for batch in batches:
             sets = [shingle_set(t, width) for t in texts_as_bytes(batch.column("text"))]
@@ -123,12 +135,11 @@ def sketched(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             ends = np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), *_digests(sets),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64))),
-                pa.array([parity_bitmap(s) for s in sets], pa.binary())],
-                names=["doc", "n", "s1", "s2", "keys", "bits"])
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))],
+                names=["doc", "n", "s1", "s2", "keys"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text").mapInArrow(
-        emit, f"doc {id_type}, n int, s1 long, s2 long, keys array<long>, bits binary")
+        emit, f"doc {id_type}, n int, s1 long, s2 long, keys array<long>")
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "sketched")
 
 
@@ -138,46 +149,37 @@ def _small(ids: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(g, shingles) of ``classes`` (g, doc, s1, s2): made from texts of their document, told by the set's hash."""
+    """(g, shingles, bits) of ``classes`` (g, doc, s1, s2): made from texts of their document, told by the set's hash."""
     wanted = _small(stored(classes.select("doc").distinct(), "wanted"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")), "left_semi")
 
     def emit(batches):
         for batch in batches:
             sets = [shingle_set(t, width) for t in texts_as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([*_digests(sets), _binary(sets)], names=["s1", "s2", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [*_digests(sets), _binary(sets), pa.array([bitmap(s) for s in sets], pa.binary())],
+                names=["s1", "s2", "shingles", "bits"])
 
-    found = (texts.mapInArrow(emit, "s1 long, s2 long, shingles binary")
+    found = (texts.mapInArrow(emit, "s1 long, s2 long, shingles binary, bits binary")
              .join(classes.select("g", "s1", "s2"), ["s1", "s2"]))
-    return stored(found.groupBy("g").agg(F.first("shingles").alias("shingles")), "full-sets")
+    return stored(found.groupBy("g").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")), "full-sets")
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> str:
     return f"100L * least({a}, {b}) >= {percent}L * greatest({a}, {b})"
 
 
-def _labelled(live: DataFrame, links: DataFrame | None) -> DataFrame:
+def _labelled(live: DataFrame, links: DataFrame) -> DataFrame:
     """The classes of the shared keys with their component so far as ``c``."""
-    if links is None:
-        return live.withColumn("c", F.col("g"))
     comp = connected_components(links).select(F.col("node").alias("g"), F.col("component").alias("c"))
     return live.join(comp, "g", "left").withColumn("c", F.coalesce("c", "g"))
 
 
-def star_pairs(labelled: DataFrame, tested: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """At most one pair (a, b) a class: with the centre of smallest rank of its keys."""
-    rank = F.xxhash64("g", F.lit(turn))
-    centre = F.struct(rank.alias("rank"), F.col("g"), F.col("n"), F.col("c"))
-    centres = (labelled.groupBy("key").agg(F.min(centre).alias("centre"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-               .where("lo != hi").select("key", "centre"))
-    offers = labelled.join(centres, "key").where(
-        f"c != centre.c and {_sizes_fit('n', 'centre.n', percent)}").select(
-        "g", F.col("centre.rank").alias("rank"), F.col("centre.g").alias("other"),
-        F.expr("least(g, centre.g)").alias("a"), F.expr("greatest(g, centre.g)").alias("b"))
-    if tested is not None:
-        offers = offers.join(tested, ["a", "b"], "left_anti")
-    best = offers.groupBy("g").agg(F.min(F.struct("rank", "a", "b")).alias("best"))
-    return best.select("best.a", "best.b").distinct()
+def star_pairs(centred: DataFrame, percent: int) -> DataFrame:
+    """At most one pair (a, b) a class of (key, g, n, centre): with the centre of smallest rank of its keys."""
+    offers = centred.where(f"g != centre.g and {_sizes_fit('n', 'centre.n', percent)}")
+    best = offers.groupBy("g").agg(F.min(F.struct("centre.rank", "centre.g")).alias("best"))
+    return best.select(F.least("g", "best.g").alias("a"), F.greatest("g", "best.g").alias("b")).distinct()
 
 
 def _folded(bits: np.ndarray, words: int) -> np.ndarray:
@@ -185,10 +187,11 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, words), axis=1)
 
 
-def _near_in_block(run: pa.Table, percent: int):
+def _near_in_block(run: pa.Table, percent: int, nearest: bool):
     """Pairs of a block's left and right rows in different components that sizes and bitmaps allow.
 
-    Only those of which the block's key is the first that they share.
+    Only those of which the block's key is the first that they share; with
+    ``nearest`` a left row's closest only.
     """
     g, n, c = (run.column(x).to_numpy() for x in ("g", "n", "c"))
     n = n.astype(np.int64)
@@ -202,6 +205,7 @@ def _near_in_block(run: pa.Table, percent: int):
     folded: dict[tuple[int, int], np.ndarray] = {}
     for x in np.flatnonzero(run.column("left").to_numpy(zero_copy_only=False)):
         own = np.frombuffer(bits[x], np.uint64).reshape(1, -1)
+        found, distances = [], []
         for w, at in groups.items():
             to = min(w, own.shape[1])
             ok = (c[at] != c[x]) & (100 * np.minimum(n[at], n[x]) >= percent * np.maximum(n[at], n[x]))
@@ -211,15 +215,21 @@ def _near_in_block(run: pa.Table, percent: int):
                 folded[w, to] = _folded(held[w], to)
             y = at[ok]
             apart = np.bitwise_count(folded[w, to][ok] ^ _folded(own, to)).sum(axis=1, dtype=np.int64)
-            y = y[apart <= max_difference(n[x], n[y], percent)]
-            same = marks[y] == marks[x]
-            y = y[marks[x][same.argmax(axis=1)] == here]
-            if len(y):
-                yield np.stack([np.minimum(g[x], g[y]), np.maximum(g[x], g[y])])
-
-
-def block_pairs(labelled: DataFrame, bits: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of one key and two components whose sizes and bitmaps allow a link.
+            fit = apart <= max_difference(n[x], n[y], percent)
+            y, apart = y[fit], apart[fit]
+            first = marks[x][(marks[y] == marks[x]).argmax(axis=1)] == here
+            found.append(y[first])
+            distances.append(apart[first])
+        if sum(map(len, found)):
+            y = np.concatenate(found)
+            if nearest:
+                y = y[[int(np.argmin(np.concatenate(distances)))]]
+            yield np.stack([np.minimum(g[x], g[y]), np.maximum(g[x], g[y])])
+
+
+def block_pairs(labelled: DataFrame, bits: DataFrame, percent: int, block: int = BLOCK,
+                nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) of one key and two components whose sizes and bitmaps allow a link, or the nearest ones.
 
     ``bits`` has (g, bits, marks) of every class: bitmap, and the upper half of all its keys.
 
@@ -248,7 +258,7 @@ def block_pairs(labelled: DataFrame, bits: DataFrame, percent: int, block: int =
     dealt = rows.repartition(*cell).sortWithinPartitions(*cell)
 
     def emit(run: pa.Table):
-        found = list(_near_in_block(run, percent))
+        found = list(_near_in_block(run, percent, nearest))
         if found:
             both = np.unique(np.concatenate(found, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
@@ -269,21 +279,6 @@ def block_pairs(labelled: DataFrame, bits: DataFrame, percent: int, block: int =
     return dealt.mapInArrow(scan, "a long, b long").distinct()
 
 
-def near(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose parity bitmaps allow a link."""
-    both = (pairs.join(bits.select(F.col("g").alias("a"), F.col("n").alias("n1"), F.col("bits").alias("x")), "a")
-            .join(bits.select(F.col("g").alias("b"), F.col("n").alias("n2"), F.col("bits").alias("y")), "b"))
-
-    def emit(batches):
-        for batch in batches:
-            n1, n2 = (batch.column(c).to_numpy().astype(np.int64) for c in ("n1", "n2"))
-            bitmaps = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-            ok = [parity_distance(x, y) <= most for (x, y), most in zip(bitmaps, max_difference(n1, n2, percent))]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")],
-                                             names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-    return both.select("a", "b", "n1", "n2", "x", "y").mapInArrow(emit, "a long, b long")
-
-
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by the exact intersection of their sets."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
@@ -304,39 +299,36 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int = PERCENT, width: int = WIDTH,
-         turns: int = TURNS, block: int = BLOCK) -> DataFrame:
+         block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between classes, enough of them for all components."""
     heads = rows.join(classes.select(F.col("g").alias("row")), "row", "left_semi")
     postings = heads.select(F.explode("keys").alias("key"), F.col("row").alias("g"), "n")
-    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
-    live = stored(postings.join(shared, "key", "left_semi"), "shared-keys")
-    alive = stored(live.select("g").distinct(), "alive")
-    marks = F.transform("keys", lambda k: F.shiftright(k, 32).cast("int"))
-    bits = stored(rows.select(F.col("row").alias("g"), "n", "bits", marks.alias("marks"))
-                  .join(_small(alive), "g", "left_semi"), "live-bits")
-    sets = full_sets(docs, classes.select("g", F.col("least").alias("doc"), "s1", "s2").join(_small(alive), "g", "left_semi"),
-                     width)
-    links = tested = None
-    for turn in range(turns):
-        pairs = stored(star_pairs(_labelled(live, links), tested, turn, percent), "star-pairs")
-        found = verify(stored(near(pairs, bits, percent), "near"), sets, percent)
-        links = stored(found if links is None else links.unionByName(found), "links")
-        tested = pairs if tested is None else stored(tested.unionByName(pairs), "tested")
-    rest = block_pairs(_labelled(live, links), bits.select("g", "bits", "marks"), percent, block)
-    if tested is not None:
-        rest = rest.join(tested, ["a", "b"], "left_anti")
-    found = verify(stored(rest, "block-pairs"), sets, percent)
-    return stored(found if links is None else links.unionByName(found), "links")
-
-
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, turns: int = TURNS,
-                    block: int = BLOCK) -> DataFrame:
+    centre = F.struct(F.xxhash64("g").alias("rank"), "g", "n")
+    shared = (postings.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(centre).alias("centre"))
+              .where("m > 1").drop("m"))
+    live = stored(postings.join(shared, "key"), "shared-keys")
+    alive = _small(stored(live.select("g").distinct(), "alive"))
+    sets = full_sets(docs, classes.select("g", F.col("least").alias("doc"), "s1", "s2").join(alive, "g", "left_semi"), width)
+    marks = rows.select(F.col("row").alias("g"), F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("marks"))
+    bits = stored(sets.select("g", "bits").join(marks.join(alive, "g", "left_semi"), "g"), "bits")
+
+    tested = stored(star_pairs(live, percent), "star-pairs")
+    links = stored(verify(tested, sets, percent), "links")
+    for nearest in (True, False):
+        more = block_pairs(_labelled(live.drop("centre"), links), bits, percent, block, nearest)
+        more = stored(more.join(tested, ["a", "b"], "left_anti"), "block-pairs")
+        links = stored(links.unionByName(verify(more, sets, percent)), "links")
+        tested = tested.unionByName(more)
+    return links
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     rows = sketched(docs, width)
     same_set = ["n", "s1", "s2"]
     classes = stored(rows.where("n > 0").groupBy(*same_set).agg(
         F.min("row").alias("g"), F.min("doc").alias("least")), "classes")
-    comp = connected_components(link(docs, rows, classes, percent, width, turns, block))
+    comp = connected_components(link(docs, rows, classes, percent, width, block))
     placed = classes.join(comp.withColumnRenamed("node", "g"), "g", "left").withColumn(
         "component", F.coalesce("component", "g"))
     names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
