@@ -69,7 +69,8 @@ class EmaPlan:
         return cls(key, tuple(sorted(exps, reverse=True)))
 
     def add_blocks(self, df: DataFrame) -> DataFrame:
-        return df.select("*", *[F.shiftright(F.col(RN), k).alias(block_col(k)) for k in self.exponents])
+        missing = [k for k in self.exponents if block_col(k) not in df.columns]
+        return df.select("*", *[F.shiftright(F.col(RN), k).alias(block_col(k)) for k in missing])
 
     def order_cols(self) -> list[str]:
         return [block_col(k) for k in self.exponents] + [RN]

@@ -13,14 +13,17 @@ back for output documents that need the dotted names.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ema import EmaPlan, block_exponent, drop_ema_helpers, ema_finish, ema_locals
+from ..functions.ema import EmaPlan, drop_ema_helpers, ema_finish, ema_locals, halo_rows
 from ..functions.numeric import nan_to_null
-from ..functions.rolling import (Roll, drop_rolling_helpers, rolling_final, rolling_pass1,
-                                 rolling_pass2)
-from ..functions.windows import CHUNK, DEFAULT_LAYOUT, HALO, Layout, finish, segment
+from ..functions.rolling import (Roll, drop_rolling_helpers, rolling_final, rolling_lookback, rolling_pass0,
+                                 rolling_pass1, rolling_pass2, rolling_plan)
+from ..functions.windows import CHUNK, DEFAULT_LAYOUT, HALO, TB, Layout, finish, segment
 from ..schema import PRICE_FIELDS
 
 # Indicator parameters of the advanced set.
@@ -74,16 +77,6 @@ REFERENCE_NAMES = {bb(kind, n, k): f"BB_{kind}_{n}_{k}"
 FEATURES_COUNT = len(BASE_COLUMNS) + len(ADVANCED_FEATURES)  # every column but the date
 
 EMA_SPANS = sorted(set(SMA_PERIODS) | {x for f, s, _ in MACD_SETS for x in (f, s)})
-SIGNAL_SPANS = sorted({g for _, _, g in MACD_SETS})
-
-
-def lookback_rows() -> int:
-    """Rows of history a chunk needs so every feature of its first row is exact."""
-    ema = 2 * (1 << max(block_exponent(s) for s in EMA_SPANS))
-    macd_chain = (2 * (1 << max(block_exponent(x) for f, s, _ in MACD_SETS for x in (f, s)))
-                  + 2 * (1 << max(block_exponent(g) for g in SIGNAL_SPANS)))
-    rolling = max(SMA_PERIODS + [n + 1 for n in VOLATILITY_PERIODS] + SR_PERIODS) - 1
-    return max(ema, macd_chain, rolling)
 
 
 def rolling_specs() -> list[Roll]:
@@ -158,46 +151,102 @@ def derived_columns() -> dict[str, str]:
     return d
 
 
-def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT,
-                      with_prev_close: bool = False) -> DataFrame:
+@dataclass(frozen=True)
+class Needs:
+    """What a set of output columns is computed from, found by following the expressions."""
+
+    rolls: tuple[Roll, ...]
+    emas: tuple[int, ...]                      # spans over the close
+    macds: tuple[tuple[int, int, int], ...]    # difference lines
+    signals: tuple[tuple[int, int, int], ...]  # of these, the ones with a signal line
+    lags: tuple[int, ...]
+
+    @property
+    def lookback(self) -> int:
+        """Rows of history a chunk needs so every value of its first row is exact."""
+        ema = halo_rows(list(self.emas))
+        chain = max([halo_rows([f, s]) + halo_rows([g]) for f, s, g in self.signals], default=0)
+        # One more row: returns, gains and losses look at the row before.
+        return max(ema, chain, rolling_lookback(list(self.rolls)), *self.lags, 0) + 1
+
+    @property
+    def spans(self) -> list[int]:
+        return [*self.emas, *[g for _, _, g in self.signals]]
+
+
+def needs_of(columns: list[str]) -> Needs:
+    """The window results that ``columns`` (names of the set) are derived from."""
+    derived = derived_columns()
+    unknown = [c for c in columns if c not in derived]
+    if unknown:
+        raise ValueError(f"no columns of the advanced set: {unknown}")
+    used = {w for c in columns for w in re.findall(r"\w+", derived[c])}
+    macds = tuple(m for m in MACD_SETS if f"MACD_{m[0]}_{m[1]}" in used or f"MACD_Signal_{m[0]}_{m[1]}_{m[2]}" in used)
+    signals = tuple(m for m in macds if f"MACD_Signal_{m[0]}_{m[1]}_{m[2]}" in used)
+    spans = {n for n in EMA_SPANS if f"_a_ema{n}" in used} | {x for f, s, _ in macds for x in (f, s)}
+    return Needs(tuple(r for r in rolling_specs() if r.out in used), tuple(sorted(spans)), macds, signals,
+                 tuple(n for n in MOMENTUM_PERIODS if f"_a_lag{n}" in used))
+
+
+def lookback_rows(columns: list[str] | None = None) -> int:
+    """Rows of history a chunk needs for ``columns`` (default: all)."""
+    return needs_of(ADVANCED_FEATURES if columns is None else columns).lookback
+
+
+#: Per-bar inputs of the rolling aggregates, as SQL.
+_INPUTS = {
+    "_a_hl": "high - low",
+    "_a_pv": "close * volume",
+    "_a_gain": "CASE WHEN close - _a_prev > 0 THEN close - _a_prev ELSE 0D END",
+    "_a_loss": "CASE WHEN -(close - _a_prev) > 0 THEN -(close - _a_prev) ELSE 0D END",
+    "_a_ret": "try_divide(close, _a_prev) - 1D",
+}
+
+
+def advanced_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT, with_prev_close: bool = False,
+                      columns: list[str] | None = None) -> DataFrame:
     """bars -> bars + the 82 advanced columns (rows with gaps kept; see :func:`complete_rows`).
 
-    ``with_prev_close`` also returns the previous bar's close (``prev_close``)
-    for callers that derive more per-bar values without another window pass.
+    ``columns`` names the ones wanted: window passes, block sizes and the look-back (the halo
+    rows of a chunk) are those that they need. ``with_prev_close`` also returns the previous bar's
+    close (``prev_close``) for callers that derive more per-bar values without another window pass.
     Expressions are generated as SQL text (one ``selectExpr`` per pass), which
     keeps the driver-side plan construction cheap for ~300 expressions.
     """
+    columns = ADVANCED_FEATURES if columns is None else list(columns)
+    need = needs_of(columns)
     # A NaN would stay in the block-local running sums; it is a missing value.
     bars = bars.withColumns({c: nan_to_null(c) for c, t in bars.dtypes if t == "double" and c in PRICE_FIELDS})
-    s = segment(bars, lookback_rows(), layout, with_rn=True)
-    rolls = rolling_specs()
-    plan = EmaPlan.for_spans(layout.key, EMA_SPANS + SIGNAL_SPANS)
-    s = plan.add_blocks(s)
-    # Seven Window operators in all (each copies the row, so passes are few):
-    # lags share the row-number window (date order); then block-local sums,
-    # then carries / lags / sliding frames, then the MACD signals.
-    wd = f"OVER (PARTITION BY `{layout.key}`, {CHUNK} ORDER BY `{layout.order}`)"
+    s = segment(bars, need.lookback, layout, with_rn=True)
+    rolls = list(need.rolls)
+    plan = rolling_plan(EmaPlan.for_spans(layout.key, need.spans), rolls)
+    # Each Window operator copies the row, so passes are few: lags share the
+    # row-number window (date order); then suffixes of blocks in reverse order; then block-local sums
+    # and prefixes; then carries / lags / short frames; then the MACD signals.
+    wd = f"OVER (PARTITION BY `{layout.key}`, {CHUNK} ORDER BY {TB}, `{layout.order}`)"
     s = s.selectExpr("*", f"lag(close, 1) {wd} AS _a_prev",
-                     *[f"lag(close, {n}) {wd} AS _a_lag{n}" for n in MOMENTUM_PERIODS],
-                     "high - low AS _a_hl", "close * volume AS _a_pv")
-    s = s.selectExpr("*", "CASE WHEN close - _a_prev > 0 THEN close - _a_prev ELSE 0D END AS _a_gain",
-                     "CASE WHEN -(close - _a_prev) > 0 THEN -(close - _a_prev) ELSE 0D END AS _a_loss",
-                     "try_divide(close, _a_prev) - 1D AS _a_ret")
-    close_emas = [("close", n, f"_a_ema{n}") for n in EMA_SPANS]
+                     *[f"lag(close, {n}) {wd} AS _a_lag{n}" for n in need.lags])
+    sources = {r.src for r in rolls}
+    s = s.selectExpr("*", *[f"{sql} AS {name}" for name, sql in _INPUTS.items() if name in sources])
+    s = plan.add_blocks(s)
+    close_emas = [("close", n, f"_a_ema{n}") for n in need.emas]
+    if any(r.edges for r in rolls):
+        s = s.selectExpr("*", *rolling_pass0(rolls, plan))
     s = s.selectExpr("*", *rolling_pass1(rolls, plan), *ema_locals(close_emas, plan))
     s = s.selectExpr("*", *rolling_pass2(rolls, plan), *ema_finish(close_emas, plan))
     s = s.selectExpr("*", *rolling_final(rolls, plan),
-                     *[f"_a_ema{f} - _a_ema{sl} AS MACD_{f}_{sl}" for f, sl, _ in MACD_SETS])
+                     *[f"_a_ema{f} - _a_ema{sl} AS MACD_{f}_{sl}" for f, sl, _ in need.macds])
     s = drop_rolling_helpers(drop_ema_helpers(s))
-    signals = [(f"MACD_{f}_{sl}", g, f"MACD_Signal_{f}_{sl}_{g}") for f, sl, g in MACD_SETS]
-    s = s.selectExpr("*", *ema_locals(signals, plan))
-    s = drop_ema_helpers(s.selectExpr("*", *ema_finish(signals, plan)))
+    if need.signals:
+        signals = [(f"MACD_{f}_{sl}", g, f"MACD_Signal_{f}_{sl}_{g}") for f, sl, g in need.signals]
+        s = s.selectExpr("*", *ema_locals(signals, plan))
+        s = drop_ema_helpers(s.selectExpr("*", *ema_finish(signals, plan)))
 
     derived = derived_columns()
     keep = [f"`{c}`" for c in bars.columns] + [HALO]
     if with_prev_close:
         keep.append("_a_prev AS prev_close")
-    out = s.selectExpr(*keep, *[f"{derived[c]} AS `{c}`" for c in ADVANCED_FEATURES])
+    out = s.selectExpr(*keep, *[f"{derived[c]} AS `{c}`" for c in columns])
     return finish(out)
 
 

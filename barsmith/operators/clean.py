@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import safe_div
-from ..functions.windows import CHUNK, DEFAULT_LAYOUT, RN, Layout, _null_safe_join, finish, full, segment
-from ..plans.sizing import bounded_broadcast
+from ..functions.ema import EmaPlan
+from ..functions.numeric import nan_to_null, safe_div
+from ..functions.rolling import Roll, add_rolling, rolling_lookback
+from ..functions.windows import DEFAULT_LAYOUT, Layout, finish, segment
 from . import advanced as adv
 
 # The stage's declared configuration and feature names.
@@ -30,9 +31,10 @@ def prep_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT) -> DataFrame
     """The stage's seven features per bar.
 
     ``returns`` is the unrounded one-day return (close - prev) / prev; the
-    others alias advanced columns (window size 20 where one is needed).
+    others alias advanced columns (window size 20 where one is needed), which
+    are the only ones computed.
     """
-    feats = adv.advanced_features(bars, layout, with_prev_close=True)
+    feats = adv.advanced_features(bars, layout, with_prev_close=True, columns=list(PREP_SOURCES.values()))
     prev = F.col("prev_close")
     return feats.select("symbol", "date", "close",
                         *[F.col(PREP_SOURCES[c]).alias(c) if c in PREP_SOURCES
@@ -44,11 +46,13 @@ def zscore(df: DataFrame, column: str, window: int = WINDOW_SIZE, out: str | Non
            layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """(x - mean) / sample stddev over the trailing ``window`` rows (full windows only)."""
     out = out or f"{column}_z"
-    s = segment(df, window - 1, layout, with_rn=False)
-    w = layout.window()
+    rolls = [Roll("_seg_mean", "avg", "_seg_x", window), Roll("_seg_dev", "stddev", "_seg_x", window)]
+    s = segment(df, rolling_lookback(rolls), layout, with_rn=True)
+    # A NaN would stay in the running sums; it is a missing value.
     x = F.col(column)
-    z = safe_div(x - full(F.avg, x, window, w), full(F.stddev_samp, x, window, w))
-    return finish(s.select("*", z.alias(out)))
+    s = s.withColumn("_seg_x", nan_to_null(column) if dict(df.dtypes)[column] in ("double", "float") else x)
+    s = add_rolling(s, rolls, EmaPlan(layout.key, ()))
+    return finish(s.select("*", safe_div(x - F.col("_seg_mean"), F.col("_seg_dev")).alias(out)))
 
 
 def remove_outliers(df: DataFrame, column: str, window: int = WINDOW_SIZE,
@@ -66,28 +70,14 @@ def remove_outliers(df: DataFrame, column: str, window: int = WINDOW_SIZE,
 def forward_fill(df: DataFrame, columns: list[str], layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Replace NULL/NaN by the last earlier value of the same symbol.
 
-    Exact across chunk boundaries however long a gap is: each chunk fills
-    internally, then the last value of every chunk (a small table, one row
-    per chunk) is carried forward over the chunk order and joined back for
-    rows that are still empty.
+    Exact across chunk boundaries however long a gap is: the pass that counts
+    the bars of a symbol's time buckets also takes each bucket's last value;
+    carried over the buckets before a chunk, it arrives with the chunk's bounds.
+    One window pass then fills within the chunk.
     """
-    s = segment(df, 0, layout, with_rn=True)
+    types = dict(df.dtypes)
+    clean = {c: F.when(~F.isnan(c), F.col(c)) if types[c] in ("double", "float") else F.col(c) for c in columns}
+    s = segment(df.withColumns(clean), 0, layout, with_rn=False, carry=tuple(columns))
     w = layout.window().rowsBetween(Window.unboundedPreceding, 0)
-    clean = {c: F.when(~F.isnan(c), F.col(c))
-             if dict(df.dtypes)[c] in ("double", "float") else F.col(c) for c in columns}
-    s = s.select(*[c for c in s.columns if c not in columns],
-                 *[clean[c].alias(c) for c in columns])
-    own = s.filter(~F.col("_seg_halo"))
-    inner = own.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_ff_{c}") for c in columns])
-    # last non-null value per chunk, then carried over earlier chunks
-    tail = inner.groupBy(layout.key, CHUNK).agg(
-        *[F.max_by(F.col(f"_ff_{c}"), F.col(RN)).alias(f"_tl_{c}") for c in columns])
-    wc = Window.partitionBy(layout.key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tail.select(layout.key, CHUNK,
-                        *[F.last(f"_tl_{c}", ignorenulls=True).over(wc).alias(f"_cy_{c}") for c in columns])
-    carry = bounded_broadcast(carry, layout.broadcast_rows)
-    # NULL keys are a series of their own, as in ``segment``.
-    joined = _null_safe_join(inner, carry, [layout.key, CHUNK])
-    out = joined.select(*[c for c in inner.columns if not c.startswith("_ff_") and c not in columns],
-                        *[F.coalesce(F.col(f"_ff_{c}"), F.col(f"_cy_{c}")).alias(c) for c in columns])
-    return finish(out).select(*df.columns)
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_seg_carry_{c}")) for c in columns}
+    return finish(s.withColumns(filled)).select(*df.columns)
