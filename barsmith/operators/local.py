@@ -43,7 +43,7 @@ def local_features(bars: DataFrame, layout: Layout = DEFAULT_LAYOUT) -> DataFram
 
 
 def local_metadata(bars: DataFrame) -> DataFrame:
-    """One row per symbol with the feature groups and record counts.
+    """One row per symbol with the feature groups, record counts and the time of processing.
 
     Every input bar is kept in the output, so processed = original.
     """
@@ -57,4 +57,5 @@ def local_metadata(bars: DataFrame) -> DataFrame:
                         "original_records",
                         F.col("original_records").alias("processed_records"),
                         F.lit(len(LOCAL_FEATURES)).alias("features_added"),
+                        F.current_timestamp().alias("processing_timestamp"),
                         F.lit(LOCAL_METHOD).alias("method")))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import bounded_broadcast
+from ..plans.tables import written
 from ..schema import REQUIRED_FIELDS
 
 # Thresholds, grade names and the no-data issue text.
@@ -84,7 +85,8 @@ def quality_checks(bars: DataFrame, mode: str = "all", key: str = "symbol",
         total.alias("total_checks"),
         grade(passed, total).alias("overall_quality"),
         grade(passed, total).isin(PASSING_GRADES).alias("validation_passed"),
-        F.array().cast("array<string>").alias("issues"))
+        F.array().cast("array<string>").alias("issues"),
+        F.current_timestamp().alias("validation_timestamp"))
 
 
 def quality_report(bars: DataFrame, expected: DataFrame | None = None, mode: str = "all",
@@ -114,7 +116,8 @@ def quality_report(bars: DataFrame, expected: DataFrame | None = None, mode: str
         F.when(found, F.col("total_checks")).otherwise(F.lit(1)).alias("total_checks"),
         F.when(found, F.col("overall_quality")).otherwise(F.lit(GRADE_POOR)).alias("overall_quality"),
         F.when(found, F.col("validation_passed")).alias("validation_passed"),
-        F.when(found, F.col("issues")).otherwise(F.array(F.lit(NO_DATA_ISSUE))).alias("issues"))
+        F.when(found, F.col("issues")).otherwise(F.array(F.lit(NO_DATA_ISSUE))).alias("issues"),
+        F.current_timestamp().alias("validation_timestamp"))
 
 
 def ingestion_gate(bars: DataFrame, report: DataFrame, key: str = "symbol") -> DataFrame:
@@ -140,7 +143,11 @@ def completeness(features: DataFrame, columns: list[str], key: str = "symbol") -
 
 def training_gate(features: DataFrame, columns: list[str], threshold: float = 0.8,
                   key: str = "symbol") -> DataFrame:
-    """Q9: feature rows of the symbols whose completeness reaches ``threshold``."""
+    """Q9: feature rows of the symbols whose completeness reaches ``threshold``.
+
+    The rows are written first: the gate reads them twice and computes them once.
+    """
+    features = written(features, "gate")
     ok = completeness(features, columns, key).filter(F.col("completeness") >= threshold).select(key)
     return features.join(bounded_broadcast(ok, SYMBOL_TABLE_ROWS), key, "left_semi")
 

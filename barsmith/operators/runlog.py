@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import (STATUS_COMPLETED, STATUS_FAILED, STATUS_PENDING, STATUS_RUNNING)
+from ..schema import (RUN_LOG, STATUS_COMPLETED, STATUS_FAILED, STATUS_PENDING, STATUS_RUNNING)
 
 # Stage names and error types used in derived run logs.
 INGESTION = "ingestion"
@@ -21,6 +21,8 @@ VALIDATION_ERROR = "validation_error"
 COMPLETENESS_ERROR = "completeness_error"
 GLOBAL = "global"
 
+ERRORS = RUN_LOG["errors"].dataType.simpleString()
+
 
 def _error(msg, etype, ts, node):
     return F.struct(F.lit(msg).alias("error") if isinstance(msg, str) else msg.alias("error"),
@@ -45,26 +47,46 @@ def run_log_from_quality(report: DataFrame, completeness: DataFrame, spans: Data
     updated = F.coalesce(F.col("last_ts"), F.col("first_ts"))
     ing_ok = F.coalesce(F.col("validation_passed"), F.lit(False))
     prep_ok = F.coalesce(F.col("completeness") >= F.lit(threshold), F.lit(False))
-    no_errors = F.array().cast("array<struct<error:string,error_type:string,timestamp:timestamp,node_name:string>>")
-    ing = r.select(
-        F.col("symbol").alias("workflow_id"), F.lit(INGESTION).alias("stage"),
-        F.when(ing_ok, STATUS_COMPLETED).otherwise(STATUS_FAILED).alias("status"),
-        created.alias("created_at"), updated.alias("updated_at"),
-        F.when(ing_ok, no_errors).otherwise(F.array(_error(
-            F.concat(F.lit("quality "), F.col("overall_quality")), VALIDATION_ERROR, updated, INGESTION)))
-        .alias("errors"))
-    prep_status = (F.when(~ing_ok, STATUS_PENDING).when(prep_ok, STATUS_COMPLETED).otherwise(STATUS_FAILED))
-    prep = r.select(
-        F.col("symbol").alias("workflow_id"), F.lit(PREPROCESSING).alias("stage"),
-        prep_status.alias("status"), created.alias("created_at"), updated.alias("updated_at"),
-        F.when(ing_ok & ~prep_ok, F.array(_error(
-            F.concat(F.lit("completeness "), F.format_number(F.col("completeness"), 4)),
-            COMPLETENESS_ERROR, updated, PREPROCESSING))).otherwise(no_errors).alias("errors"))
-    train = r.select(
-        F.col("symbol").alias("workflow_id"), F.lit(TRAINING).alias("stage"),
-        F.when(ing_ok & prep_ok, STATUS_RUNNING).otherwise(STATUS_PENDING).alias("status"),
-        created.alias("created_at"), updated.alias("updated_at"), no_errors.alias("errors"))
-    return ing.unionByName(prep).unionByName(train)
+    no_errors = F.array().cast(ERRORS)
+
+    def stage(name, status, errors):
+        return F.struct(F.lit(name).alias("stage"), status.alias("status"), errors.alias("errors"))
+
+    low_quality = _error(F.concat(F.lit("quality "), F.col("overall_quality")), VALIDATION_ERROR, updated, INGESTION)
+    gaps = _error(F.concat(F.lit("completeness "), F.format_number(F.col("completeness"), 4)),
+                  COMPLETENESS_ERROR, updated, PREPROCESSING)
+    stages = F.array(
+        stage(INGESTION, F.when(ing_ok, STATUS_COMPLETED).otherwise(STATUS_FAILED),
+              F.when(ing_ok, no_errors).otherwise(F.array(low_quality).cast(ERRORS))),
+        stage(PREPROCESSING, F.when(~ing_ok, STATUS_PENDING).when(prep_ok, STATUS_COMPLETED).otherwise(STATUS_FAILED),
+              F.when(ing_ok & ~prep_ok, F.array(gaps).cast(ERRORS)).otherwise(no_errors)),
+        stage(TRAINING, F.when(ing_ok & prep_ok, STATUS_RUNNING).otherwise(STATUS_PENDING), no_errors))
+    # One row a workflow, three out of it: the joined inputs are computed once.
+    return r.select(F.col("symbol").alias("workflow_id"), created.alias("created_at"), updated.alias("updated_at"),
+                    F.explode(stages).alias("s")).select(
+        "workflow_id", "s.stage", "s.status", "created_at", "updated_at", "s.errors")
+
+
+def fold_events(log: DataFrame, events: DataFrame) -> DataFrame:
+    """A run log with later events folded in: one row per workflow and stage.
+
+    ``log`` (one row per workflow and stage, or empty) and ``events`` have the
+    run log's columns. A stage takes the status of its latest update (of
+    equal times, the one whose name is last), its first creation, and all
+    errors once, in time order, so folding the same events again changes
+    nothing. A combinable aggregate: only the new events and the folded log are
+    read, not the history of events.
+    """
+    both = log.select(*RUN_LOG.fieldNames()).unionByName(events.select(*RUN_LOG.fieldNames()))
+    flat = both.select("*", F.explode_outer("errors").alias("e")).select(
+        *RUN_LOG.fieldNames(), F.when(F.col("e").isNotNull(), F.struct("e.timestamp", "e.error", "e.error_type",
+                                                                     "e.node_name")).alias("e"))
+    folded = flat.groupBy("workflow_id", "stage").agg(
+        F.max(F.struct("updated_at", "status")).alias("last"), F.min("created_at").alias("created_at"),
+        F.array_sort(F.collect_set("e")).alias("found"))
+    return folded.select("workflow_id", "stage", "last.status", "created_at", "last.updated_at",
+                         F.expr("transform(found, e -> named_struct('error', e.error, 'error_type', e.error_type, "
+                                "'timestamp', e.timestamp, 'node_name', e.node_name))").alias("errors"))
 
 
 def workflow_status(log: DataFrame) -> DataFrame:

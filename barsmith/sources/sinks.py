@@ -3,7 +3,8 @@
 
 No writer funnels data through one task: outputs are written by as many
 tasks as the data has partitions (the original job's ``coalesce(1)`` is not
-kept), and per-symbol layouts use ``partitionBy`` directories.
+kept), and per-symbol layouts use ``partitionBy`` directories, into which
+:func:`by_symbol` deals the rows.
 """
 
 from __future__ import annotations
@@ -58,6 +59,16 @@ def write_json_documents(df: DataFrame, path: str, mode: str = "overwrite") -> s
     return path
 
 
+def by_symbol(df: DataFrame) -> DataFrame:
+    """Deal rows out for a layout with one directory per symbol.
+
+    A ``rebalance``: rows of a symbol meet in few tasks, so tasks times symbols
+    files do not arise; what is larger than the advisory partition size (a hot
+    symbol) is split by size, so a symbol's files follow its bytes.
+    """
+    return df.hint("rebalance", "symbol")
+
+
 def zone_path(path: str, src: str = RAW_ZONE, dst: str = PROCESSED_ZONE) -> str:
     """Rewrite a raw-zone location into the processed zone."""
     return path.replace(src, dst)
@@ -86,10 +97,10 @@ def write_snapshot(df: DataFrame, base: str, snapshot: str, timeframe: str = "da
     tagged = df.withColumn("timeframe", F.lit(timeframe)).withColumn("snapshot", F.lit(snapshot))
     hist = f"{root}/{HISTORY}"
     latest = f"{root}/{LATEST}"
-    (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (by_symbol(tagged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("timeframe", "symbol", "snapshot").json(hist))
     written = read_snapshot(spark, hist, df.schema, snapshot, timeframe)
-    (written.write.mode("overwrite")
+    (by_symbol(written).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("timeframe", "symbol").json(latest))
     return {"history": hist, "latest": latest}
@@ -185,9 +196,34 @@ def output_manifest(spark, path: str) -> DataFrame:
                 .withColumn("ok", F.col("file_count") > 0)
 
 
-def output_analysis(df: DataFrame, base_columns: list[str]) -> DataFrame:
-    """Q6: records, and the names and count of non-base columns (from the schema)."""
+def output_analysis(df: DataFrame, base_columns: list[str], order: tuple[str, ...] = ()) -> DataFrame:
+    """Q6: records, the names and count of non-base columns (from the schema), a sample record.
+
+    ``sample`` is the first record by ``order`` as JSON; without an order, any record.
+    """
     extra = [c for c in df.columns if c not in base_columns]
-    return df.agg(F.count(F.lit(1)).alias("records")).select(
+    record = F.to_json(F.struct(*df.columns))
+    sample = F.min_by(record, F.struct(*order)) if order else F.first(record)
+    return df.agg(F.count(F.lit(1)).alias("records"), sample.alias("sample")).select(
         "records", F.array(*[F.lit(c) for c in extra]).cast("array<string>").alias("feature_columns"),
-        F.lit(len(extra)).alias("feature_count"))
+        F.lit(len(extra)).alias("feature_count"), "sample")
+
+
+def analyse_output(spark: SparkSession, path: str, schema: StructType, base_columns: list[str],
+                   order: tuple[str, ...] = ()) -> DataFrame:
+    """Q6 over a written NDJSON output: the analysis of its rows, and its files and bytes."""
+    rows = output_analysis(spark.read.schema(schema).json(path), base_columns, order)
+    return rows.crossJoin(output_manifest(spark, path))
+
+
+def write_symbol_documents(rows: DataFrame, metadata: DataFrame, path: str) -> str:
+    """K7: per symbol one folder with its metadata record and its rows, as JSON.
+
+    ``metadata`` has one row per ``Symbol``, which names its folder. Rows are dealt out by
+    :func:`by_symbol`: a symbol with many is written by many tasks, into many files.
+    """
+    root = path.rstrip("/")
+    by_symbol(rows).write.mode("overwrite").partitionBy("symbol").json(f"{root}/Processed_Data")
+    by_symbol(metadata.withColumnRenamed("Symbol", "symbol")).write.mode("overwrite").partitionBy("symbol").json(
+        f"{root}/Meta_Data")
+    return path
