@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from ..operators import advanced as adv
 from ..operators import daily
 from ..operators import clean, local, quality, runlog
-from ..operators.bars import price_volume_range
+from ..functions.windows import Layout
+from ..operators.bars import bars_from_ticks, price_volume_range
 from .fixtures import table
 from . import jobs
 from ..sources import readers, sinks
-from ..schema import BAR
+from ..schema import BAR, RUN_LOG
 from ..session import scratch_path
 import uuid
+from ..streaming.bars_stream import tick_stream
+from ..streaming.corrections import corrected_bars, late_ticks, start_corrected_bars, tick_counts
 from . import oracle as O
 from .fixtures import bars_events, bars_orders
 from .report import rounded
+from .tables import bar_table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,17 +38,26 @@ def q_bars_events(spark, sf_dir):
     return bars_events(spark, sf_dir)
 
 
+def daily_bars(spark, sf_dir):
+    """Bars of orders as a written table: the feature sets read it, not the orders."""
+    return bar_table(bars_orders(spark, sf_dir))
+
+
+def hourly_bars(spark, sf_dir):
+    return bar_table(bars_events(spark, sf_dir))
+
+
 def q_daily_features(spark, sf_dir):
-    return rounded(daily.daily_features(bars_orders(spark, sf_dir)), DAILY_DIGITS)
+    return rounded(daily.daily_features(daily_bars(spark, sf_dir)), DAILY_DIGITS)
 
 
 def q_daily_preview(spark, sf_dir):
     """P5: the preview projection, first five rows in (symbol, date) order."""
-    return rounded(daily.preview(daily.daily_features(bars_orders(spark, sf_dir))), DAILY_DIGITS)
+    return rounded(daily.preview(daily.daily_features(daily_bars(spark, sf_dir))), DAILY_DIGITS)
 
 
 def q_daily_features_events(spark, sf_dir):
-    return rounded(daily.daily_features(bars_events(spark, sf_dir)), DAILY_DIGITS)
+    return rounded(daily.daily_features(hourly_bars(spark, sf_dir)), DAILY_DIGITS)
 
 
 # Rounding of advanced-set outputs: price-scale values that come out of
@@ -77,41 +90,43 @@ for _n in adv.TREND_PERIODS:
 
 def _family(name: str, events: bool = False):
     def run(spark, sf_dir):
-        bars = bars_events(spark, sf_dir) if events else bars_orders(spark, sf_dir)
-        return rounded(adv.select_family(adv.advanced_features(bars), name), ADV_DIGITS)
+        bars = hourly_bars(spark, sf_dir) if events else daily_bars(spark, sf_dir)
+        return rounded(adv.select_family(adv.advanced_features(bars, columns=adv.FAMILIES[name]), name), ADV_DIGITS)
     run.__name__ = f"q_adv_{name}"
     return run
 
 
 def q_adv_all(spark, sf_dir):
     """The full advanced table (all 82 columns), rounded like the family queries."""
-    return rounded(adv.advanced_features(bars_orders(spark, sf_dir)), ADV_DIGITS)
+    return rounded(adv.advanced_features(daily_bars(spark, sf_dir)), ADV_DIGITS)
 
 
 def q_adv_complete(spark, sf_dir):
     """Rows kept by the complete-row filter (all 82 features present)."""
-    feats = adv.advanced_features(bars_orders(spark, sf_dir))
+    feats = adv.advanced_features(daily_bars(spark, sf_dir))
     return adv.complete_rows(feats).select("symbol", "date", "close")
 
 
 def q_adv_metadata(spark, sf_dir):
     """K7 metadata counters per symbol (feature list as its length)."""
-    meta = adv.advanced_metadata(adv.advanced_features(bars_orders(spark, sf_dir)))
+    meta = adv.advanced_metadata(adv.advanced_features(daily_bars(spark, sf_dir)))
     return meta.select(F.col("Symbol").alias("symbol"), "Records_Count", "Original_Records",
                        "Features_Count", F.size("Features_Created").alias("features_created"))
 
 
 def q_local_features(spark, sf_dir):
-    return local.local_features(bars_orders(spark, sf_dir))
+    return local.local_features(daily_bars(spark, sf_dir))
 
 
 def q_local_features_events(spark, sf_dir):
-    return local.local_features(bars_events(spark, sf_dir))
+    return local.local_features(hourly_bars(spark, sf_dir))
 
 
 def q_local_metadata(spark, sf_dir):
-    return local.local_metadata(bars_orders(spark, sf_dir)).select(
-        "symbol", "total_features", "original_records", "processed_records", "features_added", "method")
+    meta = local.local_metadata(bars_orders(spark, sf_dir))
+    names = [F.concat_ws(";", c).alias(c) for c in ("technical_indicators", "price_features", "volume_features")]
+    return meta.select("symbol", *names, "total_features", "original_records", "processed_records",
+                       "features_added", "method")
 
 
 def expected_symbols(spark, sf_dir):
@@ -127,11 +142,40 @@ def _report(spark, sf_dir):
 
 def q_quality_report(spark, sf_dir):
     rep = _report(spark, sf_dir)
-    return rep.withColumn("issues", F.concat_ws(";", "issues"))
+    return rep.withColumn("issues", F.concat_ws(";", "issues")).drop("validation_timestamp")
 
 
 def q_ingestion_gate(spark, sf_dir):
-    return quality.ingestion_gate(bars_orders(spark, sf_dir), _report(spark, sf_dir))
+    bars = daily_bars(spark, sf_dir)
+    return quality.ingestion_gate(bars, quality.quality_report(bars, expected_symbols(spark, sf_dir)))
+
+
+def _gappy_customer_bars(spark, sf_dir):
+    """Daily bars per customer: few each; every 7th customer's lack a price, every 5th's a volume at times."""
+    bars = bars_from_ticks(table(spark, sf_dir, "orders"), symbol=F.col("o_custkey").cast("string"), ts="o_orderdate",
+                           price="o_totalprice", volume=F.floor("o_totalprice"), tick_id="o_orderkey")
+    key = F.col("symbol").cast("long")
+    return bars.withColumn("open", F.when(key % 7 != 0, F.col("open"))).withColumn(
+        "volume", F.when((key % 5 != 0) | (F.day("date") % 2 == 0), F.col("volume")))
+
+
+def q_quality_report_customers(spark, sf_dir):
+    """Q3-Q5 where grades differ: per customer, by number of bars and missing fields."""
+    rep = quality.quality_report(_gappy_customer_bars(spark, sf_dir),
+                                 table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("symbol")))
+    return rep.withColumn("issues", F.concat_ws(";", "issues")).drop("validation_timestamp")
+
+
+def q_ingestion_gate_customers(spark, sf_dir):
+    """Q8 where symbols fail."""
+    bars = bar_table(_gappy_customer_bars(spark, sf_dir))
+    return quality.ingestion_gate(bars, quality.quality_report(bars))
+
+
+def q_training_gate_customers(spark, sf_dir):
+    """Q9 where symbols fail: most customers have too few bars for the windows."""
+    feats = daily.daily_features(bar_table(_gappy_customer_bars(spark, sf_dir)))
+    return quality.training_gate(feats, daily.DAILY_FEATURES, clean.COMPLETENESS_THRESHOLD).select("symbol", "date")
 
 
 def q_ingestion_stats(spark, sf_dir):
@@ -150,38 +194,80 @@ PREP_DIGITS = {"sma_20": 6, "rsi_14": 6, "macd": 2, "volatility": 6, "volume_sma
 
 
 def q_prep_features(spark, sf_dir):
-    return rounded(clean.prep_features(bars_orders(spark, sf_dir)), PREP_DIGITS)
+    return rounded(clean.prep_features(daily_bars(spark, sf_dir)), PREP_DIGITS)
 
 
 def q_prep_completeness(spark, sf_dir):
-    c = quality.completeness(clean.prep_features(bars_orders(spark, sf_dir)), clean.PREP_FEATURES)
+    c = quality.completeness(clean.prep_features(daily_bars(spark, sf_dir)), clean.PREP_FEATURES)
     return rounded(c, {"completeness": 6})
 
 
 def q_training_gate(spark, sf_dir):
-    feats = clean.prep_features(bars_orders(spark, sf_dir))
+    feats = clean.prep_features(daily_bars(spark, sf_dir))
     return quality.training_gate(feats, clean.PREP_FEATURES, clean.COMPLETENESS_THRESHOLD).select("symbol", "date")
 
 
 def q_zscore(spark, sf_dir):
-    z = clean.zscore(bars_orders(spark, sf_dir), "close", clean.WINDOW_SIZE, "close_z")
+    z = clean.zscore(daily_bars(spark, sf_dir), "close", clean.WINDOW_SIZE, "close_z")
     return rounded(z.select("symbol", "date", "close", "close_z"), {"close_z": 6})
 
 
 def q_remove_outliers(spark, sf_dir):
-    return clean.remove_outliers(bars_orders(spark, sf_dir), "close").select("symbol", "date", "close")
+    return clean.remove_outliers(daily_bars(spark, sf_dir), "close").select("symbol", "date", "close")
+
+
+def q_remove_outliers_strict(spark, sf_dir):
+    """X2 with a limit that bars exceed."""
+    return clean.remove_outliers(daily_bars(spark, sf_dir), "close", limit=1.5).select("symbol", "date", "close")
+
+
+#: A layout that cuts the test series into many chunks.
+CHUNKED = Layout(chunk_rows=256)
+
+
+def q_zscore_chunked(spark, sf_dir):
+    z = clean.zscore(daily_bars(spark, sf_dir), "close", clean.WINDOW_SIZE, "close_z", CHUNKED)
+    return rounded(z.select("symbol", "date", "close", "close_z"), {"close_z": 6})
+
+
+def q_forward_fill_chunked(spark, sf_dir):
+    """X3 over gaps of weeks, in chunks shorter than some gaps."""
+    bars = daily_bars(spark, sf_dir)
+    gaps = bars.select("symbol", "date", F.when(F.dayofmonth("date") <= 2, F.col("close")).alias("close"))
+    return clean.forward_fill(gaps, ["close"], Layout(chunk_rows=16))
+
+
+def q_daily_features_chunked(spark, sf_dir):
+    return rounded(daily.daily_features(daily_bars(spark, sf_dir), CHUNKED), DAILY_DIGITS)
+
+
+def q_adv_support_resistance_chunked(spark, sf_dir):
+    """Extremes and deviations across chunk borders."""
+    columns = adv.FAMILIES["support_resistance"] + adv.FAMILIES["volatility"]
+    feats = adv.advanced_features(daily_bars(spark, sf_dir), CHUNKED, columns=columns)
+    return rounded(feats.select("symbol", "date", *columns), ADV_DIGITS)
+
+
+#: EMA and MACD columns to eight places: their scale is that of the prices, so 1e-8 of a ratio is compared.
+EMA_RATIOS = [c for c in adv.FAMILIES["ema"] + adv.FAMILIES["macd"]]
+
+
+def q_adv_ema_ratios(spark, sf_dir):
+    """EMA and MACD columns over the close, to eight places."""
+    feats = adv.advanced_features(daily_bars(spark, sf_dir), columns=EMA_RATIOS)
+    return feats.select("symbol", "date", *[F.round(F.try_divide(F.col(c), F.col("close")), 8).alias(c) for c in EMA_RATIOS])
 
 
 def q_forward_fill(spark, sf_dir):
     from ..functions.numeric import safe_div
-    bars = bars_orders(spark, sf_dir)
+    bars = daily_bars(spark, sf_dir)
     pp = bars.select("symbol", "date",
                      safe_div(F.col("close") - F.col("low"), F.col("high") - F.col("low")).alias("price_position"))
     return clean.forward_fill(pp, ["price_position"])
 
 
 def _run_log(spark, sf_dir):
-    bars = bars_orders(spark, sf_dir)
+    bars = daily_bars(spark, sf_dir)
     rep = quality.quality_report(bars, expected_symbols(spark, sf_dir))
     comp = quality.completeness(daily.daily_features(bars), daily.DAILY_FEATURES)
     spans = bars.groupBy("symbol").agg(F.min("date").cast("timestamp").alias("first_ts"),
@@ -202,6 +288,41 @@ def q_error_log(spark, sf_dir):
     return e.withColumn("error_types", F.concat_ws(";", "error_types"))
 
 
+def q_run_log_folded(spark, sf_dir):
+    """Q10-Q12 over events: orders as workflows, their line items as stage events, folded in two steps.
+
+    Every line item is an event of three stages of its order, on the day it ships, the
+    day after and as many days on as its number, failed where it was returned.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    ship = F.col("l_shipdate").cast("timestamp")
+    commit, receipt = (ship + F.make_dt_interval(days) for days in (F.lit(1), F.col("l_linenumber").cast("int")))
+    error = F.struct(F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("error"),
+                     F.lit("returned").alias("error_type"), receipt.alias("timestamp"),
+                     F.lit("receipt").alias("node_name"))
+    returned = F.col("l_returnflag") == "R"
+    none = F.array().cast(runlog.ERRORS)
+
+    def stage(name, status, t, errors):
+        return F.struct(F.lit(name).alias("stage"), status.alias("status"), t.cast("timestamp").alias("t"),
+                        errors.cast(runlog.ERRORS).alias("errors"))
+
+    stages = F.array(
+        stage("ingestion", F.lit("completed"), ship, none),
+        stage("preprocessing", F.when(F.col("l_linestatus") == "F", "completed").otherwise("running"), commit, none),
+        stage("training", F.when(returned, "failed").otherwise("completed"), receipt,
+              F.when(returned, F.array(error).cast(runlog.ERRORS)).otherwise(none)))
+    events = lines.select(F.col("l_orderkey").cast("string").alias("workflow_id"), F.col("l_linenumber").alias("n"),
+                          F.explode(stages).alias("s")).select(
+        "workflow_id", "s.stage", "s.status", F.col("s.t").alias("created_at"), F.col("s.t").alias("updated_at"),
+        "s.errors", "n")
+    first = runlog.fold_events(spark.createDataFrame([], RUN_LOG), events.where("n <= 3").drop("n"))
+    log = runlog.fold_events(written(first, "run-log"), events.where("n >= 3").drop("n"))
+    status, progress = runlog.workflow_status(log), runlog.workflow_progress(log)
+    failures = log.groupBy("workflow_id").agg(F.sum(F.size("errors")).alias("errors"))
+    return status.join(progress, "workflow_id").join(failures, "workflow_id")
+
+
 def _scratch(spark, name):
     return scratch_path(spark, f"queries/{name}-{uuid.uuid4().hex[:12]}")
 
@@ -236,6 +357,85 @@ def q_roundtrip_vendor(spark, sf_dir):
     return readers.read_vendor_series(spark, path)
 
 
+def q_roundtrip_ndjson_hourly(spark, sf_dir):
+    path = sinks.write_ndjson(bars_events(spark, sf_dir), _scratch(spark, "ndjson"))
+    return readers.read_bars_ndjson(spark, path)
+
+
+def q_roundtrip_envelope_hourly(spark, sf_dir):
+    path = sinks.write_envelopes(bars_events(spark, sf_dir), _scratch(spark, "envelope"))
+    return readers.read_envelopes(spark, path)
+
+
+def q_roundtrip_vendor_hourly(spark, sf_dir):
+    path = sinks.write_vendor_documents(bars_events(spark, sf_dir), _scratch(spark, "vendor"))
+    return readers.read_vendor_series(spark, path)
+
+
+def q_roundtrip_envelope_document(spark, sf_dir):
+    """Stored envelopes, indented, one per file -> S3 in either form."""
+    lines = sinks.write_envelopes(bars_orders(spark, sf_dir), _scratch(spark, "envelope-lines"))
+    env = spark.read.schema(readers.ENVELOPE).json(lines)
+    path = _scratch(spark, "envelope-documents")
+    # One envelope a file, its members on lines of their own.
+    text = F.regexp_replace(F.to_json(F.struct(*env.columns)), r"([{,])(\")", "$1\n  $2")
+    (env.select(F.concat(F.col("symbol"), F.lit("/"), F.col("metadata")["period"]).alias("file"), text.alias("value"))
+     .write.partitionBy("file").text(path))
+    return readers.read_envelopes(spark, path, document=None)
+
+
+def q_roundtrip_text(spark, sf_dir):
+    """K5 -> S7: orders as text lines, read back as whole files; lines and bytes."""
+    orders = table(spark, sf_dir, "orders").select(F.concat_ws(",", "o_orderkey", "o_orderpriority").alias("value"))
+    texts = readers.read_text(spark, sinks.write_text(orders, _scratch(spark, "text")))
+    lines = texts.select(F.explode(F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")).alias("line")).where("line != ''")
+    return lines.select(F.split("line", ",")[0].cast("bigint").alias("o_orderkey"),
+                        F.split("line", ",")[1].alias("o_orderpriority"))
+
+
+def q_roundtrip_json_documents(spark, sf_dir):
+    """K5 -> S8: one nested document a nation, read back as whole documents."""
+    docs = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("file"), F.struct("n_nationkey", "n_name").alias("nation"), "n_regionkey")
+    path = _scratch(spark, "documents")
+    docs.write.partitionBy("file").json(path)
+    back = readers.read_json_document(spark, path, "nation struct<n_nationkey:int,n_name:string>, n_regionkey int")
+    return back.select("nation.n_nationkey", "nation.n_name", "n_regionkey")
+
+
+def q_zone_paths(spark, sf_dir):
+    """The processed location of every raw one, one an order priority and month."""
+    orders = table(spark, sf_dir, "orders")
+    raw = orders.select(F.concat(F.lit("base/raw_data/daily/"), "o_orderpriority", F.lit("/"),
+                                 F.date_format("o_orderdate", "yyyy-MM"), F.lit(".json")).alias("raw")).distinct()
+    return raw.select("raw", sinks.zone_path_col("raw").alias("processed"))
+
+
+def q_local_features_empty(spark, sf_dir):
+    """No input gives no features; the quality report names every requested symbol as without data."""
+    none = bars_orders(spark, sf_dir).where("close < 0")
+    rep = quality.quality_report(local.local_features(none), expected_symbols(spark, sf_dir))
+    return rep.select("symbol", "record_count", "data_exists", F.concat_ws(";", "issues").alias("issues"))
+
+
+def q_bars_events_corrected(spark, sf_dir):
+    """B1 as a stream whose ticks come in three files out of order: late ones correct their bars."""
+    events = table(spark, sf_dir, "events")
+    src = _scratch(spark, "tick-files")
+    for part in range(3):
+        events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(src)
+    out = _scratch(spark, "corrected")
+    ticks = tick_stream(spark, src, events.schema, max_files=1).withColumn("one", F.lit(1))
+    start_corrected_bars(ticks, out, "event_type", "ts", "value", "one", "event_id", "hour", "1 hour",
+                         _scratch(spark, "corrected-checkpoint"), available_now=True).awaitTermination()
+    counts = tick_counts(spark, out).agg(F.sum("ticks").alias("n"), F.sum("late_ticks").alias("late"))
+    late = late_ticks(spark, out).agg(F.count(F.lit(1)).alias("kept"))
+    bars = corrected_bars(spark, out)
+    # Ticks are counted and late ones kept: bars only come out if that holds.
+    return bars.crossJoin(F.broadcast(counts.crossJoin(late).where("late = kept and late > 0 and n > late").select(
+        F.lit(1)))).select(*bars.columns)
+
+
 def q_snapshot_latest(spark, sf_dir):
     """K2: two snapshots; the second covers the two highest priorities only.
 
@@ -261,6 +461,35 @@ def q_daily_job(spark, sf_dir):
     return rounded(res.select(F.to_date("date").alias("date"), *cols), DAILY_DIGITS)
 
 
+def q_daily_run_columns(spark, sf_dir):
+    """Label, feature count and method of every row; the run's timestamps are set."""
+    feats = daily.with_run_columns(daily.daily_features(daily_bars(spark, sf_dir)), "orders")
+    meta = F.col("feature_engineering_metadata")
+    set_ = F.col("processing_timestamp").isNotNull() & (meta["created_at"] == F.col("processing_timestamp"))
+    return feats.select("symbol", "date", "symbol_processed", meta["feature_count"].alias("feature_count"),
+                        meta["processing_method"].alias("processing_method"), set_.alias("timed"))
+
+
+def q_advanced_job_rows(spark, sf_dir):
+    """K7 rows: the documents of the job, read back, in the columns that hold no EMA to more places."""
+    src = sinks.write_vendor_documents(bars_orders(spark, sf_dir), _scratch(spark, "adv-in"))
+    out = jobs.advanced_job(spark, src, _scratch(spark, "adv-out"), documents=True)
+    columns = adv.BASE_COLUMNS + adv.ADVANCED_FEATURES
+    schema = "symbol string, date date, volume bigint, " + ", ".join(f"`{c}` double" for c in columns if c != "volume")
+    rows = spark.read.schema(schema).json(out["documents"] + "/Processed_Data")
+    return rounded(rows.select("symbol", "date", *columns), ADV_DIGITS)
+
+
+def q_processing_summary(spark, sf_dir):
+    """K8: what the advanced job says about its outputs, one row a symbol, beside its count of them."""
+    src = sinks.write_vendor_documents(bars_orders(spark, sf_dir), _scratch(spark, "adv-in"))
+    out = jobs.advanced_job(spark, src, _scratch(spark, "adv-out"))
+    outputs = spark.read.json(out["outputs"]).select(
+        "symbol", F.regexp_extract("output", r"(rows/symbol=.*)$", 1).alias("output"))
+    return outputs.crossJoin(spark.read.json(out["summary"]).select(
+        "files_processed", F.col("processing_date").isNotNull().alias("dated")))
+
+
 def q_advanced_job(spark, sf_dir):
     """Advanced job end to end: vendor documents -> job -> metadata read back."""
     src = sinks.write_vendor_documents(bars_orders(spark, sf_dir), _scratch(spark, "adv-in"))
@@ -281,16 +510,23 @@ def q_ingestion_job(spark, sf_dir):
 
 
 def q_output_manifest(spark, sf_dir):
-    """Q7 over the written daily output (file layout depends on parallelism: no oracle)."""
-    out = sinks.write_ndjson(daily.daily_features(bars_orders(spark, sf_dir)), _scratch(spark, "manifest"))
-    return sinks.output_manifest(spark, out)
+    """Q7 over orders written as text lines: whether there are files, and their bytes."""
+    orders = table(spark, sf_dir, "orders").select(F.concat_ws("|", "o_orderkey", "o_orderpriority").alias("value"))
+    found = sinks.output_manifest(spark, sinks.write_text(orders, _scratch(spark, "manifest")))
+    missing = sinks.output_manifest(spark, _scratch(spark, "nothing-here"))
+    return found.unionByName(missing).select("ok", (F.col("file_count") > 0).alias("has_files"), "total_bytes")
 
 
 def q_output_analysis(spark, sf_dir):
-    """Q6 on the daily feature table."""
-    res = sinks.output_analysis(daily.daily_features(bars_orders(spark, sf_dir)),
-                                ["date", "symbol", "open", "high", "low", "close", "volume"])
-    return res.select("records", F.concat_ws(";", "feature_columns").alias("feature_columns"), "feature_count")
+    """Q6 on the daily features as written: records, columns, sample, files."""
+    feats = rounded(daily.daily_features(daily_bars(spark, sf_dir)), DAILY_DIGITS)
+    path = sinks.write_ndjson(feats, _scratch(spark, "analysis"))
+    res = sinks.analyse_output(spark, path, feats.schema, ["date", "symbol", "open", "high", "low", "close", "volume"],
+                               ("symbol", "date"))
+    sample = F.from_json("sample", "symbol string, date string, close double")
+    return res.select("records", F.concat_ws(";", "feature_columns").alias("feature_columns"), "feature_count",
+                      sample["symbol"].alias("sample_symbol"), sample["date"].alias("sample_date"),
+                      sample["close"].alias("sample_close"), "ok", (F.col("total_bytes") > F.col("records")).alias("sized"))
 
 
 QUERIES: dict[str, Query] = {
@@ -332,6 +568,28 @@ QUERIES: dict[str, Query] = {
     "daily_job": q_daily_job,
     "advanced_job": q_advanced_job,
     "ingestion_job": q_ingestion_job,
+    "quality_report_customers": q_quality_report_customers,
+    "ingestion_gate_customers": q_ingestion_gate_customers,
+    "training_gate_customers": q_training_gate_customers,
+    "remove_outliers_strict": q_remove_outliers_strict,
+    "zscore_chunked": q_zscore_chunked,
+    "forward_fill_chunked": q_forward_fill_chunked,
+    "daily_features_chunked": q_daily_features_chunked,
+    "adv_support_resistance_chunked": q_adv_support_resistance_chunked,
+    "adv_ema_ratios": q_adv_ema_ratios,
+    "run_log_folded": q_run_log_folded,
+    "roundtrip_ndjson_hourly": q_roundtrip_ndjson_hourly,
+    "roundtrip_envelope_hourly": q_roundtrip_envelope_hourly,
+    "roundtrip_vendor_hourly": q_roundtrip_vendor_hourly,
+    "roundtrip_envelope_document": q_roundtrip_envelope_document,
+    "roundtrip_text": q_roundtrip_text,
+    "roundtrip_json_documents": q_roundtrip_json_documents,
+    "zone_paths": q_zone_paths,
+    "local_features_empty": q_local_features_empty,
+    "bars_events_corrected": q_bars_events_corrected,
+    "daily_run_columns": q_daily_run_columns,
+    "advanced_job_rows": q_advanced_job_rows,
+    "processing_summary": q_processing_summary,
     "output_manifest": q_output_manifest,
     "output_analysis": q_output_analysis,
 }
@@ -378,7 +636,34 @@ ORACLE: dict[str, str] = {
     "daily_job": O.with_bars(O.DAILY),
     "advanced_job": O.ADV_META.replace("87 AS Features_Count", "CAST(87 AS INTEGER) AS Features_Count"),
     "ingestion_job": O.with_bars(O.LOCAL),
-    "output_analysis": O.with_bars("SELECT count(*) AS records, 'sma_5;sma_20;price_change;price_change_pct;"
-                                   "volatility_5d;volume_sma_5;high_low_ratio' AS feature_columns, "
-                                   "7 AS feature_count FROM bars"),
+    "output_analysis": O.OUTPUT_ANALYSIS,
+    "output_manifest": O.OUTPUT_MANIFEST,
+    "quality_report_customers": O.CUSTOMER_REPORT,
+    "ingestion_gate_customers": O.CUSTOMER_GATE,
+    "training_gate_customers": O.CUSTOMER_TRAINING_GATE,
+    "remove_outliers_strict": O.OUTLIERS.replace("abs(z) <= 3.0", "abs(z) <= 1.5"),
+    "zscore_chunked": O.ZSCORE,
+    "forward_fill_chunked": O.FFILL_GAPS,
+    "daily_features_chunked": O.with_bars(O.DAILY),
+    "adv_support_resistance_chunked": O.advanced_sql(
+        adv.FAMILIES["support_resistance"] + adv.FAMILIES["volatility"], ADV_DIGITS),
+    "adv_ema_ratios": O.ratios_sql(EMA_RATIOS, 8),
+    "run_log_folded": O.RUN_LOG_FOLDED,
+    "roundtrip_ndjson_hourly": O.BARS_EVENTS,
+    "roundtrip_envelope_hourly": O.BARS_EVENTS,
+    "roundtrip_vendor_hourly": O.BARS_EVENTS,
+    "roundtrip_envelope_document": O.BARS_ORDERS,
+    "roundtrip_text": "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderpriority FROM orders",
+    "roundtrip_json_documents": "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, "
+                                "CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation",
+    "zone_paths": O.ZONE_PATHS,
+    "local_features_empty": f"SELECT symbol, CAST(0 AS BIGINT) AS record_count, false AS data_exists, "
+                            f"'No valid data found' AS issues FROM ({O.EXPECTED_SYMBOLS})",
+    "bars_events_corrected": O.BARS_EVENTS,
+    "daily_run_columns": O.with_bars("SELECT symbol, date, 'orders' AS symbol_processed, 7 AS feature_count, "
+                                     "'glue_pyspark' AS processing_method, true AS timed FROM bars"),
+    "advanced_job_rows": O.advanced_sql(adv.BASE_COLUMNS + adv.ADVANCED_FEATURES, ADV_DIGITS, where=O.complete_where()),
+    "processing_summary": "SELECT o_orderpriority AS symbol, 'rows/symbol=' || o_orderpriority AS output, "
+                          "(SELECT count(DISTINCT o_orderpriority) FROM orders) AS files_processed, true AS dated "
+                          "FROM orders GROUP BY o_orderpriority",
 }

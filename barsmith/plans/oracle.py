@@ -231,7 +231,8 @@ WINDOW w5 AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CUR
            r_sma=rnd("avg(close) OVER w5", 2), r_ret=rnd("ret", 4), r_vol=rnd("stddev_pop(ret) OVER w5", 4))
 
 LOCAL_META = """
-SELECT symbol, 4 AS total_features, count(*) AS original_records, count(*) AS processed_records,
+SELECT symbol, 'sma_5' AS technical_indicators, 'return_1d;volatility_5d' AS price_features,
+       'volume_normalized' AS volume_features, 4 AS total_features, count(*) AS original_records, count(*) AS processed_records,
        4 AS features_added, 'local_processing' AS method
 FROM bars GROUP BY symbol
 """
@@ -299,8 +300,6 @@ def completeness_sql(source: str, names: list[str]) -> str:
             f"sum({filled}) / (count(*) * {len(names)}) AS completeness FROM ({source}) GROUP BY symbol")
 
 
-DAILY_RAW = DAILY.replace("{", "{{").replace("}", "}}")  # placeholder (not used)
-
 PREP_ALIASES = {"sma_20": "SMA_20", "rsi_14": "RSI_14", "macd": "MACD_12_26",
                 "volatility": "Volatility_20", "volume_sma": "Volume_SMA_20",
                 "volume_ratio": "Volume_Ratio_20"}
@@ -400,3 +399,77 @@ ERROR_LOG = _run_log_query("""
 SELECT coalesce(err_node, 'global') AS node, count(*) AS error_count,
        count(DISTINCT workflow_id) AS workflows, string_agg(DISTINCT err_type, ';' ORDER BY err_type) AS error_types
 FROM log WHERE n_err > 0 GROUP BY 1""")
+
+
+def ratios_sql(columns: list[str], digits: int) -> str:
+    """Advanced columns over the close, to more places than :func:`advanced_sql` compares."""
+    return advanced_sql(columns, dict.fromkeys(columns, digits), aliases={c: div(c, "close") for c in columns})
+
+
+OUTPUT_MANIFEST = """
+SELECT count(*) > 0 AS ok, count(*) > 0 AS has_files,
+       CAST(sum(strlen(o_orderkey || '|' || o_orderpriority) + 1) AS BIGINT) AS total_bytes FROM orders
+UNION ALL SELECT false, false, 0"""
+
+OUTPUT_ANALYSIS = with_bars("""
+SELECT count(*) AS records,
+       'sma_5;sma_20;price_change;price_change_pct;volatility_5d;volume_sma_5;high_low_ratio' AS feature_columns,
+       7 AS feature_count, first(symbol ORDER BY symbol, date) AS sample_symbol,
+       CAST(first(date ORDER BY symbol, date) AS VARCHAR) AS sample_date,
+       first(close ORDER BY symbol, date) AS sample_close, true AS ok, true AS sized FROM bars""")
+
+ZONE_PATHS = """
+SELECT DISTINCT 'base/raw_data/daily/' || o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') || '.json' AS raw,
+       'base/processed_data/daily/' || o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m') || '.json' AS processed
+FROM orders"""
+
+FFILL_GAPS = with_bars("""
+SELECT symbol, date,
+       last_value(c IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS close
+FROM (SELECT symbol, date, CASE WHEN day(date) <= 2 THEN close END AS c FROM bars)""")
+
+CUSTOMER_BARS = """
+SELECT date, symbol, CASE WHEN key % 7 != 0 THEN open END AS open, high, low, close,
+       CASE WHEN key % 5 != 0 OR day(date) % 2 = 0 THEN volume END AS volume
+FROM (SELECT CAST(o_orderdate AS DATE) AS date, CAST(o_custkey AS VARCHAR) AS symbol, o_custkey AS key,
+             arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low,
+             arg_max(o_totalprice, o_orderkey) AS close, CAST(sum(floor(o_totalprice)) AS BIGINT) AS volume
+      FROM orders GROUP BY 1, 2, 3)"""
+
+_CUSTOMER_CTE = QUALITY_CTE.replace(EXPECTED_SYMBOLS, "SELECT CAST(c_custkey AS VARCHAR) AS symbol FROM customer")
+
+CUSTOMER_REPORT = f"WITH bars AS ({CUSTOMER_BARS}), {_CUSTOMER_CTE}\nSELECT * FROM report"
+
+CUSTOMER_GATE = (f"WITH bars AS ({CUSTOMER_BARS}), {_CUSTOMER_CTE}\n"
+                 "SELECT * FROM bars WHERE symbol IN (SELECT symbol FROM report WHERE validation_passed AND data_exists)")
+
+CUSTOMER_TRAINING_GATE = (
+    f"WITH bars AS ({CUSTOMER_BARS}), feats AS ({DAILY.strip()}),\n"
+    f"comp AS ({completeness_sql('SELECT * FROM feats', DAILY_NAMES)})\n"
+    "SELECT symbol, date FROM feats WHERE symbol IN (SELECT symbol FROM comp WHERE completeness >= 0.8)")
+
+RUN_LOG_FOLDED = """
+WITH event AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS workflow_id, stage, "at", status, failed FROM (
+    SELECT l_orderkey, 'ingestion' AS stage, CAST(l_shipdate AS TIMESTAMP) AS "at", 'completed' AS status, NULL AS failed
+    FROM lineitem
+    UNION ALL
+    SELECT l_orderkey, 'preprocessing', CAST(l_shipdate AS TIMESTAMP) + INTERVAL 1 DAY,
+           CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'running' END, NULL FROM lineitem
+    UNION ALL
+    SELECT l_orderkey, 'training', CAST(l_shipdate AS TIMESTAMP) + to_days(CAST(l_linenumber AS INTEGER)),
+           CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'completed' END,
+           CASE WHEN l_returnflag = 'R' THEN (l_linenumber, l_shipdate) END FROM lineitem)),
+log AS (
+  SELECT workflow_id, stage, max(("at", status)) AS last, min("at") AS created_at, max("at") AS updated_at,
+         count(DISTINCT failed) AS errors
+  FROM event GROUP BY workflow_id, stage)
+SELECT workflow_id,
+       CASE WHEN bool_or(stage = 'training' AND last[2] = 'completed') THEN 'completed'
+            WHEN bool_or(last[2] = 'failed') THEN 'failed'
+            WHEN bool_or(last[2] = 'running') THEN 'running' ELSE 'pending' END AS status,
+       CAST(count_if(last[2] = 'completed') AS BIGINT) AS completed_stages, count(*) AS total_stages,
+       CAST(epoch(max(updated_at)) - epoch(min(created_at)) AS DOUBLE) AS elapsed_seconds,
+       CAST(sum(errors) AS BIGINT) AS errors
+FROM log GROUP BY workflow_id"""
