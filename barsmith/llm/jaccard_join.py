@@ -18,9 +18,10 @@ gives the same result; this one keeps passages out of the prefixes.
      to finer keys: the set is cut into parts by shingle hash, so many that
      linked sets cannot differ in all of them (see :func:`finer_keys`).
      Unrelated documents that share a passage share no part; clusters do.
-   - A run of a finer key gives a star from one of its groups, then, links
-     known, another from another group to what is not yet in its component.
-     After ``STAR_TURNS`` of them every pair of the run that is still in two
+   - A group of such runs pairs with one of their centres (a run's group of smallest
+     rank): the one it meets in most runs. Then, links known, every group outside a
+     run's largest component pairs with the nearest of another one, and last
+     every pair of a run that is still in two
      components is given: a pair inside one component can't change the result.
    Pairs survive if the parity bitmaps of their sets (a lower bound of the
    symmetric difference, a few bits a shingle) allow a link.
@@ -55,8 +56,6 @@ from .shingles import (SHINGLE_WORDS, max_difference, parity_bitmap, parity_dist
 PERCENT = 80
 #: Groups of a prefix hash up to which all its pairs are enumerated.
 RUN = 64
-#: Stars a run gives before its open pairs are enumerated.
-STAR_TURNS = 3
 #: Popular shingles (8 bytes each, broadcast) that the order puts last, at most.
 STOP_SHINGLES = 1 << 19
 #: Share of the hash space in which popular shingles are counted: prefixes rarely reach further.
@@ -217,22 +216,19 @@ def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
-def _star_pairs(run, percent: int, turn: int):
-    """From every run, one group with each other of a compatible size and another component.
+def star_pairs(runs: DataFrame, percent: int, turn: int) -> DataFrame:
+    """At most one pair (a, b) a group of the runs (key, n, g, c), c being its component so far.
 
-    Every turn picks its own centres.
+    A key names as centre its group of smallest rank, by a combinable
+    aggregate; of its keys' centres of a compatible size and another component, a
+    group takes the one it meets under most keys. Every turn ranks anew.
     """
-    first, length = _spans(run["key"])
-    rank = mix(run["g"].view(np.uint64), 100 + turn)
-    out_a, out_b = [], []
-    for lo, size in zip(first, length):
-        g, n, c = run["g"][lo:lo + size], run["n"][lo:lo + size], run["c"][lo:lo + size]
-        at = int(np.argmin(rank[lo:lo + size]))
-        ok = (100 * np.minimum(n, n[at]) >= percent * np.maximum(n, n[at])) & (c != c[at])
-        out_a.append(np.full(int(ok.sum()), g[at]))
-        out_b.append(g[ok])
-    if out_a and sum(map(len, out_a)):
-        yield _pair_batch(np.concatenate(out_a), np.concatenate(out_b))
+    centre = F.min(F.struct(F.xxhash64("g", F.lit(turn)).alias("rank"), "g", "n", "c")).alias("centre")
+    met = (runs.join(runs.groupBy("key").agg(centre), "key")
+           .where(f"c != centre.c and 100 * least(n, centre.n) >= {percent} * greatest(n, centre.n)")
+           .groupBy("g", F.col("centre.g").alias("o"), F.col("centre.rank").alias("rank")).agg(F.count(F.lit(1)).alias("keys")))
+    best = met.groupBy("g").agg(F.max(F.struct("keys", "rank", "o")).alias("best"))
+    return best.select(F.least("g", "best.o").alias("a"), F.greatest("g", "best.o").alias("b")).distinct()
 
 
 def _folded(bitmaps: np.ndarray) -> np.ndarray:
@@ -267,6 +263,30 @@ def _cross_pairs(run, percent: int):
             yield _pair_batch(np.concatenate(out_a), np.concatenate(out_b))
 
 
+def _nearest_pairs(run, percent: int):
+    """Of every group outside its run's largest component the pair with the nearest group of another one.
+
+    Sizes and parity bitmaps have to allow the link.
+    """
+    first, length = _spans(run["key"])
+    for lo, size in zip(first, length):
+        names, at, members = np.unique(run["c"][lo:lo + size], return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            continue
+        g, n = run["g"][lo:lo + size], run["n"][lo:lo + size].astype(np.int64)
+        bits = _folded(run["bits"][lo:lo + size])
+        out_a, out_b = [], []
+        for i in np.flatnonzero(at != np.argmax(members)):
+            j = np.flatnonzero((at != at[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            fit = apart <= max_difference(n[i], n[j], percent)
+            if fit.any():
+                out_a.append(g[i])
+                out_b.append(g[j[fit][np.argmin(apart[fit])]])
+        if out_a:
+            yield _pair_batch(np.array(out_a), np.array(out_b))
+
+
 def size_level(n: int, percent: int) -> int:
     """Number of the size class of ``n``; linked sets lie in one class or in two neighbouring ones."""
     level, top = 0, 1
@@ -425,26 +445,20 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS,
                  .where("lo != hi").select("key"))
         return labelled.join(split, "key", "left_semi")
 
-    def star_of(turn: int):
-        def star(batch):
-            yield from _star_pairs(batch, percent, turn)
-        return star
-
-    def cross(batch):
-        yield from _cross_pairs(batch, percent)
+    def in_runs(pairs_of) -> DataFrame:
+        """Pairs of the open runs, which carry parity bitmaps."""
+        def scan(batch):
+            yield from pairs_of(batch, percent)
+        still = open_runs(links).join(sizes.select(F.col("c").alias("g"), "bits"), "g").select("key", "n", "g", "c", "bits")
+        return _runs(still, scan, "a long, b long").distinct()
 
     alone = dense.select("key", "n", "g", F.col("g").alias("c"))
-    first = short_pairs.unionByName(_runs(alone, star_of(0), "a long, b long")).distinct()
-    links = stored(check(first), "links")
-    for turn in range(1, STAR_TURNS):
-        more = check(_runs(open_runs(links), star_of(turn), "a long, b long").distinct())
-        links = stored(links.unionByName(more).distinct(), "links")
-    # What the stars leave open: all pairs of one run in two components that the
-    # bitmaps allow, settled inside the run.
-    still = open_runs(links).join(sizes.select(F.col("c").alias("g"), "bits"), "g").select(
-        "key", "n", "g", "c", "bits")
-    rest = check(_runs(still, cross, "a long, b long").distinct())
-    return members, stored(links.unionByName(rest).distinct(), "links")
+    links = stored(check(short_pairs.unionByName(star_pairs(alone, percent, 0)).distinct()), "links")
+    # Nearest partners join most of what the star leaves open; then all pairs of one run in two
+    # components that the bitmaps allow.
+    for pairs_of in (_nearest_pairs, _cross_pairs):
+        links = stored(links.unionByName(check(in_runs(pairs_of))).distinct(), "links")
+    return members, links
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE_WORDS,
