@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,21 +56,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` of a function from one record batch to one record batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield out
-    return df.mapInArrow(run, schema)
-
-
-def batch_of(columns: dict[str, object], types: dict[str, pa.DataType]) -> pa.RecordBatch:
-    arrays = [columns[k] if isinstance(columns[k], pa.Array) else pa.array(columns[k], type=t)
-              for k, t in types.items()]
-    return pa.RecordBatch.from_arrays(arrays, names=list(types))
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` is called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def texts_as_bytes(column: pa.Array) -> list[bytes]:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_BYTES, partitions, stored, texts_as_bytes
+from .common import SPACE_BYTES, free_name, partitions, stored, texts_as_bytes
 from .mph import FingerprintTable
 
 MIN_DOCS = 3
@@ -188,8 +188,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     total, size = index.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.count(F.lit(1))).first()
     hot, is_hot = _hot_table(index, total, hot_keys)
     lost = dropped_hashes(docs, index, hot, is_hot, size, min_chars, shard_keys)
-    by_doc = lost.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("h1").alias("__lost"))
-    joined = docs.join(by_doc, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col("__doc"), "left").drop("__doc")
+    doc_name, lost_name = free_name(docs, "__doc"), free_name(docs, "__lost")
+    by_doc = lost.groupBy(F.col("doc").alias(doc_name)).agg(F.collect_set("h1").alias(lost_name))
+    joined = docs.join(by_doc, F.coalesce("doc_id", F.lit(NULL_ID)) == F.col(doc_name), "left").drop(doc_name)
 
     out = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()),
                         T.StructField("n_dropped", T.LongType())])
@@ -209,7 +210,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
             gone = iter((found & (last != owner)).tolist())
             keys = iter(h1.tolist())
             kept, n_lines, n_dropped = [], [], []
-            for text, own, lost in zip(texts, lists, batch.column("__lost").to_pylist()):
+            for text, own, lost in zip(texts, lists, batch.column(lost_name).to_pylist()):
                 lost = set(lost or ())
                 keep = []
                 for h in own:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_BYTES, stored, texts_as_bytes
+from .common import SPACE_BYTES, free_name, stored, texts_as_bytes
 
 #: Tokens: padding (0), frequent words, hashed tail tokens. CLASSES * CLASSES of them.
 CLASSES = 64
@@ -322,21 +322,23 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network, counts: DataFr
                  pa.array([[{"word": w, "tail": tail_of(w), "times": n} for w, n in t.items()] for t in tails], _TAIL_WORDS)],
                 names=names)
 
-    names = [*keep, "n_tokens", "_net", "_tails"]
+    net_name, tails_name, row, shares = (free_name(docs, c) for c in ("_net", "_tails", "_row", "_shares"))
+    names = [*keep, "n_tokens", net_name, tails_name]
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_tokens", T.LongType()),
-                           T.StructField("_net", T.DoubleType()),
-                           T.StructField("_tails", T.ArrayType(T.StructType([
+                           T.StructField(net_name, T.DoubleType()),
+                           T.StructField(tails_name, T.ArrayType(T.StructType([
                                T.StructField("word", T.BinaryType()), T.StructField("tail", T.IntegerType()),
                                T.StructField("times", T.LongType())])))])
     # An id of the row, written once: repeated rows and null ids stay apart.
-    rows = stored(docs.mapInArrow(emit, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
+    rows = stored(docs.mapInArrow(emit, schema).withColumn(row, F.monotonically_increasing_id()), "scored")
     totals = F.array(*[F.lit(float(np.log(max(1, n)))) for n in tail_totals(counts, vocab)])
     # Shares as whole nanonats: their sum does not depend on the order of tasks.
     share = F.round((F.log(F.coalesce("n", F.lit(1)).cast("double")) - F.get(totals, F.col("tail"))) * 1e9).cast("long")
-    tails = (rows.select("_row", F.inline("_tails")).join(counts.select("word", "n"), "word", "left")
-             .groupBy("_row").agg(F.sum(F.col("times") * share).alias("_shares")))
-    pll = F.col("_net") + F.coalesce("_shares", F.lit(0)) / 1e9
-    return rows.drop("_tails").join(tails, "_row", "left").select(*keep, "n_tokens", pll.alias("pll"))
+    tails = (rows.select(F.col(row).alias("at"), F.inline(tails_name)).join(counts.select("word", "n"), "word", "left")
+             .groupBy("at").agg(F.sum(F.col("times") * share).alias("shares")).select(
+                 F.col("at").alias(row), F.col("shares").alias(shares)))
+    pll = F.col(net_name) + F.coalesce(shares, F.lit(0)) / 1e9
+    return rows.drop(tails_name).join(tails, row, "left").select(*keep, "n_tokens", pll.alias("pll"))
 
 
 def query(docs: DataFrame) -> DataFrame:
