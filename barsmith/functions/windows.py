@@ -202,13 +202,6 @@ def rows(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(int(n) - 1), 0)
 
 
-def full(agg, c: str | Column, n: int, w: WindowSpec) -> Column:
-    """pandas ``rolling(n).agg()``: NULL until ``n`` non-null values are in the frame."""
-    c = F.col(c) if isinstance(c, str) else c
-    frame = rows(w, n)
-    return F.when(F.count(c).over(frame) == F.lit(int(n)), agg(c).over(frame))
-
-
 def partial(agg, c: str | Column, n: int, w: WindowSpec) -> Column:
     """Spark default: aggregate over whatever of the last ``n`` rows exist."""
     c = F.col(c) if isinstance(c, str) else c
