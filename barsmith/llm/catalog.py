@@ -93,6 +93,7 @@ QUERIES = {
 ORACLE = {
     "op2_line_dedup": line_dedup.QUERY_SQL,
     "op3_chat_formatting": chat.QUERY_SQL,
+    "op8_jaccard_join": jaccard_join.QUERY_SQL,
     "op11_minhash": minhash.QUERY_SQL,
     "op12_periodic_runs": periodic.QUERY_SQL,
     "op13_merkle_manifest": merkle.QUERY_SQL,

@@ -476,3 +476,27 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = SHI
 def query(docs: DataFrame) -> DataFrame:
     """Component of every document with production parameters."""
     return jaccard_components(docs)
+
+
+QUERY_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM split, LATERAL (SELECT unnest(range(1, greatest(len(w) - 3, 2))) AS i) WHERE len(w) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id != b.doc_id GROUP BY ALL),
+linked AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM split
+  UNION
+  SELECT reach.a, linked.b FROM reach JOIN linked ON linked.a = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM split LEFT JOIN size USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
