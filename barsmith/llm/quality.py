@@ -5,14 +5,16 @@ Every document gets (a) a handful of base counts and a base verdict and
 two multinomials: *target*, estimated on trusted documents, and *raw*,
 estimated on the whole corpus (the weight that data selection by importance
 resampling draws with). Instead of drawing, every document is compared with one
-threshold, so the verdict is deterministic. Half of the trusted documents fit
-the target; the other half, held out, says what a good unseen document scores.
+threshold, so the verdict is deterministic. All trusted documents take part: half
+of them fit the target; the other half, held out, says what a good unseen document scores.
 
 Everything is a DataFrame expression. The corpus pass explodes the n-gram
 buckets into a hash aggregate of ``buckets`` keys (map-side combined, so the
 shuffle holds ``buckets`` rows a task however large the corpus is); the weight
 table has ``buckets`` rows, a proven bound, and is broadcast to the scoring
-pass. Documents are scored where they lie: no shuffle of text.
+pass. Documents are scored where they lie. The trusted ids grow with the labels:
+Spark joins them as their size asks, by a shuffle of the texts once they are many.
+The threshold's percentiles are exact, read off the held-out scores in ranges.
 
 Defined results: null or empty text has no words, fails the base rules and is
 not kept; repeated rows are scored alike; an empty corpus gives an empty
@@ -22,15 +24,15 @@ decide. Extra columns of the input are ignored, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, free_name, stored, words
+from .common import SPACE_CLASS, free_name, partitions, stored, words
 
 #: Hash buckets of the two multinomials (documented size bound of the model).
 BUCKETS = 1 << 16
-#: At most this many trusted documents fit the target distribution.
-MAX_TRUSTED = 20_000
 #: A document is kept while its mean log-likelihood ratio (nats per n-gram) lies at most
 #: max(MIN_MARGIN, SPREADS * (median - 10th percentile)) below the median of trusted
 #: documents that were held out of the fit.
@@ -65,12 +67,11 @@ def _ngrams(docs: DataFrame, keys: list[Column], buckets: int) -> DataFrame:
                     _bucket(F.xxhash64("a", "b", F.lit(2)), buckets).alias("bi")))
 
 
-def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
-    """At most ``max_trusted`` ids labelled good and not toxic, picked by hash, in two ``half``s."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids labelled good and not toxic, in two ``half``s told by a hash."""
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
                         & F.col("doc_id").isNotNull())
-    order = F.xxhash64("doc_id")
-    return (good.select("doc_id").distinct().orderBy(order, "doc_id").limit(max_trusted)
+    return (good.select("doc_id").distinct()
             .select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")))
 
 
@@ -78,12 +79,12 @@ def fit_weights(docs: DataFrame, ids: DataFrame, buckets: int = BUCKETS,
                 smoothing: float = SMOOTHING) -> DataFrame:
     """(bucket, weight) of all ``buckets``: log p_target - log p_raw.
 
-    Raw counts cover all documents. ``ids`` (:func:`trusted_ids`) is bounded,
-    so it is broadcast.
+    Raw counts cover all documents, target counts all of ``ids``
+    (:func:`trusted_ids`) in the half that fits.
     """
     ids = ids.where("half = 0").select("doc_id", F.lit(1).alias("trusted"))
     flagged = (docs.select("doc_id", "text")
-               .join(F.broadcast(ids), "doc_id", "left").withColumnRenamed("trusted", "t"))
+               .join(ids, "doc_id", "left").withColumnRenamed("trusted", "t"))
     counts = (_ngrams(flagged, [F.coalesce("t", F.lit(0))], buckets)
               .select("k0", F.explode(F.array("uni", "bi")).alias("bucket"))
               .groupBy("bucket")
@@ -173,27 +174,57 @@ def scores(docs: DataFrame, weights: DataFrame, buckets: int) -> DataFrame:
             .agg((F.sum(F.col("w_uni") + F.col("w_bi")) / (2 * F.count(F.lit(1)))).alias("llr")))
 
 
-def threshold(docs: DataFrame, ids: DataFrame, weights: DataFrame, buckets: int,
-              spreads: float = SPREADS, min_margin: float = MIN_MARGIN) -> float:
-    """The lowest score that is kept, from the held-out half of the trusted documents."""
-    held_out = docs.select("doc_id", "text").join(
-        F.broadcast(ids.where("half = 1").select("doc_id")), "doc_id", "left_semi")
-    mid, low = (scores(held_out, weights, buckets)
-                .agg(F.expr("percentile(llr, array(0.5, 0.1))").alias("p")).first()["p"] or (0.0, 0.0))
+def percentiles(values: DataFrame, name: str, shares: list[float]) -> list[float] | None:
+    """Exact percentiles of the column ``name`` as ``percentile`` has them; None without rows.
+
+    Values are written in ascending ranges; the driver sees one count a range and
+    the few values at the ranks it asks for.
+    """
+    ranges = stored(values.select(F.col(name).alias("v")).repartitionByRange(partitions(values.sparkSession), "v")
+                    .select("v", F.spark_partition_id().alias("part")), "ranges")
+    counts = ranges.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    total, starts = 0, []
+    for r in counts:
+        starts.append((r["part"], total, r["n"]))
+        total += r["n"]
+    if not total:
+        return None
+    ranks = {f((total - 1) * share) for share in shares for f in (math.floor, math.ceil)}
+    wanted = [(part, rank - start + 1, rank) for rank in ranks for part, start, n in starts
+              if start <= rank < start + n]
+    at = F.row_number().over(Window.partitionBy("part").orderBy("v"))
+    rows = (ranges.where(F.col("part").isin(*{part for part, _, _ in wanted})).withColumn("at", at)
+            .where(" or ".join(f"(part = {part} and at = {n})" for part, n, _ in wanted)).collect())
+    found = {(r["part"], r["at"]): r["v"] for r in rows}
+    value = {rank: found[part, n] for part, n, rank in wanted}
+
+    def between(position: float) -> float:
+        low, high = math.floor(position), math.ceil(position)
+        if low == high or value[low] == value[high]:
+            return value[low]
+        return (high - position) * value[low] + (position - low) * value[high]
+
+    return [between((total - 1) * share) for share in shares]
+
+
+def threshold(scored: DataFrame, ids: DataFrame, spreads: float = SPREADS,
+              min_margin: float = MIN_MARGIN) -> float:
+    """The lowest score that is kept, from the :func:`scores` of the held-out trusted documents."""
+    held_out = scored.join(ids.where("half = 1").select(F.col("doc_id").alias("s_doc")), "s_doc", "left_semi")
+    mid, low = percentiles(held_out, "llr", [0.5, 0.1]) or (0.0, 0.0)
     return mid - max(min_margin, spreads * (mid - low))
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-                max_trusted: int = MAX_TRUSTED, smoothing: float = SMOOTHING,
-                spreads: float = SPREADS, min_margin: float = MIN_MARGIN,
-                min_words: int = MIN_WORDS,
+                smoothing: float = SMOOTHING, spreads: float = SPREADS,
+                min_margin: float = MIN_MARGIN, min_words: int = MIN_WORDS,
                 max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:
     """Base counts, score and verdicts of every row of ``docs`` (doc_id, text)."""
-    ids = stored(trusted_ids(labels, max_trusted), "trusted")
+    ids = stored(trusted_ids(labels), "trusted")
     weights = stored(fit_weights(docs, ids, buckets, smoothing), "weights")
-    min_score = threshold(docs, ids, weights, buckets, spreads, min_margin)
+    by_text = stored(scores(docs, weights, buckets), "scores")
+    min_score = threshold(by_text, ids, spreads, min_margin)
     base = base_counts(docs)
-    by_text = scores(docs, weights, buckets)
     scored = base.join(by_text, base["doc_id"].eqNullSafe(by_text["s_doc"])
                        & (base["text_key"] == by_text["s_key"]), "left").select(
         "doc_id", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr")
