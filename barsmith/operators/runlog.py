@@ -78,15 +78,23 @@ def fold_events(log: DataFrame, events: DataFrame) -> DataFrame:
     read, not the history of events.
     """
     both = log.select(*RUN_LOG.fieldNames()).unionByName(events.select(*RUN_LOG.fieldNames()))
-    flat = both.select("*", F.explode_outer("errors").alias("e")).select(
-        *RUN_LOG.fieldNames(), F.when(F.col("e").isNotNull(), F.struct("e.timestamp", "e.error", "e.error_type",
-                                                                     "e.node_name")).alias("e"))
-    folded = flat.groupBy("workflow_id", "stage").agg(
-        F.max(F.struct("updated_at", "status")).alias("last"), F.min("created_at").alias("created_at"),
-        F.array_sort(F.collect_set("e")).alias("found"))
-    return folded.select("workflow_id", "stage", "last.status", "created_at", "last.updated_at",
-                         F.expr("transform(found, e -> named_struct('error', e.error, 'error_type', e.error_type, "
-                                "'timestamp', e.timestamp, 'node_name', e.node_name))").alias("errors"))
+    # Errors are few: only rows that have some are collected into sets (a slow aggregate
+    # of objects); the sets join the events as rows of their own, so null keys need no join.
+    found = (both.where(F.size("errors") > 0).select("workflow_id", "stage", F.explode("errors").alias("e"))
+             .where(F.col("e").isNotNull()).groupBy("workflow_id", "stage")
+             .agg(F.sort_array(F.collect_set(F.struct("e.timestamp", "e.error", "e.error_type", "e.node_name")))
+                  .alias("found")))
+    found = found.select("workflow_id", "stage", F.expr(
+        "transform(found, e -> named_struct('error', e.error, 'error_type', e.error_type, "
+        "'timestamp', e.timestamp, 'node_name', e.node_name))").cast(ERRORS).alias("errors"))
+    changes = both.select("workflow_id", "stage", F.struct("updated_at", "status").alias("change"), "created_at",
+                          F.lit(None).cast(ERRORS).alias("errors"))
+    rows = changes.unionByName(found, allowMissingColumns=True)
+    return (rows.groupBy("workflow_id", "stage")
+            .agg(F.max("change").alias("last"), F.min("created_at").alias("created_at"),
+                 F.first("errors", ignorenulls=True).alias("errors"))
+            .select("workflow_id", "stage", "last.status", "created_at", "last.updated_at",
+                    F.coalesce("errors", F.array().cast(ERRORS)).alias("errors")))
 
 
 def workflow_status(log: DataFrame) -> DataFrame:

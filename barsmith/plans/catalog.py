@@ -317,7 +317,7 @@ def q_run_log_folded(spark, sf_dir):
         "workflow_id", "s.stage", "s.status", F.col("s.t").alias("created_at"), F.col("s.t").alias("updated_at"),
         "s.errors", "n")
     first = runlog.fold_events(spark.createDataFrame([], RUN_LOG), events.where("n <= 3").drop("n"))
-    log = runlog.fold_events(written(first, "run-log"), events.where("n >= 3").drop("n"))
+    log = written(runlog.fold_events(written(first, "run-log"), events.where("n >= 3").drop("n")), "run-log-folded")
     status, progress = runlog.workflow_status(log), runlog.workflow_progress(log)
     failures = log.groupBy("workflow_id").agg(F.sum(F.size("errors")).alias("errors"))
     return status.join(progress, "workflow_id").join(failures, "workflow_id")

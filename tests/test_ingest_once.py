@@ -117,6 +117,25 @@ def test_folding_events_is_incremental_and_idempotent(spark):
     assert {r["workflow_id"]: r["status"] for r in runlog.workflow_status(log).collect()} == {"w": "failed", "v": "completed"}
 
 
+def test_folding_collects_sets_of_events_with_errors_only(spark):
+    t = [dt.datetime(2024, 1, 1, h) for h in range(5)]
+    first, later = ("boom", "execution_error", t[1], "training"), ("bang", "execution_error", t[2], None)
+    events = spark.createDataFrame([
+        ("w", "training", "failed", t[0], t[1], [later, first]), ("w", "training", "running", t[0], t[2], [first, None]),
+        (None, "training", "failed", t[1], t[3], [first]), (None, "training", "completed", t[0], t[3], None),
+        ("v", None, "pending", t[4], None, []), ("v", None, None, t[0], None, None)], RUN_LOG)
+    folded = runlog.fold_events(events.limit(0), events)
+    got = {(r["workflow_id"], r["stage"]): (r["status"], r["created_at"], r["updated_at"], [tuple(e) for e in r["errors"]])
+           for r in folded.collect()}
+    assert got == {("w", "training"): ("running", t[0], t[2], [first, later]),
+                   (None, "training"): ("failed", t[0], t[3], [first]), ("v", None): ("pending", t[0], None, [])}
+    # The sets are aggregated below a filter on errors, not together with every event.
+    plan = folded._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("collect_set"):]
+    assert "size(errors" in below and plan.count("collect_set") == 1
+    assert not any("collect_set" in x and "max(" in x for x in plan.splitlines())
+
+
 def test_late_ticks_are_kept_counted_and_correct_their_bars(spark, tmp_path):
     src, out, table = (str(tmp_path / x) for x in ("ticks", "out", "table"))
     start = dt.datetime(2024, 1, 1)
