@@ -321,7 +321,7 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _mapped(path: str) -> MappedTransducer:
     return MappedTransducer(path)
 
@@ -375,9 +375,12 @@ def _publish(spark: SparkSession, data: bytes) -> str:
     return name
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _encoder(vocab_path: str, lexicon_path: str) -> Encoder:
-    """A worker process keeps its encoder, and the words it remembers, from task to task."""
+    """A worker process keeps its encoder, and the words it remembers, from task to task.
+
+    Only the last one: the words of an earlier job's encoder would stay in memory for nothing.
+    """
     return Encoder(vocabulary(vocab_path), _mapped(lexicon_path))
 
 
@@ -425,6 +428,12 @@ class Encoder:
         return decimals, " ".join(map(self.strings.__getitem__, words))
 
 
+def _id_lists(decimals: list[str], counts: list[int]) -> pa.Array:
+    """Lists of ids from their decimals; numbers only ever stand in one flat array."""
+    flat = np.fromstring(" ".join(filter(None, decimals)), np.int32, sep=" ") if any(counts) else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(flat, pa.int32()))
+
+
 def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
            as_text: bool = False) -> DataFrame:
     """``docs`` with ``ids`` (token ids) and ``decoded`` (their text).
@@ -443,12 +452,11 @@ def encode(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS,
         for batch in batches:
             coded = [encoder.encode(text or "") for text in batch.column("text").to_pylist()]
             counts = [d.count(" ") + 1 if d else 0 for d, _ in coded]
-            ids = [d if as_text else list(map(int, d.split())) for d, _ in coded]
-            decoded = [s for _, s in coded]
-            kind = pa.string() if as_text else pa.list_(pa.int32())
+            ids = [d for d, _ in coded]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64()), pa.array(ids, kind),
-                 pa.array(decoded, pa.string())], names=names)
+                [*batch.columns, pa.array(counts, pa.int64()),
+                 pa.array(ids, pa.string()) if as_text else _id_lists(ids, counts),
+                 pa.array([s for _, s in coded], pa.string())], names=names)
 
     return docs.mapInArrow(run, out)
 

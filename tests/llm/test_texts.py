@@ -5,12 +5,13 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from barsmith.llm import bpe, chat, html_main, language, lm_score, quality, warc
+from barsmith.llm import bpe, chat, decontaminate, html_main, language, lm_score, quality, warc
 
 from llm_fixtures import LABELS, base_words, docs_of  # noqa: F401
 
@@ -129,6 +130,60 @@ def test_bpe_equals_the_library(docs_of, library):
     assert bpe.query(docs_of([])).count() == 0
 
 
+def test_bpe_worker_keeps_the_last_encoder_only(tmp_path):
+    vocab = bpe.default_vocabulary()
+    for name, word in (("one", b"abc"), ("two", b"abd"), ("three", b"abe")):
+        (tmp_path / name).write_bytes(bpe.Transducer.build({word: tuple(bpe.vocabulary(vocab).merge(word.decode()))}).to_bytes())
+        encoder = bpe._encoder(vocab, str(tmp_path / name))
+        assert encoder.encode("abc abd") == bpe._encoder(vocab, str(tmp_path / name)).encode("abc abd")
+    assert bpe._encoder.cache_info().currsize == bpe._mapped.cache_info().currsize == 1
+
+
+def test_bpe_id_lists():
+    assert bpe._id_lists(["1 2", "", "49000"], [2, 0, 1]).to_pylist() == [[1, 2], [], [49000]]
+    assert bpe._id_lists(["", ""], [0, 0]).to_pylist() == [[], []]
+    assert bpe._id_lists([], []).to_pylist() == []
+
+
+def test_plain_words_strip_what_is_no_letter_or_digit():
+    texts = ["'It's' ... --a-b-- (x) 7% é. ½. ½ ²a² _a_ “q” ٣, !!a", "", None]
+    def stripped(w):
+        return w if w[0].isalnum() and w[-1].isalnum() else decontaminate._EDGE.sub("", w[::-1], 1)[::-1] and \
+            decontaminate._EDGE.sub("", decontaminate._EDGE.sub("", w, 1)[::-1], 1)[::-1]
+    for text in texts:
+        want = [p for w in (text or "").lower().split() if (p := stripped(w))]
+        assert decontaminate.plain_words(text) == want
+        assert len(decontaminate.word_codes(text)) == len(want)
+    assert decontaminate._plain("--a-b--") == "a-b" and decontaminate._plain("½.") == ""
+
+
+def test_language_emissions_in_one_sum():
+    rng = np.random.default_rng(3)
+    field = language.Chain(["a", "b", "c"], {"über": 1, "the": 0})
+    field.emit = rng.normal(size=field.emit.shape)
+    words = ["a", "the", "über", "漢字", "x" * 500, "ab"]
+    assert np.allclose(field.emissions(words), [field.emission(w) for w in words], rtol=1e-12)
+    assert language.words_of("Ab1c-D") == ["ab", "c", "d"] and language.words_of("Äb1ß") == ["äb", "ß"]
+
+
+def test_small_warc_files_share_batches(docs_of, spark, monkeypatch):
+    files = spark.createDataFrame([(bytearray(warc.to_bytes([("WARC-Record-ID", f"<{i}>"), ("Content-Length", "2")], b"ab")),)
+                                   for i in range(50)] + [(bytearray(b"WARC/1.1 cut"),), (None,)], "content binary").coalesce(1)
+    read = warc.parse_records(files)
+    assert sorted((r["record_id"], r["type"]) for r in read.collect() if r["record_id"]) == \
+        sorted((f"<{i}>", None) for i in range(50))
+    assert read.where("type = 'error'").count() == 1
+    sizes = []
+    made = warc._batch
+    monkeypatch.setattr(warc, "_batch", lambda rows: sizes.append(len(rows)) or made(rows))
+    class Files:
+        def select(self, name):
+            return self
+        def mapInArrow(self, emit, schema):
+            return list(emit([pa.record_batch({"content": [r[0] and bytes(r[0]) for r in files.collect()]})]))
+    assert sum(b.num_rows for b in warc.parse_records(Files())) == 51 and sizes == [51]
+
+
 def test_transducer_is_minimal_and_exact(tmp_path):
     entries = {w: (i, i + 1) for i, w in enumerate([b"", b"a", b"ab", b"abc", b"b", b"bab", b"babc"])}
     entries |= {b"walking": (1, 9), b"talking": (1, 9), b"walked": (1, 8), b"talked": (1, 8)}
