@@ -35,6 +35,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import BATCH_ROWS
 from .html_main import ATTRIBUTE, INLINE, RAW
 
 VERSION = b"WARC/1.1"
@@ -56,6 +57,8 @@ _FIRST_HREF = re.compile(r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _ANCHOR = re.compile(rf"<a(?=\s)({_REST})", re.I | re.S)
 #: Level of the gzip members: two thirds of the default level's time, 1 % more bytes.
 GZIP_LEVEL = 4
+#: Bytes of record blocks after which read records are handed on: small files share a batch.
+BATCH_OUT = 1 << 20
 #: Headers that every record has by itself; the response's others are carried over.
 OWN = {"warc-type", "warc-record-id", "warc-date", "warc-target-uri", "content-length", "content-type",
        "warc-block-digest", "warc-payload-digest", "warc-refers-to"}
@@ -164,17 +167,22 @@ def parse_records(files: DataFrame) -> DataFrame:
     A malformed file ends with a row of type ``error`` that names the fault.
     """
     def emit(batches):
+        rows, held = [], 0
         for batch in batches:
             for content in batch.column("content").to_pylist():
-                rows = []
                 try:
                     for headers, block in split_records(content or b""):
                         get = {k.lower(): v for k, v in headers}.get
                         rows.append((get("warc-record-id"), get("warc-type"), get("warc-target-uri"),
                                      get("warc-date"), headers, block))
+                        held += len(block)
+                        if held >= BATCH_OUT or len(rows) >= BATCH_ROWS:
+                            yield _batch(rows)
+                            rows, held = [], 0
                 except (ValueError, zlib.error) as e:
                     rows.append((None, "error", None, None, [("error", str(e))], None))
-                yield _batch(rows)
+        if rows:
+            yield _batch(rows)
     return files.select("content").mapInArrow(emit, RECORD)
 
 
