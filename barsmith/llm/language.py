@@ -33,6 +33,9 @@ result. Only text and the labels of the training documents are used.
 
 from __future__ import annotations
 
+import re
+from itertools import chain as joined
+from operator import add
 from zlib import crc32
 
 import numpy as np
@@ -58,28 +61,58 @@ STRETCH = 12
 STRETCHES = 5
 #: Words whose emissions a worker remembers before it starts afresh.
 REMEMBERED = 100_000
+#: Words whose emissions are summed at a time.
+CHUNK = 4_096
+#: Pieces of one kind whose slots a worker remembers before it starts afresh.
+PIECES = 1 << 16
 #: Words of all texts of one lockstep slice, about.
 SLICE = 1 << 18
 
 _WORD = regex.compile(r"[\p{L}\p{M}]+")
+_ASCII_WORD = re.compile("[a-z]+")
 _LETTER = regex.compile(r"\p{L}")
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w for w in _WORD.findall((text or "").lower()) if w]
+    text = (text or "").lower()
+    return _ASCII_WORD.findall(text) if text.isascii() else _WORD.findall(text)
+
+
+def _slot(name: str) -> int:
+    return crc32(name.encode()) % FEATURES
+
+
+class _Slots(dict):
+    """Slots of the affixes or n-grams of one kind, remembered: words are many, their pieces few."""
+
+    def __init__(self, kind: str):
+        super().__init__()
+        self.kind = kind
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) >= PIECES:
+            self.clear()
+        slot = self[piece] = _slot(self.kind + piece)
+        return slot
+
+
+_BIAS = _slot("bias")
+_STARTS, _ENDS = ([(n, _Slots(f"{kind}{n}")) for n in (1, 2, 3)] for kind in "ps")
+_PAIRS, _TRIPLES = _Slots("2"), _Slots("3")
 
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed slots of a word's affixes, n-grams and lexicon entry; bias first."""
     w = f"^{word}$"
-    names = ["bias"]
-    names += [f"p{n}{word[:n]}" for n in (1, 2, 3) if n <= len(word)]
-    names += [f"s{n}{word[-n:]}" for n in (1, 2, 3) if n <= len(word)]
-    names += [f"2{w[i:i + 2]}" for i in range(len(w) - 1)]
-    names += [f"3{w[i:i + 3]}" for i in range(len(w) - 2)]
+    slots = [_BIAS]
+    slots += [of[word[:n]] for n, of in _STARTS if n <= len(word)]
+    slots += [of[word[-n:]] for n, of in _ENDS if n <= len(word)]
+    pairs = list(map(add, w, w[1:]))
+    slots += map(_PAIRS.__getitem__, pairs)
+    slots += map(_TRIPLES.__getitem__, map(add, pairs, w[2:]))
     if word in lexicon:
-        names += [f"w{word}", f"l{lexicon[word]}"]
-    return [crc32(n.encode()) % FEATURES for n in names]
+        slots += [_slot(f"w{word}"), _slot(f"l{lexicon[word]}")]
+    return slots
 
 
 class Chain:
@@ -96,6 +129,13 @@ class Chain:
         slots = features(word, self.lexicon)
         return self.emit[slots].sum(axis=0) / np.sqrt(len(slots))
 
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """:meth:`emission` of every word, in one sum over their slots."""
+        slots = [features(w, self.lexicon) for w in words]
+        sizes = np.fromiter(map(len, slots), np.int64, len(slots))
+        flat = np.fromiter(joined.from_iterable(slots), np.int64, int(sizes.sum()))
+        return np.add.reduceat(self.emit[flat], np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
+
     def marginals(self, scores: np.ndarray) -> np.ndarray:
         """Posterior label distributions of one sequence, by forward-backward (for fitting and tests)."""
         n = len(scores)
@@ -133,33 +173,36 @@ def lockstep_marginal_sums(scores: np.ndarray, lengths: np.ndarray, move: np.nda
 
     ``scores`` holds the texts one after the other, longest first: at step t
     the texts still running are a prefix, so every step is one small matrix
-    product and no text is padded.
+    product and no text is padded. Words are laid out step by step first, so
+    a step reads and writes one block.
     """
     n, labels = len(lengths), scores.shape[1]
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    e = np.exp(scores - scores.max(axis=1, keepdims=True))
-    m = np.exp(move)
-    forward = np.empty_like(e)
     longest = int(lengths[0]) if n else 0
     alive = np.searchsorted(-lengths, -np.arange(longest), side="left")  # texts longer than t
-    state = np.ones((n, labels))
-    for t in range(longest):
-        k = alive[t]
-        at = starts[:k] + t
-        now = (state[:k] @ m if t else state[:k]) * e[at]
-        now /= now.sum(axis=1, keepdims=True)
-        forward[at] = now
-        state[:k] = now
-    sums = np.zeros((n, labels))
-    back = np.ones((n, labels))
-    for t in range(longest - 1, -1, -1):
-        k = alive[t]
-        at = starts[:k] + t
-        p = forward[at] * back[:k]
-        sums[:k] += p / p.sum(axis=1, keepdims=True)
-        now = (e[at] * back[:k]) @ m.T
-        back[:k] = now / now.sum(axis=1, keepdims=True)
-    return sums
+    ends = np.cumsum(alive)
+    owner = np.repeat(np.arange(n), lengths)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    place = (ends - alive)[step] + owner
+    e = np.empty_like(scores)
+    e[place] = np.exp(scores - scores.max(axis=1, keepdims=True))
+    m, back_m = np.exp(move), np.exp(move).T
+    blocks = list(zip((ends - alive).tolist(), ends.tolist()))
+    forward, back = np.empty_like(e), np.ones_like(e)
+    add, state = np.add.reduce, None
+    for lo, hi in blocks:
+        now = np.multiply(e[lo:hi] if state is None else state[:hi - lo] @ m, 1.0 if state is None else e[lo:hi],
+                          out=forward[lo:hi])
+        now /= add(now, axis=1, keepdims=True)
+        state = now
+    for (lo, hi), (before, _) in zip(blocks[:0:-1], blocks[-2::-1]):
+        # A text that ends at the step before keeps its ones there.
+        now = np.matmul(e[lo:hi] * back[lo:hi], back_m, out=back[before:before + hi - lo])
+        now /= add(now, axis=1, keepdims=True)
+    forward *= back
+    forward /= forward.sum(axis=1, keepdims=True)
+    text = np.empty_like(owner)
+    text[place] = owner
+    return np.stack([np.bincount(text, forward[:, k], minlength=n) for k in range(labels)], axis=1)
 
 
 def stretches_of(text: str, max_words: int) -> list[str]:
@@ -261,17 +304,17 @@ def predict_texts(chain: Chain, texts: list[str | None], remembered: dict[str, n
             held += len(cut[end][1])
             end += 1
         part = cut[at:end]
-        vectors = []
-        for _, ws in part:
-            for w in ws:
-                v = remembered.get(w)
-                if v is None:
-                    if len(remembered) >= REMEMBERED:
-                        remembered.clear()
-                    v = remembered[w] = chain.emission(w)
-                vectors.append(v)
+        # One vector a distinct word, then a row a place.
+        number = {w: i for i, w in enumerate(dict.fromkeys(joined.from_iterable(ws for _, ws in part)))}
+        places = np.fromiter(map(number.__getitem__, joined.from_iterable(ws for _, ws in part)), np.int64, held)
+        if len(remembered) + len(number) > REMEMBERED:
+            remembered.clear()
+        new = [w for w in number if w not in remembered]
+        for lo in range(0, len(new), CHUNK):
+            remembered.update(zip(new[lo:lo + CHUNK], chain.emissions(new[lo:lo + CHUNK])))
+        vectors = [remembered[w] for w in number]
         lengths = np.array([len(ws) for _, ws in part])
-        sums = lockstep_marginal_sums(np.array(vectors), lengths, chain.move)
+        sums = lockstep_marginal_sums(np.array(vectors)[places], lengths, chain.move)
         shares = sums / sums.sum(axis=1, keepdims=True)
         for (i, _), share in zip(part, shares):
             k = int(np.argmax(share))
