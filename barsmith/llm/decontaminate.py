@@ -45,27 +45,31 @@ ALWAYS_RARE = 20
 BROADCAST_SEEDS = 1 << 18
 MATCH, MISMATCH, GAP = 2, -1, -1
 
+#: ASCII characters that are neither letters nor digits: most edges hold no others.
+_ASCII_EDGE = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 _EDGE = regex.compile(r"\P{Alnum}*")
 
 
 def plain_words(text: str | None) -> list[str]:
     """Lower-case words without punctuation at their ends; words of punctuation only vanish."""
-    out = []
-    for w in (text or "").lower().split():
-        if not (w[0].isalnum() and w[-1].isalnum()):
-            # From either end, so that a long word of punctuation is read twice at most.
-            w = w[_EDGE.match(w).end():]
-            w = w[:len(w) - _EDGE.match(w[::-1]).end()]
-            if not w:
-                continue
-        out.append(w)
-    return out
+    return [p for w in (text or "").lower().split() if (p := w if w.isalnum() else _plain(w))]
+
+
+def _plain(w: str) -> str:
+    cut = w.strip(_ASCII_EDGE)
+    if not cut or (cut[0].isascii() and cut[-1].isascii()):
+        return cut
+    if not (w[0].isalnum() and w[-1].isalnum()):
+        # From either end, so that a long word of punctuation is read twice at most.
+        w = w[_EDGE.match(w).end():]
+        w = w[:len(w) - _EDGE.match(w[::-1]).end()]
+    return w
 
 
 def word_codes(text: str | None) -> np.ndarray:
     """64-bit hash of every plain word."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(w) for w in plain_words(text)], dtype=np.uint64)
+    words = plain_words(text)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def item_ngrams(benchmark: DataFrame, width: int = SEED_WORDS) -> DataFrame:
