@@ -18,8 +18,8 @@ learned on switches as well as on runs. The lexicon is counted over the whole
 training corpus. The weights are fitted by averaged stochastic gradient steps
 on the chain's log-likelihood.
 
-Prediction covers whole texts where they lie: a word's emission is looked up
-(or computed once per word and worker, in a bounded table), and the recursions
+Prediction covers whole texts where they lie: the distinct words of a slice are
+scored together, their pieces' slots read from tables by character, and the recursions
 run over all texts of a batch in lockstep, in slices of equal length, so a very
 long text costs its length and nothing is padded to it.
 
@@ -34,6 +34,8 @@ result. Only text and the labels of the training documents are used.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from functools import cache
 from itertools import chain as joined
 from operator import add
 from zlib import crc32
@@ -59,12 +61,14 @@ RATE = 0.3
 #: Words of one training stretch; a training sequence holds ``STRETCHES`` of them.
 STRETCH = 12
 STRETCHES = 5
-#: Words whose emissions a worker remembers before it starts afresh.
-REMEMBERED = 100_000
 #: Words whose emissions are summed at a time.
 CHUNK = 4_096
 #: Pieces of one kind whose slots a worker remembers before it starts afresh.
 PIECES = 1 << 16
+#: Characters whose pieces' slots stand in tables, the boundary marks included, and what their codes
+#: stay below (alphabets do, ideographs don't); words with others are cut one by one.
+ALPHABET = 128
+ALPHABETIC = 0x2000
 #: Words of all texts of one lockstep slice, about.
 SLICE = 1 << 18
 
@@ -115,6 +119,93 @@ def features(word: str, lexicon: dict[str, int]) -> list[int]:
     return slots
 
 
+class _PieceTable:
+    """Slots of the pieces of ``size`` characters of one kind, by the characters' numbers; filled as pieces are met."""
+
+    def __init__(self, kind: str, size: int):
+        self.kind, self.size = kind, size
+        self.slots = np.full(ALPHABET ** size, -1, np.int32)
+
+    def look_up(self, numbers: list[np.ndarray], letters: list[str]) -> np.ndarray:
+        at = numbers[0]
+        for more in numbers[1:]:
+            at = at * ALPHABET + more
+        found = self.slots[at]
+        if found.size and found.min() < 0:
+            for key in np.unique(at[found < 0]).tolist():
+                piece = [letters[key // ALPHABET ** i % ALPHABET] for i in range(self.size)]
+                self.slots[key] = _slot(self.kind + "".join(reversed(piece)))
+            found = self.slots[at]
+        return found
+
+
+class _Cutter:
+    """:func:`features` of many words at once, of those written in the first ``ALPHABET`` characters met."""
+
+    def __init__(self):
+        self.letters: list[str] = []
+        self.number = np.full(0x110000, -1, np.int16)
+        self.starts = [_PieceTable(f"p{n}", n) for n in (1, 2, 3)]
+        self.ends = [_PieceTable(f"s{n}", n) for n in (1, 2, 3)]
+        self.pairs, self.triples = _PieceTable("2", 2), _PieceTable("3", 3)
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The number of every character, -1 beyond the alphabet."""
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        numbers = self.number[codes]
+        if numbers.min() < 0 and len(self.letters) < ALPHABET:
+            new = np.unique(codes[(numbers < 0) & (codes < ALPHABETIC)])
+            for code in new[:ALPHABET - len(self.letters)].tolist():
+                self.number[code] = len(self.letters)
+                self.letters.append(chr(code))
+            numbers = self.number[codes]
+        return numbers.astype(np.int32)
+
+    def slots(self, words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Slots of all words, one word after the other, and how many each has."""
+        code = self.numbers("^" + "$^".join(words) + "$")
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        listed = [(i, w) for i, w in enumerate(words) if w in lexicon]
+        affixes = np.minimum(n, 3)
+        sizes = 2 + 2 * affixes + 2 * n
+        sizes[[i for i, _ in listed]] += 2
+        first = np.cumsum(n + 2) - (n + 2)
+        strange = np.minimum.reduceat(code, first) < 0
+        alone = {i: features(words[i], lexicon) for i in np.flatnonzero(strange).tolist()}
+        code[code < 0] = 0  # stands in where a word is cut alone
+        at = np.cumsum(sizes) - sizes
+        flat = np.empty(int(sizes.sum()), np.int64)
+        flat[at] = _BIAS
+        usual = ~strange
+        for k, (start, end) in enumerate(zip(self.starts, self.ends), 1):
+            own = np.flatnonzero((n >= k) & usual)
+            lo, hi = first[own] + 1, first[own] + 1 + n[own] - k
+            flat[at[own] + k] = start.look_up([code[lo + i] for i in range(k)], self.letters)
+            flat[at[own] + affixes[own] + k] = end.look_up([code[hi + i] for i in range(k)], self.letters)
+        # The characters of usual words, marks included: each but the last begins a pair, each but the last two a triple.
+        length = np.where(usual, n + 2, 0)
+        word = np.repeat(np.arange(len(words)), length)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(length) - length, length)
+        here = first[word] + place
+        to = (at + 1 + 2 * affixes)[word] + place
+        left = n[word] - place
+        pair, triple = left >= 0, left > 0
+        flat[to[pair]] = self.pairs.look_up([code[here[pair] + i] for i in range(2)], self.letters)
+        flat[to[triple] + n[word[triple]] + 1] = self.triples.look_up([code[here[triple] + i] for i in range(3)], self.letters)
+        ends = (at + sizes).tolist()
+        for i, w in listed:
+            flat[ends[i] - 2], flat[ends[i] - 1] = _slot(f"w{w}"), _slot(f"l{lexicon[w]}")
+        for i, own in alone.items():
+            flat[ends[i] - len(own):ends[i]] = own
+        return flat, sizes
+
+
+@cache
+def _cutter() -> _Cutter:
+    """The worker's tables."""
+    return _Cutter()
+
+
 class Chain:
     """Weights of the field: emissions by feature slot, transitions, labels."""
 
@@ -131,9 +222,7 @@ class Chain:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """:meth:`emission` of every word, in one sum over their slots."""
-        slots = [features(w, self.lexicon) for w in words]
-        sizes = np.fromiter(map(len, slots), np.int64, len(slots))
-        flat = np.fromiter(joined.from_iterable(slots), np.int64, int(sizes.sum()))
+        flat, sizes = _cutter().slots(words, self.lexicon)
         return np.add.reduceat(self.emit[flat], np.cumsum(sizes) - sizes, axis=0) / np.sqrt(sizes)[:, None]
 
     def marginals(self, scores: np.ndarray) -> np.ndarray:
@@ -241,13 +330,13 @@ def lexicon_of(docs: DataFrame, per_language: int = LEXICON_WORDS) -> dict[str,
     """word -> index of its most frequent language, of the most frequent words over all labelled documents."""
     def emit(batches):
         for batch in batches:
-            counts: dict[tuple[str, str], int] = {}
+            counts: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for w in words_of(text):
-                    counts[lang, w] = counts.get((lang, w), 0) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
-                 pa.array(list(counts.values()), pa.int64())], names=["lang", "word", "n"])
+                counts.setdefault(lang, Counter()).update(words_of(text))
+            for lang, own in counts.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(own), pa.string()), pa.array(list(own), pa.string()),
+                     pa.array(list(own.values()), pa.int64())], names=["lang", "word", "n"])
 
     counted = (docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
                .mapInArrow(emit, "lang string, word string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n")))
@@ -292,7 +381,7 @@ def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS, e
     return chain
 
 
-def predict_texts(chain: Chain, texts: list[str | None], remembered: dict[str, np.ndarray]) -> list[tuple[str, float]]:
+def predict_texts(chain: Chain, texts: list[str | None]) -> list[tuple[str, float]]:
     """(language, score) of every text."""
     out = [("und", 0.0)] * len(texts)
     cut = [(i, words_of(t)) for i, t in enumerate(texts) if t and _LETTER.search(t)]
@@ -305,16 +394,11 @@ def predict_texts(chain: Chain, texts: list[str | None], remembered: dict[str, n
             end += 1
         part = cut[at:end]
         # One vector a distinct word, then a row a place.
-        number = {w: i for i, w in enumerate(dict.fromkeys(joined.from_iterable(ws for _, ws in part)))}
-        places = np.fromiter(map(number.__getitem__, joined.from_iterable(ws for _, ws in part)), np.int64, held)
-        if len(remembered) + len(number) > REMEMBERED:
-            remembered.clear()
-        new = [w for w in number if w not in remembered]
-        for lo in range(0, len(new), CHUNK):
-            remembered.update(zip(new[lo:lo + CHUNK], chain.emissions(new[lo:lo + CHUNK])))
-        vectors = [remembered[w] for w in number]
+        coded = pa.array(list(joined.from_iterable(ws for _, ws in part)), pa.large_string()).dictionary_encode()
+        distinct, places = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        vectors = np.concatenate([chain.emissions(distinct[lo:lo + CHUNK]) for lo in range(0, len(distinct), CHUNK)])
         lengths = np.array([len(ws) for _, ws in part])
-        sums = lockstep_marginal_sums(np.array(vectors)[places], lengths, chain.move)
+        sums = lockstep_marginal_sums(vectors[places], lengths, chain.move)
         shares = sums / sums.sum(axis=1, keepdims=True)
         for (i, _), share in zip(part, shares):
             k = int(np.argmax(share))
@@ -331,11 +415,10 @@ def predict(docs: DataFrame, chain: Chain | None) -> DataFrame:
     names = [*docs.columns, "lang_pred", "score"]
 
     def run(batches):
-        remembered: dict[str, np.ndarray] = {}
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
             found = [("und", 0.0)] * len(texts) if sent.value is None else \
-                predict_texts(sent.value, texts, remembered)
+                predict_texts(sent.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())], names=names)

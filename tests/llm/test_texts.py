@@ -166,6 +166,23 @@ def test_language_emissions_in_one_sum():
     assert language.words_of("Ab1c-D") == ["ab", "c", "d"] and language.words_of("Äb1ß") == ["äb", "ß"]
 
 
+def test_language_words_are_cut_together_as_one_by_one(monkeypatch):
+    lexicon = {"über": 1, "the": 0, "漢字": 2}
+    letters = [chr(c) for c in range(0x3b1, 0x3b1 + 25)] + [chr(c) for c in range(0x430, 0x530)]
+    words = ["a", "the", "über", "ab", "x" * 500, "漢字", "ñ字", "über"] + [a + b + "e" for a, b in zip(letters, letters[1:])]
+    want = [language.features(w, lexicon) for w in words]
+    cutter, alone = language._Cutter(), []
+    plain = language.features
+    monkeypatch.setattr(language, "features", lambda w, lexicon: alone.append(w) or plain(w, lexicon))
+    for some in (words, words[::-1], ["a"], ["字"]):
+        alone.clear()
+        flat, sizes = cutter.slots(some, lexicon)
+        got = [part.tolist() for part in np.split(flat, np.cumsum(sizes)[:-1])]
+        assert got == (want if some is words else want[::-1] if len(some) > 1 else [plain(some[0], lexicon)])
+        assert not {"a", "the", "über", "ab", "x" * 500} & set(alone)
+    assert len(cutter.letters) == language.ALPHABET and alone == ["字"]
+
+
 def test_small_warc_files_share_batches(docs_of, spark, monkeypatch):
     files = spark.createDataFrame([(bytearray(warc.to_bytes([("WARC-Record-ID", f"<{i}>"), ("Content-Length", "2")], b"ab")),)
                                    for i in range(50)] + [(bytearray(b"WARC/1.1 cut"),), (None,)], "content binary").coalesce(1)
