@@ -12,8 +12,10 @@ Everything is a DataFrame expression. The corpus pass explodes the n-gram
 buckets into a hash aggregate of ``buckets`` keys (map-side combined, so the
 shuffle holds ``buckets`` rows a task however large the corpus is); the weight
 table has ``buckets`` rows, a proven bound, and is broadcast to the scoring
-pass. Documents are scored where they lie. The trusted ids grow with the labels:
-Spark joins them as their size asks, by a shuffle of the texts once they are many.
+pass. Documents are scored where they lie. The trusted ids grow with the labels and
+are joined by a shuffle, of whole texts only where a bitmap of fixed size over the
+hashed ids, broadcast, lets a document through: the fitting half's and few others
+(one in four at 20 million ids, most of them beyond 100 million).
 The threshold's percentiles are exact, read off the held-out scores in ranges.
 
 Defined results: null or empty text has no words, fails the base rules and is
@@ -33,6 +35,8 @@ from .common import SPACE_CLASS, free_name, partitions, stored, words
 
 #: Hash buckets of the two multinomials (documented size bound of the model).
 BUCKETS = 1 << 16
+#: Bits of the bitmap over hashed ids, 64 to a row (documented size bound of its broadcast).
+FILTER_BITS = 1 << 26
 #: A document is kept while its mean log-likelihood ratio (nats per n-gram) lies at most
 #: max(MIN_MARGIN, SPREADS * (median - 10th percentile)) below the median of trusted
 #: documents that were held out of the fit.
@@ -75,6 +79,30 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")))
 
 
+def _slot_of(doc_id: str, bits: int) -> tuple[Column, Column]:
+    """Row and bit of an id in a bitmap of ``bits`` bits."""
+    slot = F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(bits))
+    return F.shiftright(slot, 6).cast("int"), slot.bitwiseAND(F.lit(63)).cast("int")
+
+
+def likely_of_ids(docs: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows (doc_id, text) of ``docs`` whose bit one of ``ids`` has set: all of theirs and few others."""
+    at, bit = _slot_of("doc_id", bits)
+    bitmap = stored(ids.select(at.alias("at"), bit.alias("bit")).groupBy("at")
+                    .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")), "bitmap")
+    return (docs.select("doc_id", "text", at.alias("at"), bit.alias("bit"))
+            .join(F.broadcast(bitmap), "at").where("getbit(mask, bit) = 1").select("doc_id", "text"))
+
+
+def texts_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``text`` of the rows of ``docs`` whose ``doc_id`` is in ``ids``.
+
+    The exact join moves the texts of :func:`likely_of_ids` only, and by one plan at every size.
+    """
+    # Joined to distinct ids: Spark would push a semi join below the bitmap's and move every text.
+    return likely_of_ids(docs, ids).join(ids.select("doc_id").distinct().hint("merge"), "doc_id").select("text")
+
+
 def fit_weights(docs: DataFrame, ids: DataFrame, buckets: int = BUCKETS,
                 smoothing: float = SMOOTHING) -> DataFrame:
     """(bucket, weight) of all ``buckets``: log p_target - log p_raw.
@@ -82,15 +110,14 @@ def fit_weights(docs: DataFrame, ids: DataFrame, buckets: int = BUCKETS,
     Raw counts cover all documents, target counts all of ``ids``
     (:func:`trusted_ids`) in the half that fits.
     """
-    ids = ids.where("half = 0").select("doc_id", F.lit(1).alias("trusted"))
-    flagged = (docs.select("doc_id", "text")
-               .join(ids, "doc_id", "left").withColumnRenamed("trusted", "t"))
-    counts = (_ngrams(flagged, [F.coalesce("t", F.lit(0))], buckets)
-              .select("k0", F.explode(F.array("uni", "bi")).alias("bucket"))
-              .groupBy("bucket")
-              .agg(F.count(F.lit(1)).alias("raw"), F.sum("k0").alias("target")))
+    def counts(rows: DataFrame, name: str) -> DataFrame:
+        return (_ngrams(rows, [], buckets).select(F.explode(F.array("uni", "bi")).alias("bucket"))
+                .groupBy("bucket").agg(F.count(F.lit(1)).alias(name)))
+
+    raw = counts(docs, "raw")
+    target = counts(texts_of_ids(docs, ids.where("half = 0")), "target")
     dense = stored(docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-             .join(counts, "bucket", "left")
+             .join(raw, "bucket", "left").join(target, "bucket", "left")
              .select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"),
                      F.coalesce("target", F.lit(0)).alias("target")), "buckets")
     total = dense.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target")).first()
