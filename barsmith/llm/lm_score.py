@@ -35,6 +35,7 @@ are passed through; ``n_tokens`` and ``pll`` of the input are replaced.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACE_BYTES, free_name, stored, texts_as_bytes
+from .common import free_name, stored, texts_as_bytes
 
 #: Tokens: padding (0), frequent words, hashed tail tokens. CLASSES * CLASSES of them.
 CLASSES = 64
@@ -56,29 +57,41 @@ ROUNDS = 2
 TRAIN_SHARE = 1
 RATE = 0.5
 BATCH = 256
-#: Tokens scored at a time.
+#: Rows of one class in a block of a step, and tokens whose steps are laid out at a time.
+BLOCK = 8
+PART = 32
+LAID = 64 * BATCH
+#: Words a worker keeps: counts before they are handed on, tokens of tail words.
+KEPT = 1 << 17
+#: Tokens held for scoring, and of these, scored at a time.
 SLICE = 1 << 16
+SCORED = 1 << 13
 
-_TAIL_WORDS = pa.list_(pa.struct([("word", pa.binary()), ("tail", pa.int32()), ("times", pa.int64())]))
-_TO_SPACE = bytes.maketrans(SPACE_BYTES, b" " * len(SPACE_BYTES))
+_ONES = np.ones(CLASSES, np.float32)
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return [w for w in text.lower().translate(_TO_SPACE).split(b" ") if w]
+    return text.lower().split()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) of every word of all documents, a written table."""
     def emit(batches):
-        for batch in batches:
-            counts: dict[bytes, int] = {}
-            for text in texts_as_bytes(batch.column("text")):
-                for w in words_of(text):
-                    counts[w] = counts.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays(
+        counts: Counter[bytes] = Counter()
+
+        def counted():
+            return pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
                 names=["word", "n"])
 
+        for batch in batches:
+            for text in texts_as_bytes(batch.column("text")):
+                counts.update(words_of(text))
+                if len(counts) >= KEPT:
+                    yield counted()
+                    counts.clear()
+        yield counted()
+
     return stored(docs.select("text").mapInArrow(emit, "word binary, n long").groupBy("word")
                   .agg(F.sum("n").alias("n")), "word-counts")
 
@@ -115,9 +128,19 @@ def tail_totals(counts: DataFrame, vocab: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Tokens(dict):
+    """word -> token: a vocabulary to which tail words are added as they come, up to ``KEPT`` words."""
+
+    def __missing__(self, word: bytes) -> int:
+        token = VOCABULARY - TAILS + tail_of(word)
+        if len(self) < KEPT:
+            self[word] = token
+        return token
+
+
 def tokens_of_words(words: list[bytes], vocab: dict[bytes, int]) -> np.ndarray:
-    known, tail = vocab.get, VOCABULARY - TAILS
-    return np.array([known(w) or tail + tail_of(w) for w in words], np.int32)
+    known = vocab if isinstance(vocab, Tokens) else Tokens(vocab)
+    return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
 
 
 def tokens_of(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
@@ -126,7 +149,8 @@ def tokens_of(text: bytes, vocab: dict[bytes, int]) -> np.ndarray:
 
 def contexts(tokens: np.ndarray) -> np.ndarray:
     """The 2 * SIDE neighbours of every token, 0 beyond the text's ends."""
-    padded = np.pad(tokens, SIDE)
+    padded = np.zeros(len(tokens) + 2 * SIDE, np.int32)
+    padded[SIDE:-SIDE] = tokens
     offsets = [*range(SIDE), *range(SIDE + 1, 2 * SIDE + 1)]
     return np.stack([padded[o:o + len(tokens)] for o in offsets], axis=1)
 
@@ -148,61 +172,150 @@ class Network:
     def copy(self) -> Network:
         return Network(**{k: getattr(self, k).copy() for k in self.SHAPES})
 
-    def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        rows = around + np.arange(2 * SIDE) * VOCABULARY
-        h = np.tanh(self.embed[rows].sum(axis=1))
-        return rows, np.concatenate([h, np.ones((len(h), 1), np.float32)], axis=1)
+    def hidden(self, near: np.ndarray) -> np.ndarray:
+        """Hidden values of the tokens with these embedding rows (side by token), and a 1 for the biases."""
+        total = self.embed.take(near[0], axis=0)
+        for rows in near[1:]:
+            total += self.embed.take(rows, axis=0)
+        h = np.ones((len(total), HIDDEN + 1), np.float32)
+        np.tanh(total, out=h[:, :-1])
+        return h
 
     def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """log P(target | neighbours) of every row."""
-        _, h = self.hidden(around)
-        klass, inner = target % CLASSES, target // CLASSES
-        out = _log_softmax(h @ self.classes.T)[np.arange(len(h)), klass].astype(np.float64)
-        order = np.argsort(klass, kind="stable")
-        bounds = np.searchsorted(klass[order], np.arange(CLASSES + 1))
-        for k in range(CLASSES):
-            rows = order[bounds[k]:bounds[k + 1]]
-            if len(rows):
-                # The members of class k are the tokens k, k + CLASSES, ...
-                scores = _log_softmax(h[rows] @ self.members[k::CLASSES].T)
-                out[rows] += scores[np.arange(len(rows)), inner[rows]]
+        out = np.empty(len(target))
+        by_class = np.ascontiguousarray(_by_class(self.members))
+        for lo in range(0, len(target), SCORED):
+            part = target[lo:lo + SCORED]
+            order, klass, bounds = _class_order(part)
+            h, inner = self.hidden(_near_rows(around[lo:lo + SCORED][order])), part[order] // CLASSES
+            logs = _log_softmax_at(h @ self.classes.T, klass)
+            for k in np.flatnonzero(np.diff(bounds)):
+                own = slice(bounds[k], bounds[k + 1])
+                logs[own] += _log_softmax_at(h[own] @ by_class[k], inner[own])
+            out[lo + order] = logs
         return out
 
-    def step(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-        """One stochastic gradient step on a batch."""
-        rows, h = self.hidden(around)
-        n, klass, inner = len(h), target % CLASSES, target // CLASSES
-        up = -np.exp(_log_softmax(h @ self.classes.T))
-        up[np.arange(n), klass] += 1
-        back = up @ self.classes
-        # Rows by class, every class padded to the largest; the members of class k are k, k + CLASSES, ...
-        order = np.argsort(klass, kind="stable")
-        new = np.diff(klass[order], prepend=-1) != 0
-        firsts, seg = np.flatnonzero(new), np.cumsum(new) - 1
-        seen, place = klass[order[firsts]], np.arange(n) - firsts[seg]
-        near = np.zeros((len(seen), place.max() + 1, HIDDEN + 1), np.float32)
-        near[seg, place] = h[order]
-        by_class = self.members.reshape(CLASSES, CLASSES, HIDDEN + 1).transpose(1, 0, 2)
-        weights = by_class[seen]
-        down = near @ weights.transpose(0, 2, 1)
-        own = -np.exp(_log_softmax(down[seg, place]))
-        own[np.arange(n), inner[order]] += 1
-        down[:] = 0
-        down[seg, place] = own
-        back[order] += (down @ weights)[seg, place]
-        by_class[seen] += rate / n * (down.transpose(0, 2, 1) @ near)
-        self.classes += rate / n * (up.T @ h)
-        grad = (back * (1 - h * h))[:, :-1]
-        # Row sums of neighbours that occur several times in the batch.
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        firsts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        self.embed[flat[order[firsts]]] += rate / n * np.add.reduceat(grad[order // (2 * SIDE)], firsts, axis=0)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+def _near_rows(around: np.ndarray) -> np.ndarray:
+    """Embedding rows of the neighbours, side by token."""
+    return np.ascontiguousarray((around + np.arange(2 * SIDE) * VOCABULARY).T)
+
+
+def _by_class(members: np.ndarray) -> np.ndarray:
+    """(class, hidden, member in class): the members of class k are the tokens k, k + CLASSES, ..."""
+    return members.reshape(CLASSES, CLASSES, HIDDEN + 1).transpose(1, 2, 0)
+
+
+def _class_order(target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of rows by class, the classes in that order, and where each class begins."""
+    klass = (target % CLASSES).astype(np.uint8)
+    order = np.argsort(klass, kind="stable")
+    klass = klass[order]
+    return order, klass, np.searchsorted(klass, np.arange(CLASSES + 1))
+
+
+def _exp(x: np.ndarray) -> np.ndarray:
+    """exp in place, of every row up to a factor: rows are shifted only where they could overflow."""
+    if max(x.max(), -x.min()) > 40:
+        x -= x.max(axis=-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log of the softmax of every row at one column; ``x`` is overwritten."""
+    if max(x.max(), -x.min()) > 40:
+        x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(x)), at].astype(np.float64)
+    return own - np.log(np.exp(x, out=x) @ _ONES)
+
+
+class Steps:
+    """Stochastic gradient steps on a network, batch after batch.
+
+    A batch's rows are ordered by class. In the second softmax they lie in
+    blocks of ``BLOCK`` rows of one class: one block for every class, further
+    ones for classes with more rows, so that a batch takes a few products of
+    stacked matrices. Everything that depends on tokens only (orders, blocks,
+    cells) is laid out for up to ``LAID`` tokens at once.
+    """
+
+    def __init__(self, net: Network):
+        self.net = net.copy()
+        self.by_class = np.ascontiguousarray(_by_class(self.net.members))
+
+    def network(self) -> Network:
+        """The network after the steps made so far."""
+        _by_class(self.net.members)[:] = self.by_class
+        return self.net
+
+    def run(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+        """One step for every ``BATCH`` rows in turn and one for the rest, if any; ``rate`` for 32 rows."""
+        for lo in range(0, len(target), LAID):
+            self._run(around[lo:lo + LAID], target[lo:lo + LAID], rate)
+
+    def _run(self, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+        n = len(target)
+        starts = np.minimum(np.arange(0, n + BATCH, BATCH), n)
+        batch, klass = np.arange(n) // BATCH, target % CLASSES
+        order = np.argsort((batch * CLASSES + klass).astype(np.uint16), kind="stable")
+        around, klass, inner = around[order], klass[order], target[order] // CLASSES
+        # Runs of one class in one batch, and the block every row lies in.
+        firsts = np.flatnonzero(np.diff(batch * CLASSES + klass, prepend=-1))
+        sizes = np.diff(firsts, append=n)
+        place = np.arange(n) - np.repeat(firsts, sizes)
+        more = (sizes - 1) // BLOCK
+        more_class = np.repeat(klass[firsts], more)
+        more_ends = np.concatenate([[0], np.cumsum(more)])
+        more_from = more_ends[np.searchsorted(firsts, starts)]
+        after = np.repeat(more_ends[:-1] - more_from[batch[firsts]], sizes) + place // BLOCK - 1
+        slot = np.where(place < BLOCK, klass, CLASSES + after) * BLOCK + place % BLOCK
+        class_cell, member_cell = np.arange(n) % BATCH * CLASSES + klass, slot * CLASSES + inner
+        near = _near_rows(around)
+        for b in range(len(starts) - 1):
+            rows = slice(starts[b], starts[b + 1])
+            self._step(near[:, rows], class_cell[rows], slot[rows], member_cell[rows],
+                       more_class[more_from[b]:more_from[b + 1]], rate / 32)
+
+    def _step(self, near_rows, class_cell, slot, member_cell, more_class, rate):
+        net, by_class = self.net, self.by_class
+        h = net.hidden(near_rows)
+        e = _exp(h @ net.classes.T)
+        sums = e @ _ONES
+        # exp less the sum at the target: the gradient, negative and not yet divided by the sum.
+        e.ravel()[class_cell] -= sums
+        factor = (-1 / sums)[:, None]
+        back = (e @ net.classes)[:, :-1] * factor
+        net.classes += e.T @ (h * (factor * rate))
+        blocks = CLASSES + len(more_class)
+        near = np.zeros((blocks * BLOCK, HIDDEN + 1), np.float32)
+        near[slot] = h
+        stacked = near.reshape(blocks, BLOCK, HIDDEN + 1)
+        more = by_class[more_class]
+        e = np.empty((blocks, BLOCK, CLASSES), np.float32)
+        np.matmul(stacked[:CLASSES], by_class, out=e[:CLASSES])
+        np.matmul(stacked[CLASSES:], more, out=e[CLASSES:])
+        _exp(e)
+        sums = (e.reshape(-1, CLASSES) @ _ONES).take(slot)
+        e.ravel()[member_cell] -= sums
+        factor = -1 / sums
+        e.reshape(-1, CLASSES)[slot] *= (factor * rate)[:, None]
+        down = np.empty((blocks, BLOCK, HIDDEN + 1), np.float32)
+        for lo in range(0, CLASSES, PART):
+            part = slice(lo, lo + PART)
+            np.matmul(e[part], by_class[part].transpose(0, 2, 1), out=down[part])
+            by_class[part] += stacked[part].transpose(0, 2, 1) @ e[part]
+        np.matmul(e[CLASSES:], more.transpose(0, 2, 1), out=down[CLASSES:])
+        for k, more in zip(more_class.tolist(), stacked[CLASSES:].transpose(0, 2, 1) @ e[CLASSES:]):
+            by_class[k] += more
+        back *= rate
+        back += down.reshape(-1, HIDDEN + 1).take(slot, axis=0)[:, :-1]
+        z = h[:, :-1]
+        back *= 1 - z * z
+        # Rows that occur several times in the batch add up; two numbers an addition.
+        pairs, back = net.embed.reshape(-1).view(np.complex64), back.reshape(-1).view(np.complex64)
+        for rows in near_rows:
+            np.add.at(pairs, (rows[:, None] * (HIDDEN // 2) + np.arange(HIDDEN // 2)).ravel(), back)
 
 
 def _trained_positions(n: int, at: int, share: int) -> np.ndarray:
@@ -216,45 +329,42 @@ def train_round(docs: DataFrame, vocab: dict[bytes, int], net: Network, turn: in
 
     def emit(batches):
         vocab, start = sent.value
-        own, seen, used = start.copy(), turn, 0
+        known, steps, seen, used = Tokens(vocab), Steps(start), turn, 0
         around, target, held = [], [], 0
         rate = RATE / (1 + turn)
 
-        def steps(a, t):
-            for lo in range(0, len(t), BATCH):
-                part = t[lo:lo + BATCH]
-                own.step(a[lo:lo + BATCH], part, rate * len(part) / 32)
-
         for batch in batches:
             for text in texts_as_bytes(batch.column("text")):
-                tokens = tokens_of(text, vocab)
+                tokens = tokens_of(text, known)
                 at = _trained_positions(len(tokens), seen, share)
                 seen += len(tokens)
                 around.append(contexts(tokens)[at])
                 target.append(tokens[at])
                 held += len(at)
-                if held >= BATCH:
+                if held >= LAID:
                     a, t = np.concatenate(around), np.concatenate(target)
                     rest = len(t) - len(t) % BATCH
-                    steps(a[:rest], t[:rest])
+                    steps.run(a[:rest], t[:rest], rate)
                     used += rest
                     around, target, held = [a[rest:]], [t[rest:]], len(t) - rest
         if held:
-            steps(np.concatenate(around), np.concatenate(target))
+            steps.run(np.concatenate(around), np.concatenate(target), rate)
             used += held
         if used:
-            names, rows, values = [], [], []
+            own, names, rows, values = steps.network(), [], [], []
             for i, k in enumerate(Network.SHAPES):
                 array = getattr(own, k)
                 # Only rows this partition changed: its share of the average.
                 moved = np.flatnonzero((array != getattr(start, k)).any(axis=1))
                 names.append(np.full(len(moved), i, np.int32))
                 rows.append(moved.astype(np.int32))
-                values += list((array[moved] - getattr(start, k)[moved]).astype(np.float64))
-            n = sum(map(len, rows))
+                values.append((array[moved] - getattr(start, k)[moved]).astype(np.float64))
+            widths = np.concatenate([np.full(len(v), v.shape[1]) for v in values])
+            delta = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(widths)]), pa.int32()),
+                                             pa.array(np.concatenate([v.ravel() for v in values])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(names)), pa.array(np.concatenate(rows)),
-                 pa.array(np.full(n, used, np.int64)), pa.array(values, pa.list_(pa.float64()))],
+                 pa.array(np.full(len(widths), used, np.int64)), delta],
                 names=["array", "row", "used", "delta"])
 
     moved = docs.select("text").mapInArrow(emit, "array int, row int, used long, delta array<double>")
@@ -294,8 +404,10 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network, counts: DataFr
 
     def emit(batches):
         vocab, net = sent.value
+        known = Tokens(vocab)
         for batch in batches:
-            sums, n_tokens, tails = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64), []
+            sums, n_tokens = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            tail_words, times, ends = [], [], [0]
             held, size = [], 0
 
             def flush():
@@ -305,9 +417,12 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network, counts: DataFr
 
             for i, text in enumerate(texts_as_bytes(batch.column("text"))):
                 words = words_of(text)
-                tokens = tokens_of_words(words, vocab)
+                tokens = tokens_of_words(words, known)
                 n_tokens[i] = len(tokens)
-                tails.append(Counter(w for w in words if w not in vocab))
+                tails = Counter(filterfalse(vocab.__contains__, words))
+                tail_words += tails
+                times += tails.values()
+                ends.append(len(times))
                 around = contexts(tokens)
                 for lo in range(0, len(tokens), SLICE):
                     held.append((i, around[lo:lo + SLICE], tokens[lo:lo + SLICE]))
@@ -317,10 +432,12 @@ def score(docs: DataFrame, vocab: dict[bytes, int], net: Network, counts: DataFr
                         held, size = [], 0
             if held:
                 flush()
+            tails = pa.StructArray.from_arrays(
+                [pa.array(tail_words, pa.binary()), pa.array(tokens_of_words(tail_words, known) - (VOCABULARY - TAILS)),
+                 pa.array(times, pa.int64())], names=["word", "tail", "times"])
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(n_tokens), pa.array(sums),
-                 pa.array([[{"word": w, "tail": tail_of(w), "times": n} for w, n in t.items()] for t in tails], _TAIL_WORDS)],
-                names=names)
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tails)], names=names)
 
     net_name, tails_name, row, shares = (free_name(docs, c) for c in ("_net", "_tails", "_row", "_shares"))
     names = [*keep, "n_tokens", net_name, tails_name]
