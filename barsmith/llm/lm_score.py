@@ -57,7 +57,8 @@ ROUNDS = 2
 TRAIN_SHARE = 1
 RATE = 0.5
 BATCH = 256
-#: Rows of one class in a block of a step, and tokens whose steps are laid out at a time.
+#: Rows of one class in a block of a step, classes whose gradients are added at a
+#: time, and tokens whose steps are laid out at a time.
 BLOCK = 8
 PART = 32
 LAID = 64 * BATCH
